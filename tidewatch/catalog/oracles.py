@@ -139,3 +139,347 @@ SQL["stream_throughput_drop"] = SQL["throughput_drop"]
 SQL["stream_latency_spike"] = SQL["latency_spike"]
 SQL["stream_latency_spike_grid"] = SQL["latency_spike_grid"]
 SQL["stream_sessions"] = SQL["sessions"]
+
+# --- dashboards and searches
+
+SQL["stream_tumbling_stats"] = SQL["tumbling_stats"].replace(
+    "from ev group by all",
+    "from ev where time_bucket(interval '1 minute', t) + interval '1 minute' "
+    "<= (select max(t) - interval '10 seconds' from ev) group by all")
+
+NOW = "(select max(t) from ev)"
+SECONDS = "(epoch_us(max(t)) - epoch_us(min(t))) / 1000000"
+EVENT_COLUMNS = "event_id::varchar as event_id, {t} as timestamp, service, event_type, latency_ms, status_code, is_anomaly"
+
+SQL.update({
+    "events_per_second": f"""with {EV}
+        select time_bucket(interval '1 second', t) as window_start, count(*) as event_count from ev group by all""",
+    "event_rate": f"""with {EV}
+        select count(*) as event_count, round({SECONDS}, 6) as span_s,
+               round(count(*) / ({SECONDS}), 6) as events_per_second from ev""",
+    "anomaly_counts": f"""with {ANOMALIES}
+        select service, anomaly_type, count(*) as anomaly_count from anomalies group by all""",
+    "p99_by_service": f"""with {EV}, p as (
+          select time_bucket(interval '10 seconds', t) as bucket, service, quantile_cont(latency_ms, 0.99) as p99
+          from ev group by all)
+        select bucket, service, round(p99, 6) as p99_latency_ms,
+               row_number() over (partition by bucket order by p99 desc, service)::int as rank, p99 > 500 as breach
+        from p qualify rank <= 8""",
+    "error_rate": f"""with {EV}
+        select service, time_bucket(interval '10 seconds', t) as window_start, count(*) as event_count,
+               count(*) filter (where status_code >= 500) as error_count,
+               round(count(*) filter (where status_code >= 500) / count(*), 6) as error_rate from ev group by all""",
+    "heatmap": f"""with {EV}
+        select service, time_bucket(interval '1 minute', t) as window_start, count(*) as event_count
+        from ev group by all""",
+    "heatmap_grid": f"""with {EV}
+        select time_bucket(interval '1 minute', t) as window_start, {', '.join(
+            f"count(*) filter (where service = '{name}') as {chr(34)}{name}{chr(34)}" for name in (
+                "payment-gateway", "user-auth", "product-catalog", "order-management", "inventory-sync",
+                "recommendation-engine", "search-service", "notification-hub"))}
+        from ev group by 1""",
+    "active_anomalies": f"""with {EV}, {DROPS}, {EXACT_SPIKES}, a as (
+          select service, anomaly_type, detected_at from drops
+          union all select service, anomaly_type, detected_at from spikes)
+        select service, anomaly_type, count(*) as anomaly_count, max(detected_at) as last_detected_at from a
+        where detected_at > {NOW} - interval '10 minutes' and detected_at <= {NOW} group by all""",
+    "recent_events": f"""with {EV}
+        select {EVENT_COLUMNS.format(t="t60")} from ev
+        where t60 > (select max(t60) from ev) - interval '1 hour' order by t60 desc, event_id""",
+    "recent_page": f"""with {EV}
+        select {EVENT_COLUMNS.format(t="t")} from ev order by t desc, event_id::varchar limit 10 offset 10""",
+    "filtered_events": f"""with {EV}
+        select {EVENT_COLUMNS.format(t="t")} from ev where service = 'payment-gateway' and latency_ms > 200""",
+    "top_services": f"""with {EV}, c as (select region, service, count(*) as event_count from ev group by all)
+        select region, service, event_count,
+               row_number() over (partition by region order by event_count desc, service)::int as rank
+        from c qualify rank <= 3""",
+})
+
+# --- reports
+
+REPORTS = f"""{ANOMALIES},
+prior as (
+  select *, (rank() over (partition by service, anomaly_type order by detected_at) - 1)::bigint as prior_count
+  from anomalies),
+numbered as (
+  select *, time_bucket(interval '30 seconds', detected_at) as batch_window,
+         row_number() over (
+           partition by time_bucket(interval '30 seconds', detected_at)
+           order by date_trunc('second', detected_at), service, anomaly_type,
+                    substr(md5(coalesce(session_key, '')), 1, 2), detected_at, window_start, session_key) as position
+  from prior),
+batched as (select *, (position - 1) // 10 as batch_no from numbered),
+facts as (
+  select batch_window, batch_no, count(*)::int as anomaly_count,
+         list_sort(list_distinct(list(service))) as services,
+         list_sort(list_distinct(list(anomaly_type))) as anomaly_types,
+         max(detected_at) as generated_at, min(window_start) as since, max(window_end) as until,
+         sum(prev_event_count - event_count) filter (where anomaly_type = 'throughput_drop')::bigint as missed,
+         max(drop_pct) as drop_pct, max(p99_latency_ms) as p99,
+         coalesce(sum(error_count), 0)::bigint as errors, max(prior_count) as prior
+  from batched group by 1, 2),
+docs as (
+  select concat_ws(chr(10),
+      '## Anomaly Report — ' || strftime(generated_at, '%Y-%m-%d %H:%M:%S') || ' UTC',
+      '**Type:** ' || array_to_string(anomaly_types, ', '),
+      '**Affected services:** ' || array_to_string(services, ', '),
+      '**Window:** ' || strftime(since, '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(until, '%Y-%m-%d %H:%M:%S') || ' UTC',
+      '**Impact:** ' || concat_ws('; ',
+          '~' || missed || ' events missed (up to -' || round(drop_pct)::bigint || '%)',
+          'p99 latency up to ' || round(p99)::bigint || ' ms', errors || ' server errors'),
+      '**Root cause hypothesis:** ' || concat_ws('; ',
+          case when list_contains(anomaly_types, 'throughput_drop')
+               then 'upstream outage, rate limiting or network partition' end,
+          case when list_contains(anomaly_types, 'latency_spike')
+               then 'saturated dependency or slow downstream calls' end,
+          case when list_contains(anomaly_types, 'session_anomaly')
+               then 'failing or slow requests of single clients' end),
+      '**Recommended action:** ' || concat_ws('; ',
+          case when list_contains(anomaly_types, 'throughput_drop') then 'check service health and consumer lag' end,
+          case when list_contains(anomaly_types, 'latency_spike') then 'check dependencies and recent deployments' end,
+          case when list_contains(anomaly_types, 'session_anomaly')
+               then 'review the sessions'' errors and clients' end),
+      '**Confidence:** ' || case when prior >= 3 then 'High' when prior >= 1 then 'Medium' else 'Low' end
+          || ' — matches ' || prior || ' prior incidents') as summary,
+    anomaly_count, services, anomaly_types, generated_at, 'rules-v1' as model
+  from facts)"""
+SUMMARY_COLUMNS = "generated_at, services, anomaly_types, anomaly_count, summary"
+TEXT_TIME = "strftime({0}, '%Y-%m-%d %H:%M:%S') as {0}_text"
+WHEN = "strftime(max(detected_at), '%Y-%m-%d %H:%M:%S')"
+
+SQL.update({
+    "report_batches": f"""with {REPORTS}
+        select batch_window, batch_no, position, service, anomaly_type, window_start, session_key from batched""",
+    "batch_prompts": f"""with {REPORTS}, texts as (
+          select batch_window, batch_no, position, detected_at, service, anomaly_type,
+                 {', '.join(TEXT_TIME.format(c) for c in ("window_start", "window_end", "detected_at"))},
+                 event_count, prev_event_count, error_count, severity, session_key from batched),
+        grouped as (
+          select batch_window, batch_no, count(*)::int as anomaly_count, {WHEN} as stamp,
+                 to_json(list({{service: service, anomaly_type: anomaly_type, window_start_text: window_start_text,
+                   window_end_text: window_end_text, detected_at_text: detected_at_text, event_count: event_count,
+                   prev_event_count: prev_event_count, error_count: error_count, severity: severity,
+                   session_key: session_key}} order by position))::varchar as records_json
+          from texts group by 1, 2)
+        select batch_window, batch_no, anomaly_count, records_json,
+               'Anomalies detected up to ' || stamp || ' UTC.' || chr(10) || chr(10) || 'Records (JSON):' || chr(10)
+               || records_json || chr(10) || chr(10)
+               || 'Write an incident report in markdown with the sections' || chr(10) || '## Anomaly Report — ' || stamp
+               || chr(10) || 'Type, Affected services, Window, Impact, Root cause hypothesis, '
+               || 'Recommended action, Confidence' as prompt
+        from grouped""",
+    "report_docs": f"with {REPORTS} select * from docs",
+    "summaries": f"with {REPORTS} select {SUMMARY_COLUMNS} from docs order by generated_at desc",
+    "summary_keywords": f"""with {REPORTS} select {SUMMARY_COLUMNS} from docs
+        where regexp_matches(lower(summary), '(^|[^a-z0-9])(outage|partition)($|[^a-z0-9])')""",
+    "summary_table": f"""with {REPORTS},
+        largest as (select generated_at, count(*) as total from docs group by 1 order by 2 desc, 1 limit 10),
+        counts as (select generated_at, total, service, count(*) as summary_count
+                   from (select generated_at, unnest(services) as service from docs) join largest using (generated_at)
+                   group by all)
+        select generated_at, total, service, summary_count from counts
+        qualify row_number() over (partition by generated_at order by summary_count desc, service) <= 5""",
+    "summaries_by_model": f"with {REPORTS} select model, count(*) as summary_count from docs group by all",
+    "missed_events": f"""with {EV}, {DROPS}
+        select service, sum(prev_event_count - event_count)::bigint as missed_events, count(*) as drop_count
+        from drops group by all""",
+    "prior_incidents": f"""with {REPORTS}
+        select service, anomaly_type, window_start, session_key, detected_at, prior_count from prior""",
+    "metric_points": f"""with {REPORTS}
+        select 'StreamingAnalytics' as namespace, 'EventLatencyMs' as metric_name, round(latency_ms, 6) as value,
+               'Milliseconds' as unit, '{{"service":"' || service || '"}}' as dimensions from ev
+        union all
+        select 'StreamingAnalytics', 'AnomaliesDetected', 1.0, 'Count',
+               '{{"service":"' || service || '","anomaly_type":"' || anomaly_type || '"}}' from anomalies
+        union all
+        select 'StreamingAnalytics', 'LLMSummariesGenerated', 1.0, 'Count', '{{"model":"' || model || '"}}' from docs""",
+})
+
+# --- metrics, lag, scaling, alerts
+
+
+def histogram_sql(key: str, bounds: list[int]) -> str:
+    """Cumulative histogram of latency per key."""
+    wide = ", ".join(f"count(*) filter (where latency_ms <= {b}) as le_{b}" for b in bounds)
+    tail = "n as value_count, value_sum"
+    parts = [f"select {key}, '{b}' as le, le_{b} as bucket_count, {tail} from h" for b in bounds]
+    parts.append(f"select {key}, '+Inf' as le, n as bucket_count, {tail} from h")
+    return (f"with {EV}, h as (select {key}, {wide}, count(*) as n, "
+            "round(sum(round(latency_ms * 100)::bigint)::double / 100, 6) as value_sum from e group by 1) "
+            + " union all ".join(parts))
+
+
+LAG = f"""{EV},
+offs as (select 'analytics-events' as topic, (event_id % 6)::int as partition, event_id // 6 as "offset", t from ev),
+lag as (
+  select topic, partition, max("offset") as latest_offset,
+         max("offset") filter (where "offset" % 5 = 0
+             and t <= {NOW} - to_minutes(partition + 1)) as committed_offset
+  from offs group by 1, 2),
+lagged as (select *, latest_offset - coalesce(committed_offset, -1) as lag from lag)"""
+SHARDS = """
+recs as (select 'analytics-events' as stream, 'shard-' || (event_id % 6) as shard_id, (event_id % 6)::int as nr,
+                event_id // 6 as sequence_number, t from ev),
+recs8 as (select 'shard-' || (event_id % 8) as shard_id, event_id % 8 as nr, event_id // 8 as sequence_number from ev),
+shards as (select shard_id, min(sequence_number) as starting_seq,
+                  case when nr >= 6 then max(sequence_number) end as ending_seq from recs8 group by shard_id, nr),
+surges as (select * from recs where minute(t) % 15 < 8 or sequence_number % 10 = 0)"""
+RATE = """rates as (
+  select time_bucket(interval '1 minute', t) as window_start, count(*) as event_count,
+         count(*) filter (where is_anomaly) as anomaly_count,
+         count(*) filter (where is_anomaly) / count(*) as rate from ev group by 1)"""
+
+SQL.update({
+    "events_by_status": f"""with {EV}
+        select service, case when status_code >= 500 then 'error' else 'ok' end as status, count(*) as event_count
+        from ev group by all""",
+    "latency_histogram": histogram_sql("service", [1, 5, 10, 50, 100, 250, 500, 1000, 2500, 5000]).replace(
+        "from e group", "from ev group"),
+    "index_latency_histogram": histogram_sql("index_pattern", [1, 5, 10, 50, 100, 500, 1000]).replace(
+        "from e group", "from (select *, 'events-' || event_type as index_pattern from ev) group"),
+    "delivery_rate": f"""with {EV}
+        select time_bucket(interval '10 seconds', t) as window_start,
+               count(*) filter (where event_id % 211 <> 0) as sent,
+               count(*) filter (where event_id % 211 = 0) as errors,
+               round(count(*) filter (where event_id % 211 <> 0) / 10, 6) as events_per_second from ev group by 1""",
+    "delivery_total": f"""with {EV}
+        select count(*) filter (where event_id % 211 <> 0) as sent, count(*) filter (where event_id % 211 = 0) as errors,
+               round({SECONDS}, 6) as elapsed_s,
+               round(count(*) filter (where event_id % 211 <> 0) / ({SECONDS}), 6) as mean_rate from ev""",
+    "consumer_lag": f"with {LAG} select * from lagged",
+    "lag_alerts": f"with {LAG} select * from lagged where lag > 50000",
+    "lag_alerts_low": f"with {LAG} select * from lagged where lag > 20",
+    "last_offset_gauge": f"""with {LAG}
+        select topic, partition, max_by("offset", t) as "offset", max(t) as timestamp from offs
+        where "offset" % 5 = 0 and t <= {NOW} - to_minutes(partition + 1) group by 1, 2""",
+    "shard_lag": f"""with {EV}, {SHARDS}
+        select stream, shard_id, round((epoch_us(max(t)) - epoch_us(max(t) filter (
+                 where t <= {NOW} - to_seconds(30 * nr)))) / 1000000, 6) as lag_s from recs group by 1, 2""",
+    "anomaly_rate": f"""with {EV}
+        select count(*) as event_count, count(*) filter (where is_anomaly) as anomaly_count,
+               round(count(*) filter (where is_anomaly) / count(*), 6) as anomaly_rate from ev""",
+    "anomaly_rate_alerts": f"""with {EV}, {RATE}
+        select window_start, event_count, anomaly_count, round(rate, 6) as anomaly_rate from rates where rate > 0.05""",
+    "anomaly_rate_alerts_high": f"""with {EV}, {RATE}
+        select window_start, event_count, anomaly_count, round(rate, 6) as anomaly_rate from rates where rate > 0.22""",
+    "shard_active": f"with {EV}, {SHARDS} select * from shards where ending_seq is null",
+    "shard_diff": f"""with {EV}, {SHARDS}, active as (select shard_id from shards where ending_seq is null),
+        used as (select distinct shard_id from recs8 where nr >= 2)
+        select shard_id, 'add' as action from active where shard_id not in (select shard_id from used)
+        union all select shard_id, 'remove' from used where shard_id not in (select shard_id from active)""",
+    "consumer_heartbeat": f"""with {EV}, {SHARDS}
+        select time_bucket(interval '1 minute', t) as window_start, count(distinct shard_id) as active_consumers
+        from surges group by 1""",
+    "scale_advice": f"""with {EV}, {SHARDS},
+        load as (select stream, shard_id, time_bucket(interval '1 minute', t) as minute, count(*) as n
+                 from surges group by all),
+        util as (select stream, shard_id, minute, n / (select max(n) from load) as utilisation from load),
+        runs as (
+          select *, utilisation < 0.25 as low,
+                 epoch_us(minute) // 60000000 - row_number() over (
+                   partition by stream, shard_id, utilisation < 0.25 order by minute) as island from util),
+        streaks as (
+          select *, case when low then row_number() over (partition by stream, shard_id, low, island order by minute)
+                         else 0 end::int as streak from runs)
+        select stream, shard_id, minute, round(utilisation, 6) as utilisation, streak,
+               case when utilisation > 0.70 then 'up' when streak >= 5 then 'down' else 'none' end as advice
+        from streaks""",
+})
+
+# --- transport
+
+COPIES = "copies as (select * from ev union all select * from ev where event_id % 20 = 3)"
+RESUME = """marks as (select shard_id, max(sequence_number) as read_up_to from recs
+                     where nr < 4 and minute(t) < 12 group by 1),
+todo as (select * from recs left join marks using (shard_id)
+         where coalesce(sequence_number > read_up_to, {fresh}))"""
+RESUMED = """select shard_id, count(*) as records, min(sequence_number) as first_sequence,
+       max(sequence_number) as last_sequence from todo group by 1"""
+
+SQL.update({
+    "decode_quarantine": f"""with {EV}
+        select service as key, case when event_id % 100 = 13 then 'malformed' when event_id % 100 = 59 then 'bad_value'
+               else 'unknown_field' end as reason, count(*) as records
+        from ev where event_id % 100 in (13, 27, 41, 59) group by all""",
+    "strict_gate": f"""with {EV}
+        select event_id::varchar as event_id, 'unknown_field' as reason from ev where event_id % 100 in (27, 41)""",
+    "required_fields": f"""with {EV}
+        select field, case when field = 'region' then (select count(*) from ev where event_id % 100 = 73)
+                           else 0 end as missing
+        from (select unnest(['event_id', 'timestamp', 'epoch_ms', 'service', 'event_type', 'region', 'user_id',
+                             'session_id', 'latency_ms', 'status_code', 'is_anomaly', 'payload_bytes', 'metadata'])
+              as field)""",
+    "json_round_trip": f"""with {EV}
+        select event_id::varchar as event_id, t as timestamp, epoch_ms, service, event_type, region, user_id, session_id,
+               round(latency_ms, 6) as latency_ms, status_code, is_anomaly, anomaly_type, payload_bytes, client, version
+        from ev""",
+    "dedupe": f"""with {EV}, {COPIES}
+        select event_id::varchar as event_id, service, t as timestamp from copies
+        qualify row_number() over (partition by event_id) = 1""",
+    "late_rows": f"""with {EV},
+        arrived as (select *, time_bucket(interval '10 seconds', t + case when event_id % 40 = 7
+                      then interval '90 seconds' else interval '0 seconds' end) as batch from ev),
+        marks as (select batch, max(max(t)) over (order by batch rows between unbounded preceding and 1 preceding)
+                         - interval '10 seconds' as watermark from arrived group by batch),
+        marked as (select service, time_bucket(interval '1 minute', t) as window_start,
+                          coalesce(time_bucket(interval '1 minute', t) + interval '1 minute' <= watermark, false) as late
+                   from arrived join marks using (batch))
+        select service, window_start, count(*) filter (where not late) as kept, count(*) filter (where late) as late
+        from marked group by 1, 2""",
+    "shard_resume": f"with {EV}, {SHARDS}, {RESUME.format(fresh='true')} {RESUMED}",
+    "shard_resume_latest": f"with {EV}, {SHARDS}, {RESUME.format(fresh='false')} {RESUMED}",
+    "shard_resume_at_time": f"""with {EV}, {SHARDS},
+        {RESUME.format(fresh="t >= timestamp '2024-01-01 00:20:00'")} {RESUMED}""",
+    "shardlog_scan": f"""with {EV}, {SHARDS}
+        select shard_id, count(*) as records, min(sequence_number) as first_sequence,
+               max(sequence_number) as last_sequence from recs group by 1""",
+    "stream_shardlog": f"""with {EV}
+        select event_id::varchar as event_id, service, t as timestamp, round(latency_ms, 6) as latency_ms from ev""",
+    "stream_progress": "select 'events_per_minute' as source, count(*) as input_rows, 0::bigint as late_rows from events",
+})
+SQL["stream_dedupe"] = SQL["dedupe"]
+SQL["stream_events_by_status"] = SQL["events_by_status"]
+
+# --- fields and evaluation
+
+LATENCY_MODEL = """model(service, mu, sigma) as (values
+  ('payment-gateway', 120.0::double, 30.0::double), ('user-auth', 40, 10), ('product-catalog', 25, 8),
+  ('order-management', 90, 20), ('inventory-sync', 60, 15), ('recommendation-engine', 200, 50),
+  ('search-service', 45, 12), ('notification-hub', 30, 8))"""
+REPORTED = f"""{EV}, {DROPS}, {EXACT_SPIKES},
+reported as (select service, window_start, window_end from drops
+             union all select service, window_start, window_end from spikes)"""
+IN_REPORT = """exists (select 1 from reported r where r.service = e.service
+                and e.t >= r.window_start and e.t < r.window_end)"""
+
+SQL.update({
+    "clock_drift": f"""with {EV}
+        select event_id % 5 as drift_ms, count(*) as event_count from ev group by 1""",
+    "client_versions": f"with {EV} select client, version, count(*) as event_count from ev group by all",
+    "unknown_services": f"""with {EV}
+        select case when event_id % 10 = 4 then 'unknown' else service end as service, count(*) as event_count
+        from ev group by 1""",
+    "clean_latencies": f"""with {EV}
+        select event_id::varchar as event_id, round(greatest(1.0::double, latency_ms / 3), 2) as latency_ms from ev""",
+    "server_errors": f"""with {EV}
+        select service, event_type, status_code, count(*) as event_count from ev where status_code >= 500 group by all""",
+    "baseline_zscore": f"""with {EV}, {LATENCY_MODEL}
+        select event_id::varchar as event_id, service, coalesce(mu, 50) as mu, coalesce(sigma, 15) as sigma,
+               round((latency_ms - coalesce(mu, 50)) / coalesce(sigma, 15), 6) as zscore
+        from ev left join model using (service)""",
+    "label_violations": f"""with {EV}
+        select 'normal_is_200' as rule, count(*) filter (where not is_anomaly and status_code <> 200) as violations from ev
+        union all select 'normal_has_no_type', count(*) filter (where not is_anomaly and anomaly_type is not null) from ev
+        union all select 'anomaly_has_type', count(*) filter (where is_anomaly and anomaly_type is null) from ev
+        union all select 'spike_is_slow', count(*) filter (where anomaly_type = 'latency_spike' and latency_ms <= 10) from ev
+        union all select 'burst_is_5xx', count(*) filter (where anomaly_type = 'error_burst' and status_code < 500) from ev
+        union all select 'burst_is_error_event',
+                         count(*) filter (where anomaly_type = 'error_burst' and event_type <> 'error') from ev""",
+    "label_hits": f"""with {REPORTED}
+        select event_id::varchar as event_id, service, t as timestamp, anomaly_type from ev e
+        where is_anomaly and {IN_REPORT}""",
+    "label_misses": f"""with {REPORTED}
+        select event_id::varchar as event_id, service, t as timestamp, anomaly_type from ev e
+        where is_anomaly and not {IN_REPORT}""",
+})

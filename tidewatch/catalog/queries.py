@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators import detectors, sessions, windows
-from tidewatch.session import naive, prepare
-from tidewatch.sources import tables
-from tidewatch.streaming.runner import stream_table
+from tidewatch.catalog import derived
+from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown
+from tidewatch.functions.text import matches_any
+from tidewatch.operators import detectors, lateness, matching, ordering, sessions, windows
+from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
+from tidewatch.schemas import INDEX_LATENCY_BOUNDS
+from tidewatch.session import materialise, naive, new_path, prepare
+from tidewatch.settings import Settings
+from tidewatch.sources import ingest, shardlog, tables
+from tidewatch.streaming.runner import latest_rows, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -71,8 +77,7 @@ def session_anomalies(spark, folder):
     return detectors.session_anomalies(tables.events(spark, folder, tables.SESSIONS))
 
 
-@query
-def anomaly_reports(spark, folder):
+def all_anomalies(spark, folder):
     ev = tables.events(spark, folder)
     return detectors.anomalies(
         detectors.throughput_drop(ev),
@@ -81,6 +86,21 @@ def anomaly_reports(spark, folder):
     )
 
 
+def stored_anomalies(spark, folder):
+    """Anomalies as a stored table, as reports read them."""
+    return materialise(all_anomalies(spark, folder), "anomalies")
+
+
+def window_anomalies(spark, folder):
+    ev = tables.events(spark, folder)
+    return detectors.anomalies(detectors.throughput_drop(ev), detectors.latency_spike(ev))
+
+
+@query
+def anomaly_reports(spark, folder):
+    return all_anomalies(spark, folder)
+
+
 # --- the same detectors on streams -------------------------------------------------------
 
 @query
@@ -102,3 +122,422 @@ def stream_latency_spike_grid(spark, folder):
 def stream_sessions(spark, folder):
     ev = tables.event_stream(spark, folder, tables.SESSIONS)
     return stream_table(sessions.sessions(ev), "sessions")
+
+
+@query
+def stream_tumbling_stats(spark, folder):
+    return stream_table(windows.tumbling_stats(tables.event_stream(spark, folder), 60), "stats")
+
+
+@query
+def stream_events_by_status(spark, folder):
+    """Running totals: the latest state of each counter."""
+    totals = metrics.events_by_status(tables.event_stream(spark, folder))
+    return latest_rows(totals, ["service", "status"], "status")
+
+
+@query
+def stream_dedupe(spark, folder):
+    ev = ingest.dedupe(derived.with_copies(tables.event_stream(spark, folder)))
+    return stream_table(ev.select("event_id", "service", "timestamp"), "unique")
+
+
+@query
+def stream_progress(spark, folder):
+    """Rows read per source, from the progress of a finished stream."""
+    progress = stream_progress_table(spark, folder)
+    return progress.groupBy("source").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
+def stream_progress_table(spark, folder):
+    from tidewatch.streaming.progress import progress_table
+    from tidewatch.streaming.runner import run_to_end
+
+    counts = windows.events_per_window(tables.event_stream(spark, folder), 60, ["service"])
+    path = new_path(spark, "progress")
+    return progress_table(run_to_end(counts, f"{path}/rows", f"{path}/checkpoint", name="events_per_minute"))
+
+
+# --- dashboards and searches --------------------------------------------------------------
+
+@query
+def events_per_second(spark, folder):
+    return dashboards.events_per_second(tables.events(spark, folder))
+
+
+@query
+def event_rate(spark, folder):
+    return dashboards.event_rate(tables.events(spark, folder))
+
+
+@query
+def anomaly_counts(spark, folder):
+    return dashboards.anomaly_counts(all_anomalies(spark, folder))
+
+
+@query
+def p99_by_service(spark, folder):
+    return dashboards.p99_by_service(tables.events(spark, folder))
+
+
+@query
+def error_rate(spark, folder):
+    return dashboards.error_rate(tables.events(spark, folder))
+
+
+@query
+def heatmap(spark, folder):
+    return dashboards.heatmap(tables.events(spark, folder))
+
+
+@query
+def heatmap_grid(spark, folder):
+    return dashboards.heatmap_grid(tables.events(spark, folder))
+
+
+@query
+def active_anomalies(spark, folder):
+    as_of = dashboards.latest(tables.events(spark, folder))
+    return dashboards.active_anomalies(window_anomalies(spark, folder), as_of)
+
+
+@query
+def summary_table(spark, folder):
+    return dashboards.summary_table(reports.report_docs(stored_anomalies(spark, folder)))
+
+
+@query
+def recent_events(spark, folder):
+    ev = tables.events(spark, folder, tables.SESSIONS)
+    hour = dashboards.last_hour(ev, dashboards.latest(ev))
+    return dashboards.event_search(hour).orderBy(F.desc("timestamp"), "event_id")
+
+
+@query
+def recent_page(spark, folder):
+    """Second page of ten of the newest events."""
+    found = dashboards.event_search(tables.events(spark, folder))
+    return ordering.page(found, [F.desc("timestamp"), F.col("event_id")], 2, 10)
+
+
+@query
+def filtered_events(spark, folder):
+    ev = tables.events(spark, folder)
+    return dashboards.event_search(ev, "service = 'payment-gateway' and latency_ms > 200")
+
+
+@query
+def top_services(spark, folder):
+    counts = tables.events(spark, folder).groupBy("region", "service").agg(F.count(F.lit(1)).alias("event_count"))
+    return ordering.top_k(counts, ["region"], [F.desc("event_count"), F.col("service")], 3)
+
+
+@query
+def summaries(spark, folder):
+    """Saved search over the summaries, newest first."""
+    docs = reports.report_docs(stored_anomalies(spark, folder))
+    return dashboards.summary_search(docs).orderBy(F.desc("generated_at"))
+
+
+@query
+def summary_keywords(spark, folder):
+    docs = reports.report_docs(stored_anomalies(spark, folder))
+    return dashboards.summary_search(docs, matches_any(F.col("summary"), "the outage or partition"))
+
+
+# --- metrics, lag, scaling, alerts ----------------------------------------------------------
+
+@query
+def events_by_status(spark, folder):
+    return metrics.events_by_status(tables.events(spark, folder))
+
+
+@query
+def summaries_by_model(spark, folder):
+    return metrics.summaries_by_model(reports.report_docs(stored_anomalies(spark, folder)))
+
+
+@query
+def latency_histogram(spark, folder):
+    return metrics.histogram(tables.events(spark, folder), "service")
+
+
+@query
+def index_latency_histogram(spark, folder):
+    writes = tables.events(spark, folder).withColumn("index_pattern", F.concat(F.lit("events-"), "event_type"))
+    return metrics.histogram(writes, "index_pattern", bounds=INDEX_LATENCY_BOUNDS)
+
+
+@query
+def metric_points(spark, folder):
+    found = stored_anomalies(spark, folder)
+    docs = reports.report_docs(found)
+    space = "StreamingAnalytics"
+    points = (
+        metrics.metric_points(space, "EventLatencyMs", tables.events(spark, folder), "latency_ms",
+                              ["service"], "Milliseconds")
+        .unionByName(metrics.metric_points(space, "AnomaliesDetected", found, F.lit(1.0),
+                                           ["service", "anomaly_type"]))
+        .unionByName(metrics.metric_points(space, "LLMSummariesGenerated", docs, F.lit(1.0), ["model"]))
+    )
+    return points.withColumn("dimensions", F.to_json("dimensions"))
+
+
+@query
+def delivery_rate(spark, folder):
+    return metrics.delivery_rate(derived.delivery_reports(tables.events(spark, folder)))
+
+
+@query
+def delivery_total(spark, folder):
+    return metrics.delivery_total(derived.delivery_reports(tables.events(spark, folder)))
+
+
+@query
+def consumer_lag(spark, folder):
+    ev = tables.events(spark, folder)
+    return metrics.consumer_lag(derived.offsets(ev), derived.commits(ev))
+
+
+@query
+def lag_alerts(spark, folder):
+    ev = tables.events(spark, folder)
+    return metrics.lag_alerts(metrics.consumer_lag(derived.offsets(ev), derived.commits(ev)))
+
+
+@query
+def lag_alerts_low(spark, folder):
+    ev = tables.events(spark, folder)
+    lag = metrics.consumer_lag(derived.offsets(ev), derived.commits(ev))
+    return metrics.lag_alerts(lag, Settings(lag_alert=20))
+
+
+@query
+def last_offset_gauge(spark, folder):
+    """The last committed offset per partition, as a gauge shows it."""
+    ev = tables.events(spark, folder)
+    return metrics.last_value(derived.commits(ev), ["topic", "partition"], "offset", "timestamp")
+
+
+@query
+def shard_lag(spark, folder):
+    return metrics.shard_lag(derived.reads(tables.events(spark, folder)))
+
+
+@query
+def anomaly_rate(spark, folder):
+    return metrics.anomaly_rate(tables.events(spark, folder))
+
+
+@query
+def anomaly_rate_alerts(spark, folder):
+    return metrics.anomaly_rate_alerts(tables.events(spark, folder))
+
+
+@query
+def anomaly_rate_alerts_high(spark, folder):
+    return metrics.anomaly_rate_alerts(tables.events(spark, folder), Settings(anomaly_rate_alert=0.22))
+
+
+@query
+def shard_active(spark, folder):
+    return scaling.active_shards(derived.shard_list(tables.events(spark, folder)))
+
+
+@query
+def shard_diff(spark, folder):
+    ev = tables.events(spark, folder)
+    return scaling.shard_diff(scaling.active_shards(derived.shard_list(ev)), derived.consumers(ev))
+
+
+@query
+def consumer_heartbeat(spark, folder):
+    return scaling.consumer_heartbeat(derived.surges(tables.events(spark, folder)))
+
+
+@query
+def scale_advice(spark, folder):
+    records = derived.surges(tables.events(spark, folder))
+    return scaling.scale_advice(scaling.utilisation(records, derived.peak_per_minute(records)))
+
+
+# --- transport ------------------------------------------------------------------------------
+
+@query
+def decode_quarantine(spark, folder):
+    decoded = ingest.decode(derived.messages(tables.events(spark, folder)))
+    return ingest.rejected(decoded).groupBy("key", "reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query
+def strict_gate(spark, folder):
+    decoded = ingest.decode(derived.messages(tables.events(spark, folder)))
+    return decoded.where("reason = 'unknown_field'").select(F.col("event.event_id").alias("event_id"), "reason")
+
+
+@query
+def required_fields(spark, folder):
+    decoded = ingest.decode(derived.messages(tables.events(spark, folder)))
+    return evaluation.required_violations(ingest.accepted(decoded))
+
+
+@query
+def json_round_trip(spark, folder):
+    back = ingest.accepted(ingest.decode(ingest.encode(tables.events(spark, folder))))
+    return back.select("*", "metadata.client", "metadata.version").drop("metadata")
+
+
+@query
+def dedupe(spark, folder):
+    ev = ingest.dedupe(derived.with_copies(tables.events(spark, folder)))
+    return ev.select("event_id", "service", "timestamp")
+
+
+@query
+def late_rows(spark, folder):
+    marked = lateness.mark_late(derived.with_arrival(tables.events(spark, folder)), 10, 60)
+    return marked.groupBy("service", "window_start").agg(
+        F.count_if(~F.col("is_late")).alias("kept"), F.count_if("is_late").alias("late"))
+
+
+def _resume(spark, folder, position):
+    ev = tables.events(spark, folder)
+    at = F.lit("2024-01-01 00:20:00").cast("timestamp")
+    todo = ingest.after_checkpoint(derived.shard_records(ev), derived.checkpoints(ev), position, at)
+    return todo.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("records"), F.min("sequence_number").alias("first_sequence"),
+        F.max("sequence_number").alias("last_sequence"))
+
+
+@query
+def shard_resume(spark, folder):
+    return _resume(spark, folder, "TRIM_HORIZON")
+
+
+@query
+def shard_resume_latest(spark, folder):
+    return _resume(spark, folder, "LATEST")
+
+
+@query
+def shard_resume_at_time(spark, folder):
+    return _resume(spark, folder, "AT_TIMESTAMP")
+
+
+def _shard_log(spark, folder):
+    """The events as a sharded log in the shared folder."""
+    ev = tables.events(spark, folder)
+    records = ev.select(
+        F.expr(f"concat('shard-', {derived.NUMBER} % 6)").alias("shard_id"),
+        F.expr(f"{derived.NUMBER} div 6").alias("sequence_number"),
+        ingest.to_wire(F.struct(*ev.columns)).alias("data"),
+        F.col("timestamp").alias("arrival"))
+    path = new_path(spark, "shards")
+    shardlog.write_log(records, path)
+    shardlog.register(spark)
+    return path
+
+
+@query
+def shardlog_scan(spark, folder):
+    log = spark.read.format("shardlog").option("path", _shard_log(spark, folder)).load()
+    return log.groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("records"), F.min("sequence_number").alias("first_sequence"),
+        F.max("sequence_number").alias("last_sequence"))
+
+
+@query
+def stream_shardlog(spark, folder):
+    """Events read back from a sharded log as a stream, decoded and stored."""
+    log = spark.readStream.format("shardlog").option("path", _shard_log(spark, folder)).load()
+    ev = ingest.accepted(ingest.decode(log, "data"))
+    return stream_table(ev.select("event_id", "service", "timestamp", "latency_ms"), "shard-events")
+
+
+# --- fields ---------------------------------------------------------------------------------
+
+@query
+def clock_drift(spark, folder):
+    ev = tables.events(spark, folder).withColumn("epoch_ms", F.expr(f"epoch_ms - {derived.NUMBER} % 5"))
+    return ev.groupBy(clock_drift_ms().alias("drift_ms")).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@query
+def client_versions(spark, folder):
+    return tables.events(spark, folder).groupBy("metadata.client", "metadata.version").agg(
+        F.count(F.lit(1)).alias("event_count"))
+
+
+@query
+def unknown_services(spark, folder):
+    ev = tables.events(spark, folder).withColumn("service", F.expr(f"if({derived.NUMBER} % 10 = 4, null, service)"))
+    return ev.groupBy(or_unknown("service").alias("service")).agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@query
+def clean_latencies(spark, folder):
+    return tables.events(spark, folder).select("event_id", clean_latency(F.col("latency_ms") / 3).alias("latency_ms"))
+
+
+@query
+def server_errors(spark, folder):
+    return tables.events(spark, folder).where(is_server_error()).groupBy(
+        "service", "event_type", "status_code").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+# --- evaluation -----------------------------------------------------------------------------
+
+@query
+def baseline_zscore(spark, folder):
+    return matching.with_baseline(tables.events(spark, folder)).select("event_id", "service", "mu", "sigma", "zscore")
+
+
+@query
+def label_violations(spark, folder):
+    return evaluation.label_violations(tables.events(spark, folder))
+
+
+def _labelled(spark, folder, inside):
+    ev = tables.events(spark, folder).where("is_anomaly")
+    found = materialise(window_anomalies(spark, folder), "windows")
+    return matching.in_windows(ev, found, inside).select("event_id", "service", "timestamp", "anomaly_type")
+
+
+@query
+def label_hits(spark, folder):
+    return _labelled(spark, folder, True)
+
+
+@query
+def label_misses(spark, folder):
+    return _labelled(spark, folder, False)
+
+
+# --- reports --------------------------------------------------------------------------------
+
+@query
+def report_batches(spark, folder):
+    return reports.report_batches(stored_anomalies(spark, folder)).select(
+        "batch_window", "batch_no", "position", "service", "anomaly_type", "window_start", "session_key")
+
+
+@query
+def batch_prompts(spark, folder):
+    return reports.batch_prompts(reports.report_batches(stored_anomalies(spark, folder))).drop("detected_at")
+
+
+@query
+def report_docs(spark, folder):
+    return reports.report_docs(stored_anomalies(spark, folder))
+
+
+@query
+def missed_events(spark, folder):
+    return reports.missed_events(all_anomalies(spark, folder))
+
+
+@query
+def prior_incidents(spark, folder):
+    return reports.prior_incidents(stored_anomalies(spark, folder)).select(
+        "service", "anomaly_type", "window_start", "session_key", "detected_at", "prior_count")

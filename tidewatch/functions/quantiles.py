@@ -3,7 +3,7 @@
 Three forms, all starting from a count per distinct value, which combines
 inside map tasks before anything is shuffled:
 
-* ``quantile``: exact, for fixed windows.
+* ``with_rank`` + ``quantile_at`` (tables) or ``quantile`` (streams): exact, for fixed windows.
 * ``sliding_quantile``: exact, for sliding windows. A coarse histogram finds the
   one or two value buckets that hold the wanted rank; only values of those
   buckets are copied into the overlapping windows.
@@ -42,10 +42,31 @@ def value_counts(df: DataFrame, keys: list, value: Column, name: str = "value")
 
 
 def quantile(value: str | Column, q: float, n: str | Column = "n") -> Column:
-    """Exact interpolated quantile over value counts; state is one entry per distinct value."""
+    """Exact interpolated quantile over value counts; state is one entry per distinct value.
+
+    The form for streams. Tables use ``with_rank`` and ``quantile_at``, which
+    order the counts in a spilling sort instead of holding them in memory.
+    """
     return F.percentile(value, F.lit(q), F.col(n) if isinstance(n, str) else n)
 
 
+def with_rank(counts: DataFrame, keys: list, value: str = "value", n: str = "n") -> DataFrame:
+    """Adds ``upto`` (events of the group up to this value) and ``total``; null values have no rank."""
+    weight = F.when(F.col(value).isNotNull(), F.col(n)).otherwise(0)
+    group = W.partitionBy(*keys)
+    upto = F.sum(weight).over(group.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
+    return counts.withColumn("upto", upto).withColumn("total", F.sum(weight).over(group))
+
+
+def quantile_at(q: float, value: str = "value") -> Column:
+    """Aggregate over ranked counts: the exact interpolated quantile of a group."""
+    v, last = F.col(value), F.col("total") - 1
+    low = F.min(F.when(F.col("upto") > F.floor(F.lit(q) * last), v))
+    high = F.min(F.when(F.col("upto") > F.ceil(F.lit(q) * last), v))
+    rank = F.lit(q) * (F.max("total") - 1)
+    return low + (high - low) * (rank - F.floor(rank))
+
+
 def sliding_quantile(counts: DataFrame, keys: list[str], panes: int, q: float) -> DataFrame:
     """Exact quantile of every window of ``panes`` consecutive panes.
 
@@ -83,11 +104,4 @@ def sliding_quantile(counts: DataFrame, keys: list[str], panes: int, q: float) -
         *group, "value", "total",
         (F.min("before").over(W.partitionBy(*group)) + F.sum("n").over(by_value)).alias("upto"),
     )
-    low = F.min(F.when(F.col("upto") > F.floor(rank), F.col("value")))
-    high = F.min(F.when(F.col("upto") > F.ceil(rank), F.col("value")))
-    part = F.lit(q) * (F.col("total") - 1)
-    return (
-        ranked.groupBy(*group, "total").agg(low.alias("low"), high.alias("high"))
-        .select(*group, "total",
-                (F.col("low") + (F.col("high") - F.col("low")) * (part - F.floor(part))).alias("quantile"))
-    )
+    return ranked.groupBy(*group).agg(F.max("total").alias("total"), quantile_at(q).alias("quantile"))

@@ -80,10 +80,7 @@ def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact"
     """
     if method not in ("exact", "grid"):
         raise ValueError(f"unknown method: {method}")
-    if method == "exact" and not ev.isStreaming:
-        pairs = _spike_pairs_table(ev, cfg)
-    else:
-        pairs = _spike_pairs_panes(ev, cfg, method == "grid")
+    pairs = (_spike_pairs_stream if ev.isStreaming else _spike_pairs_table)(ev, cfg, method == "grid")
     p99, base = F.col("p99_latency_ms"), F.col("baseline_p99")
     found = pairs.where(
         (F.col("event_count") >= cfg.spike_min_events) & (F.col("base_count") >= cfg.spike_min_events)
@@ -100,9 +97,9 @@ def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact"
     )
 
 
-def _spike_pairs_table(ev: DataFrame, cfg: Settings) -> DataFrame:
+def _spike_pairs_table(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame:
     """Every sliding window is measured once, then offered as current and as baseline."""
-    stats = sliding_p99(ev, cfg)
+    stats = sliding_p99(ev, cfg, on_grid)
     width = interval(cfg.sliding_s)
     roles = F.array(
         F.struct(F.lit(True).alias("current"), F.col("window_end").alias("window_end")),
@@ -118,7 +115,7 @@ def _spike_pairs_table(ev: DataFrame, cfg: Settings) -> DataFrame:
     )
 
 
-def _spike_pairs_panes(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame:
+def _spike_pairs_stream(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame:
     """Chained windows: value counts per pane, merged into double-width windows."""
     width = cfg.sliding_s
     value = grid(F.col("latency_ms")) if on_grid else F.col("latency_ms")

@@ -1,0 +1,37 @@
+"""Which rows a stream with a watermark would drop, computed on a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from tidewatch.functions.events import interval, pane_index, pane_time, whole
+from tidewatch.settings import DEFAULTS, Settings
+
+
+def mark_late(records: DataFrame, batch_s: int, window_s: int, cfg: Settings = DEFAULTS) -> DataFrame:
+    """Adds ``window_start`` and ``is_late``.
+
+    Rows arrive in micro-batches of ``batch_s`` seconds of ``arrival``. The watermark of a
+    batch is the highest event time of all earlier batches minus the delay. A row is
+    late when its window had ended by then. The running maximum works on batches
+    of an hour and on hours, never on rows.
+    """
+    records = records.withColumn("batch", pane_index("arrival", batch_s))
+    per_hour = 3600 // batch_s
+    batches = records.groupBy("batch").agg(F.max("timestamp").alias("top")).withColumn(
+        "hour", whole(F.col("batch"), per_hour))
+    hours = batches.groupBy("hour").agg(F.max("top").alias("top"))
+    past = W.orderBy("hour").rowsBetween(W.unboundedPreceding, -1)  # one row per hour of data
+    hours = hours.select("hour", F.max("top").over(past).alias("before_hour"))
+    inside = W.partitionBy("hour").orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
+    marks = batches.withColumn("before", F.max("top").over(inside)).join(hours, "hour").select(
+        "batch", (F.greatest("before", "before_hour") - interval(cfg.watermark_s)).alias("watermark"))
+    window = pane_index("timestamp", window_s)
+    return (
+        records.join(marks, "batch")
+        .withColumn("window_start", pane_time(window, window_s))
+        .withColumn("is_late", F.coalesce(pane_time(window + 1, window_s) <= F.col("watermark"), F.lit(False)))
+        .drop("batch", "watermark")
+    )

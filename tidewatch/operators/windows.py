@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from tidewatch.functions.events import (
     hundredths, interval, is_server_error, mean_of_hundredths, pane_index, pane_time,
 )
-from tidewatch.functions.quantiles import quantile, sliding_quantile, value_counts
+from tidewatch.functions.quantiles import (
+    grid, grid_value, quantile, quantile_at, sliding_quantile, value_counts, with_rank,
+)
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 
@@ -29,29 +31,40 @@ def only_closed(windows: DataFrame, ev: DataFrame, end: Column, cfg: Settings =
 
 def tumbling_stats(ev: DataFrame, width_s: int, q: float = 0.99) -> DataFrame:
     """Count, errors, mean and p99 latency per service and window."""
-    per_value = ev.groupBy(
-        "service", F.window("timestamp", seconds(width_s)).alias("w"), "latency_ms"
+    keys = ["service", "w"]
+    counts = ev.groupBy(
+        "service", F.window("timestamp", seconds(width_s)).alias("w"), F.col("latency_ms").alias("value")
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_server_error()).alias("errors"))
-    timed = F.when(F.col("latency_ms").isNotNull(), F.col("n"))
+    if ev.isStreaming:  # a second window level, as streams take no ranking
+        counts = counts.select("service", "value", "n", "errors", F.window_time("w").alias("t"))
+        counts = counts.withColumn("w", F.window("t", seconds(width_s)))
+        p99 = quantile("value", q)
+    else:
+        counts = with_rank(counts, keys)
+        p99 = quantile_at(q)
+    timed = F.when(F.col("value").isNotNull(), F.col("n"))
     return (
-        per_value.groupBy("service", "w")
+        counts.groupBy(*keys)
         .agg(
             F.sum("n").alias("event_count"),
             F.sum("errors").alias("error_count"),
-            mean_of_hundredths(F.sum(hundredths() * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
-            quantile("latency_ms", q).alias("p99_latency_ms"),
+            mean_of_hundredths(F.sum(hundredths("value") * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
+            p99.alias("p99_latency_ms"),
         )
         .select("service", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 "event_count", "error_count", "avg_latency_ms", "p99_latency_ms")
     )
 
 
-def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Exact p99 latency per service and sliding window, complete or not."""
+def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False) -> DataFrame:
+    """p99 latency per service and sliding window, complete or not; exact, or within 1 % on the grid."""
     panes = cfg.sliding_s // cfg.slide_s
+    latency = F.col("latency_ms")
     counts = value_counts(
-        ev, ["service", pane_index("timestamp", cfg.slide_s).alias("pane")], F.col("latency_ms")
+        ev, ["service", pane_index("timestamp", cfg.slide_s).alias("pane")], grid(latency) if on_grid else latency
     )
+    if on_grid:
+        counts = counts.withColumn("value", grid_value(F.col("value")))
     return sliding_quantile(counts, ["service"], panes, 0.99).select(
         "service",
         pane_time("win", cfg.slide_s).alias("window_start"),

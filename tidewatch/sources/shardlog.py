@@ -1,0 +1,210 @@
+"""Sharded log as a Spark data source (batch and stream).
+
+``spark.read.format("shardlog")`` and ``spark.readStream.format("shardlog")`` give
+``shard_id, sequence_number, data, arrival``. A stream's offset is the last sequence
+number per shard; reading resumes after it.
+
+A log is a folder of parquet files ``shard_id=<id>/block=<n>/``, where a block
+holds a fixed range of sequence numbers. Each task reads one block of one shard, so
+a shard with most of the records is read by many tasks. A different service
+plugs in by giving ``ShardLog`` an object with the methods of ``ShardFiles``.
+"""
+
+from __future__ import annotations
+
+import sys
+from collections.abc import Iterator
+
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+SCHEMA = "shard_id string, sequence_number bigint, data string, arrival timestamp"
+BLOCK = 100_000
+
+
+def write_log(records: DataFrame, path: str, block: int = BLOCK) -> None:
+    """Append records (``shard_id, sequence_number, data, arrival``) to a log folder."""
+    blocked = records.withColumn("block", F.call_function("div", F.col("sequence_number"), F.lit(block)))
+    # one write task per block keeps the largest shard spread over tasks
+    (blocked.repartition("shard_id", "block").sortWithinPartitions("shard_id", "block", "sequence_number")
+     .write.mode("append").partitionBy("shard_id", "block").parquet(path))
+
+
+class ShardFiles:
+    """Reads a log folder. Only names and parquet footers are read to plan; rows are read in tasks."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def _fs(self):
+        from pyarrow import fs
+
+        if "://" in self.path or self.path.startswith("file:"):
+            return fs.FileSystem.from_uri(self.path)
+        return fs.LocalFileSystem(), self.path
+
+    def blocks(self) -> dict[str, dict[int, list[str]]]:
+        """Files per shard and block."""
+        from pyarrow import fs
+
+        system, root = self._fs()
+        found: dict[str, dict[int, list[str]]] = {}
+        for item in system.get_file_info(fs.FileSelector(root, recursive=True)):
+            if not item.path.endswith(".parquet"):
+                continue
+            parts = dict(p.split("=", 1) for p in item.path.split("/") if "=" in p)
+            found.setdefault(parts["shard_id"], {}).setdefault(int(parts["block"]), []).append(item.path)
+        return found
+
+    def _range(self, path: str, column: str) -> tuple:
+        import pyarrow.parquet as pq
+
+        system, _ = self._fs()
+        with system.open_input_file(path) as f:
+            meta = pq.ParquetFile(f).metadata
+        at = meta.schema.to_arrow_schema().names.index(column)
+        stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        return min(s.min for s in stats), max(s.max for s in stats)
+
+    def first_before(self) -> dict[str, int]:
+        """Per shard, the number just before its first record."""
+        return {s: min(self._range(f, "sequence_number")[0] for f in b[min(b)]) - 1
+                for s, b in self.blocks().items()}
+
+    def last(self) -> dict[str, int]:
+        return {s: max(self._range(f, "sequence_number")[1] for f in b[max(b)]) for s, b in self.blocks().items()}
+
+    def before_time(self, when) -> dict[str, int]:
+        """Per shard, the last number that arrived before ``when``; reads one block of each shard at most."""
+        import pyarrow.compute as pc
+
+        result = self.first_before()
+        for shard, blocks in self.blocks().items():
+            for n in sorted(blocks):
+                files = blocks[n]
+                if max(self._range(f, "arrival")[1] for f in files) < when:
+                    result[shard] = max(self._range(f, "sequence_number")[1] for f in files)
+                    continue
+                for rows in self.read(files, -1, None, 65_536):
+                    old = rows.filter(pc.less(rows["arrival"], when))["sequence_number"]
+                    if len(old):
+                        result[shard] = max(result[shard], pc.max(old).as_py())
+                break
+        return result
+
+    def read(self, files: list[str], after: int, upto: int | None, limit: int) -> Iterator:
+        """Record batches of at most ``limit`` rows with ``after < sequence_number <= upto``."""
+        import pyarrow.compute as pc
+        import pyarrow.parquet as pq
+
+        system, _ = self._fs()
+        for path in files:
+            with system.open_input_file(path) as f:
+                for rows in pq.ParquetFile(f).iter_batches(limit, columns=["sequence_number", "data", "arrival"]):
+                    keep = pc.greater(rows["sequence_number"], after)
+                    if upto is not None:
+                        keep = pc.and_(keep, pc.less_equal(rows["sequence_number"], upto))
+                    yield rows.filter(keep)
+
+
+class Slice(InputPartition):
+    """Part of one shard's block."""
+
+    def __init__(self, shard: str, files: list[str], after: int, upto: int):
+        self.shard, self.files, self.after, self.upto = shard, files, after, upto
+
+
+class _Reading:
+    def __init__(self, log: ShardFiles, options: dict):
+        self.log = log
+        self.position = options.get("position", "TRIM_HORIZON")
+        self.at = options.get("at")
+        self.page = int(options.get("maxRecordsPerRead", "65536"))
+        self.block = int(options.get("block", str(BLOCK)))
+        self.cap = int(options.get("maxRecordsPerShard", "0"))
+        if self.position not in ("TRIM_HORIZON", "LATEST", "AT_TIMESTAMP"):
+            raise ValueError(f"unknown position: {self.position}")
+
+    def start(self) -> dict[str, int]:
+        if self.position == "LATEST":
+            return self.log.last()
+        if self.position == "AT_TIMESTAMP":
+            from datetime import datetime
+
+            return self.log.before_time(datetime.fromisoformat(self.at))
+        return self.log.first_before()
+
+    def slices(self, start: dict, end: dict) -> list[Slice]:
+        out = []
+        for shard, blocks in self.log.blocks().items():
+            after, upto = start.get(shard, -1), end.get(shard, -1)
+            for n, files in sorted(blocks.items()):
+                if n * self.block <= upto and (n + 1) * self.block > after + 1:
+                    out.append(Slice(shard, sorted(files), after, upto))
+        return out
+
+    def read(self, part: Slice) -> Iterator:
+        import pyarrow as pa
+
+        for rows in self.log.read(part.files, part.after, part.upto, self.page):
+            if rows.num_rows:
+                arrival = rows["arrival"].cast(pa.timestamp("us", "UTC"))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.shard] * rows.num_rows, pa.string()), rows["sequence_number"], rows["data"],
+                     arrival], ["shard_id", "sequence_number", "data", "arrival"])
+
+
+class ShardTable(_Reading, DataSourceReader):
+    def partitions(self):
+        return self.slices(self.start(), self.log.last())
+
+
+class ShardStream(_Reading, DataSourceStreamReader):
+    """Offsets are ``{shard: last sequence number}``.
+
+    ``maxRecordsPerShard`` limits how far a shard advances per batch. The first batch after a
+    restart is not limited, since the reader learns its position from that batch; its
+    tasks are still one block each.
+    """
+
+    seen: dict | None = None
+
+    def initialOffset(self) -> dict:
+        self.seen = self.start()
+        return self.seen
+
+    def latestOffset(self) -> dict:
+        last = self.log.last()
+        if not self.cap or self.seen is None:
+            return last
+        return {s: min(n, self.seen.get(s, -1) + self.cap) for s, n in last.items()}
+
+    def partitions(self, start: dict, end: dict):
+        self.seen = {**start, **end}
+        return self.slices(start, end)
+
+
+class ShardLog(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "shardlog"
+
+    def schema(self) -> str:
+        return SCHEMA
+
+    def log(self) -> ShardFiles:
+        return ShardFiles(self.options["path"])
+
+    def reader(self, schema) -> ShardTable:
+        return ShardTable(self.log(), self.options)
+
+    def streamReader(self, schema) -> ShardStream:
+        return ShardStream(self.log(), self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Make the format known; the module travels by value, so executors need no copy of it."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(ShardLog)

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.functions.events import whole
 from tidewatch.schemas import CLIENTS, ERROR_CODES, REGIONS, SERVICES
 
 RAW_SCHEMA = (
@@ -27,8 +25,8 @@ def raw_event_stream(spark: SparkSession, folder: str, files_per_trigger: int =
     )
 
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list, index: str) -> str:
+    return f"element_at(array({', '.join(repr(v) for v in values)}), cast({index} as int) + 1)"
 
 
 def conform(raw: DataFrame, factor: int) -> DataFrame:
@@ -37,34 +35,28 @@ def conform(raw: DataFrame, factor: int) -> DataFrame:
     Works on tables and streams alike; only column expressions, so unused
     fields (the JSON ``props`` among them) are never computed.
     """
-    since = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(BASE_US)
-    event_us = F.lit(BASE_US) + whole(since, factor)
-    k = F.get_json_object("props", "$.k").cast("int")
-    index = F.col("user_id") % 8
-    minute = whole(since, WINDOWS * 60_000_000)
-    error = F.col("event_type") == "error"
-
-    slow = (index == 3) & minute.between(14, 16)
-    lost = (index == 5) & minute.isin(9, 20) & (F.col("event_id") % 10 < 8)
-    time = F.timestamp_micros(event_us)
-    return raw.where(~lost).select(
-        F.col("event_id").cast("string").alias("event_id"),
-        time.alias("timestamp"),
-        whole(event_us, 1000).alias("epoch_ms"),
-        _pick(SERVICES, index).alias("service"),
+    since = f"(unix_micros(cast(ts as timestamp)) - {BASE_US})"
+    event_us = f"({BASE_US} + {since} div {factor})"
+    minute = f"({since} div {WINDOWS * 60_000_000})"
+    k = "cast(get_json_object(props, '$.k') as int)"
+    index = "(user_id % 8)"
+    slow = f"({index} = 3 and {minute} between 14 and 16)"
+    return raw.where(f"not ({index} = 5 and {minute} in (9, 20) and event_id % 10 < 8)").selectExpr(
+        "cast(event_id as string) as event_id",
+        f"timestamp_micros({event_us}) as timestamp",
+        f"{event_us} div 1000 as epoch_ms",
+        f"{_pick(SERVICES, index)} as service",
         "event_type",
-        _pick(REGIONS, k % 4).alias("region"),
-        F.concat(F.lit("user_"), "user_id").alias("user_id"),
-        F.concat(F.lit("sess_"), "user_id").alias("session_id"),
-        F.when(slow, F.col("value") * 8).otherwise(F.col("value")).alias("latency_ms"),
-        F.when(error, _pick(ERROR_CODES, k % 4)).otherwise(200).alias("status_code"),
-        (slow | error).alias("is_anomaly"),
-        F.when(slow, "latency_spike").when(error, "error_burst").alias("anomaly_type"),
-        (200 + F.col("event_id") * 7919 % 7993).cast("int").alias("payload_bytes"),
-        F.struct(
-            _pick(CLIENTS, F.col("event_id") % 4).alias("client"),
-            F.format_string("v%d.%d.%d", 1 + k % 5, k % 10, F.col("event_id") % 10).alias("version"),
-        ).alias("metadata"),
+        f"{_pick(REGIONS, f'({k} % 4)')} as region",
+        "concat('user_', user_id) as user_id",
+        "concat('sess_', user_id) as session_id",
+        f"if({slow}, value * 8, value) as latency_ms",
+        f"if(event_type = 'error', {_pick(ERROR_CODES, f'({k} % 4)')}, 200) as status_code",
+        f"{slow} or event_type = 'error' as is_anomaly",
+        f"case when {slow} then 'latency_spike' when event_type = 'error' then 'error_burst' end as anomaly_type",
+        "cast(200 + event_id * 7919 % 7993 as int) as payload_bytes",
+        f"named_struct('client', {_pick(CLIENTS, '(event_id % 4)')}, 'version', "
+        f"concat('v', 1 + {k} % 5, '.', {k} % 10, '.', event_id % 10)) as metadata",
     )
 
 

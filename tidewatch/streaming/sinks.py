@@ -7,6 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewatch.plans.reports import report_docs
+from tidewatch.settings import DEFAULTS, Settings
+from tidewatch.sources.ingest import encode
 
 log = logging.getLogger(__name__)
 
@@ -24,3 +29,73 @@ def table_writer(path: str, partition_by: list[str] | None = None,
         out.parquet(f"{path}/batch_id={batch_id}")
 
     return write
+
+
+def event_writer(path: str) -> BatchHandler:
+    """Event store, split by event date so that time filters skip whole folders."""
+    write = table_writer(path, ["event_date"])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write(batch.withColumn("event_date", F.to_date("timestamp")), batch_id)
+
+    return handle
+
+
+def stored_events(spark, path: str, schema, since=None, until=None) -> DataFrame:
+    """The event store, with time bounds applied to the folders as well as to the rows."""
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])).parquet(path)
+    if since is not None:
+        df = df.where((F.col("event_date") >= F.to_date(F.lit(since))) & (F.col("timestamp") > F.lit(since)))
+    if until is not None:
+        df = df.where((F.col("event_date") <= F.to_date(F.lit(until))) & (F.col("timestamp") <= F.lit(until)))
+    return df.drop("event_date", "batch_id")
+
+
+def message_writer(options: dict[str, str], fmt: str = "kafka", key: str = "service") -> BatchHandler:
+    """Keyed JSON messages to a topic (or to any format that takes key and value)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        encode(batch, key).write.format(fmt).options(**options).mode("append").save()
+
+    return write
+
+
+def index_options(index: str, cfg: Settings = DEFAULTS, id_column: str | None = None) -> dict[str, str]:
+    """Options of a document-index connector: bulk requests of a fixed number of documents."""
+    options = {"es.resource": index, "es.batch.size.entries": str(cfg.bulk_size)}
+    if id_column:
+        options["es.mapping.id"] = id_column
+    return options
+
+
+def summary_writer(path: str, cfg: Settings = DEFAULTS) -> BatchHandler:
+    """Reports of a batch of anomalies. A failure is logged and the stream goes on."""
+    write = table_writer(path)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        try:
+            if not batch.isEmpty():
+                write(report_docs(batch, cfg), batch_id)
+        except Exception:
+            log.exception("summaries of batch %d were not stored", batch_id)
+
+    return handle
+
+
+def count_handler(batch: DataFrame, batch_id: int) -> None:
+    """Default handler: logs how many records arrived."""
+    log.info("batch %d: %d records", batch_id, batch.count())
+
+
+def each(*handlers: BatchHandler) -> BatchHandler:
+    """Several handlers on one batch, computed once."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for h in handlers:
+                h(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return handle
