@@ -10,7 +10,12 @@ from tidewatch.schemas import EVENT, REQUIRED
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 _CORRUPT = "_corrupt"
-_WIRE = T.StructType([*EVENT.fields, T.StructField(_CORRUPT, T.StringType())])
+_METADATA = EVENT["metadata"].dataType
+#: An event as sent: nested metadata stays text at first, so that it can be checked by itself.
+_WIRE = T.StructType([
+    *[T.StructField(f.name, T.StringType()) if f.name == "metadata" else f for f in EVENT],
+    T.StructField(_CORRUPT, T.StringType()),
+])
 #: ISO-8601 with microseconds and offset, so that times survive a round trip.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 POSITIONS = {"LATEST": "latest", "TRIM_HORIZON": "earliest"}
@@ -64,18 +69,24 @@ def decode(records: DataFrame, value: str = "value") -> DataFrame:
     ``metadata``), ``bad_value`` (a known field of the wrong type). Missing fields are
     accepted.
     """
-    text = F.col(value).cast("string")
-    out = records.withColumn("_text", text).withColumn(
-        "event", F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}))
-    keys = F.json_object_keys("_text")
-    inner = F.json_object_keys(F.get_json_object("_text", "$.metadata"))
-    metadata = [f.name for f in EVENT["metadata"].dataType]
+    parsed = F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    # A one-element generator parses each record once: filters on the outcome
+    # stay above it, where a plain column would be copied into every filter.
+    out = records.withColumn("_text", F.col(value).cast("string")).select(
+        "*", F.inline(F.array(F.struct(parsed.alias("_wire"), F.json_object_keys("_text").alias("_keys")))))
+    inner = F.json_object_keys("_wire.metadata")  # a short text, read once more for its own keys
     reason = (
-        F.when(keys.isNull(), "malformed")
-        .when(_unknown(keys, EVENT.names) | F.coalesce(_unknown(inner, metadata), F.lit(False)), "unknown_field")
-        .when(F.col(f"event.{_CORRUPT}").isNotNull(), "bad_value")
+        F.when(F.col("_keys").isNull(), "malformed")
+        .when(_unknown(F.col("_keys"), EVENT.names) | F.coalesce(_unknown(inner, _METADATA.names), F.lit(False)),
+              "unknown_field")
+        .when(F.col(f"_wire.{_CORRUPT}").isNotNull()
+              | (F.col("_wire.metadata").isNotNull() & inner.isNull()), "bad_value")
     )
-    return out.withColumn("reason", reason).drop("_text")
+    fields = [
+        (F.from_json("_wire.metadata", _METADATA) if c == "metadata" else F.col(f"_wire.{c}")).alias(c)
+        for c in EVENT.names
+    ]
+    return out.withColumns({"event": F.struct(*fields), "reason": reason}).drop("_text", "_wire", "_keys")
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

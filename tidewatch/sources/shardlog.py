@@ -12,6 +12,7 @@ plugs in by giving ``ShardLog`` an object with the methods of ``ShardFiles``.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
 
@@ -20,36 +21,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from tidewatch.functions.events import whole
+
 SCHEMA = "shard_id string, sequence_number bigint, data string, arrival timestamp"
 BLOCK = 100_000
 
 
 def write_log(records: DataFrame, path: str, block: int = BLOCK) -> None:
     """Append records (``shard_id, sequence_number, data, arrival``) to a log folder."""
-    blocked = records.withColumn("block", F.call_function("div", F.col("sequence_number"), F.lit(block)))
+    blocked = records.select(
+        "shard_id", whole(F.col("sequence_number"), block).alias("block"), "sequence_number", "data",
+        F.unix_micros("arrival").alias("arrival_us"))  # whole numbers carry file statistics
     # one write task per block keeps the largest shard spread over tasks
     (blocked.repartition("shard_id", "block").sortWithinPartitions("shard_id", "block", "sequence_number")
      .write.mode("append").partitionBy("shard_id", "block").parquet(path))
 
 
+def filesystem(path: str):
+    """Arrow's file system for a path or URI, and the path in it."""
+    from pyarrow import fs
+
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 class ShardFiles:
     """Reads a log folder. Only names and parquet footers are read to plan; rows are read in tasks."""
 
     def __init__(self, path: str):
         self.path = path
 
-    def _fs(self):
-        from pyarrow import fs
-
-        if "://" in self.path or self.path.startswith("file:"):
-            return fs.FileSystem.from_uri(self.path)
-        return fs.LocalFileSystem(), self.path
-
     def blocks(self) -> dict[str, dict[int, list[str]]]:
         """Files per shard and block."""
         from pyarrow import fs
 
-        system, root = self._fs()
+        system, root = filesystem(self.path)
         found: dict[str, dict[int, list[str]]] = {}
         for item in system.get_file_info(fs.FileSelector(root, recursive=True)):
             if not item.path.endswith(".parquet"):
@@ -61,7 +68,7 @@ class ShardFiles:
     def _range(self, path: str, column: str) -> tuple:
         import pyarrow.parquet as pq
 
-        system, _ = self._fs()
+        system, _ = filesystem(self.path)
         with system.open_input_file(path) as f:
             meta = pq.ParquetFile(f).metadata
         at = meta.schema.to_arrow_schema().names.index(column)
@@ -76,19 +83,19 @@ class ShardFiles:
     def last(self) -> dict[str, int]:
         return {s: max(self._range(f, "sequence_number")[1] for f in b[max(b)]) for s, b in self.blocks().items()}
 
-    def before_time(self, when) -> dict[str, int]:
-        """Per shard, the last number that arrived before ``when``; reads one block of each shard at most."""
+    def before_time(self, when_us: int) -> dict[str, int]:
+        """Per shard, the last number that arrived before the time; reads one block of each shard at most."""
         import pyarrow.compute as pc
 
         result = self.first_before()
         for shard, blocks in self.blocks().items():
             for n in sorted(blocks):
                 files = blocks[n]
-                if max(self._range(f, "arrival")[1] for f in files) < when:
+                if max(self._range(f, "arrival_us")[1] for f in files) < when_us:
                     result[shard] = max(self._range(f, "sequence_number")[1] for f in files)
                     continue
                 for rows in self.read(files, -1, None, 65_536):
-                    old = rows.filter(pc.less(rows["arrival"], when))["sequence_number"]
+                    old = rows.filter(pc.less(rows["arrival_us"], when_us))["sequence_number"]
                     if len(old):
                         result[shard] = max(result[shard], pc.max(old).as_py())
                 break
@@ -99,16 +106,25 @@ class ShardFiles:
         import pyarrow.compute as pc
         import pyarrow.parquet as pq
 
-        system, _ = self._fs()
+        system, _ = filesystem(self.path)
         for path in files:
             with system.open_input_file(path) as f:
-                for rows in pq.ParquetFile(f).iter_batches(limit, columns=["sequence_number", "data", "arrival"]):
+                for rows in pq.ParquetFile(f).iter_batches(limit, columns=["sequence_number", "data", "arrival_us"]):
                     keep = pc.greater(rows["sequence_number"], after)
                     if upto is not None:
                         keep = pc.and_(keep, pc.less_equal(rows["sequence_number"], upto))
                     yield rows.filter(keep)
 
 
+def micros(iso_time: str) -> int:
+    """Microseconds since the epoch; a time without offset is UTC."""
+    from datetime import datetime, timedelta, timezone
+
+    when = datetime.fromisoformat(iso_time)
+    when = when if when.tzinfo else when.replace(tzinfo=timezone.utc)
+    return (when - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 class Slice(InputPartition):
     """Part of one shard's block."""
 
@@ -123,7 +139,6 @@ class _Reading:
         self.at = options.get("at")
         self.page = int(options.get("maxRecordsPerRead", "65536"))
         self.block = int(options.get("block", str(BLOCK)))
-        self.cap = int(options.get("maxRecordsPerShard", "0"))
         if self.position not in ("TRIM_HORIZON", "LATEST", "AT_TIMESTAMP"):
             raise ValueError(f"unknown position: {self.position}")
 
@@ -131,9 +146,7 @@ class _Reading:
         if self.position == "LATEST":
             return self.log.last()
         if self.position == "AT_TIMESTAMP":
-            from datetime import datetime
-
-            return self.log.before_time(datetime.fromisoformat(self.at))
+            return self.log.before_time(micros(self.at))
         return self.log.first_before()
 
     def slices(self, start: dict, end: dict) -> list[Slice]:
@@ -145,12 +158,14 @@ class _Reading:
                     out.append(Slice(shard, sorted(files), after, upto))
         return out
 
-    def read(self, part: Slice) -> Iterator:
+    def read(self, part: Slice | None) -> Iterator:
         import pyarrow as pa
 
+        if part is None:  # Spark's stand-in for an empty plan
+            return
         for rows in self.log.read(part.files, part.after, part.upto, self.page):
             if rows.num_rows:
-                arrival = rows["arrival"].cast(pa.timestamp("us", "UTC"))
+                arrival = rows["arrival_us"].cast(pa.timestamp("us", "UTC"))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([part.shard] * rows.num_rows, pa.string()), rows["sequence_number"], rows["data"],
                      arrival], ["shard_id", "sequence_number", "data", "arrival"])
@@ -164,25 +179,44 @@ class ShardTable(_Reading, DataSourceReader):
 class ShardStream(_Reading, DataSourceStreamReader):
     """Offsets are ``{shard: last sequence number}``.
 
-    ``maxRecordsPerShard`` limits how far a shard advances per batch. The first batch after a
-    restart is not limited, since the reader learns its position from that batch; its
-    tasks are still one block each.
+    ``maxRecordsPerShard`` limits how far a shard advances per batch. Spark does not tell a
+    source where a restarted query stands, so pacing also needs ``paceFile``, a
+    small file kept next to the query's checkpoint, with the end of the last planned batch.
     """
 
-    seen: dict | None = None
+    def __init__(self, log: ShardFiles, options: dict):
+        super().__init__(log, options)
+        self.cap = int(options.get("maxRecordsPerShard", "0"))
+        self.pace_file = options.get("paceFile")
+        if self.cap and not self.pace_file:
+            raise ValueError("maxRecordsPerShard needs paceFile")
+
+    def _planned(self) -> dict[str, int]:
+        from pyarrow import fs
+
+        system, path = filesystem(self.pace_file)
+        if system.get_file_info(path).type == fs.FileType.NotFound:
+            return self.start()
+        with system.open_input_stream(path) as f:
+            return json.loads(f.read())
 
     def initialOffset(self) -> dict:
-        self.seen = self.start()
-        return self.seen
+        return self.start()
 
     def latestOffset(self) -> dict:
         last = self.log.last()
-        if not self.cap or self.seen is None:
+        if not self.cap:
             return last
-        return {s: min(n, self.seen.get(s, -1) + self.cap) for s, n in last.items()}
+        planned, first = self._planned(), self.log.first_before()
+        return {s: min(n, planned.get(s, first[s]) + self.cap) for s, n in last.items()}
 
     def partitions(self, start: dict, end: dict):
-        self.seen = {**start, **end}
+        if any(end.get(s, n) < n for s, n in start.items()):
+            raise ValueError("paceFile is older than the query's checkpoint")
+        if self.cap:
+            system, path = filesystem(self.pace_file)
+            with system.open_output_stream(path) as f:
+                f.write(json.dumps(end).encode())
         return self.slices(start, end)
 
 
