@@ -1,4 +1,5 @@
 import json
+import uuid
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -129,7 +130,10 @@ def test_whole_job(spark, tmp_path):
     messages = ingest.encode(table(spark, rows)).unionByName(
         spark.createDataFrame([("a", "{bad"), ("a", '{"zz": 1}')], "key string, value string"))
     messages.coalesce(1).write.parquet(str(tmp_path / "in"))
-    alerts = sinks.message_writer({"path": str(tmp_path / "alerts")}, "parquet")
+
+    def alerts(batch, batch_id):  # a folder per call, as file writers cannot share one at a time
+        sinks.message_writer({"path": str(tmp_path / "alerts" / uuid.uuid4().hex)}, "parquet")(batch, batch_id)
+
     recorder = ProgressRecorder()
     spark.streams.addListener(recorder)
     stream = spark.readStream.schema("key string, value string").parquet(str(tmp_path / "in"))
@@ -147,7 +151,7 @@ def test_whole_job(spark, tmp_path):
         spark.read.parquet(f"{out}/anomalies/spikes").drop("batch_id"))
     assert got.count() == want.count() > 0
     assert got.select("service", "window_end").exceptAll(want.select("service", "window_end")).isEmpty()
-    assert spark.read.parquet(str(tmp_path / "alerts")).count() >= got.count()
+    assert spark.read.parquet(str(tmp_path / "alerts" / "*")).count() >= got.count()
     docs = spark.read.parquet(f"{out}/summaries/drops")
     assert docs.count() > 0 and docs.where("summary like '%throughput_drop%'").count() == docs.count()
     spark.streams.removeListener(recorder)

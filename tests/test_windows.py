@@ -6,9 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import T0, at, event, table
-from tidewatch.functions.quantiles import (
-    grid, grid_value, quantile_at, sliding_quantile, value_counts, with_rank,
-)
+from tidewatch.functions.quantiles import exact_quantile, grid, grid_quantile, grid_value
 from tidewatch.operators import windows
 
 
@@ -19,8 +17,8 @@ def test_sliding_quantile_equals_brute_force(spark):
     rows += [("c", 5, 7.0)] * 300 + [("d", 5, 1.0), ("d", 6, -4.0), ("d", 7, 0.0)]
     df = spark.createDataFrame(rows, "k string, pane bigint, v double")
     for q in (0.5, 0.99, 1.0):
-        counts = value_counts(df, ["k", "pane"], F.col("v"))
-        got = {(r.k, r.win): (r.total, r.quantile) for r in sliding_quantile(counts, ["k"], 4, q).collect()}
+        found = exact_quantile(df, ["k"], F.col("pane"), F.col("v"), q, 4)
+        got = {(r.k, r.win): (r.total, r.quantile) for r in found.collect()}
         want = {}
         for k in "abcd":
             panes = [p for key, p, _ in rows if key == k]
@@ -31,17 +29,22 @@ def test_sliding_quantile_equals_brute_force(spark):
         assert got.keys() == want.keys()
         for key, (n, value) in want.items():
             assert got[key][0] == n and got[key][1] == pytest.approx(value, abs=1e-9)
+        near = {(r.k, r.win): r.quantile for r in grid_quantile(df, ["k"], F.col("pane"), F.col("v"), q, 4).collect()}
+        assert near.keys() == want.keys()
+        assert all(near[key] == pytest.approx(value, rel=0.0102) for key, (_, value) in want.items() if value > 1)
 
 
-def test_ranked_quantile_equals_numpy_and_ignores_nulls(spark):
+def test_exact_quantile_equals_numpy_and_ignores_nulls(spark):
     rng = np.random.default_rng(1)
     values = {k: np.round(rng.exponential(40, n), 2) for k, n in (("x", 1), ("y", 2), ("z", 977))}
     rows = [(k, float(v)) for k, vs in values.items() for v in vs] + [("z", None)] * 50
-    counts = spark.createDataFrame(rows, "k string, value double").groupBy("k", "value").agg(
-        F.count(F.lit(1)).alias("n"))
-    got = {r.k: r.q for r in with_rank(counts, ["k"]).groupBy("k").agg(quantile_at(0.99).alias("q")).collect()}
-    for k, vs in values.items():
-        assert got[k] == pytest.approx(np.percentile(vs, 99))
+    df = spark.createDataFrame(rows, "k string, v double")
+    for threshold in ("10485760", "-1"):  # the second reading with and without a broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        got = {r.k: r.quantile for r in exact_quantile(df, ["k"], F.lit(0), F.col("v"), 0.99).collect()}
+        for k, vs in values.items():
+            assert got[k] == pytest.approx(np.percentile(vs, 99))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_grid_error_is_within_one_percent(spark):

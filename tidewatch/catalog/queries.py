@@ -396,15 +396,14 @@ def dedupe(spark, folder):
 
 @query
 def late_rows(spark, folder):
-    marked = lateness.mark_late(derived.with_arrival(tables.events(spark, folder)), 10, 60)
-    return marked.groupBy("service", "window_start").agg(
-        F.count_if(~F.col("is_late")).alias("kept"), F.count_if("is_late").alias("late"))
+    return lateness.late_counts(derived.with_arrival(tables.events(spark, folder)), ["service"], 10, 60)
 
 
 def _resume(spark, folder, position):
     ev = tables.events(spark, folder)
     at = F.lit("2024-01-01 00:20:00").cast("timestamp")
-    todo = ingest.after_checkpoint(derived.shard_records(ev), derived.checkpoints(ev), position, at)
+    marks = materialise(derived.checkpoints(ev), "checkpoints")
+    todo = ingest.after_checkpoint(derived.shard_records(ev), marks, position, at)
     return todo.groupBy("shard_id").agg(
         F.count(F.lit(1)).alias("records"), F.min("sequence_number").alias("first_sequence"),
         F.max("sequence_number").alias("last_sequence"))

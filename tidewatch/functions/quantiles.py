@@ -1,15 +1,13 @@
-"""Quantiles that never hold one group's raw values in a single buffer.
-
-Three forms, all starting from a count per distinct value, which combines
-inside map tasks before anything is shuffled:
-
-* ``with_rank`` + ``quantile_at`` (tables) or ``quantile`` (streams): exact, for fixed windows.
-* ``sliding_quantile``: exact, for sliding windows. A coarse histogram finds the
-  one or two value buckets that hold the wanted rank; only values of those
-  buckets are copied into the overlapping windows.
-* ``grid`` / ``grid_value``: a logarithmic grid with a fixed relative error. Few
-  hundred values per group whatever the data size, so it also bounds stream
-  state.
+"""Quantiles that never hold or shuffle one group's raw values.
+
+Values fall on a logarithmic grid of cells 2 % wide: a few hundred cells per group,
+whatever the traffic. Counts per cell combine inside map tasks, so only small tables are shuffled.
+
+* ``grid_quantile`` answers from the cells alone, within 1 %.
+* ``exact_quantile`` uses the cells to find the one or two that hold the wanted rank and
+  reads the data once more for just their values.
+* ``quantile`` is the exact aggregate over value counts, for streams, which
+  allow neither ranking nor a second reading.
 """
 
 from __future__ import annotations
@@ -18,90 +16,92 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-GRID = 50  # cells per factor of e: a cell is 2 % wide, its midpoint within 1 %
-COARSE = 32
-
+from tidewatch.session import materialise
 
-def grid(value: Column, cells: int = GRID) -> Column:
-    """Cell of a positive value; values up to one share the first cell."""
-    return F.floor(F.ln(F.greatest(value, F.lit(1.0))) * F.lit(cells)).cast("long")
+CELLS = 50  # per factor of e
 
 
-def grid_value(cell: Column, cells: int = GRID) -> Column:
-    """Middle of a cell (geometric)."""
-    return F.exp((cell + F.lit(0.5)) / F.lit(float(cells)))
-
+def grid(value: Column) -> Column:
+    """Cell of a value; never decreases with the value. Values up to one share the first cell."""
+    return F.floor(F.ln(F.greatest(value, F.lit(1.0))) * F.lit(CELLS)).cast("long")
 
-def value_counts(df: DataFrame, keys: list, value: Column, name: str = "value") -> DataFrame:
-    """``keys, value, n``: how often each value occurs."""
-    return (
-        df.where(value.isNotNull())
-        .groupBy(*keys, value.alias(name))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
 
+def grid_value(cell: Column) -> Column:
+    """Middle of a cell (geometric)."""
+    return F.exp((cell + F.lit(0.5)) / F.lit(float(CELLS)))
 
-def quantile(value: str | Column, q: float, n: str | Column = "n") -> Column:
-    """Exact interpolated quantile over value counts; state is one entry per distinct value.
 
-    The form for streams. Tables use ``with_rank`` and ``quantile_at``, which
-    order the counts in a spilling sort instead of holding them in memory.
-    """
-    return F.percentile(value, F.lit(q), F.col(n) if isinstance(n, str) else n)
+def quantile(value: Column, q: float, n: str = "n") -> Column:
+    """Exact interpolated quantile over value counts; state is one entry per distinct value."""
+    return F.percentile(value, F.lit(q), F.col(n))
 
 
-def with_rank(counts: DataFrame, keys: list, value: str = "value", n: str = "n") -> DataFrame:
-    """Adds ``upto`` (events of the group up to this value) and ``total``; null values have no rank."""
-    weight = F.when(F.col(value).isNotNull(), F.col(n)).otherwise(0)
-    group = W.partitionBy(*keys)
-    upto = F.sum(weight).over(group.orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow))
-    return counts.withColumn("upto", upto).withColumn("total", F.sum(weight).over(group))
+def with_rank(counts: DataFrame, group: list[str], order: str) -> DataFrame:
+    """Adds ``upto`` (rows of the group up to this value) and ``total`` to counts ``n``."""
+    part = W.partitionBy(*group)
+    upto = F.sum("n").over(part.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow))
+    return counts.withColumn("upto", upto).withColumn("total", F.sum("n").over(part))
 
 
-def quantile_at(q: float, value: str = "value") -> Column:
-    """Aggregate over ranked counts: the exact interpolated quantile of a group."""
-    v, last = F.col(value), F.col("total") - 1
-    low = F.min(F.when(F.col("upto") > F.floor(F.lit(q) * last), v))
-    high = F.min(F.when(F.col("upto") > F.ceil(F.lit(q) * last), v))
+def quantile_at(q: float, value: Column) -> Column:
+    """Aggregate over ranked counts: the interpolated quantile of a group."""
+    last = F.col("total") - 1
+    low = F.min(F.when(F.col("upto") > F.floor(F.lit(q) * last), value))
+    high = F.min(F.when(F.col("upto") > F.ceil(F.lit(q) * last), value))
     rank = F.lit(q) * (F.max("total") - 1)
     return low + (high - low) * (rank - F.floor(rank))
 
 
-def sliding_quantile(counts: DataFrame, keys: list[str], panes: int, q: float) -> DataFrame:
-    """Exact quantile of every window of ``panes`` consecutive panes.
+def _rows(df: DataFrame, keys: list[str], pane: Column, value: Column) -> DataFrame:
+    rows = df.where(value.isNotNull()).select(*keys, pane.alias("pane"), value.alias("value"))
+    return rows.withColumn("cell", grid(F.col("value")))
 
-    ``counts`` has ``keys, pane, value, n``. The result has ``keys, win, total,
-    quantile``; ``win`` is the number of a window's first pane, and every window
-    that holds a value is present.
-    """
-    cell = grid(F.col("value") + F.lit(1.0), COARSE)  # any non-decreasing cell number will do
-    counts = counts.withColumn("cell", cell)
+
+def _cell_ranks(rows: DataFrame, keys: list[str], panes: int) -> DataFrame:
+    """Ranked cell counts of every window of ``panes`` consecutive panes, numbered by its first pane."""
     group = [*keys, "win"]
+    cells = rows.groupBy(*keys, "pane", "cell").agg(F.count(F.lit(1)).alias("n"))
+    if panes == 1:
+        return with_rank(cells.withColumnRenamed("pane", "win"), group, "cell")
+    spread = cells.select(
+        *keys, "cell", "n", F.explode(F.sequence(F.col("pane") - (panes - 1), "pane")).alias("win"))
+    # one shuffle serves both the sum and the ranking
+    merged = spread.repartition(*group).groupBy(*group, "cell").agg(F.sum("n").alias("n"))
+    return with_rank(merged, group, "cell")
 
-    # one small row per (window, cell); a single shuffle serves sum and running sum
-    coarse = (
-        counts.groupBy(*keys, "pane", "cell").agg(F.sum("n").alias("n"))
-        .select(*keys, "cell", "n", F.explode(F.sequence(F.col("pane") - (panes - 1), "pane")).alias("win"))
-        .repartition(*group)
-        .groupBy(*group, "cell").agg(F.sum("n").alias("n"))
-    )
+
+def grid_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1) -> DataFrame:
+    """``keys, win, total, quantile`` of every window that holds a value, from cell counts."""
+    ranked = _cell_ranks(_rows(df, keys, pane, value), keys, panes)
+    return ranked.groupBy(*keys, "win").agg(
+        F.max("total").alias("total"), quantile_at(q, grid_value(F.col("cell"))).alias("quantile"))
+
+
+def exact_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1) -> DataFrame:
+    """``keys, win, total, quantile`` of every window that holds a value, exactly.
+
+    The wanted cells are stored first, so that the planner knows their size:
+    below the session's broadcast threshold the second reading filters the data without any shuffle,
+    above it the join is an ordinary shuffled one.
+    """
+    group, cell_key = [*keys, "win"], [*keys, "pane", "cell"]
+    rows = _rows(df, keys, pane, value)
     rank = F.lit(q) * (F.col("total") - 1)
-    upto = F.sum("n").over(W.partitionBy(*group).orderBy("cell"))
     wanted = (
-        coarse.withColumn("upto", upto)
-        .withColumn("total", F.sum("n").over(W.partitionBy(*group)))
+        _cell_ranks(rows, keys, panes)
         .where((F.col("upto") > F.floor(rank)) & (F.col("upto") - F.col("n") <= F.ceil(rank)))
         .select(*group, "cell", "total", (F.col("upto") - F.col("n")).alias("before"))
+        .withColumn("pane", F.explode(F.sequence("win", F.col("win") + (panes - 1))))
     )
-
-    # exact ranks among the values of the wanted cells only
+    wanted = materialise(wanted, "cells")
     near = (
-        wanted.withColumn("pane", F.explode(F.sequence("win", F.col("win") + (panes - 1))))
-        .join(counts, [*keys, "pane", "cell"])
+        rows.join(wanted.select(*cell_key).distinct(), cell_key, "left_semi")
+        .groupBy(*cell_key, "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    by_value = W.partitionBy(*group).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = near.select(
-        *group, "value", "total",
-        (F.min("before").over(W.partitionBy(*group)) + F.sum("n").over(by_value)).alias("upto"),
+    # between the wanted cells of a window there are no other values, so ranks go on from the first one's start
+    ranked = with_rank(near.join(wanted, cell_key).drop("pane", "cell").withColumnRenamed("total", "all"), group, "value")
+    first = F.min("before").over(W.partitionBy(*group))
+    return (
+        ranked.select(*group, "value", (first + F.col("upto")).alias("upto"), F.col("all").alias("total"))
+        .groupBy(*group).agg(F.max("total").alias("total"), quantile_at(q, F.col("value")).alias("quantile"))
     )
-    return ranked.groupBy(*group).agg(F.max("total").alias("total"), quantile_at(q).alias("quantile"))

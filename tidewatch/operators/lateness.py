@@ -10,17 +10,21 @@ from tidewatch.functions.events import interval, pane_index, pane_time, whole
 from tidewatch.settings import DEFAULTS, Settings
 
 
-def mark_late(records: DataFrame, batch_s: int, window_s: int, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Adds ``window_start`` and ``is_late``.
+def late_counts(records: DataFrame, keys: list[str], batch_s: int, window_s: int,
+                cfg: Settings = DEFAULTS) -> DataFrame:
+    """Rows ``kept`` and ``late`` per key and window.
 
     Rows arrive in micro-batches of ``batch_s`` seconds of ``arrival``. The watermark of a
     batch is the highest event time of all earlier batches minus the delay. A row is
-    late when its window had ended by then. The running maximum works on batches
-    of an hour and on hours, never on rows.
+    late when its window had ended by then, so rows of one batch and window share
+    their fate and are counted before anything is joined. The running maximum
+    works on the batches of an hour and on hours, never on rows.
     """
-    records = records.withColumn("batch", pane_index("arrival", batch_s))
+    window = pane_index("timestamp", window_s)
+    counts = records.groupBy(*keys, pane_index("arrival", batch_s).alias("batch"), window.alias("win")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("timestamp").alias("top"))
     per_hour = 3600 // batch_s
-    batches = records.groupBy("batch").agg(F.max("timestamp").alias("top")).withColumn(
+    batches = counts.groupBy("batch").agg(F.max("top").alias("top")).withColumn(
         "hour", whole(F.col("batch"), per_hour))
     hours = batches.groupBy("hour").agg(F.max("top").alias("top"))
     past = W.orderBy("hour").rowsBetween(W.unboundedPreceding, -1)  # one row per hour of data
@@ -28,10 +32,10 @@ def mark_late(records: DataFrame, batch_s: int, window_s: int, cfg: Settings = D
     inside = W.partitionBy("hour").orderBy("batch").rowsBetween(W.unboundedPreceding, -1)
     marks = batches.withColumn("before", F.max("top").over(inside)).join(hours, "hour").select(
         "batch", (F.greatest("before", "before_hour") - interval(cfg.watermark_s)).alias("watermark"))
-    window = pane_index("timestamp", window_s)
+    late = F.coalesce(pane_time(F.col("win") + 1, window_s) <= F.col("watermark"), F.lit(False))
     return (
-        records.join(marks, "batch")
-        .withColumn("window_start", pane_time(window, window_s))
-        .withColumn("is_late", F.coalesce(pane_time(window + 1, window_s) <= F.col("watermark"), F.lit(False)))
-        .drop("batch", "watermark")
+        counts.join(marks, "batch").withColumn("is_late", late)
+        .groupBy(*keys, pane_time("win", window_s).alias("window_start"))
+        .agg(F.sum(F.when(F.col("is_late"), 0).otherwise(F.col("n"))).alias("kept"),
+             F.sum(F.when(F.col("is_late"), F.col("n")).otherwise(0)).alias("late"))
     )

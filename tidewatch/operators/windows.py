@@ -1,8 +1,8 @@
 """Window statistics and the rule for windows that are complete.
 
-Every operator first counts events per distinct latency (or per pane), which
-combines inside map tasks, so a service with most of the traffic costs no more
-shuffle or memory than a quiet one.
+Every operator reduces events to counts per pane (and latency cell) inside map
+tasks, so a service with most of the traffic costs no more shuffle or memory
+than a quiet one.
 """
 
 from __future__ import annotations
@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.events import (
     hundredths, interval, is_server_error, mean_of_hundredths, pane_index, pane_time,
 )
-from tidewatch.functions.quantiles import (
-    grid, grid_value, quantile, quantile_at, sliding_quantile, value_counts, with_rank,
-)
+from tidewatch.functions.quantiles import exact_quantile, grid_quantile, quantile
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 
@@ -31,25 +29,38 @@ def only_closed(windows: DataFrame, ev: DataFrame, end: Column, cfg: Settings =
 
 def tumbling_stats(ev: DataFrame, width_s: int, q: float = 0.99) -> DataFrame:
     """Count, errors, mean and p99 latency per service and window."""
-    keys = ["service", "w"]
-    counts = ev.groupBy(
-        "service", F.window("timestamp", seconds(width_s)).alias("w"), F.col("latency_ms").alias("value")
-    ).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_server_error()).alias("errors"))
-    if ev.isStreaming:  # a second window level, as streams take no ranking
-        counts = counts.select("service", "value", "n", "errors", F.window_time("w").alias("t"))
-        counts = counts.withColumn("w", F.window("t", seconds(width_s)))
-        p99 = quantile("value", q)
-    else:
-        counts = with_rank(counts, keys)
-        p99 = quantile_at(q)
-    timed = F.when(F.col("value").isNotNull(), F.col("n"))
+    return _stats_stream(ev, width_s, q) if ev.isStreaming else _stats_table(ev, width_s, q)
+
+
+def _stats_table(ev: DataFrame, width_s: int, q: float) -> DataFrame:
+    pane = pane_index("timestamp", width_s)
+    stats = ev.groupBy("service", pane.alias("win")).agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.count_if(is_server_error()).alias("error_count"),
+        mean_of_hundredths(F.sum(hundredths()), F.count("latency_ms")).alias("avg_latency_ms"),
+    )
+    p99 = exact_quantile(ev, ["service"], pane, F.col("latency_ms"), q)
+    return stats.join(p99, ["service", "win"], "left").select(
+        "service", pane_time("win", width_s).alias("window_start"),
+        pane_time(F.col("win") + 1, width_s).alias("window_end"),
+        "event_count", "error_count", "avg_latency_ms", F.col("quantile").alias("p99_latency_ms"))
+
+
+def _stats_stream(ev: DataFrame, width_s: int, q: float) -> DataFrame:
+    """Chained windows: counts per latency value, then the window over them."""
+    counts = (
+        ev.groupBy("service", F.window("timestamp", seconds(width_s)).alias("w"), "latency_ms")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_server_error()).alias("errors"))
+        .select("service", "latency_ms", "n", "errors", F.window_time("w").alias("t"))
+    )
+    timed = F.when(F.col("latency_ms").isNotNull(), F.col("n"))
     return (
-        counts.groupBy(*keys)
+        counts.groupBy("service", F.window("t", seconds(width_s)).alias("w"))
         .agg(
             F.sum("n").alias("event_count"),
             F.sum("errors").alias("error_count"),
-            mean_of_hundredths(F.sum(hundredths("value") * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
-            p99.alias("p99_latency_ms"),
+            mean_of_hundredths(F.sum(hundredths() * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
+            quantile(F.col("latency_ms"), q).alias("p99_latency_ms"),
         )
         .select("service", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                 "event_count", "error_count", "avg_latency_ms", "p99_latency_ms")
@@ -59,13 +70,9 @@ def tumbling_stats(ev: DataFrame, width_s: int, q: float = 0.99) -> DataFrame:
 def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False) -> DataFrame:
     """p99 latency per service and sliding window, complete or not; exact, or within 1 % on the grid."""
     panes = cfg.sliding_s // cfg.slide_s
-    latency = F.col("latency_ms")
-    counts = value_counts(
-        ev, ["service", pane_index("timestamp", cfg.slide_s).alias("pane")], grid(latency) if on_grid else latency
-    )
-    if on_grid:
-        counts = counts.withColumn("value", grid_value(F.col("value")))
-    return sliding_quantile(counts, ["service"], panes, 0.99).select(
+    measure = grid_quantile if on_grid else exact_quantile
+    found = measure(ev, ["service"], pane_index("timestamp", cfg.slide_s), F.col("latency_ms"), 0.99, panes)
+    return found.select(
         "service",
         pane_time("win", cfg.slide_s).alias("window_start"),
         pane_time(F.col("win") + panes, cfg.slide_s).alias("window_end"),

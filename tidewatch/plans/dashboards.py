@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.events import interval, is_server_error
-from tidewatch.functions.quantiles import quantile_at, value_counts, with_rank
+from tidewatch.functions.events import interval, is_server_error, pane_index, pane_time
+from tidewatch.functions.quantiles import exact_quantile
 from tidewatch.operators.ordering import top_k
 from tidewatch.operators.windows import events_per_window
 from tidewatch.schemas import SERVICES
@@ -30,13 +30,11 @@ def anomaly_counts(found: DataFrame) -> DataFrame:
 
 def p99_by_service(ev: DataFrame, cfg: Settings = DEFAULTS, width_s: int = 10) -> DataFrame:
     """p99 per service in every non-empty bucket; the highest services of each, marked against the line."""
-    bucket = F.window("timestamp", seconds(width_s)).alias("w")
-    counts = with_rank(value_counts(ev, ["service", bucket], F.col("latency_ms")), ["service", "w"])
-    p99 = counts.groupBy("service", "w").agg(quantile_at(0.99).alias("p99_latency_ms"))
-    best = top_k(p99, ["w"], [F.desc("p99_latency_ms"), F.col("service")], cfg.top_services)
+    p99 = exact_quantile(ev, ["service"], pane_index("timestamp", width_s), F.col("latency_ms"), 0.99)
+    best = top_k(p99, ["win"], [F.desc("quantile"), F.col("service")], cfg.top_services)
     return best.select(
-        F.col("w.start").alias("bucket"), "service", "p99_latency_ms", "rank",
-        (F.col("p99_latency_ms") > cfg.latency_line_ms).alias("breach"),
+        pane_time("win", width_s).alias("bucket"), "service", F.col("quantile").alias("p99_latency_ms"), "rank",
+        (F.col("quantile") > cfg.latency_line_ms).alias("breach"),
     )
 
 
