@@ -170,3 +170,51 @@ def test_run_to_end_survives_a_second_call(spark, tmp_path):
     for _ in range(2):
         run_to_end(file_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_command_line_job_over_files_and_a_shard_log(spark, tmp_path):
+    from tidewatch.__main__ import arguments, run
+    from tidewatch.sources import shardlog
+
+    rows = busy_rows()
+    wire = ingest.encode(table(spark, rows))
+    wire.select("value").coalesce(1).write.text(str(tmp_path / "json"))
+    records = wire.selectExpr("key as shard_id", "cast(get_json_object(value, '$.event_id') as bigint) as sequence_number",
+                              "value as data", "timestamp '2024-01-01 00:00:00' as arrival")
+    shardlog.write_log(records, str(tmp_path / "log"))
+    for source, extra in (("files", []), ("shardlog", ["--position", "TRIM_HORIZON"])):
+        path = tmp_path / ("json" if source == "files" else "log")
+        out = str(tmp_path / source)
+        run(spark, arguments(["--source", source, "--path", str(path), "--out", out, "--once", *extra]))
+        assert spark.read.parquet(f"{out}/events").count() == len(rows)
+        assert spark.read.parquet(f"{out}/anomalies/drops").count() > 0
+
+
+def test_early_alerts_come_before_the_window_ends(spark, tmp_path):
+    from tidewatch.streaming.runner import latest_rows
+
+    rows = [r for r in busy_rows() if (r["timestamp"] - T0).total_seconds() < 960]
+    write_files(spark, tmp_path / "in", files_of(rows, 2))
+    stream = ingest.with_watermark(file_stream(spark, tmp_path / "in"))
+    early = latest_rows(detectors.latency_spike(stream, method="early"), ["service", "window_end"], "early").collect()
+    last = max(r["timestamp"] for r in rows).replace(tzinfo=None)
+    assert any(r.window_end > last for r in early)
+    assert len({(r.service, r.window_end) for r in early}) == len(early)
+
+
+def test_stored_anomalies_count_as_prior_incidents(spark, tmp_path):
+    from tests.helpers import anomaly_table
+
+    def batch(minute):
+        t = T0 + timedelta(minutes=minute)
+        return anomaly_table(spark, [{"service": "a", "anomaly_type": "throughput_drop", "detected_at": t,
+                                      "window_start": t, "window_end": t}])
+
+    store = sinks.table_writer(str(tmp_path / "anomalies"))
+    report = sinks.summary_writer(str(tmp_path / "summaries"), str(tmp_path / "anomalies"))
+    for i in range(3):
+        store(batch(i), i)
+        report(batch(i), i)
+    texts = [r.summary.splitlines()[-1] for r in
+             spark.read.parquet(str(tmp_path / "summaries")).orderBy("generated_at").collect()]
+    assert [t.split("matches ")[1] for t in texts] == [f"{n} prior incidents" for n in range(3)]

@@ -147,6 +147,13 @@ SQL["stream_tumbling_stats"] = SQL["tumbling_stats"].replace(
     "from ev where time_bucket(interval '1 minute', t) + interval '1 minute' "
     "<= (select max(t) - interval '10 seconds' from ev) group by all")
 
+SQL["stream_sliding_p99"] = SQL["sliding_p99"].replace(
+    "from s group by all",
+    "from s where window_start + interval '5 minutes' <= (select max(t) - interval '10 seconds' from ev) group by all")
+# one batch holds all data, so early alerts end with every window of the data, finished or not
+SQL["stream_latency_spike_early"] = SQL["latency_spike_grid"].replace(
+    "and w0 + interval '10 minutes' <= (select max(t) - interval '10 seconds' from ev)", "")
+
 NOW = "(select max(t) from ev)"
 SECONDS = "(epoch_us(max(t)) - epoch_us(min(t))) / 1000000"
 EVENT_COLUMNS = "event_id::varchar as event_id, {t} as timestamp, service, event_type, latency_ms, status_code, is_anomaly"

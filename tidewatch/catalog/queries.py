@@ -14,7 +14,7 @@ from tidewatch.functions.text import matches_any
 from tidewatch.operators import detectors, lateness, matching, ordering, sessions, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
 from tidewatch.schemas import INDEX_LATENCY_BOUNDS
-from tidewatch.session import materialise, naive, new_path, prepare
+from tidewatch.session import materialise, naive, new_path, prepare, qualified
 from tidewatch.settings import Settings
 from tidewatch.sources import ingest, shardlog, tables
 from tidewatch.streaming.runner import latest_rows, stream_table
@@ -129,6 +129,18 @@ def stream_tumbling_stats(spark, folder):
     return stream_table(windows.tumbling_stats(tables.event_stream(spark, folder), 60), "stats")
 
 
+@query
+def stream_sliding_p99(spark, folder):
+    return stream_table(windows.sliding_p99(tables.event_stream(spark, folder)), "sliding")
+
+
+@query
+def stream_latency_spike_early(spark, folder):
+    """Early alerts: the last state of every window that qualified, finished or not."""
+    found = detectors.latency_spike(tables.event_stream(spark, folder), method="early")
+    return latest_rows(found, ["service", "window_end"], "early")
+
+
 @query
 def stream_events_by_status(spark, folder):
     """Running totals: the latest state of each counter."""
@@ -435,7 +447,7 @@ def _shard_log(spark, folder):
     path = new_path(spark, "shards")
     shardlog.write_log(records, path)
     shardlog.register(spark)
-    return path
+    return qualified(spark, path)
 
 
 @query

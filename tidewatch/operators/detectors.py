@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.events import hundredths, interval, is_server_error, mean_of_hundredths
 from tidewatch.functions.quantiles import grid, grid_value, quantile
 from tidewatch.operators.sessions import sessions
-from tidewatch.operators.windows import only_closed, sliding_p99
+from tidewatch.operators.windows import only_closed, sliding_p99, value_panes
 from tidewatch.schemas import ANOMALY
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
@@ -77,10 +77,15 @@ def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact"
     ``method="exact"`` interpolates true p99 values. ``method="grid"`` puts
     latencies on a 1 % grid first: a few hundred counters per service and pane
     whatever the traffic, which is the form for long-running streams.
+    ``method="early"`` is the grid form for update mode: a stream reports a window as soon as
+    it qualifies, and again when it grows; keep the last row per service and window.
     """
-    if method not in ("exact", "grid"):
+    if method not in ("exact", "grid", "early") or (method == "early" and not ev.isStreaming):
         raise ValueError(f"unknown method: {method}")
-    pairs = (_spike_pairs_stream if ev.isStreaming else _spike_pairs_table)(ev, cfg, method == "grid")
+    if method == "early":
+        pairs = _spike_pairs_early(ev, cfg)
+    else:
+        pairs = (_spike_pairs_stream if ev.isStreaming else _spike_pairs_table)(ev, cfg, method == "grid")
     p99, base = F.col("p99_latency_ms"), F.col("baseline_p99")
     found = pairs.where(
         (F.col("event_count") >= cfg.spike_min_events) & (F.col("base_count") >= cfg.spike_min_events)
@@ -117,25 +122,27 @@ def _spike_pairs_table(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame
 
 def _spike_pairs_stream(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame:
     """Chained windows: value counts per pane, merged into double-width windows."""
-    width = cfg.sliding_s
-    value = grid(F.col("latency_ms")) if on_grid else F.col("latency_ms")
-    panes = (
-        ev.where(F.col("latency_ms").isNotNull())
-        .groupBy("service", F.window("timestamp", seconds(cfg.slide_s)).alias("pane"), value.alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("service", "n", (grid_value(F.col("value")) if on_grid else F.col("value")).alias("value"),
-                F.window_time("pane").alias("pane_time"))
-    )
-    current = F.col("pane_time") >= F.col("w.end") - interval(width)
-    now, before = F.when(current, F.col("value")), F.when(~current, F.col("value"))
+    return _halves(value_panes(ev, cfg.slide_s, on_grid), "pane_time", cfg)
+
+
+def _spike_pairs_early(ev: DataFrame, cfg: Settings) -> DataFrame:
+    """One aggregate straight over the events, as update mode allows no chain; values on the grid."""
+    rows = ev.where(F.col("latency_ms").isNotNull()).select(
+        "service", "timestamp", F.lit(1).alias("n"), grid_value(grid(F.col("latency_ms"))).alias("value"))
+    return _halves(rows, "timestamp", cfg)
+
+
+def _halves(counts: DataFrame, time: str, cfg: Settings) -> DataFrame:
+    """Counts and p99 of both halves of double-width windows."""
+    current = F.col(time) >= F.col("w.end") - interval(cfg.sliding_s)
     return (
-        panes.withColumn("w", F.window("pane_time", seconds(2 * width), seconds(cfg.slide_s)))
+        counts.withColumn("w", F.window(time, seconds(2 * cfg.sliding_s), seconds(cfg.slide_s)))
         .groupBy("service", "w")
         .agg(
             F.sum(F.when(current, F.col("n")).otherwise(0)).alias("event_count"),
             F.sum(F.when(current, 0).otherwise(F.col("n"))).alias("base_count"),
-            quantile(now, 0.99).alias("p99_latency_ms"),
-            quantile(before, 0.99).alias("baseline_p99"),
+            quantile(F.when(current, F.col("value")), 0.99).alias("p99_latency_ms"),
+            quantile(F.when(~current, F.col("value")), 0.99).alias("baseline_p99"),
         )
         .withColumn("window_end", F.col("w.end"))
     )

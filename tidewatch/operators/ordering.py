@@ -28,13 +28,17 @@ def number_within(df: DataFrame, group: list[str], coarse: list[str], order: lis
     )
 
 
-def count_earlier(df: DataFrame, group: list[str], time: str, name: str) -> DataFrame:
-    """Adds how many rows of the same group have a strictly earlier time.
+def count_earlier(df: DataFrame, group: list[str], time: str, name: str,
+                  history: DataFrame | None = None) -> DataFrame:
+    """Adds how many rows of the same group, here and in ``history``, have a strictly earlier time.
 
     Rows are first counted per instant, then per minute; the ordered passes see
     minutes of a group and instants of a minute, never all rows of a group.
     """
-    instants = df.groupBy(*group, time).agg(F.count(F.lit(1)).alias("n"))
+    known = df.select(*group, time)
+    if history is not None:
+        known = known.unionByName(history.select(*group, time))
+    instants = known.groupBy(*group, time).agg(F.count(F.lit(1)).alias("n"))
     instants = instants.withColumn("minute", F.date_trunc("minute", time))
     minutes = instants.groupBy(*group, "minute").agg(F.sum("n").alias("n"))
     past = W.partitionBy(*group).orderBy("minute").rowsBetween(W.unboundedPreceding, -1)

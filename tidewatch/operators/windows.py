@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.events import (
-    hundredths, interval, is_server_error, mean_of_hundredths, pane_index, pane_time,
+    hundredths, interval, is_server_error, mean_of_hundredths, pane_index, pane_time, window_bounds,
+)
+from tidewatch.functions.quantiles import (
+    exact_quantile, grid, grid_quantile, grid_value, quantile,
 )
-from tidewatch.functions.quantiles import exact_quantile, grid_quantile, quantile
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 
@@ -62,13 +64,17 @@ def _stats_stream(ev: DataFrame, width_s: int, q: float) -> DataFrame:
             mean_of_hundredths(F.sum(hundredths() * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
             quantile(F.col("latency_ms"), q).alias("p99_latency_ms"),
         )
-        .select("service", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                "event_count", "error_count", "avg_latency_ms", "p99_latency_ms")
+        .select("service", *window_bounds("w"), "event_count", "error_count", "avg_latency_ms", "p99_latency_ms")
     )
 
 
 def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False) -> DataFrame:
     """p99 latency per service and sliding window, complete or not; exact, or within 1 % on the grid."""
+    if ev.isStreaming:
+        windows = value_panes(ev, cfg.slide_s, on_grid).groupBy(
+            "service", F.window("pane_time", seconds(cfg.sliding_s), seconds(cfg.slide_s)).alias("w"))
+        return windows.agg(F.sum("n").alias("event_count"), quantile(F.col("value"), 0.99).alias("p99_latency_ms")).select(
+            "service", *window_bounds("w"), "event_count", "p99_latency_ms")
     panes = cfg.sliding_s // cfg.slide_s
     measure = grid_quantile if on_grid else exact_quantile
     found = measure(ev, ["service"], pane_index("timestamp", cfg.slide_s), F.col("latency_ms"), 0.99, panes)
@@ -81,6 +87,18 @@ def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False)
     )
 
 
+def value_panes(ev: DataFrame, width_s: int, on_grid: bool) -> DataFrame:
+    """First level of chained windows: ``service, value, n, pane_time`` per pane and latency (or its cell)."""
+    value = grid(F.col("latency_ms")) if on_grid else F.col("latency_ms")
+    panes = (
+        ev.where(F.col("latency_ms").isNotNull())
+        .groupBy("service", F.window("timestamp", seconds(width_s)).alias("pane"), value.alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    value = grid_value(F.col("value")) if on_grid else F.col("value")
+    return panes.select("service", value.alias("value"), "n", F.window_time("pane").alias("pane_time"))
+
+
 def events_per_window(ev: DataFrame, width_s: int, keys: list[str] | None = None) -> DataFrame:
     """Number of events per window (and key)."""
     return (

@@ -44,10 +44,14 @@ def report_batches(found: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     return numbered.withColumn("batch_no", batch_no).drop("second", "named", "kind", "spread")
 
 
-def prior_incidents(found: DataFrame) -> DataFrame:
-    """Adds ``prior_count``: earlier anomalies of the same service and type."""
-    known = found.withColumns({c: or_unknown(c) for c in ("service", "anomaly_type")})
-    return count_earlier(known, ["service", "anomaly_type"], "detected_at", "prior_count")
+def _named(found: DataFrame) -> DataFrame:
+    return found.withColumns({c: or_unknown(c) for c in ("service", "anomaly_type")})
+
+
+def prior_incidents(found: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """Adds ``prior_count``: earlier anomalies of the same service and type, stored ones included."""
+    history = None if history is None else _named(history)
+    return count_earlier(_named(found), ["service", "anomaly_type"], "detected_at", "prior_count", history)
 
 
 def missed_events(found: DataFrame) -> DataFrame:
@@ -97,9 +101,9 @@ def _listed(types: Column, wording: dict[str, str]) -> Column:
     return F.concat_ws("; ", *parts)
 
 
-def report_docs(found: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame | None = None) -> DataFrame:
     """One summary document per batch; no anomalies, no report."""
-    batches = report_batches(prior_incidents(found), cfg)
+    batches = report_batches(prior_incidents(found, history), cfg)
     drop = F.col("anomaly_type") == "throughput_drop"
     facts = batches.groupBy(*BATCH).agg(
         F.count(F.lit(1)).cast("int").alias("anomaly_count"),

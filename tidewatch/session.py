@@ -35,7 +35,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local master may go without it; then a scratch folder is made once
     per session. On a cluster a machine-local folder would lose data.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -45,6 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, as readers outside Spark need it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
 

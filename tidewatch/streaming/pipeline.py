@@ -45,7 +45,8 @@ def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAU
         _start(rejected(decoded), "quarantine", sinks.table_writer(f"{out}/quarantine"), checkpoints, trigger),
     ]
     for name, detect in found.items():
-        handlers = [sinks.table_writer(f"{out}/anomalies/{name}"), sinks.summary_writer(f"{out}/summaries/{name}", cfg)]
+        table = f"{out}/anomalies/{name}"
+        handlers = [sinks.table_writer(table), sinks.summary_writer(f"{out}/summaries/{name}", table, cfg)]
         if alerts:
             handlers.append(alerts)
         stream = detectors.as_anomalies(detect(ev))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.plans.reports import report_docs
+from tidewatch.schemas import ANOMALY
 from tidewatch.settings import DEFAULTS, Settings
 from tidewatch.sources.ingest import encode
 
@@ -68,14 +69,22 @@ def index_options(index: str, cfg: Settings = DEFAULTS, id_column: str | None =
     return options
 
 
-def summary_writer(path: str, cfg: Settings = DEFAULTS) -> BatchHandler:
-    """Reports of a batch of anomalies. A failure is logged and the stream goes on."""
+def summary_writer(path: str, anomalies: str | None = None, cfg: Settings = DEFAULTS) -> BatchHandler:
+    """Reports of a batch of anomalies. A failure is logged and the stream goes on.
+
+    ``anomalies`` is the stored table; its earlier batches count as prior incidents.
+    """
     write = table_writer(path)
+    stored = T.StructType([*ANOMALY.fields, T.StructField("batch_id", T.LongType())])
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         try:
-            if not batch.isEmpty():
-                write(report_docs(batch, cfg), batch_id)
+            if batch.isEmpty():
+                return
+            history = None
+            if anomalies and batch_id > 0:
+                history = batch.sparkSession.read.schema(stored).parquet(anomalies).where(F.col("batch_id") < batch_id)
+            write(report_docs(batch, cfg, history), batch_id)
         except Exception:
             log.exception("summaries of batch %d were not stored", batch_id)
 
