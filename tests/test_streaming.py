@@ -106,13 +106,16 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
 
 
 def test_event_store_is_split_by_date(spark, tmp_path):
-    from tidewatch.schemas import EVENT
-
-    sinks.event_writer(str(tmp_path))(table(spark, [event(1, "0:00:01"), event(2, "25:00:00")]), 0)
-    stored = sinks.stored_events(spark, str(tmp_path), EVENT, since=T0 + timedelta(hours=24))
-    assert [r.event_id for r in stored.collect()] == ["2"]
-    plan = stored._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    write_files(spark, tmp_path / "in", [[event(1, "0:00:01"), event(2, "25:00:00")]])
+    out = str(tmp_path / "out")
+    for _ in range(2):  # a second run finds nothing new
+        sinks.store_events(file_stream(spark, tmp_path / "in"), out, str(tmp_path / "ck"),
+                           {"availableNow": True}).awaitTermination()
+    assert sinks.stored_events(spark, out).count() == 2
+    later = sinks.stored_events(spark, out, since=T0 + timedelta(hours=24))
+    assert [r.event_id for r in later.collect()] == ["2"]
+    assert sinks.stored_events(spark, out, until=T0 + timedelta(hours=24)).count() == 1
+    assert "PartitionFilters: [isnotnull(event_date" in later._jdf.queryExecution().executedPlan().toString()
 
 
 def test_failed_summaries_do_not_stop_the_stream(spark, tmp_path):

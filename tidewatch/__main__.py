@@ -53,17 +53,12 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     alerts = None
     if args.alert_topic:
         alerts = sinks.message_writer(ingest.sink_options(args.servers, args.alert_topic))
-    # A Python source runs a single batch under availableNow, which would leave the last windows open.
-    drain = args.once and args.source == "shardlog"
-    trigger = {"availableNow": True} if args.once and not drain else {"processingTime": seconds(DEFAULTS.trigger_s)}
+    trigger = {"availableNow": True} if args.once else {"processingTime": seconds(DEFAULTS.trigger_s)}
     queries = pipeline.start(stream, args.out, args.checkpoints or f"{args.out}/checkpoints", alerts=alerts,
                              trigger=trigger, spikes=args.spikes, value=text)
     if not args.once:
         spark.streams.awaitAnyTermination()
     for q in queries:
-        if drain:
-            q.processAllAvailable()
-            q.stop()
         q.awaitTermination()
 
 

@@ -51,6 +51,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create a folder, as a stream may only read one that exists."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
 

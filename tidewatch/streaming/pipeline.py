@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,30 +23,39 @@ def _start(stream: DataFrame, name: str, handler: sinks.BatchHandler, checkpoint
 def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAULTS,
           alerts: sinks.BatchHandler | None = None, trigger: dict | None = None,
           spikes: str = "grid", value: str = "value") -> list[StreamingQuery]:
-    """Start one query for each store and one per detector.
+    """Start the stores of events and rejected messages, and one query per detector.
 
-    Queries share nothing but the source, so each keeps its own state and
-    checkpoint and can be restarted alone. ``alerts`` receives each batch of anomalies,
-    for a topic or an index.
+    Messages are decoded into the event store once. The detectors follow the store: they read
+    only the columns they need, each with its own state and checkpoint, and can be
+    restarted alone. ``alerts`` receives each batch of anomalies, for a topic or an index.
     """
+    spark = messages.sparkSession
     trigger = trigger or {"processingTime": seconds(cfg.trigger_s)}
     decoded = decode(messages, value)
-    ev = dedupe(with_watermark(accepted(decoded), cfg), cfg)
-
-    found: dict[str, Callable[[DataFrame], DataFrame]] = {
-        "drops": lambda e: detectors.throughput_drop(e, cfg),
-        "spikes": lambda e: detectors.latency_spike(e, cfg, spikes),
-        "sessions": lambda e: detectors.session_anomalies(e, cfg=cfg),
-    }
     queries = [
-        _start(ev, "events", sinks.event_writer(f"{out}/events"), checkpoints, trigger),
+        sinks.store_events(accepted(decoded), f"{out}/events", f"{checkpoints}/events", trigger),
         _start(rejected(decoded), "quarantine", sinks.table_writer(f"{out}/quarantine"), checkpoints, trigger),
     ]
-    for name, detect in found.items():
+    if "availableNow" in trigger:  # one pass: the store is complete before the detectors read it
+        queries[0].awaitTermination()
+    queries += detect(sinks.stored_stream(spark, f"{out}/events"), out, checkpoints, cfg, alerts, trigger, spikes)
+    return queries
+
+
+def detect(events: DataFrame, out: str, checkpoints: str, cfg: Settings, alerts: sinks.BatchHandler | None,
+           trigger: dict, spikes: str) -> list[StreamingQuery]:
+    """One query per detector: anomalies, their reports and alerts."""
+    ev = dedupe(with_watermark(events, cfg), cfg)
+    found = {
+        "drops": detectors.throughput_drop(ev, cfg),
+        "spikes": detectors.latency_spike(ev, cfg, spikes),
+        "sessions": detectors.session_anomalies(ev, cfg=cfg),
+    }
+    queries = []
+    for name, anomalies in found.items():
         table = f"{out}/anomalies/{name}"
         handlers = [sinks.table_writer(table), sinks.summary_writer(f"{out}/summaries/{name}", table, cfg)]
         if alerts:
             handlers.append(alerts)
-        stream = detectors.as_anomalies(detect(ev))
-        queries.append(_start(stream, name, sinks.each(*handlers), checkpoints, trigger))
+        queries.append(_start(detectors.as_anomalies(anomalies), name, sinks.each(*handlers), checkpoints, trigger))
     return queries

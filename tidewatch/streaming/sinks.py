@@ -1,16 +1,19 @@
-"""Sinks of the streaming job. Every write is keyed by batch, so a repeated batch replaces itself."""
+"""Sinks of the streaming job. A batch that is repeated after a failure replaces itself."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.plans.reports import report_docs
-from tidewatch.schemas import ANOMALY
+from tidewatch.schemas import ANOMALY, EVENT
+from tidewatch.session import make_folder
 from tidewatch.settings import DEFAULTS, Settings
 from tidewatch.sources.ingest import encode
 
@@ -32,24 +35,37 @@ def table_writer(path: str, partition_by: list[str] | None = None,
     return write
 
 
-def event_writer(path: str) -> BatchHandler:
-    """Event store, split by event date so that time filters skip whole folders."""
-    write = table_writer(path, ["event_date"])
+_STORED = T.StructType([*EVENT.fields, T.StructField("event_date", T.DateType())])
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        write(batch.withColumn("event_date", F.to_date("timestamp")), batch_id)
 
-    return handle
+def store_events(ev: DataFrame, path: str, checkpoint: str, trigger: dict, name: str = "events") -> StreamingQuery:
+    """Event store: Spark's own file sink, whose log makes every batch count once.
+
+    Folders per event date let time filters skip most of the store. Late events are
+    stored too; only the detectors ignore them.
+    """
+    return (
+        ev.withColumn("event_date", F.to_date("timestamp"))
+        .writeStream.queryName(name).format("parquet").partitionBy("event_date")
+        .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
+def stored_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The event store as a stream."""
+    make_folder(spark, path)
+    return spark.readStream.schema(_STORED).parquet(path).drop("event_date")
 
 
-def stored_events(spark, path: str, schema, since=None, until=None) -> DataFrame:
-    """The event store, with time bounds applied to the folders as well as to the rows."""
-    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("event_date", T.DateType())])).parquet(path)
+def stored_events(spark: SparkSession, path: str, since: datetime | None = None,
+                  until: datetime | None = None) -> DataFrame:
+    """The event store as a table; time bounds apply to the folders as well as to the rows."""
+    df = spark.read.schema(_STORED).parquet(path)
     if since is not None:
         df = df.where((F.col("event_date") >= F.to_date(F.lit(since))) & (F.col("timestamp") > F.lit(since)))
     if until is not None:
         df = df.where((F.col("event_date") <= F.to_date(F.lit(until))) & (F.col("timestamp") <= F.lit(until)))
-    return df.drop("event_date", "batch_id")
+    return df.drop("event_date")
 
 
 def message_writer(options: dict[str, str], fmt: str = "kafka", key: str = "service") -> BatchHandler:
