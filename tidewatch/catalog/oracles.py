@@ -321,8 +321,7 @@ LAG = f"""{EV},
 offs as (select 'analytics-events' as topic, (event_id % 6)::int as partition, event_id // 6 as "offset", t from ev),
 lag as (
   select topic, partition, max("offset") as latest_offset,
-         max("offset") filter (where "offset" % 5 = 0
-             and t <= {NOW} - to_minutes(partition + 1)) as committed_offset
+         max("offset") filter (where t <= {NOW} - to_minutes(partition + 1)) as committed_offset
   from offs group by 1, 2),
 lagged as (select *, latest_offset - coalesce(committed_offset, -1) as lag from lag)"""
 SHARDS = """
@@ -330,8 +329,7 @@ recs as (select 'analytics-events' as stream, 'shard-' || (event_id % 6) as shar
                 event_id // 6 as sequence_number, t from ev),
 recs8 as (select 'shard-' || (event_id % 8) as shard_id, event_id % 8 as nr, event_id // 8 as sequence_number from ev),
 shards as (select shard_id, min(sequence_number) as starting_seq,
-                  case when nr >= 6 then max(sequence_number) end as ending_seq from recs8 group by shard_id, nr),
-surges as (select * from recs where minute(t) % 15 < 8 or sequence_number % 10 = 0)"""
+                  case when nr >= 6 then max(sequence_number) end as ending_seq from recs8 group by shard_id, nr)"""
 RATE = """rates as (
   select time_bucket(interval '1 minute', t) as window_start, count(*) as event_count,
          count(*) filter (where is_anomaly) as anomaly_count,
@@ -359,7 +357,7 @@ SQL.update({
     "lag_alerts_low": f"with {LAG} select * from lagged where lag > 20",
     "last_offset_gauge": f"""with {LAG}
         select topic, partition, max_by("offset", t) as "offset", max(t) as timestamp from offs
-        where "offset" % 5 = 0 and t <= {NOW} - to_minutes(partition + 1) group by 1, 2""",
+        where t <= {NOW} - to_minutes(partition + 1) group by 1, 2""",
     "shard_lag": f"""with {EV}, {SHARDS}
         select stream, shard_id, round((epoch_us(max(t)) - epoch_us(max(t) filter (
                  where t <= {NOW} - to_seconds(30 * nr)))) / 1000000, 6) as lag_s from recs group by 1, 2""",
@@ -377,11 +375,11 @@ SQL.update({
         union all select shard_id, 'remove' from used where shard_id not in (select shard_id from active)""",
     "consumer_heartbeat": f"""with {EV}, {SHARDS}
         select time_bucket(interval '1 minute', t) as window_start, count(distinct shard_id) as active_consumers
-        from surges group by 1""",
+        from recs group by 1""",
     "scale_advice": f"""with {EV}, {SHARDS},
         load as (select stream, shard_id, time_bucket(interval '1 minute', t) as minute, count(*) as n
-                 from surges group by all),
-        util as (select stream, shard_id, minute, n / (select max(n) from load) as utilisation from load),
+                 from recs group by all),
+        util as (select stream, shard_id, minute, n / ((select max(n) from load) * case when minute(minute) % 15 < 8 then 1 else 5 end) as utilisation from load),
         runs as (
           select *, utilisation < 0.25 as low,
                  epoch_us(minute) // 60000000 - row_number() over (

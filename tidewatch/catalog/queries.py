@@ -365,13 +365,13 @@ def shard_diff(spark, folder):
 
 @query
 def consumer_heartbeat(spark, folder):
-    return scaling.consumer_heartbeat(derived.surges(tables.events(spark, folder)))
+    return scaling.consumer_heartbeat(derived.shard_records(tables.events(spark, folder)))
 
 
 @query
 def scale_advice(spark, folder):
-    records = derived.surges(tables.events(spark, folder))
-    return scaling.scale_advice(scaling.utilisation(records, derived.peak_per_minute(records)))
+    records = derived.shard_records(tables.events(spark, folder))
+    return scaling.scale_advice(scaling.utilisation(records, derived.capacity(records)))
 
 
 # --- transport ------------------------------------------------------------------------------

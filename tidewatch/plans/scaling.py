@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,14 +32,12 @@ def consumer_heartbeat(records: DataFrame, width_s: int = 60) -> DataFrame:
     )
 
 
-def utilisation(records: DataFrame, capacity_per_minute) -> DataFrame:
-    """Records per shard and minute over the shard's capacity."""
-    return (
-        records.groupBy("stream", "shard_id", F.window("timestamp", "1 minute").alias("w"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("stream", "shard_id", F.col("w.start").alias("minute"),
-                (F.col("n") / capacity_per_minute).alias("utilisation"))
-    )
+def utilisation(records: DataFrame, capacity: Column) -> DataFrame:
+    """Records per shard and ``minute`` over the shard's capacity (which may depend on the minute)."""
+    counts = records.groupBy("stream", "shard_id", F.window("timestamp", "1 minute").alias("w")).agg(
+        F.count(F.lit(1)).alias("n"))
+    return counts.select("stream", "shard_id", F.col("w.start").alias("minute"), "n").select(
+        "stream", "shard_id", "minute", (F.col("n") / capacity).alias("utilisation"))
 
 
 def scale_advice(samples: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

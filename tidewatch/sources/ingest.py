@@ -11,9 +11,9 @@ from tidewatch.settings import DEFAULTS, Settings, seconds
 
 _CORRUPT = "_corrupt"
 _METADATA = EVENT["metadata"].dataType
-#: An event as sent: nested metadata stays text at first, so that it can be checked by itself.
+#: An event as sent: metadata is read as a map first, so that its keys can be checked.
 _WIRE = T.StructType([
-    *[T.StructField(f.name, T.StringType()) if f.name == "metadata" else f for f in EVENT],
+    *[T.StructField(f.name, T.MapType(T.StringType(), T.StringType())) if f.name == "metadata" else f for f in EVENT],
     T.StructField(_CORRUPT, T.StringType()),
 ])
 #: ISO-8601 with microseconds and offset, so that times survive a round trip.
@@ -74,16 +74,15 @@ def decode(records: DataFrame, value: str = "value") -> DataFrame:
     # stay above it, where a plain column would be copied into every filter.
     out = records.withColumn("_text", F.col(value).cast("string")).select(
         "*", F.inline(F.array(F.struct(parsed.alias("_wire"), F.json_object_keys("_text").alias("_keys")))))
-    inner = F.json_object_keys("_wire.metadata")  # a short text, read once more for its own keys
+    extra = F.coalesce(_unknown(F.map_keys("_wire.metadata"), _METADATA.names), F.lit(False))
     reason = (
         F.when(F.col("_keys").isNull(), "malformed")
-        .when(_unknown(F.col("_keys"), EVENT.names) | F.coalesce(_unknown(inner, _METADATA.names), F.lit(False)),
-              "unknown_field")
-        .when(F.col(f"_wire.{_CORRUPT}").isNotNull()
-              | (F.col("_wire.metadata").isNotNull() & inner.isNull()), "bad_value")
+        .when(_unknown(F.col("_keys"), EVENT.names) | extra, "unknown_field")
+        .when(F.col(f"_wire.{_CORRUPT}").isNotNull(), "bad_value")
     )
+    metadata = F.struct(*[F.col("_wire.metadata").getItem(c).alias(c) for c in _METADATA.names])
     fields = [
-        (F.from_json("_wire.metadata", _METADATA) if c == "metadata" else F.col(f"_wire.{c}")).alias(c)
+        (F.when(F.col("_wire.metadata").isNotNull(), metadata) if c == "metadata" else F.col(f"_wire.{c}")).alias(c)
         for c in EVENT.names
     ]
     return out.withColumns({"event": F.struct(*fields), "reason": reason}).drop("_text", "_wire", "_keys")
