@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the number of local cores. Each query
-runs once to warm up and then twice; the better time counts. Results are
+runs once to warm up and once for the clock. Results are
 computed in full and written to Spark's no-op sink.
 """
 
@@ -40,12 +40,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in sys.argv[1:] or HEADLINE:
-        taken = []
-        for _ in range(3):
+        for _ in range(2):
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-            taken.append(time.perf_counter() - start)
-        times[name] = round(min(taken[1:]), 3)
+            times[name] = round(time.perf_counter() - start, 3)
     rows = spark.read.parquet(f"{folder}/events.parquet").count()
     spark.stop()
     total = round(sum(times.values()), 3)

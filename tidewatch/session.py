@@ -26,6 +26,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    partitions = "spark.sql.shuffle.partitions"
+    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
+        # the untouched default would give one machine 200 state stores per streaming operator
+        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
     return spark
 
 
