@@ -2,8 +2,24 @@
 
 SPACE_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {}
 
+SQL["op2_minhash_neardup"] = rf"""
+with recursive d as (select doc_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') w from documents),
+sets as (select doc_id, list_distinct(case when len(w) >= 3
+             then list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))
+             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) s from d),
+el as (select doc_id, len(s) n, unnest(s) x from sets),
+pair as (select a.doc_id a, b.doc_id b, a.n + b.n - count(*) u, count(*) c
+         from el a join el b on a.x = b.x and a.doc_id <> b.doc_id group by a.doc_id, b.doc_id, a.n, b.n),
+link as (select a, b from pair where 100 * c >= 85 * u),
+reach(doc_id, x) as (select doc_id, doc_id from d union select r.doc_id, l.b from reach r join link l on l.a = r.x)
+select doc_id, len(s)::bigint n_shingles, min(x) component_id, doc_id = min(x) kept
+from sets join reach using (doc_id) group by doc_id, s
+"""
+
 SQL["op10_substring_dedup"] = rf"""
 with d as (select doc_id, {SPACE_WORDS} w from documents),
 win as (select doc_id, i, array_to_string(w[i:i + 12], ' ') s

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substrings
+from . import neardup, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op2_minhash_neardup": op2_minhash_neardup,
     "op10_substring_dedup": op10_substring_dedup,
 }
