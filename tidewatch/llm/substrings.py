@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-PART_BYTES = 16 << 20  # of text to each partition of the hash space, and to each chunk
+PART_BYTES = 16 << 20  # of text to each partition of the hash space
+CHUNK_BYTES = 5 << 20  # of text that a task looks at together
 MAX_BITS = 1 << 28
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -40,15 +41,15 @@ def _owner(h: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Table]:
-    """Batches put together or cut to about PART_BYTES of text."""
+    """Batches put together or cut to about CHUNK_BYTES of text."""
     held, size = [], 0
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         offsets = W.buffers(column)[1]
-        for a, b in W.parts(column, PART_BYTES):
+        for a, b in W.parts(column, CHUNK_BYTES):
             held.append(batch.slice(a, b - a))
             size += int(offsets[b] - offsets[a])
-            if size >= PART_BYTES:
+            if size >= CHUNK_BYTES:
                 yield pa.Table.from_batches(held)
                 held, size = [], 0
     if held:
