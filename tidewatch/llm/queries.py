@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neardup, substrings
+from . import decontaminate, neardup, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,15 @@ def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
 
+def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -23,5 +32,6 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_neardup": op2_minhash_neardup,
+    "op8_suffix_decontamination": op8_suffix_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
