@@ -20,6 +20,17 @@ select doc_id, len(s)::bigint n_shingles, min(x) component_id, doc_id = min(x) k
 from sets join reach using (doc_id) group by doc_id, s
 """
 
+SQL["op5_extendible_sharding"] = f"""
+with d as (select doc_id, strlen(coalesce(text, ''))::bigint n_bytes,
+                  right(('0x' || substr(md5(doc_id::varchar), 1, 15))::bigint::bit::varchar, 60) bits from documents),
+p as (select doc_id, n_bytes, depth::int depth, substr(bits, 1, depth) shard
+      from (select *, unnest(range(0, 61)) depth from d)),
+s as (select shard, depth, sum(n_bytes)::bigint shard_bytes, count(*) shard_rows from p group by all)
+select doc_id, any_value(n_bytes) n_bytes, arg_min(shard, depth) shard, min(depth) depth,
+       arg_min(shard_bytes, depth) shard_bytes, arg_min(shard_rows, depth) shard_rows
+from p join s using (shard, depth) where shard_bytes <= {16 << 20} or shard_rows = 1 group by doc_id
+"""
+
 SQL["op8_suffix_decontamination"] = rf"""
 with d as (select doc_id, regexp_extract_all({FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
 b as (select coalesce(item_id::varchar, '') item_id,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, substrings
+from . import decontaminate, neardup, pii, sharding, substrings
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +16,19 @@ def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans(_table(spark, folder, "documents"))
+    return found.select(
+        "row.doc_id", *(pii.count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.listed(pii.BASE), 256).alias("base_sha256"), pii.listed([*pii.BASE, *pii.EXTRA]).alias("spans"),
+    )
+
+
+def op5_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.shard(_table(spark, folder, "documents"), limit=16 << 20)
+    return found.select("row.doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows")
+
+
 def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select(
@@ -32,6 +45,8 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_neardup": op2_minhash_neardup,
+    "op4_pii": op4_pii,
+    "op5_extendible_sharding": op5_extendible_sharding,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
