@@ -6,6 +6,19 @@ FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 SQL = {}
 
+SQL["op1_warc"] = """
+with p as (select page_id, strlen(coalesce(html, ''))::bigint payload_bytes, sha1(coalesce(html, '')) hex,
+                  unhex(sha1(coalesce(html, '')))::bit::varchar bits, max(page_id) over (partition by coalesce(html, '')) newest
+           from pages)
+select page_id, payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + list_sum(list_transform(range(1, 6), lambda j: substr(bits, (i * 5 + j)::int, 1)::int * (1 << (5 - j)::int)))::int, 1)), '')
+           payload_digest,
+       case when page_id = newest then 'response' else 'revisit' end record_type,
+       case when page_id <> newest then newest end refers_to
+from p
+"""
+
 SQL["op2_minhash_neardup"] = rf"""
 with recursive d as (select doc_id, regexp_extract_all({FOLDED}, '[^\x20\x09-\x0D]+') w from documents),
 sets as (select doc_id, list_distinct(case when len(w) >= 3

@@ -5,13 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, neardup, pii, sharding, substrings
+from tidewatch.session import new_path
+
+from . import decontaminate, neardup, pii, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(_table(spark, folder, "pages"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
@@ -44,6 +52,7 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_minhash_neardup": op2_minhash_neardup,
     "op4_pii": op4_pii,
     "op5_extendible_sharding": op5_extendible_sharding,
