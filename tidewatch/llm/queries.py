@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import new_path
 
-from . import decontaminate, neardup, pii, sharding, substrings, warc
+from . import decontaminate, neardup, pii, quality, sharding, substrings, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op5_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows")
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(_table(spark, folder, "documents")).select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
+
+
 def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return found.select(
@@ -56,6 +61,7 @@ QUERIES = {
     "op2_minhash_neardup": op2_minhash_neardup,
     "op4_pii": op4_pii,
     "op5_extendible_sharding": op5_extendible_sharding,
+    "op7_quality_rules": op7_quality_rules,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op10_substring_dedup": op10_substring_dedup,
 }
