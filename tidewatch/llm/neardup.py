@@ -34,7 +34,7 @@ from tidewatch.session import materialise
 from . import words as W
 from .components import components
 
-BLOCK = 256  # classes of a bucket that are compared with each other at a time
+BLOCK = 1024  # classes of a bucket that are compared with each other at a time
 GROUP = 20_000  # signatures in one task of step 5
 BROADCAST = 1_000_000  # ids that may be broadcast (8 MB); more are joined by a shuffle
 
@@ -106,6 +106,7 @@ def _bands(bands: int, rows: int):
             yield pa.record_batch({
                 "node": pa.array(np.repeat(batch.column(0).to_numpy(), bands), pa.int64()),
                 "key": pa.array(key.ravel().view(np.int64), pa.int64()),
+                "band": pa.array(np.tile(np.arange(bands, dtype=np.int32), len(sig))),
             })
     return run
 
@@ -145,12 +146,15 @@ def _prune(k: int, step: int, need: list[int]):
     return run
 
 
-def _compare_blocks(k: int, step: int, need: list[int]):
-    """Pairs of classes of different components, from blocks of one bucket; ``side`` says which block a row is of."""
+def _compare_blocks(k: int, rows_each: int, step: int, need: list[int]):
+    """Pairs of classes of different components, from blocks of one bucket; ``side`` says which block a row is of.
+
+    A pair that shares several buckets is given by the first one only.
+    """
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         key, i, j, side, node, comp = (table[c].to_numpy() for c in ("key", "i", "j", "side", "node", "component"))
-        sig = _signatures(table["sig"], k)
+        sig, band = _signatures(table["sig"], k), table["band"].to_numpy()
         order = np.lexsort((side, j, i, key))
         cell = np.stack([key, i, j])[:, order]
         head = np.flatnonzero(np.r_[True, (cell[:, 1:] != cell[:, :-1]).any(axis=0)])
@@ -165,7 +169,10 @@ def _compare_blocks(k: int, step: int, need: list[int]):
             x, y = x[differ], y[differ]
             for c in range(0, len(x), 8192):
                 keep = _plausible(sig[x[c:c + 8192]], sig[y[c:c + 8192]], step, need) + c
-                found.append(np.stack([node[x[keep]], node[y[keep]]]))
+                one, two = x[keep], y[keep]
+                shared = (sig[one] == sig[two]).reshape(len(one), -1, rows_each).all(axis=2)
+                own = shared.argmax(axis=1) == band[one]
+                found.append(np.stack([node[one[own]], node[two[own]]]))
         pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
         return pa.table({"a": pa.array(pairs.min(axis=0), pa.int64()), "b": pa.array(pairs.max(axis=0), pa.int64())})
     return run
@@ -217,7 +224,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
         described.where("doc_id is not null and n_shingles > 0")
         .groupBy("digest").agg(F.min("doc_id").alias("node"), F.any_value("sig").alias("sig"),
                                F.any_value("n_shingles").alias("n")), "classes")
-    in_bands = classes.select("node", "sig").mapInArrow(_bands(bands, rows), "node long, key long")
+    in_bands = classes.select("node", "sig").mapInArrow(_bands(bands, rows), "node long, key long, band int")
     buckets = materialise(
         in_bands.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size"))
         .where("lo <> hi"), "buckets")
@@ -236,8 +243,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
 
     # what the stars of the buckets left open
     rest = (
-        in_bands.join(buckets.where("size > 3"), "key").where("node <> lo and node <> hi").select("key", "node")
-        .join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+        in_bands.join(buckets.where("size > 3"), "key").where("node <> lo and node <> hi").select("key", "band", "node")
+        .join(joined, "node", "left").select("key", "band", "node", F.coalesce("component", "node").alias("component"))
     )
     mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                     F.count("*").alias("size")).where("x <> y").select("key", "size")
@@ -245,16 +252,16 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     cells = rest.withColumn("blocks", blocks).withColumn("block", block).select(
-        "key", "node", "component",
+        "key", "band", "node", "component",
         F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
             F.least("block", o).alias("i"), F.greatest("block", o).alias("j"),
             F.when(F.col("block") <= o, 0).otherwise(1).alias("side")))).alias("c"),
-    ).select("key", "node", "component", "c.*")
+    ).select("key", "band", "node", "component", "c.*")
     groups = 1 + cells.count() // GROUP
     open_pairs = (
         cells.join(side.select("node", "sig"), "node")
         .groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("g"))
-        .applyInArrow(_compare_blocks(k, step, need), "a long, b long").distinct()
+        .applyInArrow(_compare_blocks(k, rows, step, need), "a long, b long").distinct()
     )
     more = materialise(_confirmed(open_pairs, own, width, percent), "links")
     if not more.isEmpty():
