@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import new_path
 
-from . import decontaminate, neardup, pii, quality, sharding, substrings, warc
+from . import decontaminate, neardup, pii, quality, segment, sharding, substrings, tokencount, warc
+
+#: A public vocabulary of 32,000 pieces; any SentencePiece model file will do.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +27,16 @@ def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, folder, "documents"), width=3, percent=85)
 
 
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Encode with the 4 best segmentations, decode the best, compare with the text."""
+    encoded = segment.encode(_table(spark, folder, "documents"), VOCABULARY).select(
+        "row.doc_id", "row.text", "ids", "score", F.transform("others", lambda o: o["score"]).alias("other_scores"),
+        F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"))
+    return segment.decode(encoded, VOCABULARY).select(
+        "row.doc_id", "row.n_pieces", "row.score", "row.other_scores", "row.ids_hash",
+        (F.coalesce("row.text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.spans(_table(spark, folder, "documents"))
     return found.select(
@@ -51,6 +64,11 @@ def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokencount.token_counts(_table(spark, folder, "documents"), VOCABULARY).select(
+        "row.doc_id", "n_pretokens", "n_tokens")
+
+
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(_table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -59,9 +77,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_minhash_neardup": op2_minhash_neardup,
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_pii": op4_pii,
     "op5_extendible_sharding": op5_extendible_sharding,
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_decontamination": op8_suffix_decontamination,
+    "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
 }
