@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import new_path
 
-from . import decontaminate, neardup, pii, quality, segment, sharding, substrings, tokencount, warc
+from . import decontaminate, lbl, neardup, pii, quality, segment, sharding, substrings, tokencount, warc
 
 #: A public vocabulary of 32,000 pieces; any SentencePiece model file will do.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -50,6 +50,10 @@ def op5_extendible_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows")
 
 
+def op6_lbl_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lbl.language_model(_table(spark, folder, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_table(spark, folder, "documents")).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
@@ -80,6 +84,7 @@ QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_pii": op4_pii,
     "op5_extendible_sharding": op5_extendible_sharding,
+    "op6_lbl_scores": op6_lbl_scores,
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op9_token_counts": op9_token_counts,
