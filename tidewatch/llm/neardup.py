@@ -11,7 +11,8 @@
    each other in blocks of bounded size (signatures first, full sets for survivors). Classes of one
    component need no further link. So every pair that shares a bucket is linked, or rejected, or already connected.
 
-A pair at the threshold shares no bucket with probability (1 - t ** rows) ** bands, 4e-7 by default.
+There are as many bands as it takes for a pair at the threshold t to share no bucket with a probability of
+(1 - t ** rows) ** bands <= ``miss``.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; a row with a null id is linked
 with nothing, has no component and is kept; rows with equal ids are one document, linked if any of their texts is; an
@@ -21,7 +22,7 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -213,9 +214,11 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
-                    bands: int = 25, rows: int = 5, miss: float = 1e-6) -> DataFrame:
+                    rows: int = 5, miss: float = 1e-6) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row; ``percent`` is the least similarity in per cent."""
-    k, step = bands * rows, 25
+    step = 5 * rows
+    bands = 5 * ceil(log(miss) / log(1 - (percent / 100) ** rows) / 5)
+    k = bands * rows
     need = least_agreements(list(range(step, k + 1, step)), percent / 100, miss)
     own = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = materialise(
@@ -276,3 +279,9 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
                 .otherwise(F.col("doc_id")).alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", **how) -> DataFrame:
+    """All columns of the rows that ``near_duplicates`` keeps."""
+    gone = materialise(near_duplicates(docs, id, **how).where(~F.col("kept")).select(F.col("doc_id").alias(id)).distinct(), "gone")
+    return docs.join(F.broadcast(gone) if gone.count() <= BROADCAST else gone, id, "left_anti").select(docs.columns)
