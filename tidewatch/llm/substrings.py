@@ -168,38 +168,65 @@ def _send_windows(bitmap, parts: int, size: int, owners: int, anchor: int, width
     return run
 
 
-def _judge(table: pa.Table) -> pa.Table:
-    """Window starts to remove, as runs for each document."""
-    ids, keys, at, h = [], [], [], []
-    gone_ids, gone_keys, gone_at = [], [], []
-    for docs, prints, places, done in zip(*(table[c].to_pylist() for c in ("docs", "h", "at", "done")), strict=True):
-        docs = np.frombuffer(docs, np.int64).reshape(2, -1)
-        places = np.frombuffer(places, np.int32).reshape(2, -1)
-        to = (gone_ids, gone_keys, gone_at) if done else (ids, keys, at)
-        for where, what in zip(to, (docs[0][places[0]], docs[1][places[0]], places[1]), strict=True):
-            where.append(what)
-        h.append(np.frombuffer(prints, np.uint64))
-    if ids:
-        one, key, place, h = (np.concatenate(x) for x in (ids, keys, at, h))
-        order = np.lexsort((one, h))
-        one, key, place, h = one[order], key[order], place[order], h[order]
-        head = np.r_[True, h[1:] != h[:-1]]
-        later = one > one[np.maximum.accumulate(np.where(head, np.arange(len(h)), 0))]
-        gone_ids.append(one[later])
-        gone_keys.append(key[later])
-        gone_at.append(place[later])
-    one, key, place = (np.concatenate(x) for x in (gone_ids, gone_keys, gone_at))
-    order = np.lexsort((place, key, one))
-    one, key, place = one[order], key[order], place[order].astype(np.int32)
-    fresh = np.r_[True, (one[1:] != one[:-1]) | (key[1:] != key[:-1])] if len(one) else np.empty(0, bool)
-    run = np.flatnonzero(fresh | np.r_[True, np.diff(place) > 1][:len(one)])
-    last = np.r_[run[1:], len(one)] - 1 if len(run) else run
-    run_doc = np.flatnonzero(fresh[run]) if len(run) else run
-    ends = np.r_[run_doc[1:], len(run)] if len(run) else run
-    runs = np.stack([place[run], place[last] + 1], axis=1).astype(np.int32)
+def _runs(one: np.ndarray, key: np.ndarray, begin: np.ndarray, end: np.ndarray):
+    """Sorted by document: ids, text keys and number of runs of each, and the joined runs."""
+    order = np.lexsort((end, begin, key, one))
+    one, key, begin, end = one[order], key[order], begin[order], end[order]
+    fresh = np.r_[True, (one[1:] != one[:-1]) | (key[1:] != key[:-1])][:len(one)]
+    head = np.flatnonzero(fresh | np.r_[True, begin[1:] > end[:-1]][:len(one)])
+    if not len(head):
+        return one, key, np.empty(0, np.int64), np.empty((0, 2), np.int32)
+    runs = np.stack([begin[head], np.maximum.reduceat(end, head)], axis=1).astype(np.int32)
+    docs = np.flatnonzero(fresh[head])
+    return one[head[docs]], key[head[docs]], np.diff(docs, append=len(head)), runs
+
+
+def _judge(groups: int):
+    """Window starts to remove, as runs, in one row for each group of documents."""
+    def run(table: pa.Table) -> pa.Table:
+        live, gone = ([], [], [], []), ([], [], [])
+        for docs, prints, places, done in zip(*(table[c].to_pylist() for c in ("docs", "h", "at", "done")), strict=True):
+            docs = np.frombuffer(docs, np.int64).reshape(2, -1)
+            places = np.frombuffer(places, np.int32).reshape(2, -1)
+            row = (docs[0][places[0]], docs[1][places[0]], places[1], np.frombuffer(prints, np.uint64))
+            for where, what in zip(gone if done else live, row, strict=False):
+                where.append(what)
+        if live[0]:
+            one, key, place, h = (np.concatenate(x) for x in live)
+            order = np.lexsort((one, h))
+            one, key, place, h = one[order], key[order], place[order], h[order]
+            head = np.r_[True, h[1:] != h[:-1]]
+            later = one > one[np.maximum.accumulate(np.where(head, np.arange(len(h)), 0))]
+            for where, what in zip(gone, (one, key, place), strict=True):
+                where.append(what[later])
+        one, key, place = (np.concatenate(x) for x in gone)
+        one, key, count, runs = _runs(one, key, place, place + 1)
+        group = (W.mix(one.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
+        first = np.cumsum(count) - count
+        rows = {"group": [], "docs": [], "runs": []}
+        order = np.argsort(group, kind="stable")
+        cut = np.searchsorted(group[order], np.arange(groups + 1))
+        for g in np.flatnonzero(np.diff(cut)):
+            d = order[cut[g]:cut[g + 1]]
+            n = count[d]
+            at = np.repeat(first[d] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            rows["group"].append(int(g))
+            rows["docs"].append(np.stack([one[d], key[d], n]).tobytes())
+            rows["runs"].append(runs[at].tobytes())
+        return pa.table({"group": pa.array(rows["group"], pa.int64()), "docs": pa.array(rows["docs"], pa.binary()),
+                         "runs": pa.array(rows["runs"], pa.binary())})
+    return run
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """All runs of each document of a group."""
+    docs = np.concatenate([np.frombuffer(x, np.int64).reshape(3, -1) for x in table["docs"].to_pylist()], axis=1)
+    runs = np.concatenate([np.frombuffer(x, np.int32).reshape(-1, 2) for x in table["runs"].to_pylist()])
+    one, key, count, runs = _runs(np.repeat(docs[0], docs[2]), np.repeat(docs[1], docs[2]), runs[:, 0], runs[:, 1])
+    end = np.cumsum(count)
     return pa.table({
-        "doc_id": pa.array(one[run[run_doc]], pa.int64()), "text_key": pa.array(key[run[run_doc]], pa.int64()),
-        "runs": pa.array([runs[a:b].tobytes() for a, b in zip(run_doc, ends, strict=True)], pa.binary()),
+        "doc_id": pa.array(one, pa.int64()), "text_key": pa.array(key, pa.int64()),
+        "runs": pa.array([runs[b - n:b].tobytes() for b, n in zip(end, count, strict=True)], pa.binary()),
     })
 
 
@@ -213,8 +240,7 @@ def _cut_out(width: int):
                 gone = np.zeros(len(w.hash), bool)
                 for k, pieces in enumerate(part.column(2).to_pylist()):
                     if pieces:
-                        runs = np.concatenate([np.frombuffer(p, np.int32) for p in pieces]).reshape(-1, 2)
-                        for x, y in runs:
+                        for x, y in np.frombuffer(pieces, np.int32).reshape(-1, 2):
                             gone[first[k] + x:first[k] + y + width - 1] = True
                 # kept words with one blank between them, copied as bytes
                 kept = np.flatnonzero(~gone)
@@ -262,8 +288,8 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     return (
         own.mapInArrow(_send_windows(shared, parts, size, parts, anchor, width),
                        "part long, docs binary, h binary, at binary, done boolean")
-        .groupBy("part").applyInArrow(_judge, "doc_id long, text_key long, runs binary")
-        .groupBy("doc_id", "text_key").agg(F.collect_list("runs").alias("runs"))
+        .groupBy("part").applyInArrow(_judge(parts), "group long, docs binary, runs binary")
+        .groupBy("group").applyInArrow(_gather, "doc_id long, text_key long, runs binary")
     )
 
 
