@@ -171,7 +171,7 @@ def _compare_blocks(k: int, rows_each: int, step: int, need: list[int]):
             for c in range(0, len(x), 8192):
                 keep = _plausible(sig[x[c:c + 8192]], sig[y[c:c + 8192]], step, need) + c
                 one, two = x[keep], y[keep]
-                shared = (sig[one] == sig[two]).reshape(len(one), -1, rows_each).all(axis=2)
+                shared = (sig[one] == sig[two]).reshape(len(one), k // rows_each, rows_each).all(axis=2)
                 own = shared.argmax(axis=1) == band[one]
                 found.append(np.stack([node[one[own]], node[two[own]]]))
         pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
