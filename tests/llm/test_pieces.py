@@ -1,5 +1,6 @@
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import pieces, segment, tokencount
 from tidewatch.llm.queries import VOCABULARY
@@ -26,18 +27,13 @@ def _all(v, text):
             if k is not None:
                 go(j, score + int(v.score[k]), [*ids, int(v.id[k])])
             elif j == i + 1:
-                own = v.char_ids(part[0])
+                own = [int(v.bytes[b]) for b in ("▁" if part[0] == pieces.LITERAL else chr(part[0])).encode()]
                 go(j, score + len(own) * int(v.byte_score), ids + own)
 
     go(0, 0, [])
     return sorted(out, key=lambda x: -x[0])
 
 
-def _ids(row):
-    """Ids of the best and the other segmentations."""
-    return [row.ids]
-
-
 def test_n_best_equal_all_segmentations(spark, vocabulary):
     texts = ["ab cd", "", None, "  x", "hello ", "the\ncat▁s", "日本 ñu", "   ", "a", "a a a a", "\x00😀"]
     rows = segment.encode(H.documents(spark, texts), VOCABULARY, n=5).collect()
@@ -53,7 +49,7 @@ def test_n_best_equal_all_segmentations(spark, vocabulary):
 
 def test_round_trip_and_counts(spark):
     docs = H.documents(spark, H.AWKWARD)
-    encoded = segment.encode(docs, VOCABULARY).select("row.*", "score", F_ids())
+    encoded = segment.encode(docs, VOCABULARY).select("row.doc_id", "score", F.col("ids").alias("best"))
     back = {r.row.doc_id: r.decoded for r in segment.decode(encoded, VOCABULARY, ids="best").collect()}
     assert back == {k: t or "" for k, t in enumerate(H.AWKWARD)}
     counts = {r.row.doc_id: r.n_tokens for r in tokencount.token_counts(docs, VOCABULARY).collect()}
@@ -62,12 +58,6 @@ def test_round_trip_and_counts(spark):
     assert tokencount.token_counts(docs.limit(0), VOCABULARY).collect() == []
 
 
-def F_ids():
-    from pyspark.sql import functions as F
-
-    return F.col("`ids`").alias("best")
-
-
 def test_trie_counts_equal_single_words(vocabulary):
     t = pieces.tokens(pa.array(["an ant anteater antenna anteater's  antics ñ ññ", "another ant"]))
     for rows, chars in pieces.by_length(t):

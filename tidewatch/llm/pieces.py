@@ -19,6 +19,7 @@ from . import words as W
 
 BLANK = 0x2581
 LITERAL = 0x110000  # stands for a U+2581 of the text
+ZERO = 0x110001  # stands for a U+0000 of the text, as 0 fills up rows
 UNIT = 100_000
 NEVER = np.int64(-(1 << 50))
 PARTS = 4 << 20
@@ -91,11 +92,12 @@ class Vocabulary:
 
     def char_bytes(self, c: np.ndarray) -> np.ndarray:
         """UTF-8 bytes of each character."""
-        return np.where(c == LITERAL, 3, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)).astype(np.int64)
+        size = 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF)
+        return np.where(c == LITERAL, 3, np.where(c == ZERO, 1, size)).astype(np.int64)
 
     def char_ids(self, c: int) -> list[int]:
         """Byte pieces of a character."""
-        return [int(self.bytes[b]) for b in chr(BLANK if c == LITERAL else c).encode()]
+        return [int(self.bytes[b]) for b in chr({LITERAL: BLANK, ZERO: 0}.get(c, c)).encode()]
 
 
 def step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -156,7 +158,7 @@ def tokens(column: pa.Array) -> Tokens:
     chars = np.full(int(first[-1]), BLANK, np.uint32)
     k = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     taken = points[np.repeat(begin, count) + k]
-    chars[np.repeat(first[:-1] + blanks, count) + k] = np.where(taken == BLANK, LITERAL, taken)
+    chars[np.repeat(first[:-1] + blanks, count) + k] = np.where(taken == BLANK, LITERAL, np.where(taken == 0, ZERO, taken))
     return Tokens(chars, first, number.ravel(), np.searchsorted(doc, np.arange(n + 1)))
 
 

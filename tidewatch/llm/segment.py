@@ -102,7 +102,7 @@ def _best(v: P.Vocabulary, chars: np.ndarray):
 def n_best(v: P.Vocabulary, chars: list[int], n: int) -> list[tuple[int, list[int]]]:
     """The n best segmentations of a string: scores and ids. Forward Viterbi, then A-star from the end."""
     size = len(chars)
-    text = "".join(chr(c) if c != P.LITERAL else "\0" for c in chars)  # no piece has a zero character
+    text = "".join(chr(c) if c < P.LITERAL else "\0" for c in chars)  # no piece has a zero character
 
     def arcs(j):
         """Pieces that end at ``j``: where they start, their score and ids."""
