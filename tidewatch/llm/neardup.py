@@ -8,7 +8,7 @@
    that its similarity reaches the threshold, given the agreements so far and a uniform prior, is below ``miss``.
 4. Survivors are confirmed on their full sets, from their texts. Links give components.
 5. What step 2 did not pair: in buckets of four classes and more, classes of different components are compared with
-   each other in blocks of bounded size (signatures first, full sets for survivors). Classes of one
+   each other in blocks of bounded size (signatures first, full sets for survivors), and only links leave a block. Classes of one
    component need no further link. So every pair that shares a bucket is linked, or rejected, or already connected.
 
 There are as many bands as it takes for a pair at the threshold t to share no bucket with a probability of
@@ -36,7 +36,7 @@ from . import words as W
 from .components import components
 
 BLOCK = 1024  # classes of a bucket that are compared with each other at a time
-GROUP = 20_000  # signatures in one task of step 5
+GROUP = 4_000  # classes in one task of step 5
 BROADCAST = 1_000_000  # ids that may be broadcast (8 MB); more are joined by a shuffle
 
 _rng = np.random.default_rng(7)
@@ -147,35 +147,69 @@ def _prune(k: int, step: int, need: list[int]):
     return run
 
 
-def _compare_blocks(k: int, rows_each: int, step: int, need: list[int]):
-    """Pairs of classes of different components, from blocks of one bucket; ``side`` says which block a row is of.
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets share enough."""
+    if not len(x) or 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort()
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared)
 
-    A pair that shares several buckets is given by the first one only.
+
+def _link_blocks(k: int, rows_each: int, step: int, need: list[int], width: int, percent: int):
+    """Links between classes of different components, from blocks of one bucket; ``side`` says which block a row is of.
+
+    A pair that shares several buckets is looked at in the first one only. Plausible pairs are confirmed on the full sets
+    here, so that only links leave the task, and no link inside what earlier links have joined.
     """
+    def pairs(left, right, same, comp, n, sig, band):
+        """Plausible pairs of rows, some thousands at a time."""
+        x, y = np.triu_indices(len(left), 1) if same else (v.ravel() for v in np.indices((len(left), len(right))))
+        x, y = left[x], (left if same else right)[y]
+        near = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
+        x, y = x[near], y[near]
+        for c in range(0, len(x), 8192):
+            one, two = x[c:c + 8192], y[c:c + 8192]
+            keep = _plausible(sig[one], sig[two], step, need)
+            one, two = one[keep], two[keep]
+            shared = (sig[one] == sig[two]).reshape(len(one), k // rows_each, rows_each).all(axis=2)
+            own = shared.argmax(axis=1) == band[one]
+            yield from zip(one[own].tolist(), two[own].tolist(), strict=True)
+
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        key, i, j, side, node, comp = (table[c].to_numpy() for c in ("key", "i", "j", "side", "node", "component"))
-        sig, band = _signatures(table["sig"], k), table["band"].to_numpy()
+        key, i, j, side, node, comp, n, band = (
+            table[c].to_numpy() for c in ("key", "i", "j", "side", "node", "component", "n", "band"))
+        sig, text = _signatures(table["sig"], k), table["text"].combine_chunks()
+        sets: dict[int, np.ndarray] = {}
+        above: dict[int, int] = {}
+
+        def set_of(row: int) -> np.ndarray:
+            if row not in sets:
+                sets[row] = shingle_sets(text.slice(row, 1), width)[0]
+            return sets[row]
+
+        def top(c: int) -> int:
+            while c in above:
+                c = above[c]
+            return c
+
         order = np.lexsort((side, j, i, key))
         cell = np.stack([key, i, j])[:, order]
         head = np.flatnonzero(np.r_[True, (cell[:, 1:] != cell[:, :-1]).any(axis=0)])
         found = []
         for a, b in zip(head, np.r_[head[1:], len(order)], strict=True):
             rows = order[a:b]
-            left, right = rows[side[rows] == 0], rows[side[rows] == 1]
+            sets.clear()
             same = i[rows[0]] == j[rows[0]]
-            x, y = np.triu_indices(len(left), 1) if same else (v.ravel() for v in np.indices((len(left), len(right))))
-            x, y = left[x], (left if same else right)[y]
-            differ = comp[x] != comp[y]
-            x, y = x[differ], y[differ]
-            for c in range(0, len(x), 8192):
-                keep = _plausible(sig[x[c:c + 8192]], sig[y[c:c + 8192]], step, need) + c
-                one, two = x[keep], y[keep]
-                shared = (sig[one] == sig[two]).reshape(len(one), k // rows_each, rows_each).all(axis=2)
-                own = shared.argmax(axis=1) == band[one]
-                found.append(np.stack([node[one[own]], node[two[own]]]))
-        pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs.min(axis=0), pa.int64()), "b": pa.array(pairs.max(axis=0), pa.int64())})
+            for x, y in pairs(rows[side[rows] == 0], rows[side[rows] == 1], same, comp, n, sig, band):
+                one, two = top(int(comp[x])), top(int(comp[y]))
+                if one != two and _similar(set_of(x), set_of(y), percent):
+                    above[max(one, two)] = min(one, two)
+                    found.append((int(node[x]), int(node[y])))
+        ends = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(ends.min(axis=1), pa.int64()), "b": pa.array(ends.max(axis=1), pa.int64())})
     return run
 
 
@@ -189,22 +223,20 @@ def _confirm(width: int, percent: int):
                 sets += shingle_sets(texts.slice(a, b - a), width)
             linked = np.zeros(batch.num_rows, bool)
             for k, (x, y) in enumerate(zip(one.indices.to_pylist(), two.indices.to_pylist(), strict=True)):
-                x, y = sets[x], sets[len(one.dictionary) + y]
-                if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)) and len(x):
-                    both = np.concatenate([x, y])
-                    both.sort()
-                    shared = int((both[1:] == both[:-1]).sum())
-                    linked[k] = 100 * shared >= percent * (len(both) - shared)
+                linked[k] = _similar(sets[x], sets[len(one.dictionary) + y], percent)
             yield batch.select([0, 1]).filter(pa.array(linked))
     return run
 
 
+def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """Texts of some ids; the ids are broadcast only if they are few."""
+    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST else ids, "doc_id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
     pairs = materialise(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct()
-    small = 2 * pairs.count() <= BROADCAST
-    texts = texts.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+    texts = _texts_of(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), texts)
     return (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
@@ -261,12 +293,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
             F.when(F.col("block") <= o, 0).otherwise(1).alias("side")))).alias("c"),
     ).select("key", "band", "node", "component", "c.*")
     groups = 1 + cells.count() // GROUP
-    open_pairs = (
-        cells.join(side.select("node", "sig"), "node")
+    texts = _texts_of(rest.select(F.col("node").alias("doc_id")).distinct(), own)
+    more = materialise(
+        cells.join(side, "node").join(texts.withColumnRenamed("doc_id", "node"), "node")
         .groupBy(F.pmod(F.xxhash64("key", "i", "j"), F.lit(groups)).alias("g"))
-        .applyInArrow(_compare_blocks(k, rows, step, need), "a long, b long").distinct()
-    )
-    more = materialise(_confirmed(open_pairs, own, width, percent), "links")
+        .applyInArrow(_link_blocks(k, rows, step, need, width, percent), "a long, b long").distinct(), "links")
     if not more.isEmpty():
         joined = materialise(components(joined.toDF("a", "b").unionAll(more)), "components")
 
