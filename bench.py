@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -20,7 +21,7 @@ from tidewatch.catalog.queries import QUERIES  # noqa: E402
 HEADLINE = [
     "throughput_drop", "latency_spike", "latency_spike_grid", "session_anomalies", "anomaly_reports",
     "tumbling_stats", "sliding_p99", "p99_by_service", "error_rate", "heatmap", "events_per_second",
-    "latency_histogram", "events_by_status", "json_round_trip", "decode_quarantine", "dedupe", "late_rows",
+    "latency_histogram", "events_by_status", "json_round_trip", "decode_quarantine", "dedupe",
     "label_hits", "scale_advice", "report_docs",
     "stream_throughput_drop", "stream_latency_spike_grid", "stream_sessions",
 ]
@@ -32,6 +33,7 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))  # one machine; a cluster sets a shared folder
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

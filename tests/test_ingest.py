@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.helpers import T0, at, event, table
 from tidewatch.plans.evaluation import required_violations
 from tidewatch.schemas import EVENT
-from tidewatch.sources import ingest, shardlog
+from tidewatch.sources import ingest
 
 
 def texts(spark, *values):
@@ -32,6 +32,13 @@ def test_bad_json_is_set_aside_and_the_rest_goes_on(spark):
     ({"latency_ms": "slow"}, "bad_value"),
     ({"timestamp": "yesterday"}, "bad_value"),
     ({"metadata": "none"}, "bad_value"),
+    ({"metadata": {"client": {"a": 1}, "version": "v1"}}, "bad_value"),
+    ({"metadata": {"client": ["a"], "version": "v1"}}, "bad_value"),
+    ({"metadata": {"client": "{web", "version": 5}}, None),
+    ({"timestamp": 1704067201000}, "bad_value"),
+    ({"timestamp": "1704067201000"}, "bad_value"),
+    ({"timestamp": "2024-01-01T02:00:00Z"}, None),
+    ({"timestamp": None}, None),
     ({"metadata": None}, None),
     ({"timestamp": "2024-01-01T02:00:00+02:00"}, None),
 ])
@@ -78,80 +85,6 @@ def test_source_and_sink_options():
     assert sink["kafka.batch.size"] == "65536" and sink["kafka.acks"] == "all"
 
 
-# --- sharded log
-
-def shard_rows(n=1000, hot=0.7):
-    """Records of three shards; one holds most of them."""
-    rows, seq = [], {"a": 0, "b": 0, "c": 0}
-    for i in range(n):
-        s = "a" if i % 10 < hot * 10 else ("b" if i % 2 else "c")
-        rows.append((s, seq[s], json.dumps({"i": i}), T0 + timedelta(seconds=i)))
-        seq[s] += 1
-    return rows
-
-
-@pytest.fixture()
-def log(spark, tmp_path):
-    path = str(tmp_path / "log")
-    shardlog.write_log(spark.createDataFrame(shard_rows(), shardlog.SCHEMA), path, block=100)
-    shardlog.register(spark)
-    return path
-
-
-def read(spark, path, **options):
-    return spark.read.format("shardlog").options(path=path, block=100, **options).load()
-
-
-def test_a_log_is_read_whole_and_a_hot_shard_by_many_tasks(spark, log):
-    df = read(spark, log, maxRecordsPerRead=500)
-    assert sorted(tuple(r)[:3] for r in df.collect()) == sorted(r[:3] for r in shard_rows())
-    hot = shardlog.ShardTable(shardlog.ShardFiles(log), {"block": "100"}).partitions()
-    assert sum(p.shard == "a" for p in hot) == 7
-
-
-def test_start_positions_of_a_log(spark, log):
-    assert read(spark, log, position="LATEST").count() == 0
-    later = read(spark, log, position="AT_TIMESTAMP", at=(T0 + timedelta(seconds=600)).isoformat())
-    assert later.count() == 400
-    assert later.agg(F.min("arrival")).first()[0] == (T0 + timedelta(seconds=600)).replace(tzinfo=None)
-
-
-def test_a_log_stream_resumes_after_its_last_number(spark, log, tmp_path):
-    from tidewatch.streaming.runner import run_to_end
-
-    def run():
-        stream = spark.readStream.format("shardlog").options(path=log, block=100).load()
-        run_to_end(stream, str(tmp_path / "out"), str(tmp_path / "ck"))
-        return spark.read.parquet(str(tmp_path / "out"))
-
-    assert run().count() == 1000
-    more = [("a", 700 + i, "{}", T0 + timedelta(hours=1)) for i in range(5)] + [("d", 0, "{}", T0)]
-    shardlog.write_log(spark.createDataFrame(more, shardlog.SCHEMA), log, block=100)
-    out = run()
-    assert out.count() == 1006
-    assert out.select("shard_id", "sequence_number").distinct().count() == 1006
-
-
-def test_a_log_stream_can_be_paced_and_restarted(spark, log, tmp_path):
-    def run(sizes):
-        stream = spark.readStream.format("shardlog").options(
-            path=log, block=100, maxRecordsPerShard=300, paceFile=str(tmp_path / "pace.json")).load()
-        query = (stream.writeStream.option("checkpointLocation", str(tmp_path / "ck"))
-                 .foreachBatch(lambda batch, _: sizes.append(batch.count())).start())
-        try:
-            query.processAllAvailable()
-        finally:
-            query.stop()
-
-    first, second = [], []
-    run(first)
-    assert sum(first) == 1000 and max(first) <= 900 and len([n for n in first if n]) >= 3
-    more = [("a", 700 + i, "{}", T0) for i in range(400)]
-    shardlog.write_log(spark.createDataFrame(more, shardlog.SCHEMA), log, block=100)
-    run(second)
-    assert sum(second) == 400 and max(second) == 300
-
-
 def test_resume_after_checkpoints(spark):
     records = spark.createDataFrame(
         [(s, i, at(f"0:00:{i}")) for s in "ab" for i in range(10)],
@@ -165,3 +98,9 @@ def test_resume_after_checkpoints(spark):
     assert counts("TRIM_HORIZON") == {"a": 3, "b": 10}
     assert counts("LATEST") == {"a": 3}
     assert counts("AT_TIMESTAMP", F.lit(at("0:00:8"))) == {"a": 3, "b": 2}
+
+
+def test_events_without_an_id_are_copies_only_if_equal(spark):
+    rows = [event(i, T0 + timedelta(seconds=i), event_id=None) for i in range(5)] + [event(7, "0:00:09")] * 2
+    ev = table(spark, rows + rows[:1])
+    assert ingest.dedupe(ev).count() == 6

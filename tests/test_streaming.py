@@ -9,7 +9,7 @@ from tidewatch.operators import detectors, windows
 from tidewatch.operators.sessions import sessions
 from tidewatch.sources import ingest
 from tidewatch.streaming import pipeline, sinks
-from tidewatch.streaming.progress import ProgressRecorder, progress_table
+from tidewatch.streaming.progress import ProgressRecorder
 from tidewatch.streaming.runner import run_to_end
 
 
@@ -63,10 +63,27 @@ def test_late_rows_leave_by_the_previous_watermark(spark, tmp_path):
     ids = iter(range(100))
     write_files(spark, tmp_path / "in", [[event(next(ids), t) for t in b] for b in batches])
     stream = ingest.with_watermark(file_stream(spark, tmp_path / "in"))
+    recorder = ProgressRecorder(spark, str(tmp_path / "progress"))
+    spark.streams.addListener(recorder)
     got, query = run_batches(windows.events_per_window(stream, 60), tmp_path / "out", tmp_path / "ck")
+    recorder.wait(query)
+    spark.streams.removeListener(recorder)
     counts = {str(r["window_start"])[11:16]: r["event_count"] for r in got}
     assert counts == {"00:00": 1, "00:04": 2, "00:05": 2}
-    assert progress_table(query).agg(F.sum("late_rows")).first()[0] == 1
+    assert recorder.table().agg(F.sum("late_rows")).first()[0] == 1
+
+
+def test_progress_of_more_batches_than_spark_remembers(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    recorder = ProgressRecorder(spark, str(tmp_path / "progress"))
+    try:
+        write_files(spark, tmp_path / "in", [[event(f"{n}-{i}", T0 + timedelta(seconds=n)) for i in range(5)] for n in range(8)])
+        spark.streams.addListener(recorder)
+        recorder.wait(run_batches(file_stream(spark, tmp_path / "in"), tmp_path / "out", tmp_path / "ck")[1])
+    finally:
+        spark.streams.removeListener(recorder)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert recorder.table().agg(F.sum("input_rows")).first()[0] == 40
 
 
 def test_duplicates_are_kept_once(spark, tmp_path):
@@ -125,7 +142,8 @@ def test_failed_summaries_do_not_stop_the_stream(spark, tmp_path):
 
     batch = anomaly_table(spark, [{"service": "a", "anomaly_type": "throughput_drop", "detected_at": T0,
                                    "window_start": T0, "window_end": T0}])
-    sinks.summary_writer(str(blocked))(batch, 0)  # logs, does not raise
+    sinks.summary_writer(str(blocked))(batch, 0)  # logs, does not raise, keeps the batch
+    assert spark.read.parquet(f"{blocked}_failed").count() == 1
 
 
 def test_whole_job(spark, tmp_path):
@@ -137,7 +155,7 @@ def test_whole_job(spark, tmp_path):
     def alerts(batch, batch_id):  # a folder per call, as file writers cannot share one at a time
         sinks.message_writer({"path": str(tmp_path / "alerts" / uuid.uuid4().hex)}, "parquet")(batch, batch_id)
 
-    recorder = ProgressRecorder()
+    recorder = ProgressRecorder(spark, str(tmp_path / "progress"))
     spark.streams.addListener(recorder)
     stream = spark.readStream.schema("key string, value string").parquet(str(tmp_path / "in"))
     queries = pipeline.start(stream, str(tmp_path / "out"), str(tmp_path / "ck"), alerts=alerts,
@@ -150,22 +168,40 @@ def test_whole_job(spark, tmp_path):
     assert reasons == ["malformed", "unknown_field"]
     plain = table(spark, rows)
     want = detectors.anomalies(detectors.throughput_drop(plain), detectors.latency_spike(plain))
-    got = spark.read.parquet(f"{out}/anomalies/drops").drop("batch_id").unionByName(
-        spark.read.parquet(f"{out}/anomalies/spikes").drop("batch_id"))
+    got = spark.read.parquet(f"{out}/anomalies").where("detector in ('drops', 'spikes')")
     assert got.count() == want.count() > 0
     assert got.select("service", "window_end").exceptAll(want.select("service", "window_end")).isEmpty()
     assert spark.read.parquet(str(tmp_path / "alerts" / "*")).count() >= got.count()
-    docs = spark.read.parquet(f"{out}/summaries/drops")
-    assert docs.count() > 0 and docs.where("summary like '%throughput_drop%'").count() == docs.count()
+    docs = spark.read.parquet(f"{out}/summaries")
+    assert docs.agg(F.sum("anomaly_count")).first()[0] == spark.read.parquet(f"{out}/anomalies").count()
+    assert docs.where("summary like '%throughput_drop%'").count() > 0
+    for q in queries:
+        recorder.wait(q)
     spark.streams.removeListener(recorder)
-    assert {"events", "quarantine", "drops", "spikes", "sessions"} <= {
-        r.source for r in recorder.table(spark).collect()}
+    assert {"events", "quarantine", "drops", "spikes", "sessions", "reports"} <= {
+        r.source for r in recorder.table().collect()}
+    for folder in (tmp_path / "out").rglob("batch_id=*"):  # no folder without rows
+        assert spark.read.parquet(str(folder)).count() > 0
+
+
+def test_reports_join_detectors_and_cut_batches_of_ten(spark, tmp_path):
+    from tests.helpers import anomaly_table
+
+    rows = [{"service": "ab"[i % 2], "anomaly_type": ["throughput_drop", "latency_spike"][i % 2], "detected_at": T0 + timedelta(seconds=i),
+             "window_start": T0, "window_end": T0} for i in range(23)]
+    sinks.summary_writer(str(tmp_path / "s"))(anomaly_table(spark, rows), 0)
+    docs = spark.read.parquet(str(tmp_path / "s")).orderBy("generated_at").collect()
+    assert [d.anomaly_count for d in docs] == [10, 10, 3]
+    assert all(d.anomaly_types == ["latency_spike", "throughput_drop"] and d.services == ["a", "b"] for d in docs)
 
 
-def test_default_handler_counts(spark, tmp_path, caplog):
-    with caplog.at_level("INFO"):
-        sinks.count_handler(table(spark, [event(1, "0:00:01")]), 3)
-    assert "batch 3: 1 records" in caplog.text
+def test_healthy_calls_of_a_slow_service_flag_no_session(spark, tmp_path):
+    from tidewatch.operators.matching import with_baseline
+
+    rows = [event(i, T0 + timedelta(seconds=i), "recommendation-engine", 150.0 + i % 150) for i in range(60)]
+    rows.append(event(999, T0 + timedelta(hours=2)))
+    found = detectors.session_anomalies(with_baseline(table(spark, rows)), slow=F.col("latency_ms") > 2 * F.col("mu"))
+    assert found.count() == 0
 
 
 def test_run_to_end_survives_a_second_call(spark, tmp_path):
@@ -175,22 +211,17 @@ def test_run_to_end_survives_a_second_call(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
 
 
-def test_command_line_job_over_files_and_a_shard_log(spark, tmp_path):
+def test_command_line_job_over_files(spark, tmp_path):
     from tidewatch.__main__ import arguments, run
-    from tidewatch.sources import shardlog
 
     rows = busy_rows()
-    wire = ingest.encode(table(spark, rows))
-    wire.select("value").coalesce(1).write.text(str(tmp_path / "json"))
-    records = wire.selectExpr("key as shard_id", "cast(get_json_object(value, '$.event_id') as bigint) as sequence_number",
-                              "value as data", "timestamp '2024-01-01 00:00:00' as arrival")
-    shardlog.write_log(records, str(tmp_path / "log"))
-    for source, extra in (("files", []), ("shardlog", ["--position", "TRIM_HORIZON"])):
-        path = tmp_path / ("json" if source == "files" else "log")
-        out = str(tmp_path / source)
-        run(spark, arguments(["--source", source, "--path", str(path), "--out", out, "--once", *extra]))
-        assert spark.read.parquet(f"{out}/events").count() == len(rows)
-        assert spark.read.parquet(f"{out}/anomalies/drops").count() > 0
+    ingest.encode(table(spark, rows)).select("value").coalesce(1).write.text(str(tmp_path / "json"))
+    out = str(tmp_path / "out")
+    listeners = len(spark.streams._jsqm.listListeners()) if hasattr(spark.streams._jsqm, "listListeners") else None
+    run(spark, arguments(["--source", "files", "--path", str(tmp_path / "json"), "--out", out, "--once"]))
+    assert spark.read.parquet(f"{out}/events").count() == len(rows)
+    assert spark.read.parquet(f"{out}/anomalies").where("detector = 'drops'").count() > 0
+    assert listeners is None or len(spark.streams._jsqm.listListeners()) == listeners
 
 
 def test_early_alerts_come_before_the_window_ends(spark, tmp_path):
@@ -214,7 +245,7 @@ def test_stored_anomalies_count_as_prior_incidents(spark, tmp_path):
                                       "window_start": t, "window_end": t}])
 
     store = sinks.table_writer(str(tmp_path / "anomalies"))
-    report = sinks.summary_writer(str(tmp_path / "summaries"), str(tmp_path / "anomalies"))
+    report = sinks.summary_writer(str(tmp_path / "summaries"), str(tmp_path / "counts"))
     for i in range(3):
         store(batch(i), i)
         report(batch(i), i)

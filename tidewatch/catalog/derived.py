@@ -12,7 +12,7 @@ NUMBER = "cast(event_id as bigint)"
 
 
 def messages(ev: DataFrame) -> DataFrame:
-    """Keyed JSON messages; five in a hundred are cut off, extended, mistyped or incomplete."""
+    """Keyed JSON messages; seven in a hundred are cut off, extended, mistyped, nested or incomplete."""
     wire = ev.select(F.col("service").alias("key"), to_wire(F.struct(*ev.columns)).alias("value"),
                      F.expr(f"{NUMBER} % 100").alias("nr"))
     return wire.select("key", F.expr("""
@@ -20,6 +20,8 @@ def messages(ev: DataFrame) -> DataFrame:
                 when 27 then concat('{"zz":2,', substr(value, 2))
                 when 41 then replace(value, '"metadata":{', '"metadata":{"zz":1,')
                 when 59 then regexp_replace(value, '"latency_ms":[^,]*', '"latency_ms":"slow"')
+                when 83 then regexp_replace(value, '"timestamp":"[^"]*"', '"timestamp":1704067201000')
+                when 91 then regexp_replace(value, '"client":"[^"]*"', '"client":{"a":1}')
                 when 73 then regexp_replace(value, '"region":"[^"]*",', '')
                 else value end""").alias("value"))
 
@@ -35,6 +37,17 @@ def with_arrival(ev: DataFrame) -> DataFrame:
         f"timestamp + if({NUMBER} % 40 = 7, interval 90 seconds, interval 0 seconds)"))
 
 
+def without_service(ev: DataFrame, name: str | None = None) -> DataFrame:
+    """Every tenth event has no service, or one that is not known."""
+    other = "null" if name is None else f"'{name}'"
+    return ev.withColumn("service", F.expr(f"if({NUMBER} % 10 = 4, {other}, service)"))
+
+
+def without_id(ev: DataFrame) -> DataFrame:
+    """Every fiftieth event has no id."""
+    return ev.withColumn("event_id", F.expr(f"if({NUMBER} % 50 = 3, null, event_id)"))
+
+
 def offsets(ev: DataFrame) -> DataFrame:
     return ev.selectExpr("'analytics-events' as topic", f"cast({NUMBER} % 6 as int) as partition",
                          f"{NUMBER} div 6 as offset", "timestamp")
@@ -52,6 +65,11 @@ def shard_records(ev: DataFrame, shards: int = 6) -> DataFrame:
                          "timestamp")
 
 
+def with_idle_shard(records: DataFrame) -> DataFrame:
+    """Shard two gets nothing from minute three to minute twenty."""
+    return records.where("not (nr = 2 and minute(timestamp) between 3 and 20)")
+
+
 def shard_list(ev: DataFrame) -> DataFrame:
     """Eight shards, the last two closed."""
     return shard_records(ev, 8).groupBy("shard_id", "nr").agg(

@@ -36,7 +36,7 @@ drop_pane as (
   union all
   select service, time_bucket(interval '1 minute', t) + interval '1 minute', 0, 1, 0, null from ev),
 drop_pair as (
-  select service, ws, sum(cur)::bigint c, sum(prev)::bigint p, sum(err)::bigint e, sum(round(lat * 100)::bigint)::double / 100 / sum(cur) lat
+  select service, ws, sum(cur)::bigint c, sum(prev)::bigint p, sum(err)::bigint e, sum(lat::decimal(28,6))::double / sum(cur) lat
   from drop_pane group by 1, 2),
 drops as (
   select service, 'throughput_drop' as anomaly_type, ws as window_start, ws + interval '1 minute' as window_end,
@@ -124,7 +124,7 @@ SQL: dict[str, str] = {
     "tumbling_stats": f"""with {EV}
         select service, time_bucket(interval '1 minute', t) as window_start,
                time_bucket(interval '1 minute', t) + interval '1 minute' as window_end, count(*) as event_count,
-               count(*) filter (where status_code >= 500) as error_count, round(sum(round(latency_ms * 100)::bigint)::double / 100 / count(*), 6) as avg_latency_ms,
+               count(*) filter (where status_code >= 500) as error_count, round(sum(latency_ms::decimal(28,6))::double / count(*), 6) as avg_latency_ms,
                round(quantile_cont(latency_ms, 0.99), 6) as p99_latency_ms
         from ev group by all""",
     "sliding_p99": f"""with {EV}, s as (
@@ -181,12 +181,14 @@ SQL.update({
         from ev group by all""",
     "heatmap_grid": f"""with {EV}
         select time_bucket(interval '1 minute', t) as window_start, {', '.join(
-            f"count(*) filter (where service = '{name}') as {chr(34)}{name}{chr(34)}" for name in (
+            f"count(*) filter (where service = '{name}' and event_id % 10 <> 4) as {chr(34)}{name}{chr(34)}" for name in (
                 "payment-gateway", "user-auth", "product-catalog", "order-management", "inventory-sync",
-                "recommendation-engine", "search-service", "notification-hub"))}
+                "recommendation-engine", "search-service", "notification-hub"))},
+          count(*) filter (where event_id % 10 = 4) as other
         from ev group by 1""",
-    "active_anomalies": f"""with {EV}, {DROPS}, {EXACT_SPIKES}, a as (
+    "active_anomalies": f"""with {EV}, {DROPS}, {EXACT_SPIKES}, {SESSIONS.replace("t60", "t")}, a as (
           select service, anomaly_type, detected_at from drops
+          union all select service, anomaly_type, detected_at from flagged
           union all select service, anomaly_type, detected_at from spikes)
         select service, anomaly_type, count(*) as anomaly_count, max(detected_at) as last_detected_at from a
         where detected_at > {NOW} - interval '10 minutes' and detected_at <= {NOW} group by all""",
@@ -223,7 +225,8 @@ facts as (
          list_sort(list_distinct(list(anomaly_type))) as anomaly_types,
          max(detected_at) as generated_at, min(window_start) as since, max(window_end) as until,
          sum(prev_event_count - event_count) filter (where anomaly_type = 'throughput_drop')::bigint as missed,
-         max(drop_pct) as drop_pct, max(p99_latency_ms) as p99,
+         max(drop_pct) as drop_pct, max(p99_latency_ms) as p99, max(p99_latency_ms / baseline_p99) as rise,
+         sum(case when anomaly_type = 'session_anomaly' then 1 end)::bigint as flagged,
          coalesce(sum(error_count), 0)::bigint as errors, max(prior_count) as prior
   from batched group by 1, 2),
 docs as (
@@ -236,17 +239,15 @@ docs as (
           '~' || missed || ' events missed (up to -' || round(drop_pct)::bigint || '%)',
           'p99 latency up to ' || round(p99)::bigint || ' ms', errors || ' server errors'),
       '**Root cause hypothesis:** ' || concat_ws('; ',
-          case when list_contains(anomaly_types, 'throughput_drop')
-               then 'upstream outage, rate limiting or network partition' end,
-          case when list_contains(anomaly_types, 'latency_spike')
-               then 'saturated dependency or slow downstream calls' end,
-          case when list_contains(anomaly_types, 'session_anomaly')
-               then 'failing or slow requests of single clients' end),
+          case when drop_pct >= 100 then 'a service sends nothing' when drop_pct is not null then 'a service sends less' end,
+          'latency rose to ' || round(100 * rise)::bigint || ' % of its level',
+          flagged || ' sessions with errors or slow calls'),
       '**Recommended action:** ' || concat_ws('; ',
-          case when list_contains(anomaly_types, 'throughput_drop') then 'check service health and consumer lag' end,
-          case when list_contains(anomaly_types, 'latency_spike') then 'check dependencies and recent deployments' end,
-          case when list_contains(anomaly_types, 'session_anomaly')
-               then 'review the sessions'' errors and clients' end),
+          case when drop_pct is not null then 'follow the missing events of '
+               || case when len(services) > 1 then 'what these services share' else services[1] end end,
+          case when rise is not null then 'trace slow calls of '
+               || case when len(services) > 1 then 'what these services share' else services[1] end end,
+          case when flagged is not null then 'read the flagged sessions' end),
       '**Confidence:** ' || case when prior >= 3 then 'High' when prior >= 1 then 'Medium' else 'Low' end
           || ' — matches ' || prior || ' prior incidents') as summary,
     anomaly_count, services, anomaly_types, generated_at, 'rules-v1' as model
@@ -270,11 +271,10 @@ SQL.update({
                    session_key: session_key}} order by position))::varchar as records_json
           from texts group by 1, 2)
         select batch_window, batch_no, anomaly_count, records_json,
-               'Anomalies detected up to ' || stamp || ' UTC.' || chr(10) || chr(10) || 'Records (JSON):' || chr(10)
-               || records_json || chr(10) || chr(10)
-               || 'Write an incident report in markdown with the sections' || chr(10) || '## Anomaly Report — ' || stamp
-               || chr(10) || 'Type, Affected services, Window, Impact, Root cause hypothesis, '
-               || 'Recommended action, Confidence' as prompt
+               anomaly_count || ' anomaly records, newest ' || stamp || ' UTC:' || chr(10) || records_json || chr(10)
+               || 'Fill in this form:' || chr(10) || '## Anomaly Report — ' || stamp || array_to_string(list_transform(
+                    ['Type', 'Affected services', 'Window', 'Impact', 'Root cause hypothesis', 'Recommended action',
+                     'Confidence'], lambda s: chr(10) || '**' || s || ':**'), '') as prompt
         from grouped""",
     "report_docs": f"with {REPORTS} select * from docs",
     "summaries": f"with {REPORTS} select {SUMMARY_COLUMNS} from docs order by generated_at desc",
@@ -313,7 +313,7 @@ def histogram_sql(key: str, bounds: list[int]) -> str:
     parts = [f"select {key}, '{b}' as le, le_{b} as bucket_count, {tail} from h" for b in bounds]
     parts.append(f"select {key}, '+Inf' as le, n as bucket_count, {tail} from h")
     return (f"with {EV}, h as (select {key}, {wide}, count(*) as n, "
-            "round(sum(round(latency_ms * 100)::bigint)::double / 100, 6) as value_sum from e group by 1) "
+            "round(sum(latency_ms::decimal(28,6))::double, 6) as value_sum from e group by 1) "
             + " union all ".join(parts))
 
 
@@ -377,8 +377,12 @@ SQL.update({
         select time_bucket(interval '1 minute', t) as window_start, count(distinct shard_id) as active_consumers
         from recs group by 1""",
     "scale_advice": f"""with {EV}, {SHARDS},
-        load as (select stream, shard_id, time_bucket(interval '1 minute', t) as minute, count(*) as n
-                 from recs group by all),
+        counted as (select stream, shard_id, time_bucket(interval '1 minute', t) as minute, count(*) as n
+                    from recs where not (nr = 2 and minute(t) between 3 and 20) group by all),
+        load as (select stream, shard_id, minute, coalesce(n, 0) as n
+                 from (select stream, shard_id, unnest(generate_series(min(minute),
+                         (select max(minute) from counted), interval '1 minute')) as minute from counted group by 1, 2)
+                 left join counted using (stream, shard_id, minute)),
         util as (select stream, shard_id, minute, n / ((select max(n) from load) * case when minute(minute) % 15 < 8 then 1 else 5 end) as utilisation from load),
         runs as (
           select *, utilisation < 0.25 as low,
@@ -404,11 +408,12 @@ RESUMED = """select shard_id, count(*) as records, min(sequence_number) as first
 
 SQL.update({
     "decode_quarantine": f"""with {EV}
-        select service as key, case when event_id % 100 = 13 then 'malformed' when event_id % 100 = 59 then 'bad_value'
+        select service as key, case when event_id % 100 = 13 then 'malformed' when event_id % 100 in (59, 83, 91) then 'bad_value'
                else 'unknown_field' end as reason, count(*) as records
-        from ev where event_id % 100 in (13, 27, 41, 59) group by all""",
+        from ev where event_id % 100 in (13, 27, 41, 59, 83, 91) group by all""",
     "strict_gate": f"""with {EV}
-        select event_id::varchar as event_id, 'unknown_field' as reason from ev where event_id % 100 in (27, 41)""",
+        select event_id::varchar as event_id, case when event_id % 100 in (27, 41) then 'unknown_field' else 'bad_value' end
+               as reason from ev where event_id % 100 in (27, 41, 59, 83, 91)""",
     "required_fields": f"""with {EV}
         select field, case when field = 'region' then (select count(*) from ev where event_id % 100 = 73)
                            else 0 end as missing
@@ -422,25 +427,10 @@ SQL.update({
     "dedupe": f"""with {EV}, {COPIES}
         select event_id::varchar as event_id, service, t as timestamp from copies
         qualify row_number() over (partition by event_id) = 1""",
-    "late_rows": f"""with {EV},
-        arrived as (select *, time_bucket(interval '10 seconds', t + case when event_id % 40 = 7
-                      then interval '90 seconds' else interval '0 seconds' end) as batch from ev),
-        marks as (select batch, max(max(t)) over (order by batch rows between unbounded preceding and 1 preceding)
-                         - interval '10 seconds' as watermark from arrived group by batch),
-        marked as (select service, time_bucket(interval '1 minute', t) as window_start,
-                          coalesce(time_bucket(interval '1 minute', t) + interval '1 minute' <= watermark, false) as late
-                   from arrived join marks using (batch))
-        select service, window_start, count(*) filter (where not late) as kept, count(*) filter (where late) as late
-        from marked group by 1, 2""",
     "shard_resume": f"with {EV}, {SHARDS}, {RESUME.format(fresh='true')} {RESUMED}",
     "shard_resume_latest": f"with {EV}, {SHARDS}, {RESUME.format(fresh='false')} {RESUMED}",
     "shard_resume_at_time": f"""with {EV}, {SHARDS},
         {RESUME.format(fresh="t >= timestamp '2024-01-01 00:20:00'")} {RESUMED}""",
-    "shardlog_scan": f"""with {EV}, {SHARDS}
-        select shard_id, count(*) as records, min(sequence_number) as first_sequence,
-               max(sequence_number) as last_sequence from recs group by 1""",
-    "stream_shardlog": f"""with {EV}
-        select event_id::varchar as event_id, service, t as timestamp, round(latency_ms, 6) as latency_ms from ev""",
     "stream_progress": "select 'events_per_minute' as source, count(*) as input_rows, 0::bigint as late_rows from events",
 })
 SQL["stream_dedupe"] = SQL["dedupe"]
@@ -488,3 +478,24 @@ SQL.update({
         select event_id::varchar as event_id, service, t as timestamp, anomaly_type from ev e
         where is_anomaly and not {IN_REPORT}""",
 })
+
+NO_SERVICE = "(select * replace (case when event_id % 10 = 4 then null else service end as service) from ev)"
+SQL["null_service_p99"] = SQL["sliding_p99"].replace("interval '30 seconds')) as window_start from ev)",
+                                                     f"interval '30 seconds')) as window_start from {NO_SERVICE})")
+SQL["null_service_stats"] = SQL["tumbling_stats"].replace("from ev group by all", f"from {NO_SERVICE} group by all")
+SQL["null_id_dedupe"] = f"""with {EV}
+    select case when event_id % 50 <> 3 then event_id::varchar end as event_id, service, t as timestamp from ev"""
+SQL["session_anomalies_by_service"] = f"with {EV}, {LATENCY_MODEL}, " + SESSIONS.replace(
+    "as begins from ev)", "as begins from ev left join model using (service))").replace(
+    "latency_ms > 100", "latency_ms > 2 * coalesce(mu, 50)") + f" select {FLAGGED_OUT} from flagged"
+# a batch is filtered by the watermark that the batch before it started with
+SQL["stream_late_windows"] = f"""with {EV},
+    arrived as (select *, time_bucket(interval '1 minute', t) as ws, least(minute(t + case when event_id % 40 = 7
+                  then interval '90 seconds' else interval '0 seconds' end) // 8, 3) as batch from ev),
+    tops as (select batch, max(t) as top from arrived group by 1),
+    marks as (select b as batch, (select max(top) - interval '10 seconds' from tops where tops.batch <= b - 2) as mark
+              from range(0, 4) r(b))
+    select service, ws as window_start, count(*) as event_count from arrived join marks using (batch)
+    where (mark is null or ws + interval '1 minute' > mark)
+      and ws + interval '1 minute' <= (select max(t) - interval '10 seconds' from ev)
+    group by all"""

@@ -11,13 +11,14 @@ from pyspark.sql import types as T
 from tidewatch.catalog import derived
 from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown
 from tidewatch.functions.text import matches_any
-from tidewatch.operators import detectors, lateness, matching, ordering, sessions, windows
+from tidewatch.operators import detectors, matching, ordering, sessions, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
-from tidewatch.schemas import INDEX_LATENCY_BOUNDS
-from tidewatch.session import materialise, naive, new_path, prepare, qualified
+from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
+from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
-from tidewatch.sources import ingest, shardlog, tables
-from tidewatch.streaming.runner import latest_rows, stream_table
+from tidewatch.sources import ingest, tables
+from tidewatch.streaming.progress import ProgressRecorder
+from tidewatch.streaming.runner import latest_rows, run_to_end, stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,6 +73,24 @@ def sessions_(spark, folder):
 QUERIES["sessions"] = QUERIES.pop("sessions_")
 
 
+@query
+def null_service_p99(spark, folder):
+    """Events without a service are a group like any other."""
+    return windows.sliding_p99(derived.without_service(tables.events(spark, folder)))
+
+
+@query
+def null_service_stats(spark, folder):
+    return windows.tumbling_stats(derived.without_service(tables.events(spark, folder)), 60)
+
+
+@query
+def session_anomalies_by_service(spark, folder):
+    """Slow means more than twice the mean of the event's service."""
+    ev = matching.with_baseline(tables.events(spark, folder, tables.SESSIONS))
+    return detectors.session_anomalies(ev, slow=F.col("latency_ms") > 2 * F.col("mu"))
+
+
 @query
 def session_anomalies(spark, folder):
     return detectors.session_anomalies(tables.events(spark, folder, tables.SESSIONS))
@@ -155,20 +174,40 @@ def stream_dedupe(spark, folder):
 
 
 @query
-def stream_progress(spark, folder):
-    """Rows read per source, from the progress of a finished stream."""
-    progress = stream_progress_table(spark, folder)
-    return progress.groupBy("source").agg(
-        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+def stream_late_windows(spark, folder):
+    """Four files, one per batch, by arrival; rows behind the watermark are left out."""
+    ev = derived.with_arrival(tables.events(spark, folder))
+    path = new_path(spark, "arrivals")
+    for batch in range(4):
+        ev.where(f"least(minute(arrival) div 8, 3) = {batch}").drop("arrival").coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream_table(windows.events_per_window(ingest.with_watermark(stream), 60, ["service"]), "late")
 
 
-def stream_progress_table(spark, folder):
-    from tidewatch.streaming.progress import progress_table
-    from tidewatch.streaming.runner import run_to_end
-
+def _recorded(spark, folder):
+    """The progress table of a stream that has run to its end."""
     counts = windows.events_per_window(tables.event_stream(spark, folder), 60, ["service"])
     path = new_path(spark, "progress")
-    return progress_table(run_to_end(counts, f"{path}/rows", f"{path}/checkpoint", name="events_per_minute"))
+    recorder = ProgressRecorder(spark, f"{path}/progress")
+    spark.streams.addListener(recorder)
+    try:
+        recorder.wait(run_to_end(counts, f"{path}/rows", f"{path}/checkpoint", name="events_per_minute"))
+    finally:
+        spark.streams.removeListener(recorder)
+    return recorder.table()
+
+
+@query
+def stream_progress(spark, folder):
+    """Rows read per source, from the stored progress of a stream."""
+    return _recorded(spark, folder).groupBy("source").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
+@query
+def write_time_histogram(spark, folder):
+    """Times of a stream's writes, as measured."""
+    return metrics.histogram(_recorded(spark, folder), "source", "add_batch_ms", INDEX_LATENCY_BOUNDS)
 
 
 # --- dashboards and searches --------------------------------------------------------------
@@ -205,13 +244,15 @@ def heatmap(spark, folder):
 
 @query
 def heatmap_grid(spark, folder):
-    return dashboards.heatmap_grid(tables.events(spark, folder))
+    return dashboards.heatmap_grid(derived.without_service(tables.events(spark, folder), "billing"))
 
 
 @query
 def active_anomalies(spark, folder):
-    as_of = dashboards.latest(tables.events(spark, folder))
-    return dashboards.active_anomalies(window_anomalies(spark, folder), as_of)
+    ev = tables.events(spark, folder)
+    found = detectors.anomalies(
+        detectors.throughput_drop(ev), detectors.latency_spike(ev), detectors.session_anomalies(ev))
+    return dashboards.active_anomalies(found, dashboards.latest(ev))
 
 
 @query
@@ -221,7 +262,7 @@ def summary_table(spark, folder):
 
 @query
 def recent_events(spark, folder):
-    ev = tables.events(spark, folder, tables.SESSIONS)
+    ev = tables.events(spark, folder, tables.SESSIONS, last_s=3600)
     hour = dashboards.last_hour(ev, dashboards.latest(ev))
     return dashboards.event_search(hour).orderBy(F.desc("timestamp"), "event_id")
 
@@ -370,7 +411,7 @@ def consumer_heartbeat(spark, folder):
 
 @query
 def scale_advice(spark, folder):
-    records = derived.shard_records(tables.events(spark, folder))
+    records = derived.with_idle_shard(derived.shard_records(tables.events(spark, folder)))
     return scaling.scale_advice(scaling.utilisation(records, derived.capacity(records)))
 
 
@@ -385,7 +426,7 @@ def decode_quarantine(spark, folder):
 @query
 def strict_gate(spark, folder):
     decoded = ingest.decode(derived.messages(tables.events(spark, folder)))
-    return decoded.where("reason = 'unknown_field'").select(F.col("event.event_id").alias("event_id"), "reason")
+    return decoded.where("reason <> 'malformed'").select(F.col("event.event_id").alias("event_id"), "reason")
 
 
 @query
@@ -407,8 +448,10 @@ def dedupe(spark, folder):
 
 
 @query
-def late_rows(spark, folder):
-    return lateness.late_counts(derived.with_arrival(tables.events(spark, folder)), ["service"], 10, 60)
+def null_id_dedupe(spark, folder):
+    """Events without an id are kept, their copies are not."""
+    ev = ingest.dedupe(derived.with_copies(tables.events(spark, folder)).transform(derived.without_id))
+    return ev.select("event_id", "service", "timestamp")
 
 
 def _resume(spark, folder, position):
@@ -436,36 +479,6 @@ def shard_resume_at_time(spark, folder):
     return _resume(spark, folder, "AT_TIMESTAMP")
 
 
-def _shard_log(spark, folder):
-    """The events as a sharded log in the shared folder."""
-    ev = tables.events(spark, folder)
-    records = ev.select(
-        F.expr(f"concat('shard-', {derived.NUMBER} % 6)").alias("shard_id"),
-        F.expr(f"{derived.NUMBER} div 6").alias("sequence_number"),
-        ingest.to_wire(F.struct(*ev.columns)).alias("data"),
-        F.col("timestamp").alias("arrival"))
-    path = new_path(spark, "shards")
-    shardlog.write_log(records, path)
-    shardlog.register(spark)
-    return qualified(spark, path)
-
-
-@query
-def shardlog_scan(spark, folder):
-    log = spark.read.format("shardlog").option("path", _shard_log(spark, folder)).load()
-    return log.groupBy("shard_id").agg(
-        F.count(F.lit(1)).alias("records"), F.min("sequence_number").alias("first_sequence"),
-        F.max("sequence_number").alias("last_sequence"))
-
-
-@query
-def stream_shardlog(spark, folder):
-    """Events read back from a sharded log as a stream, decoded and stored."""
-    log = spark.readStream.format("shardlog").option("path", _shard_log(spark, folder)).load()
-    ev = ingest.accepted(ingest.decode(log, "data"))
-    return stream_table(ev.select("event_id", "service", "timestamp", "latency_ms"), "shard-events")
-
-
 # --- fields ---------------------------------------------------------------------------------
 
 @query

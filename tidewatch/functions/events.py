@@ -20,13 +20,13 @@ def clean_latency(value: Column) -> Column:
     return F.round(F.greatest(F.lit(1.0), value), 2)
 
 
-def hundredths(latency: str = "latency_ms") -> Column:
-    """Latencies carry two decimals: whole hundredths add up exactly, in any order."""
-    return F.round(F.col(latency) * 100).cast("long")
+def exact(value: str = "latency_ms") -> Column:
+    """A number with six decimals: sums are exact, in any order."""
+    return F.col(value).cast("decimal(28,6)")
 
 
-def mean_of_hundredths(total: Column, n: Column) -> Column:
-    return F.try_divide(total / F.lit(100), n)
+def mean_of(total: Column, n: Column) -> Column:
+    return F.try_divide(total.cast("double"), n)
 
 
 def or_unknown(value: str) -> Column:

@@ -12,6 +12,8 @@ whatever the traffic. Counts per cell combine inside map tasks, so only small ta
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,6 +54,13 @@ def quantile_at(q: float, value: Column) -> Column:
     return low + (high - low) * (rank - F.floor(rank))
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null equals null; the keys appear once."""
+    there = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [left[k].eqNullSafe(there[f"_{k}"]) for k in keys])
+    return left.join(there, same, how).drop(*[f"_{k}" for k in keys])
+
+
 def _rows(df: DataFrame, keys: list[str], pane: Column, value: Column) -> DataFrame:
     rows = df.where(value.isNotNull()).select(*keys, pane.alias("pane"), value.alias("value"))
     return rows.withColumn("cell", grid(F.col("value")))
@@ -95,11 +104,11 @@ def exact_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column,
     )
     wanted = materialise(wanted, "cells")
     near = (
-        rows.join(wanted.select(*cell_key).distinct(), cell_key, "left_semi")
+        join_same(rows, wanted.select(*cell_key).distinct(), cell_key, "left_semi")
         .groupBy(*cell_key, "value").agg(F.count(F.lit(1)).alias("n"))
     )
     # between the wanted cells of a window there are no other values, so ranks go on from the first one's start
-    ranked = with_rank(near.join(wanted, cell_key).drop("pane", "cell").withColumnRenamed("total", "all"), group, "value")
+    ranked = with_rank(join_same(near, wanted, cell_key).drop("pane", "cell").withColumnRenamed("total", "all"), group, "value")
     first = F.min("before").over(W.partitionBy(*group))
     return (
         ranked.select(*group, "value", (first + F.col("upto")).alias("upto"), F.col("all").alias("total"))

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.events import hundredths, interval, is_server_error, mean_of_hundredths
+from tidewatch.functions.events import exact, interval, is_server_error, mean_of
 from tidewatch.functions.quantiles import grid, grid_value, quantile
 from tidewatch.operators.sessions import sessions
 from tidewatch.operators.windows import only_closed, sliding_p99, value_panes
@@ -39,7 +39,7 @@ def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     panes = ev.groupBy("service", F.window("timestamp", seconds(width)).alias("pane")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(is_server_error()).alias("errors"),
-        F.sum(hundredths()).alias("latency"),
+        F.sum(exact()).alias("latency"),
         F.count("latency_ms").alias("timed"),
     )
     t = F.col("pane_time")
@@ -65,7 +65,7 @@ def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
         F.col("w.end").alias("window_end"),
         (F.col("w.end") + interval(cfg.watermark_s)).alias("detected_at"),
         "event_count", "prev_event_count", "error_count",
-        mean_of_hundredths(F.col("latency"), F.col("timed")).alias("avg_latency_ms"),
+        mean_of(F.col("latency"), F.col("timed")).alias("avg_latency_ms"),
         (100 * share).alias("drop_pct"),
         severity(share, cfg.drop_threshold).alias("severity"),
     )

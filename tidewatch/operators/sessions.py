@@ -25,7 +25,7 @@ def sessions(ev: DataFrame, key: str = "session_id", slow: Column | None = None,
     the reduction is exact. A key with very many events thus sends at most one row
     per pane and service into its ordered pass.
     """
-    slow = F.col("latency_ms") > cfg.slow_ms if slow is None else slow
+    slow = F.col("latency_ms") > cfg.slow_ms if slow is None else F.coalesce(slow, F.lit(False))
     ev = ev.select(F.col(key).alias("session_key"), "service", "timestamp",
                    is_server_error().cast("int").alias("error"), slow.cast("int").alias("slow"))
     merged = _merge_stream(ev, cfg) if ev.isStreaming else _merge_table(ev, cfg)
@@ -71,7 +71,8 @@ def _merge_table(ev: DataFrame, cfg: Settings) -> DataFrame:
         F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"),
         F.sum("errors").alias("errors"), F.sum("slow").alias("slow"))
     return per_service.groupBy("session_key", "nr").agg(
-        F.min(F.struct((-F.col("n")).alias("rank"), "service")).getField("service").alias("service"),
+        F.min(F.struct(F.col("service").isNull().alias("none"), (-F.col("n")).alias("rank"), "service"))
+        .getField("service").alias("service"),
         F.min("first").alias("first"),
         F.max("last").alias("last"),
         F.sum("n").alias("event_count"),

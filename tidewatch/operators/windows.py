@@ -11,10 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.events import (
-    hundredths, interval, is_server_error, mean_of_hundredths, pane_index, pane_time, window_bounds,
+    exact, interval, is_server_error, mean_of, pane_index, pane_time, window_bounds,
 )
 from tidewatch.functions.quantiles import (
-    exact_quantile, grid, grid_quantile, grid_value, quantile,
+    exact_quantile, grid, grid_quantile, grid_value, join_same, quantile,
 )
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
@@ -39,10 +39,10 @@ def _stats_table(ev: DataFrame, width_s: int, q: float) -> DataFrame:
     stats = ev.groupBy("service", pane.alias("win")).agg(
         F.count(F.lit(1)).alias("event_count"),
         F.count_if(is_server_error()).alias("error_count"),
-        mean_of_hundredths(F.sum(hundredths()), F.count("latency_ms")).alias("avg_latency_ms"),
+        mean_of(F.sum(exact()), F.count("latency_ms")).alias("avg_latency_ms"),
     )
     p99 = exact_quantile(ev, ["service"], pane, F.col("latency_ms"), q)
-    return stats.join(p99, ["service", "win"], "left").select(
+    return join_same(stats, p99, ["service", "win"], "left").select(
         "service", pane_time("win", width_s).alias("window_start"),
         pane_time(F.col("win") + 1, width_s).alias("window_end"),
         "event_count", "error_count", "avg_latency_ms", F.col("quantile").alias("p99_latency_ms"))
@@ -61,7 +61,7 @@ def _stats_stream(ev: DataFrame, width_s: int, q: float) -> DataFrame:
         .agg(
             F.sum("n").alias("event_count"),
             F.sum("errors").alias("error_count"),
-            mean_of_hundredths(F.sum(hundredths() * F.col("n")), F.sum(timed)).alias("avg_latency_ms"),
+            mean_of(F.sum((exact() * F.col("n")).cast("decimal(38,6)")), F.sum(timed)).alias("avg_latency_ms"),
             quantile(F.col("latency_ms"), q).alias("p99_latency_ms"),
         )
         .select("service", *window_bounds("w"), "event_count", "error_count", "avg_latency_ms", "p99_latency_ms")

@@ -52,9 +52,10 @@ def heatmap(ev: DataFrame, width_s: int = 60) -> DataFrame:
 
 
 def heatmap_grid(ev: DataFrame, width_s: int = 60, services: list[str] = SERVICES) -> DataFrame:
-    """The heatmap with one column per service; the known services avoid a pass to list them."""
-    cells = heatmap(ev, width_s)
-    return cells.groupBy("window_start").pivot("service", services).agg(F.sum("event_count")).na.fill(0)
+    """The heatmap with one column per known service and ``other`` for all else, so that rows add up to all events."""
+    cells = heatmap(ev, width_s).withColumn(
+        "service", F.when(F.col("service").isin(services), F.col("service")).otherwise("other"))
+    return cells.groupBy("window_start").pivot("service", [*services, "other"]).agg(F.sum("event_count")).na.fill(0)
 
 
 def active_anomalies(found: DataFrame, as_of: Column, cfg: Settings = DEFAULTS) -> DataFrame:

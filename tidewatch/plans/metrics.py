@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.events import hundredths, request_status
+from tidewatch.functions.events import exact, request_status
 from tidewatch.schemas import LATENCY_BOUNDS
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
@@ -25,7 +25,7 @@ def histogram(df: DataFrame, key: str, value: str = "latency_ms", bounds: list[i
     """
     counters = [F.count_if(F.col(value) <= b).alias(f"le_{b}") for b in bounds]
     wide = df.groupBy(key).agg(
-        *counters, F.count(value).alias("total"), (F.sum(hundredths(value)) / F.lit(100)).alias("value_sum"))
+        *counters, F.count(value).alias("total"), F.sum(exact(value)).cast("double").alias("value_sum"))
     rows = [F.struct(F.lit(str(b)).alias("le"), F.col(f"le_{b}").alias("bucket_count")) for b in bounds]
     rows.append(F.struct(F.lit("+Inf").alias("le"), F.col("total").alias("bucket_count")))
     return wide.select(key, F.inline(F.array(*rows)), F.col("total").alias("value_count"), "value_sum")

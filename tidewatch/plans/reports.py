@@ -12,17 +12,9 @@ from tidewatch.settings import DEFAULTS, Settings, seconds
 BATCH = ["batch_window", "batch_no"]
 _TIME = "yyyy-MM-dd HH:mm:ss"
 
-# Fixed wording of the rules, per anomaly type.
-CAUSE = {
-    "throughput_drop": "upstream outage, rate limiting or network partition",
-    "latency_spike": "saturated dependency or slow downstream calls",
-    "session_anomaly": "failing or slow requests of single clients",
-}
-ACTION = {
-    "throughput_drop": "check service health and consumer lag",
-    "latency_spike": "check dependencies and recent deployments",
-    "session_anomaly": "review the sessions' errors and clients",
-}
+# The sections of a report and their order.
+HEADING = "## Anomaly Report — "
+SECTIONS = ["Type", "Affected services", "Window", "Impact", "Root cause hypothesis", "Recommended action", "Confidence"]
 
 
 def report_batches(found: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -48,10 +40,19 @@ def _named(found: DataFrame) -> DataFrame:
     return found.withColumns({c: or_unknown(c) for c in ("service", "anomaly_type")})
 
 
-def prior_incidents(found: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    """Adds ``prior_count``: earlier anomalies of the same service and type, stored ones included."""
+def prior_incidents(found: DataFrame, history: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
+    """Adds ``prior_count``: earlier anomalies of the same service and type.
+
+    ``history`` holds stored anomalies, ``earlier`` their counts ``n`` per service and type; both are counted too.
+    """
+    keys = ["service", "anomaly_type"]
     history = None if history is None else _named(history)
-    return count_earlier(_named(found), ["service", "anomaly_type"], "detected_at", "prior_count", history)
+    out = count_earlier(_named(found), keys, "detected_at", "prior_count", history)
+    if earlier is None:
+        return out
+    n = _named(earlier).groupBy(*keys).agg(F.sum("n").alias("_n"))
+    return out.join(n, keys, "left").withColumn(
+        "prior_count", F.col("prior_count") + F.coalesce("_n", F.lit(0))).drop("_n")
 
 
 def missed_events(found: DataFrame) -> DataFrame:
@@ -83,10 +84,8 @@ def batch_prompts(batches: DataFrame) -> DataFrame:
         F.max("detected_at").alias("detected_at"), record_json(columns).alias("records_json"))
     when = F.date_format("detected_at", _TIME)
     prompt = F.concat(
-        F.lit("Anomalies detected up to "), when, F.lit(" UTC.\n\nRecords (JSON):\n"), F.col("records_json"),
-        F.lit("\n\nWrite an incident report in markdown with the sections\n## Anomaly Report — "), when,
-        F.lit("\nType, Affected services, Window, Impact, Root cause hypothesis, "
-              "Recommended action, Confidence"),
+        F.col("anomaly_count").cast("string"), F.lit(" anomaly records, newest "), when, F.lit(" UTC:\n"), F.col("records_json"),
+        F.lit(f"\nFill in this form:\n{HEADING}"), when, F.lit("".join(f"\n**{name}:**" for name in SECTIONS)),
     )
     return grouped.withColumn("prompt", prompt)
 
@@ -95,15 +94,31 @@ def _whole(value: Column) -> Column:
     return F.round(value).cast("long").cast("string")
 
 
-def _listed(types: Column, wording: dict[str, str]) -> Column:
-    """The wording of each type present, joined."""
-    parts = [F.when(F.array_contains(types, t), F.lit(text)) for t, text in wording.items()]
-    return F.concat_ws("; ", *parts)
+def _cause() -> Column:
+    """What the records say: a service without any event, or with fewer; the largest rise of the p99; flagged sessions."""
+    return F.concat_ws(
+        "; ",
+        F.when(F.col("drop_pct") >= 100, "a service sends nothing").when(F.col("drop_pct").isNotNull(), "a service sends less"),
+        F.concat(F.lit("latency rose to "), _whole(100 * F.col("rise")), F.lit(" % of its level")),
+        F.concat(F.col("flagged").cast("string"), F.lit(" sessions with errors or slow calls")),
+    )
 
 
-def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame | None = None) -> DataFrame:
+def _action() -> Column:
+    """One step for each kind of record: for all services if several are hit, else for the one."""
+    where = F.when(F.size("services") > 1, "what these services share").otherwise(F.element_at("services", 1))
+    return F.concat_ws(
+        "; ",
+        F.when(F.col("drop_pct").isNotNull(), F.concat(F.lit("follow the missing events of "), where)),
+        F.when(F.col("rise").isNotNull(), F.concat(F.lit("trace slow calls of "), where)),
+        F.when(F.col("flagged").isNotNull(), F.lit("read the flagged sessions")),
+    )
+
+
+def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame | None = None,
+                earlier: DataFrame | None = None) -> DataFrame:
     """One summary document per batch; no anomalies, no report."""
-    batches = report_batches(prior_incidents(found, history), cfg)
+    batches = report_batches(prior_incidents(found, history, earlier), cfg)
     drop = F.col("anomaly_type") == "throughput_drop"
     facts = batches.groupBy(*BATCH).agg(
         F.count(F.lit(1)).cast("int").alias("anomaly_count"),
@@ -115,6 +130,8 @@ def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame |
         F.sum(F.when(drop, F.col("prev_event_count") - F.col("event_count"))).alias("missed"),
         F.max("drop_pct").alias("drop_pct"),
         F.max("p99_latency_ms").alias("p99"),
+        F.max(F.col("p99_latency_ms") / F.col("baseline_p99")).alias("rise"),
+        F.sum(F.when(F.col("anomaly_type") == "session_anomaly", 1)).alias("flagged"),
         F.coalesce(F.sum("error_count"), F.lit(0)).alias("errors"),
         F.max("prior_count").alias("prior"),
     )
@@ -127,19 +144,12 @@ def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame |
         F.concat(F.col("errors").cast("string"), F.lit(" server errors")),
     )
     confidence = F.when(F.col("prior") >= 3, "High").when(F.col("prior") >= 1, "Medium").otherwise("Low")
+    window = F.concat(F.date_format("since", _TIME), F.lit(" to "), F.date_format("until", _TIME), F.lit(" UTC"))
+    certainty = F.concat(confidence, F.lit(" — matches "), F.col("prior").cast("string"), F.lit(" prior incidents"))
+    content = [F.array_join(types, ", "), F.array_join("services", ", "), window, impact, _cause(), _action(), certainty]
     summary = F.concat_ws(
-        "\n",
-        F.concat(F.lit("## Anomaly Report — "), F.date_format("generated_at", _TIME), F.lit(" UTC")),
-        F.concat(F.lit("**Type:** "), F.array_join(types, ", ")),
-        F.concat(F.lit("**Affected services:** "), F.array_join("services", ", ")),
-        F.concat(F.lit("**Window:** "), F.date_format("since", _TIME), F.lit(" to "),
-                 F.date_format("until", _TIME), F.lit(" UTC")),
-        F.concat(F.lit("**Impact:** "), impact),
-        F.concat(F.lit("**Root cause hypothesis:** "), _listed(types, CAUSE)),
-        F.concat(F.lit("**Recommended action:** "), _listed(types, ACTION)),
-        F.concat(F.lit("**Confidence:** "), confidence, F.lit(" — matches "), F.col("prior").cast("string"),
-                 F.lit(" prior incidents")),
-    )
+        "\n", F.concat(F.lit(HEADING), F.date_format("generated_at", _TIME), F.lit(" UTC")),
+        *[F.concat(F.lit(f"**{name}:** "), text) for name, text in zip(SECTIONS, content, strict=True)])
     return facts.select(
         summary.alias("summary"), "anomaly_count", "services", "anomaly_types", "generated_at",
         F.lit(cfg.report_model).alias("model"))

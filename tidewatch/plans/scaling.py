@@ -33,10 +33,17 @@ def consumer_heartbeat(records: DataFrame, width_s: int = 60) -> DataFrame:
 
 
 def utilisation(records: DataFrame, capacity: Column) -> DataFrame:
-    """Records per shard and ``minute`` over the shard's capacity (which may depend on the minute)."""
-    counts = records.groupBy("stream", "shard_id", F.window("timestamp", "1 minute").alias("w")).agg(
+    """Records per shard and ``minute`` over the shard's capacity (which may depend on the minute).
+
+    Minutes without a record count as zero, from a shard's first minute to the stream's last.
+    """
+    counts = records.groupBy("stream", "shard_id", F.window("timestamp", "1 minute").getField("start").alias("minute")).agg(
         F.count(F.lit(1)).alias("n"))
-    return counts.select("stream", "shard_id", F.col("w.start").alias("minute"), "n").select(
+    ends = counts.groupBy("stream").agg(F.max("minute").alias("last"))
+    every = counts.groupBy("stream", "shard_id").agg(F.min("minute").alias("first")).join(ends, "stream").select(
+        "stream", "shard_id", F.explode(F.sequence("first", "last", F.expr("interval 1 minute"))).alias("minute"))
+    counts = every.join(counts, ["stream", "shard_id", "minute"], "left").na.fill(0, ["n"])
+    return counts.select(
         "stream", "shard_id", "minute", (F.col("n") / capacity).alias("utilisation"))
 
 

@@ -1,17 +1,18 @@
-"""Row types of events, anomalies, summaries and their transports."""
+"""Row types of events and anomalies, and the fixed values of their fields."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
 _S, _L, _I, _D = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
-_TS, _B, _STRINGS = T.TimestampType(), T.BooleanType(), T.ArrayType(T.StringType())
+_TS, _B = T.TimestampType(), T.BooleanType()
 
 
 def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# Names and types of the fields of events and anomalies.
 EVENT = _struct(
     event_id=_S, timestamp=_TS, epoch_ms=_L, service=_S, event_type=_S, region=_S, user_id=_S,
     session_id=_S, latency_ms=_D, status_code=_I, is_anomaly=_B, anomaly_type=_S, payload_bytes=_I,
@@ -27,17 +28,7 @@ ANOMALY = _struct(
     drop_pct=_D, severity=_S, session_key=_S, anomaly_score=_D,
 )
 
-SUMMARY = _struct(
-    summary=_S, anomaly_count=_I, services=_STRINGS, anomaly_types=_STRINGS, generated_at=_TS, model=_S,
-)
-
-SHARD_RECORD = _struct(shard_id=_S, sequence_number=_L, data=_S)
-
-METRIC_POINT = _struct(
-    namespace=_S, metric_name=_S, value=_D, unit=_S, dimensions=T.MapType(_S, _S),
-)
-
-# Event domains and per-service latency model (mean, sigma in ms).
+# Event domains, per-service latency model (mean, sigma in ms), histogram bounds.
 SERVICES = [
     "payment-gateway",
     "user-auth",

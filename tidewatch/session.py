@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,33 +25,29 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that already exists."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
-    partitions = "spark.sql.shuffle.partitions"
-    if spark.sparkContext.master.startswith("local") and spark.conf.get(partitions) == "200":
-        # the untouched default would give one machine 200 state stores per streaming operator
-        spark.conf.set(partitions, str(spark.sparkContext.defaultParallelism))
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may go without it; then a scratch folder is made once
-    per session. On a cluster a machine-local folder would lose data.
+    There is no default: on a cluster a machine-local folder would lose data.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return folder.rstrip("/")
 
 
-def qualified(spark: SparkSession, path: str) -> str:
-    """A path with its file system, as readers outside Spark need it."""
+def is_folder(spark: SparkSession, path: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a written table and all that is in it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def make_folder(spark: SparkSession, path: str) -> None:

@@ -21,6 +21,7 @@ class Settings:
     spike_min_events: int = 20
     session_min_events: int = 3
     slow_ms: float = 100.0
+    slow_factor: float = 2.0
     # dashboards
     latency_line_ms: float = 500.0
     top_services: int = 8
@@ -38,7 +39,8 @@ class Settings:
     # transport
     topic: str = "analytics-events"
     alert_topic: str = "anomaly-alerts"
-    max_records_per_read: int = 500
+    max_records_per_trigger: int = 500_000
+    max_bytes_per_trigger: int = 256 << 20
     bulk_size: int = 500
 
 

@@ -11,11 +11,13 @@ from tidewatch.settings import DEFAULTS, Settings, seconds
 
 _CORRUPT = "_corrupt"
 _METADATA = EVENT["metadata"].dataType
-#: An event as sent: metadata is read as a map first, so that its keys can be checked.
+#: An event as sent: the time as text and metadata as a map, so that both can be checked.
+_AS_SENT = {"metadata": T.MapType(T.StringType(), T.VariantType()), "timestamp": T.StringType()}
 _WIRE = T.StructType([
-    *[T.StructField(f.name, T.MapType(T.StringType(), T.StringType())) if f.name == "metadata" else f for f in EVENT],
+    *[T.StructField(f.name, _AS_SENT.get(f.name, f.dataType)) for f in EVENT],
     T.StructField(_CORRUPT, T.StringType()),
 ])
+_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2})?$"
 #: ISO-8601 with microseconds and offset, so that times survive a round trip.
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 POSITIONS = {"LATEST": "latest", "TRIM_HORIZON": "earliest"}
@@ -66,8 +68,8 @@ def decode(records: DataFrame, value: str = "value") -> DataFrame:
     """Adds ``event`` and ``reason``; a null reason means the record was accepted.
 
     Reasons: ``malformed`` (no JSON object), ``unknown_field`` (also inside
-    ``metadata``), ``bad_value`` (a known field of the wrong type). Missing fields are
-    accepted.
+    ``metadata``), ``bad_value`` (a known field of the wrong type, a time that is no ISO text, metadata that
+    is no plain value). Missing fields are accepted.
     """
     parsed = F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     # A one-element generator parses each record once: filters on the outcome
@@ -75,16 +77,17 @@ def decode(records: DataFrame, value: str = "value") -> DataFrame:
     out = records.withColumn("_text", F.col(value).cast("string")).select(
         "*", F.inline(F.array(F.struct(parsed.alias("_wire"), F.json_object_keys("_text").alias("_keys")))))
     extra = F.coalesce(_unknown(F.map_keys("_wire.metadata"), _METADATA.names), F.lit(False))
+    sent = F.col("_wire.timestamp")
+    time = F.when(sent.rlike(_ISO), F.try_to_timestamp(sent))
+    nested = F.coalesce(F.exists(F.map_values("_wire.metadata"), lambda v: F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)")), F.lit(False))
     reason = (
         F.when(F.col("_keys").isNull(), "malformed")
         .when(_unknown(F.col("_keys"), EVENT.names) | extra, "unknown_field")
-        .when(F.col(f"_wire.{_CORRUPT}").isNotNull(), "bad_value")
+        .when(F.col(f"_wire.{_CORRUPT}").isNotNull() | nested | (sent.isNotNull() & time.isNull()), "bad_value")
     )
-    metadata = F.struct(*[F.col("_wire.metadata").getItem(c).alias(c) for c in _METADATA.names])
-    fields = [
-        (F.when(F.col("_wire.metadata").isNotNull(), metadata) if c == "metadata" else F.col(f"_wire.{c}")).alias(c)
-        for c in EVENT.names
-    ]
+    metadata = F.struct(*[F.try_variant_get(F.col("_wire.metadata").getItem(c), "$", "string").alias(c) for c in _METADATA.names])
+    checked = {"metadata": F.when(F.col("_wire.metadata").isNotNull(), metadata), "timestamp": time}
+    fields = [checked.get(c, F.col(f"_wire.{c}")).alias(c) for c in EVENT.names]
     return out.withColumns({"event": F.struct(*fields), "reason": reason}).drop("_text", "_wire", "_keys")
 
 
@@ -112,10 +115,13 @@ def encode(rows: DataFrame, key: str = "service") -> DataFrame:
 
 
 def dedupe(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
-    """Each ``event_id`` once. Streams remember ids for the watermark delay, so their state stays bounded."""
-    if ev.isStreaming:
-        return ev.dropDuplicatesWithinWatermark(["event_id"])
-    return ev.dropDuplicates(["event_id"])
+    """Each ``event_id`` once; events without an id are copies only if all their fields are equal.
+
+    Streams remember ids for the watermark delay, so their state stays bounded.
+    """
+    key = ["event_id", "_whole"]
+    whole = ev.withColumn("_whole", F.when(F.col("event_id").isNull(), F.to_json(F.struct(*ev.columns))))
+    return (whole.dropDuplicatesWithinWatermark(key) if ev.isStreaming else whole.dropDuplicates(key)).drop("_whole")
 
 
 def with_watermark(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidewatch.functions.events import interval
 from tidewatch.schemas import CLIENTS, ERROR_CODES, REGIONS, SERVICES
+from tidewatch.session import is_folder
 
 RAW_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
@@ -19,10 +22,12 @@ def raw_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_event_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    return (
-        spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", "events*.parquet").parquet(folder)
-    )
+    """New rows of ``events.parquet``, which is a file or a folder of part files."""
+    table = f"{folder}/events.parquet"
+    reader = spark.readStream.schema(RAW_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
+    if is_folder(spark, table):
+        return reader.parquet(table)
+    return reader.option("pathGlobFilter", "events.parquet").parquet(folder)
 
 
 def _pick(values: list, index: str) -> str:
@@ -60,8 +65,12 @@ def conform(raw: DataFrame, factor: int) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, folder: str, factor: int = WINDOWS) -> DataFrame:
-    return conform(raw_events(spark, folder), factor)
+def events(spark: SparkSession, folder: str, factor: int = WINDOWS, last_s: int | None = None) -> DataFrame:
+    """All events; with ``last_s`` only row groups that reach into the last seconds are read (a bound on the raw time)."""
+    raw = raw_events(spark, folder)
+    if last_s is not None:
+        raw = raw.where(F.col("ts") >= raw.agg(F.max("ts") - interval(factor * (last_s + 1))).scalar())
+    return conform(raw, factor)
 
 
 def event_stream(spark: SparkSession, folder: str, factor: int = WINDOWS, watermark: str = "10 seconds") -> DataFrame:

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators import detectors
+from tidewatch.operators.matching import with_baseline
 from tidewatch.settings import DEFAULTS, Settings, seconds
 from tidewatch.sources.ingest import accepted, decode, dedupe, rejected, with_watermark
 from tidewatch.streaming import sinks
@@ -38,23 +40,32 @@ def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAU
     ]
     if "availableNow" in trigger:  # one pass: the store is complete before the detectors read it
         queries[0].awaitTermination()
-    queries += detect(sinks.stored_stream(spark, f"{out}/events"), out, checkpoints, cfg, alerts, trigger, spikes)
+    stored = sinks.stored_stream(spark, f"{out}/events", cfg.max_bytes_per_trigger)
+    found = detect(stored, out, checkpoints, cfg, alerts, trigger, spikes)
+    queries += found
+    once = "availableNow" in trigger
+    for q in found if once else []:
+        q.awaitTermination()
+    # one report stream over the anomalies of all detectors, a batch for each report window
+    writer = sinks.summary_writer(f"{out}/summaries", f"{out}/incident_counts", cfg)
+    queries.append(_start(sinks.anomaly_stream(spark, f"{out}/anomalies"), "reports", writer, checkpoints,
+                          trigger if once else {"processingTime": seconds(cfg.report_window_s)}))
     return queries
 
 
 def detect(events: DataFrame, out: str, checkpoints: str, cfg: Settings, alerts: sinks.BatchHandler | None,
            trigger: dict, spikes: str) -> list[StreamingQuery]:
-    """One query per detector: anomalies, their reports and alerts."""
+    """One query per detector: anomalies and alerts. A call is slow if it takes more than twice its service's mean."""
     ev = dedupe(with_watermark(events, cfg), cfg)
     found = {
         "drops": detectors.throughput_drop(ev, cfg),
         "spikes": detectors.latency_spike(ev, cfg, spikes),
-        "sessions": detectors.session_anomalies(ev, cfg=cfg),
+        "sessions": detectors.session_anomalies(
+            with_baseline(ev), slow=F.col("latency_ms") > cfg.slow_factor * F.col("mu"), cfg=cfg),
     }
     queries = []
     for name, anomalies in found.items():
-        table = f"{out}/anomalies/{name}"
-        handlers = [sinks.table_writer(table), sinks.summary_writer(f"{out}/summaries/{name}", table, cfg)]
+        handlers = [sinks.table_writer(f"{out}/anomalies/detector={name}")]
         if alerts:
             handlers.append(alerts)
         queries.append(_start(detectors.as_anomalies(anomalies), name, sinks.each(*handlers), checkpoints, trigger))

@@ -1,8 +1,8 @@
-"""Batch sizes and timings of running streams as tables."""
+"""Batch sizes and timings of running streams, appended to a table."""
 
 from __future__ import annotations
 
-from collections import deque
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -14,24 +14,15 @@ PROGRESS = (
 )
 
 
-def _row(p: dict) -> tuple:
-    took = p.get("durationMs") or {}
-    late = sum(op.get("numRowsDroppedByWatermark", 0) for op in p.get("stateOperators") or [])
-    return (p.get("name") or p.get("id"), p["batchId"], p["numInputRows"], float(took.get("addBatch", 0)),
-            float(took.get("triggerExecution", 0)), late)
-
-
-def progress_table(query: StreamingQuery) -> DataFrame:
-    """The batches Spark still remembers of a query (a fixed number)."""
-    rows = [_row(p if isinstance(p, dict) else dict(p)) for p in query.recentProgress]
-    return SparkSession.getActiveSession().createDataFrame(rows, PROGRESS)
-
-
 class ProgressRecorder(StreamingQueryListener):
-    """Collects the latest batches of all queries of a session."""
+    """Appends every batch of all queries of a session to the table at ``path``; nothing is kept in the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.ended: dict[str, threading.Event] = {}
 
-    def __init__(self, keep: int = 10_000):
-        self.rows: deque = deque(maxlen=keep)
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
 
     def onQueryStarted(self, event) -> None: ...
 
@@ -39,12 +30,19 @@ class ProgressRecorder(StreamingQueryListener):
         p = event.progress
         took = p.durationMs or {}
         late = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
-        self.rows.append((p.name or str(p.id), p.batchId, p.numInputRows, float(took.get("addBatch", 0)),
-                          float(took.get("triggerExecution", 0)), late))
+        row = (p.name or str(p.id), p.batchId, p.numInputRows, float(took.get("addBatch", 0)),
+               float(took.get("triggerExecution", 0)), late)
+        self.spark.createDataFrame([row], PROGRESS).coalesce(1).write.mode("append").parquet(self.path)
 
     def onQueryIdle(self, event) -> None: ...
 
-    def onQueryTerminated(self, event) -> None: ...
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def wait(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Until all batches of a query that has ended are in the table."""
+        if not self._end(str(query.runId)).wait(seconds):
+            raise TimeoutError(f"no end of query {query.name} was reported")
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), PROGRESS)
+    def table(self) -> DataFrame:
+        return self.spark.read.schema(PROGRESS).parquet(self.path)

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidewatch.session import new_path, prepare
+from tidewatch.session import make_folder, new_path, prepare
 from tidewatch.streaming.sinks import table_writer
 
 
 def run_to_end(stream: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
                name: str | None = None) -> StreamingQuery:
     """Process all available input, restartable: batches already stored are replaced, not repeated."""
+    make_folder(stream.sparkSession, path)  # batches without rows leave nothing
     writer = stream.writeStream.outputMode(output_mode)
     if name:
         writer = writer.queryName(name)

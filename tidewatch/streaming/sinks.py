@@ -6,14 +6,14 @@ import logging
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.plans.reports import report_docs
 from tidewatch.schemas import ANOMALY, EVENT
-from tidewatch.session import make_folder
+from tidewatch.session import drop_folder, make_folder
 from tidewatch.settings import DEFAULTS, Settings
 from tidewatch.sources.ingest import encode
 
@@ -24,13 +24,17 @@ BatchHandler = Callable[[DataFrame, int], None]
 
 def table_writer(path: str, partition_by: list[str] | None = None,
                  max_records_per_file: int = 0) -> BatchHandler:
-    """Parquet, one folder per batch; writing a batch again replaces that folder only."""
+    """Parquet, one folder per batch that has rows; writing a batch again replaces that folder only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        out = batch.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        seen = Observation()  # counted while writing: the batch is computed once
+        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
+        out = counted.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             out = out.partitionBy(*partition_by)
         out.parquet(f"{path}/batch_id={batch_id}")
+        if not seen.get["rows"]:
+            drop_folder(batch.sparkSession, f"{path}/batch_id={batch_id}")
 
     return write
 
@@ -51,10 +55,20 @@ def store_events(ev: DataFrame, path: str, checkpoint: str, trigger: dict, name:
     )
 
 
-def stored_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The event store as a stream."""
+def stored_stream(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+    """The event store as a stream, at most about ``max_bytes`` of files per batch."""
     make_folder(spark, path)
-    return spark.readStream.schema(_STORED).parquet(path).drop("event_date")
+    reader = spark.readStream.schema(_STORED)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes))
+    return reader.parquet(path).drop("event_date")
+
+
+def anomaly_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Stored anomalies of all detectors as one stream; ``path`` has a folder for each detector."""
+    make_folder(spark, path)
+    stored = T.StructType([*ANOMALY.fields, T.StructField("detector", T.StringType()), T.StructField("batch_id", T.LongType())])
+    return spark.readStream.schema(stored).parquet(path).drop("detector", "batch_id")
 
 
 def stored_events(spark: SparkSession, path: str, since: datetime | None = None,
@@ -85,33 +99,42 @@ def index_options(index: str, cfg: Settings = DEFAULTS, id_column: str | None =
     return options
 
 
-def summary_writer(path: str, anomalies: str | None = None, cfg: Settings = DEFAULTS) -> BatchHandler:
-    """Reports of a batch of anomalies. A failure is logged and the stream goes on.
+_COUNTS = "service string, anomaly_type string, n bigint, batch_id bigint"
+
+
+def running_counts(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """Stored anomalies per service and type before a batch: the totals that the latest earlier batch left."""
+    make_folder(spark, path)
+    stored = spark.read.schema(_COUNTS).parquet(path).where(F.col("batch_id") < batch_id)
+    last = stored.agg(F.max("batch_id")).first()[0]
+    return None if last is None else stored.where(F.col("batch_id") == last)
+
+
+def summary_writer(path: str, counts: str | None = None, cfg: Settings = DEFAULTS) -> BatchHandler:
+    """Reports of a batch of anomalies. The batch of a failure is logged and kept in ``<path>_failed``; the stream goes on.
 
-    ``anomalies`` is the stored table; its earlier batches count as prior incidents.
+    ``counts`` is a table of running totals; anomalies of earlier batches count as prior incidents.
     """
-    write = table_writer(path)
-    stored = T.StructType([*ANOMALY.fields, T.StructField("batch_id", T.LongType())])
+    write, keep = table_writer(path), table_writer(f"{path}_failed")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         try:
-            if batch.isEmpty():
-                return
-            history = None
-            if anomalies and batch_id > 0:
-                history = batch.sparkSession.read.schema(stored).parquet(anomalies).where(F.col("batch_id") < batch_id)
-            write(report_docs(batch, cfg, history), batch_id)
+            earlier = running_counts(batch.sparkSession, counts, batch_id) if counts else None
+            write(report_docs(batch, cfg, earlier=earlier), batch_id)
+            if counts:
+                own = batch.groupBy("service", "anomaly_type").agg(F.count(F.lit(1)).alias("n"))
+                totals = own if earlier is None else own.unionByName(earlier.drop("batch_id")).groupBy(
+                    "service", "anomaly_type").agg(F.sum("n").alias("n"))
+                table_writer(counts)(totals, batch_id)
         except Exception:
             log.exception("summaries of batch %d were not stored", batch_id)
+            keep(batch, batch_id)
 
     return handle
 
 
-def count_handler(batch: DataFrame, batch_id: int) -> None:
-    """Default handler: logs how many records arrived."""
-    log.info("batch %d: %d records", batch_id, batch.count())
-
-
 def each(*handlers: BatchHandler) -> BatchHandler:
     """Several handlers on one batch, computed once."""
 
