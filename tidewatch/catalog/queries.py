@@ -97,10 +97,8 @@ def session_anomalies(spark, folder):
 
 
 def all_anomalies(spark, folder):
-    ev = tables.events(spark, folder)
     return detectors.anomalies(
-        detectors.throughput_drop(ev),
-        detectors.latency_spike(ev),
+        *detectors.window_anomalies(tables.events(spark, folder)),
         detectors.session_anomalies(tables.events(spark, folder, tables.SESSIONS)),
     )
 
@@ -111,8 +109,7 @@ def stored_anomalies(spark, folder):
 
 
 def window_anomalies(spark, folder):
-    ev = tables.events(spark, folder)
-    return detectors.anomalies(detectors.throughput_drop(ev), detectors.latency_spike(ev))
+    return detectors.anomalies(*detectors.window_anomalies(tables.events(spark, folder)))
 
 
 @query
@@ -250,8 +247,7 @@ def heatmap_grid(spark, folder):
 @query
 def active_anomalies(spark, folder):
     ev = tables.events(spark, folder)
-    found = detectors.anomalies(
-        detectors.throughput_drop(ev), detectors.latency_spike(ev), detectors.session_anomalies(ev))
+    found = detectors.anomalies(*detectors.window_anomalies(ev), detectors.session_anomalies(ev))
     return dashboards.active_anomalies(found, dashboards.latest(ev))
 
 

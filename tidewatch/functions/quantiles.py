@@ -66,10 +66,11 @@ def _rows(df: DataFrame, keys: list[str], pane: Column, value: Column) -> DataFr
     return rows.withColumn("cell", grid(F.col("value")))
 
 
-def _cell_ranks(rows: DataFrame, keys: list[str], panes: int) -> DataFrame:
+def _cell_ranks(rows: DataFrame, keys: list[str], panes: int, cells: DataFrame | None = None) -> DataFrame:
     """Ranked cell counts of every window of ``panes`` consecutive panes, numbered by its first pane."""
     group = [*keys, "win"]
-    cells = rows.groupBy(*keys, "pane", "cell").agg(F.count(F.lit(1)).alias("n"))
+    if cells is None:
+        cells = rows.groupBy(*keys, "pane", "cell").agg(F.count(F.lit(1)).alias("n"))
     if panes == 1:
         return with_rank(cells.withColumnRenamed("pane", "win"), group, "cell")
     spread = cells.select(
@@ -79,16 +80,20 @@ def _cell_ranks(rows: DataFrame, keys: list[str], panes: int) -> DataFrame:
     return with_rank(merged, group, "cell")
 
 
-def grid_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1) -> DataFrame:
+def grid_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1,
+                  cells: DataFrame | None = None) -> DataFrame:
     """``keys, win, total, quantile`` of every window that holds a value, from cell counts."""
-    ranked = _cell_ranks(_rows(df, keys, pane, value), keys, panes)
+    ranked = _cell_ranks(_rows(df, keys, pane, value), keys, panes, cells)
     return ranked.groupBy(*keys, "win").agg(
         F.max("total").alias("total"), quantile_at(q, grid_value(F.col("cell"))).alias("quantile"))
 
 
-def exact_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1) -> DataFrame:
+def exact_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1,
+                   cells: DataFrame | None = None) -> DataFrame:
     """``keys, win, total, quantile`` of every window that holds a value, exactly.
 
+    ``cells`` are counts ``n`` by ``keys, pane, cell`` that exist already; without them the data is read once for them.
+
     The wanted cells are stored first, so that the planner knows their size:
     below the session's broadcast threshold the second reading filters the data without any shuffle,
     above it the join is an ordinary shuffled one.
@@ -97,7 +102,7 @@ def exact_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column,
     rows = _rows(df, keys, pane, value)
     rank = F.lit(q) * (F.col("total") - 1)
     wanted = (
-        _cell_ranks(rows, keys, panes)
+        _cell_ranks(rows, keys, panes, cells)
         .where((F.col("upto") > F.floor(rank)) & (F.col("upto") - F.col("n") <= F.ceil(rank)))
         .select(*group, "cell", "total", (F.col("upto") - F.col("n")).alias("before"))
         .withColumn("pane", F.explode(F.sequence("win", F.col("win") + (panes - 1))))

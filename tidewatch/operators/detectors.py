@@ -11,10 +11,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.events import exact, interval, is_server_error, mean_of
+from tidewatch.functions.events import exact, interval, is_server_error, mean_of, pane_time
 from tidewatch.functions.quantiles import grid, grid_value, quantile
 from tidewatch.operators.sessions import sessions
-from tidewatch.operators.windows import only_closed, sliding_p99, value_panes
+from tidewatch.operators.windows import only_closed, pane_table, sliding_p99, value_panes
 from tidewatch.schemas import ANOMALY
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
@@ -28,20 +28,26 @@ def drop_share(current: Column, previous: Column) -> Column:
     return (previous - current) / previous
 
 
-def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS, table: DataFrame | None = None) -> DataFrame:
     """Services whose event count fell by more than the threshold against the window before.
 
     Events are counted once per pane; each pane then enters two double-width
     windows, as the current half of one and the previous half of the other. A
     window without any current event is therefore seen too: a full outage.
+    ``table`` is the ``pane_table`` of the same events; then these are not read again.
     """
     width = cfg.tumbling_s
-    panes = ev.groupBy("service", F.window("timestamp", seconds(width)).alias("pane")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(is_server_error()).alias("errors"),
-        F.sum(exact()).alias("latency"),
-        F.count("latency_ms").alias("timed"),
-    )
+    if table is None or width % cfg.slide_s:
+        panes = ev.groupBy("service", F.window("timestamp", seconds(width)).alias("pane")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(is_server_error()).alias("errors"),
+            F.sum(exact()).alias("latency"),
+            F.count("latency_ms").alias("timed"),
+        )
+    else:
+        ev = table
+        panes = table.groupBy("service", F.window(pane_time("pane", cfg.slide_s), seconds(width)).alias("pane")).agg(
+            *[F.sum(c).alias(c) for c in ("n", "errors", "latency", "timed")])
     t = F.col("pane_time")
     current = t >= F.col("w.end") - interval(width)
     pairs = (
@@ -71,7 +77,8 @@ def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
     )
 
 
-def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact") -> DataFrame:
+def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact",
+                  table: DataFrame | None = None) -> DataFrame:
     """Windows whose p99 exceeds a multiple of the p99 of the window right before.
 
     ``method="exact"`` interpolates true p99 values. ``method="grid"`` puts
@@ -79,19 +86,21 @@ def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact"
     whatever the traffic, which is the form for long-running streams.
     ``method="early"`` is the grid form for update mode: a stream reports a window as soon as
     it qualifies, and again when it grows; keep the last row per service and window.
+    ``table`` is the ``pane_table`` of the same events, if there is one.
     """
     if method not in ("exact", "grid", "early") or (method == "early" and not ev.isStreaming):
         raise ValueError(f"unknown method: {method}")
     if method == "early":
         pairs = _spike_pairs_early(ev, cfg)
     else:
-        pairs = (_spike_pairs_stream if ev.isStreaming else _spike_pairs_table)(ev, cfg, method == "grid")
+        on_grid = method == "grid"
+        pairs = _spike_pairs_stream(ev, cfg, on_grid) if ev.isStreaming else _spike_pairs_table(ev, cfg, on_grid, table)
     p99, base = F.col("p99_latency_ms"), F.col("baseline_p99")
     found = pairs.where(
         (F.col("event_count") >= cfg.spike_min_events) & (F.col("base_count") >= cfg.spike_min_events)
         & (p99 > cfg.spike_multiplier * base)
     )
-    return only_closed(found, ev, F.col("window_end"), cfg).select(
+    return only_closed(found, ev if table is None else table, F.col("window_end"), cfg).select(
         "service",
         F.lit("latency_spike").alias("anomaly_type"),
         (F.col("window_end") - interval(cfg.sliding_s)).alias("window_start"),
@@ -102,9 +111,9 @@ def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact"
     )
 
 
-def _spike_pairs_table(ev: DataFrame, cfg: Settings, on_grid: bool) -> DataFrame:
+def _spike_pairs_table(ev: DataFrame, cfg: Settings, on_grid: bool, table: DataFrame | None) -> DataFrame:
     """Every sliding window is measured once, then offered as current and as baseline."""
-    stats = sliding_p99(ev, cfg, on_grid)
+    stats = sliding_p99(ev, cfg, on_grid, table)
     width = interval(cfg.sliding_s)
     roles = F.array(
         F.struct(F.lit(True).alias("current"), F.col("window_end").alias("window_end")),
@@ -167,6 +176,12 @@ def session_anomalies(ev: DataFrame, key: str = "session_id", slow: Column | Non
     )
 
 
+def window_anomalies(ev: DataFrame, cfg: Settings = DEFAULTS) -> list[DataFrame]:
+    """Throughput drops and latency spikes of a table, which is read once for both and once more for exact p99 values."""
+    table = pane_table(ev, cfg)
+    return [throughput_drop(ev, cfg, table), latency_spike(ev, cfg, table=table)]
+
+
 def as_anomalies(found: DataFrame) -> DataFrame:
     """Any detector's output as full anomaly records."""
     present = set(found.columns)

@@ -16,6 +16,7 @@ from tidewatch.functions.events import (
 from tidewatch.functions.quantiles import (
     exact_quantile, grid, grid_quantile, grid_value, join_same, quantile,
 )
+from tidewatch.session import materialise
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 
@@ -29,6 +30,22 @@ def only_closed(windows: DataFrame, ev: DataFrame, end: Column, cfg: Settings =
     return windows if ev.isStreaming else windows.where(end <= closed_at(ev, cfg))
 
 
+def pane_table(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """What the window detectors need from a table of events, read once and stored: a row per service, slide and latency cell.
+
+    ``timestamp`` is the last event's. The table has a few hundred rows per service and slide, whatever the traffic.
+    """
+    cell = F.when(F.col("latency_ms").isNotNull(), grid(F.col("latency_ms")))
+    return materialise(
+        ev.groupBy("service", pane_index("timestamp", cfg.slide_s).alias("pane"), cell.alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(is_server_error()).alias("errors"),
+            F.sum(exact()).alias("latency"),
+            F.count("latency_ms").alias("timed"),
+            F.max("timestamp").alias("timestamp"),
+        ), "panes")
+
+
 def tumbling_stats(ev: DataFrame, width_s: int, q: float = 0.99) -> DataFrame:
     """Count, errors, mean and p99 latency per service and window."""
     return _stats_stream(ev, width_s, q) if ev.isStreaming else _stats_table(ev, width_s, q)
@@ -68,8 +85,12 @@ def _stats_stream(ev: DataFrame, width_s: int, q: float) -> DataFrame:
     )
 
 
-def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False) -> DataFrame:
-    """p99 latency per service and sliding window, complete or not; exact, or within 1 % on the grid."""
+def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False,
+                table: DataFrame | None = None) -> DataFrame:
+    """p99 latency per service and sliding window, complete or not; exact, or within 1 % on the grid.
+
+    ``table`` is the ``pane_table`` of the same events, if there is one.
+    """
     if ev.isStreaming:
         windows = value_panes(ev, cfg.slide_s, on_grid).groupBy(
             "service", F.window("pane_time", seconds(cfg.sliding_s), seconds(cfg.slide_s)).alias("w"))
@@ -77,7 +98,8 @@ def sliding_p99(ev: DataFrame, cfg: Settings = DEFAULTS, on_grid: bool = False)
             "service", *window_bounds("w"), "event_count", "p99_latency_ms")
     panes = cfg.sliding_s // cfg.slide_s
     measure = grid_quantile if on_grid else exact_quantile
-    found = measure(ev, ["service"], pane_index("timestamp", cfg.slide_s), F.col("latency_ms"), 0.99, panes)
+    found = measure(ev, ["service"], pane_index("timestamp", cfg.slide_s), F.col("latency_ms"), 0.99, panes,
+                    None if table is None else table.where("cell is not null").select("service", "pane", "cell", "n"))
     return found.select(
         "service",
         pane_time("win", cfg.slide_s).alias("window_start"),
