@@ -42,3 +42,14 @@ def test_query_equals_sql(spark, folder, name):
     cursor = con.execute(entry_module.oracle_sql()[name])
     want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
+def test_dense_reports_have_full_batches_of_mixed_records(spark, folder):
+    docs = QUERIES["report_docs_dense"](spark, folder).collect()
+    assert max(d.anomaly_count for d in docs) == 10 and max(len(d.anomaly_types) for d in docs) >= 2
+    assert max(r.summary_count for r in QUERIES["summary_table_dense"](spark, folder).collect()) > 1
+
+
+def test_all_anomalies_scan_the_events_three_times_at_most(spark, folder):
+    plan = QUERIES["anomaly_reports"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("events.parquet") <= 3

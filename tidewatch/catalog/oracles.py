@@ -499,3 +499,18 @@ SQL["stream_late_windows"] = f"""with {EV},
     where (mark is null or ws + interval '1 minute' > mark)
       and ws + interval '1 minute' <= (select max(t) - interval '10 seconds' from ev)
     group by all"""
+
+
+def dense(sql: str) -> str:
+    """A query over reports with the low thresholds, sessions on the same timeline."""
+    for plain, low in (
+        ("0.40", "0.05"), ("/ 2.0 >=", "/ 1.02 >="), ("n >= 20 and nb >= 20 and p99 > 2 * b", "n >= 5 and nb >= 5 and p99 > 1.02 * b"),
+        ("/ 0.85 >=", "/ 0.5 >="), ("event_count >= 3 and anomaly_score > 0.85", "event_count >= 2 and anomaly_score > 0.5"),
+        ("max(t60)", "max(t)"), ("min(t60)", "min(t)"), ("t60 - lag(t60)", "t - lag(t)"), ("order by t60", "order by t"),
+    ):
+        assert plain in sql, plain
+        sql = sql.replace(plain, low)
+    return sql
+
+
+SQL.update({f"{name}_dense": dense(SQL[name]) for name in ("report_batches", "batch_prompts", "report_docs", "summary_table")})

@@ -552,6 +552,37 @@ def report_docs(spark, folder):
     return reports.report_docs(stored_anomalies(spark, folder))
 
 
+#: Low thresholds on one timeline: report windows of more than ten records, of several types and services.
+DENSE = Settings(drop_threshold=0.05, spike_multiplier=1.02, spike_min_events=5, session_score=0.5, session_min_events=2)
+
+
+def dense_anomalies(spark, folder):
+    ev = tables.events(spark, folder)
+    found = detectors.anomalies(*detectors.window_anomalies(ev, DENSE), detectors.session_anomalies(ev, cfg=DENSE))
+    return materialise(found, "anomalies")
+
+
+@query
+def report_batches_dense(spark, folder):
+    return reports.report_batches(dense_anomalies(spark, folder)).select(
+        "batch_window", "batch_no", "position", "service", "anomaly_type", "window_start", "session_key")
+
+
+@query
+def batch_prompts_dense(spark, folder):
+    return reports.batch_prompts(reports.report_batches(dense_anomalies(spark, folder))).drop("detected_at")
+
+
+@query
+def report_docs_dense(spark, folder):
+    return reports.report_docs(dense_anomalies(spark, folder))
+
+
+@query
+def summary_table_dense(spark, folder):
+    return dashboards.summary_table(reports.report_docs(dense_anomalies(spark, folder)))
+
+
 @query
 def missed_events(spark, folder):
     return reports.missed_events(all_anomalies(spark, folder))
