@@ -44,7 +44,8 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
     while True:
         deep = min(2 * BITS, at + step)
         cells = rows.groupBy(F.substring("bits", 1, deep).alias("cell")).agg(
-            F.sum("n_bytes").alias("b"), F.count("*").alias("n"))
+            F.sum("n_bytes").alias("b"), F.count("*").alias("n"),
+            (F.min(F.substring("bits", 1, BITS)) == F.max(F.substring("bits", 1, BITS))).alias("one_key"))
         cells = materialise(cells, "cells")
         levels = cells.select("cell", "b", "n", F.explode(F.sequence(F.lit(at), F.lit(deep))).alias("depth")).select(
             "cell", "depth", "b", "n", F.col("cell").substr(F.lit(1), F.col("depth")).alias("shard"))
@@ -55,11 +56,13 @@ def directory(rows: DataFrame, limit: int) -> DataFrame:
         ).select("cell", F.lit(deep).alias("cell_bits"), "s.*")
         found = materialise(found, "directory")
         done = found if done is None else done.unionAll(found)
-        left = cells.join(found, "cell", "left_anti").select("cell")
+        left = cells.join(found, "cell", "left_anti").select("cell", "one_key")
         if deep == 2 * BITS or left.isEmpty():
             return done
         # keep only what must split further; its sizes at the depths already judged are above the limit
         rows = materialise(rows.withColumn("cell", F.substring("bits", 1, deep)).join(left, "cell", "left_semi").drop("cell"), "rows")
+        if left.where("not one_key").isEmpty():  # bits of the key part nothing any more
+            deep = max(deep, BITS)
         at, step = deep + 1, 8
 
 
