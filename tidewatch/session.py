@@ -70,7 +70,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove tables that ``materialise`` wrote and nothing will read again."""
+    for table in tables:
+        drop_folder(table.sparkSession, table.written_to)
 
 
 def naive(df: DataFrame) -> DataFrame:
