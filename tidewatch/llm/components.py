@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import materialise
+from tidewatch.session import materialise, release
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,7 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
     while True:
-        edges = materialise(_star(_star(edges, True), False), "stars")
+        old, edges = edges, materialise(_star(_star(edges, True), False), "stars")
+        release(old)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if before == now:
             break

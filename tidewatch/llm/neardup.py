@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import materialise
+from tidewatch.session import materialise, release
 
 from . import words as W
 from .components import components
@@ -235,7 +235,6 @@ def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
-    pairs = materialise(pairs, "pairs")
     texts = _texts_of(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select("b")).distinct(), texts)
     return (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -273,8 +272,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
         .where(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
         .select("a", "b", "sig_a", "sig_b").mapInArrow(_prune(k, step, need), "a long, b long")
     )
-    links = materialise(_confirmed(close, own, width, percent), "links")
+    pairs = materialise(close, "pairs")
+    links = materialise(_confirmed(pairs, own, width, percent), "links")
     joined = materialise(components(links), "components")
+    release(pairs, links)
 
     # what the stars of the buckets left open
     rest = (
@@ -284,6 +285,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
     mixed = rest.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                     F.count("*").alias("size")).where("x <> y").select("key", "size")
     rest = materialise(rest.join(mixed, "key").distinct(), "rest")
+    release(buckets)
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     cells = rest.withColumn("blocks", blocks).withColumn("block", block).select(
@@ -300,6 +302,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", wid
         .applyInArrow(_link_blocks(k, rows, step, need, width, percent), "a long, b long").distinct(), "links")
     if not more.isEmpty():
         joined = materialise(components(joined.toDF("a", "b").unionAll(more)), "components")
+    release(rest, more)
 
     found = classes.select("digest", "node").join(joined, "node", "left").select(
         "digest", F.coalesce("component", "node").alias("component_id"))
