@@ -126,13 +126,15 @@ def test_event_store_is_split_by_date(spark, tmp_path):
     write_files(spark, tmp_path / "in", [[event(1, "0:00:01"), event(2, "25:00:00")]])
     out = str(tmp_path / "out")
     for _ in range(2):  # a second run finds nothing new
-        sinks.store_events(file_stream(spark, tmp_path / "in"), out, str(tmp_path / "ck"),
-                           {"availableNow": True}).awaitTermination()
+        decoded = file_stream(spark, tmp_path / "in").select(
+            F.struct("*").alias("event"), F.lit(None).cast("string").alias("reason"), F.lit("").alias("value"))
+        sinks.store_messages(decoded, out, str(tmp_path / "ck"), {"availableNow": True}).awaitTermination()
     assert sinks.stored_events(spark, out).count() == 2
     later = sinks.stored_events(spark, out, since=T0 + timedelta(hours=24))
     assert [r.event_id for r in later.collect()] == ["2"]
     assert sinks.stored_events(spark, out, until=T0 + timedelta(hours=24)).count() == 1
-    assert "PartitionFilters: [isnotnull(event_date" in later._jdf.queryExecution().executedPlan().toString()
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "isnotnull(event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_failed_summaries_do_not_stop_the_stream(spark, tmp_path):
@@ -163,9 +165,9 @@ def test_whole_job(spark, tmp_path):
     for q in queries:
         q.awaitTermination()
     out = str(tmp_path / "out")
-    assert spark.read.parquet(f"{out}/events").count() == len(rows)
-    reasons = sorted(r.reason for r in spark.read.parquet(f"{out}/quarantine").collect())
-    assert reasons == ["malformed", "unknown_field"]
+    assert sinks.stored_events(spark, f"{out}/events").count() == len(rows)
+    bad = sorted((r.reason, r.message) for r in sinks.quarantine(spark, f"{out}/events").collect())
+    assert bad == [("malformed", "{bad"), ("unknown_field", '{"zz": 1}')]
     plain = table(spark, rows)
     want = detectors.anomalies(detectors.throughput_drop(plain), detectors.latency_spike(plain))
     got = spark.read.parquet(f"{out}/anomalies").where("detector in ('drops', 'spikes')")
@@ -178,7 +180,9 @@ def test_whole_job(spark, tmp_path):
     for q in queries:
         recorder.wait(q)
     spark.streams.removeListener(recorder)
-    assert {"events", "quarantine", "drops", "spikes", "sessions", "reports"} <= {
+    read = recorder.table().where("source = 'events'").agg(F.sum("input_rows")).first()[0]
+    assert read == len(rows) + 2  # every message was read once
+    assert {"events", "drops", "spikes", "sessions", "reports"} <= {
         r.source for r in recorder.table().collect()}
     for folder in (tmp_path / "out").rglob("batch_id=*"):  # no folder without rows
         assert spark.read.parquet(str(folder)).count() > 0
@@ -219,7 +223,7 @@ def test_command_line_job_over_files(spark, tmp_path):
     out = str(tmp_path / "out")
     listeners = len(spark.streams._jsqm.listListeners()) if hasattr(spark.streams._jsqm, "listListeners") else None
     run(spark, arguments(["--source", "files", "--path", str(tmp_path / "json"), "--out", out, "--once"]))
-    assert spark.read.parquet(f"{out}/events").count() == len(rows)
+    assert sinks.stored_events(spark, f"{out}/events").count() == len(rows)
     assert spark.read.parquet(f"{out}/anomalies").where("detector = 'drops'").count() > 0
     assert listeners is None or len(spark.streams._jsqm.listListeners()) == listeners
 

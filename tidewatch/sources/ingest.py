@@ -95,6 +95,15 @@ def accepted(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reason").isNull()).select(*[F.col(f"event.{c}").alias(c) for c in EVENT.names])
 
 
+def sorted_out(decoded: DataFrame, value: str = "value") -> DataFrame:
+    """All records as rows of one store: accepted events, and rejected texts with their reason and no event fields."""
+    taken = F.col("reason").isNull()
+    return decoded.select(
+        *[F.when(taken, F.col(f"event.{c}")).alias(c) for c in EVENT.names],
+        F.when(~taken, F.col(value).cast("string")).alias("message"), "reason",
+        F.when(taken, "accepted").otherwise("rejected").alias("status"))
+
+
 def rejected(decoded: DataFrame) -> DataFrame:
     """Quarantine: everything but the parsed event, with the reason."""
     return decoded.where(F.col("reason").isNotNull()).drop("event")

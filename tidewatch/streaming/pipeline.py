@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch.operators import detectors
 from tidewatch.operators.matching import with_baseline
 from tidewatch.settings import DEFAULTS, Settings, seconds
-from tidewatch.sources.ingest import accepted, decode, dedupe, rejected, with_watermark
+from tidewatch.sources.ingest import decode, dedupe, with_watermark
 from tidewatch.streaming import sinks
 
 
@@ -25,18 +25,16 @@ def _start(stream: DataFrame, name: str, handler: sinks.BatchHandler, checkpoint
 def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAULTS,
           alerts: sinks.BatchHandler | None = None, trigger: dict | None = None,
           spikes: str = "grid", value: str = "value") -> list[StreamingQuery]:
-    """Start the stores of events and rejected messages, and one query per detector.
+    """Start the store of events and rejected messages, one query per detector, and the reports.
 
-    Messages are decoded into the event store once. The detectors follow the store: they read
+    Messages are read and decoded once. The detectors follow the store: they read
     only the columns they need, each with its own state and checkpoint, and can be
     restarted alone. ``alerts`` receives each batch of anomalies, for a topic or an index.
     """
     spark = messages.sparkSession
     trigger = trigger or {"processingTime": seconds(cfg.trigger_s)}
-    decoded = decode(messages, value)
     queries = [
-        sinks.store_events(accepted(decoded), f"{out}/events", f"{checkpoints}/events", trigger),
-        _start(rejected(decoded), "quarantine", sinks.table_writer(f"{out}/quarantine"), checkpoints, trigger),
+        sinks.store_messages(decode(messages, value), f"{out}/events", f"{checkpoints}/events", trigger, value),
     ]
     if "availableNow" in trigger:  # one pass: the store is complete before the detectors read it
         queries[0].awaitTermination()

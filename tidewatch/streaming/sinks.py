@@ -15,7 +15,7 @@ from tidewatch.plans.reports import report_docs
 from tidewatch.schemas import ANOMALY, EVENT
 from tidewatch.session import drop_folder, make_folder
 from tidewatch.settings import DEFAULTS, Settings
-from tidewatch.sources.ingest import encode
+from tidewatch.sources.ingest import encode, sorted_out
 
 log = logging.getLogger(__name__)
 
@@ -39,29 +39,38 @@ def table_writer(path: str, partition_by: list[str] | None = None,
     return write
 
 
-_STORED = T.StructType([*EVENT.fields, T.StructField("event_date", T.DateType())])
+_STORED = T.StructType([
+    *EVENT.fields, T.StructField("message", T.StringType()), T.StructField("reason", T.StringType()),
+    T.StructField("status", T.StringType()), T.StructField("event_date", T.DateType())])
+_EVENTS = [f.name for f in EVENT]
 
 
-def store_events(ev: DataFrame, path: str, checkpoint: str, trigger: dict, name: str = "events") -> StreamingQuery:
-    """Event store: Spark's own file sink, whose log makes every batch count once.
+def store_messages(decoded: DataFrame, path: str, checkpoint: str, trigger: dict, value: str = "value",
+                   name: str = "events") -> StreamingQuery:
+    """Event store and quarantine in one table, so that each message is read and decoded once.
 
-    Folders per event date let time filters skip most of the store. Late events are
-    stored too; only the detectors ignore them.
+    Spark's own file sink writes it; its log makes every batch count once. Folders per status and event date let
+    filters skip most of the store. Late events are stored too; only the detectors ignore them.
     """
     return (
-        ev.withColumn("event_date", F.to_date("timestamp"))
-        .writeStream.queryName(name).format("parquet").partitionBy("event_date")
+        sorted_out(decoded, value).withColumn("event_date", F.to_date("timestamp"))
+        .writeStream.queryName(name).format("parquet").partitionBy("status", "event_date")
         .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
+def quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected messages of the store, with their reasons."""
+    return spark.read.schema(_STORED).parquet(path).where("status = 'rejected'").select("message", "reason")
+
+
 def stored_stream(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """The event store as a stream, at most about ``max_bytes`` of files per batch."""
     make_folder(spark, path)
     reader = spark.readStream.schema(_STORED)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
-    return reader.parquet(path).drop("event_date")
+    return reader.parquet(path).where("status = 'accepted'").select(*_EVENTS)
 
 
 def anomaly_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -74,12 +83,12 @@ def anomaly_stream(spark: SparkSession, path: str) -> DataFrame:
 def stored_events(spark: SparkSession, path: str, since: datetime | None = None,
                   until: datetime | None = None) -> DataFrame:
     """The event store as a table; time bounds apply to the folders as well as to the rows."""
-    df = spark.read.schema(_STORED).parquet(path)
+    df = spark.read.schema(_STORED).parquet(path).where("status = 'accepted'")
     if since is not None:
         df = df.where((F.col("event_date") >= F.to_date(F.lit(since))) & (F.col("timestamp") > F.lit(since)))
     if until is not None:
         df = df.where((F.col("event_date") <= F.to_date(F.lit(until))) & (F.col("timestamp") <= F.lit(until)))
-    return df.drop("event_date")
+    return df.select(*_EVENTS)
 
 
 def message_writer(options: dict[str, str], fmt: str = "kafka", key: str = "service") -> BatchHandler:
