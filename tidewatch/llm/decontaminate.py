@@ -222,11 +222,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "t
     sc = docs.sparkSession.sparkContext
     row = T.StructField("row", docs.schema)
     out = docs.select(F.struct("*").alias("row"), F.col(text).alias("text") if isinstance(text, str) else text.alias("text"))
-    blocks = list(_blocks(benchmark, item_id, item_text, width, block_words))
-    for k, q in enumerate(blocks):
-        last = k == len(blocks) - 1
-        schema = T.StructType([row, *([] if last else [T.StructField("text", T.StringType())]), *FOUND])
-        out = out.mapInArrow(_search(sc.broadcast(q), width, not last, k > 0), schema)
+    blocks = _blocks(benchmark, item_id, item_text, width, block_words)  # two of them at a time are in the driver
+    q, previous = next(blocks), False
+    while q is not None:
+        after = next(blocks, None)
+        schema = T.StructType([row, *([] if after is None else [T.StructField("text", T.StringType())]), *FOUND])
+        out = out.mapInArrow(_search(sc.broadcast(q), width, after is not None, previous), schema)
+        q, previous = after, True
     return out
 
 
