@@ -188,6 +188,13 @@ def test_whole_job(spark, tmp_path):
         assert spark.read.parquet(str(folder)).count() > 0
 
 
+def test_documents_go_to_a_bulk_sink(spark, tmp_path):
+    options = sinks.index_options("anomalies", id_column="event_id")
+    assert options["es.batch.size.entries"] == "500" and options["es.mapping.id"] == "event_id"
+    sinks.document_writer({"path": str(tmp_path / "index")}, "parquet")(table(spark, [event(1, "0:00:01")]), 0)
+    assert spark.read.parquet(str(tmp_path / "index")).count() == 1
+
+
 def test_reports_join_detectors_and_cut_batches_of_ten(spark, tmp_path):
     from tests.helpers import anomaly_table
 

@@ -26,6 +26,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--servers", default="localhost:9092", help="Kafka servers")
     p.add_argument("--topic", default=DEFAULTS.topic)
     p.add_argument("--alert-topic", help="also send anomalies to this Kafka topic")
+    p.add_argument("--alert-index", help="also store anomalies in this document index")
     p.add_argument("--path", help="folder of JSON lines")
     p.add_argument("--format", help="data source of a connector")
     p.add_argument("--option", action="append", default=[], help="key=value for a connector")
@@ -57,9 +58,12 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame,
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     prepare(spark)
     stream, text = messages(spark, args)
-    alerts = None
+    handlers = []
     if args.alert_topic:
-        alerts = sinks.message_writer(ingest.sink_options(args.servers, args.alert_topic))
+        handlers.append(sinks.message_writer(ingest.sink_options(args.servers, args.alert_topic)))
+    if args.alert_index:
+        handlers.append(sinks.document_writer(sinks.index_options(args.alert_index)))
+    alerts = sinks.each(*handlers) if handlers else None
     recorder = ProgressRecorder(spark, f"{args.out}/progress")
     spark.streams.addListener(recorder)
     trigger = {"availableNow": True} if args.once else {"processingTime": seconds(DEFAULTS.trigger_s)}

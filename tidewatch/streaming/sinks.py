@@ -108,6 +108,15 @@ def index_options(index: str, cfg: Settings = DEFAULTS, id_column: str | None =
     return options
 
 
+def document_writer(options: dict[str, str], fmt: str = "es") -> BatchHandler:
+    """Rows as documents of an index (or of any format that appends rows)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.format(fmt).options(**options).mode("append").save()
+
+    return write
+
+
 _COUNTS = "service string, anomaly_type string, n bigint, batch_id bigint"
 
 
