@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
+from .rows import carried
 
 SHARD_BYTES = 3 << 20
 BLOCK_WORDS = 500_000  # of the benchmark, sent to every task at a time (about 10 MB)
@@ -213,15 +214,16 @@ def _blocks(benchmark: DataFrame, id: str, text: str, width: int, block_words: i
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "text", item_id: str = "item_id",
-                  item_text: str = "text", width: int = 13, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Each row of ``docs`` as struct ``row``, with ``n_words, n_hit, longest, runs, items``.
+                  item_text: str = "text", width: int = 13, block_words: int = BLOCK_WORDS,
+                  columns: list[str] | None = None) -> DataFrame:
+    """Each row of ``docs`` (or its ``columns``) as struct ``row``, with ``n_words, n_hit, longest, runs, items``.
 
     ``runs`` are the hit words (end exclusive), ``longest`` is the longest verbatim match with one item, counted from the first
     place of each of its windows.
     """
     sc = docs.sparkSession.sparkContext
-    row = T.StructField("row", docs.schema)
-    out = docs.select(F.struct("*").alias("row"), F.col(text).alias("text") if isinstance(text, str) else text.alias("text"))
+    struct, row = carried(docs, columns)
+    out = docs.select(struct, F.col(text).alias("text") if isinstance(text, str) else text.alias("text"))
     blocks = _blocks(benchmark, item_id, item_text, width, block_words)  # two of them at a time are in the driver
     q, previous = next(blocks), False
     while q is not None:

@@ -29,12 +29,9 @@ def op2_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Encode with the 4 best segmentations, decode the best, compare with the text."""
-    encoded = segment.encode(_table(spark, folder, "documents"), VOCABULARY).select(
-        "row.doc_id", "row.text", "ids", "score", F.transform("others", lambda o: o["score"]).alias("other_scores"),
-        F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"))
-    return segment.decode(encoded, VOCABULARY).select(
-        "row.doc_id", "row.n_pieces", "row.score", "row.other_scores", "row.ids_hash",
-        (F.coalesce("row.text", F.lit("")) == F.col("decoded")).alias("round_trip"))
+    return segment.encode(_table(spark, folder, "documents"), VOCABULARY, verify=True, columns=["doc_id"]).select(
+        "row.doc_id", F.size("ids").cast("long").alias("n_pieces"), "score",
+        F.transform("others", lambda o: o["score"]).alias("other_scores"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
@@ -55,12 +52,13 @@ def op6_lbl_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(_table(spark, folder, "documents")).select(
+    return quality.judge(_table(spark, folder, "documents"), columns=["doc_id", "lang"]).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
 
 
 def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.contamination(
+        _table(spark, folder, "documents"), _table(spark, folder, "benchmark"), columns=["doc_id"])
     return found.select(
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
@@ -69,7 +67,7 @@ def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return tokencount.token_counts(_table(spark, folder, "documents"), VOCABULARY).select(
+    return tokencount.token_counts(_table(spark, folder, "documents"), VOCABULARY, columns=["doc_id"]).select(
         "row.doc_id", "n_pretokens", "n_tokens")
 
 

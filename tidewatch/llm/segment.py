@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from . import pieces as P
 from . import words as W
+from .rows import carried
 
 
 KNOWN = 50_000  # pre-tokens whose lists a task keeps
@@ -157,16 +158,39 @@ RESULT = [
 ]
 
 
-def _encode(shared, n: int):
+def _bytes_of(v: P.Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of each piece by id, filled up with 0, and their number."""
+    table = np.zeros((max(v.text) + 1, max(map(len, v.text.values()))), np.uint8)
+    size = np.zeros(len(table), np.int64)
+    for i, b in v.text.items():
+        table[i, :len(b)] = np.frombuffer(b, np.uint8)
+        size[i] = len(b)
+    return table, size
+
+
+def _decoded(ids: np.ndarray, bounds: np.ndarray, pieces: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all texts, each with the blank put before it, and where each begins."""
+    table, size = pieces
+    out = np.empty(int(size[ids].sum()), np.uint8)
+    ends = np.r_[0, np.cumsum(size[ids])]
+    for a in range(0, len(ids), 1 << 18):
+        some = ids[a:a + (1 << 18)]
+        inside = np.arange(table.shape[1]) < size[some][:, None]
+        out[ends[a]:ends[a + len(some)]] = table[some][inside]
+    return out, ends[bounds]
+
+
+def _encode(shared, n: int, verify: bool):
     known: dict[bytes, list] = {}  # lists of the task's pre-tokens so far
 
     def run(batches):
         v = shared.value
+        pieces = _bytes_of(v) if verify else None
         for batch in batches:
             for a, b in W.parts(batch.column(1), P.PARTS):
-                yield one(v, batch.slice(a, b - a))
+                yield one(v, pieces, batch.slice(a, b - a))
 
-    def one(v: P.Vocabulary, part: pa.RecordBatch) -> pa.RecordBatch:
+    def one(v: P.Vocabulary, pieces, part: pa.RecordBatch) -> pa.RecordBatch:
         t = P.tokens(part.column(1))
         kinds = len(t.first) - 1
         score, gap, size = (np.zeros(kinds, np.int64) for _ in range(3))
@@ -202,54 +226,55 @@ def _encode(shared, n: int):
                 near = np.r_[np.flatnonzero(mine < edge), np.flatnonzero(mine == edge)][:n - 1]
             near = near[mine[near] < -P.NEVER]
             lists = [alternatives(int(t.number[x + k])) for k in near]
-            best, pieces = int(sums[y] - sums[x]), int(bounds[y] - bounds[x])
+            best, count = int(sums[y] - sums[x]), int(bounds[y] - bounds[x])
             mine = []
             for loss, choice in _merge([[p[0][0] - s for s, _ in p] for p in lists], n)[1:]:
                 changed = [(int(k), p[c][1], len(p[0][1])) for k, p, c in zip(near, lists, choice, strict=True) if c]
                 mine.append({
-                    "score": (best - loss) / P.UNIT, "n_pieces": pieces + sum(len(i) - m for _, i, m in changed),
+                    "score": (best - loss) / P.UNIT, "n_pieces": count + sum(len(i) - m for _, i, m in changed),
                     "changes": sorted(({"pretoken": k, "ids": i} for k, i, _ in changed), key=lambda c: c["pretoken"]),
                 })
             others.append(mine)
         kind = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("changes", pa.list_(
             pa.struct([("pretoken", pa.int64()), ("ids", pa.list_(pa.int32()))])))]))
+        checked = {}
+        if verify:
+            data, offsets = W.buffers(part.column(1))
+            back, starts = _decoded(ids, bounds[t.doc_first], pieces)
+            checked["round_trip"] = pa.array([
+                np.array_equal(back[x + (x < y):y], data[p:q])
+                for x, y, p, q in zip(starts[:-1], starts[1:], offsets[:-1], offsets[1:], strict=True)])
         return pa.RecordBatch.from_pydict({
             "row": part.column(0),
             "ids": pa.ListArray.from_arrays(pa.array(bounds[t.doc_first].astype(np.int32)), pa.array(ids)),
             "score": pa.array((sums[t.doc_first[1:]] - sums[t.doc_first[:-1]]) / P.UNIT), "others": pa.array(others, kind),
-        })
+        } | checked)
     return run
 
 
-def encode(docs: DataFrame, vocabulary: str, n: int = 4, text: str = "text", scores: str = "rank") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, n: int = 4, text: str = "text", scores: str = "rank", verify: bool = False,
+           columns: list[str] | None = None) -> DataFrame:
     """Each row as struct ``row`` with the best ``ids``, their ``score``, and the ``others`` of the n best segmentations.
 
-    Another segmentation is given by its pre-tokens that differ from the best one.
+    Another segmentation is given by its pre-tokens that differ from the best one. With ``verify`` the ids are decoded again
+    and ``round_trip`` says whether that gives the text. ``columns`` limits what ``row`` carries.
     """
     shared = docs.sparkSession.sparkContext.broadcast(P.Vocabulary(vocabulary, scores))
-    schema = T.StructType([T.StructField("row", docs.schema), *RESULT])
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(_encode(shared, n), schema)
+    row, field = carried(docs, columns)
+    schema = T.StructType([field, *RESULT, *([T.StructField("round_trip", T.BooleanType())] if verify else [])])
+    return docs.select(row, F.col(text).alias("text")).mapInArrow(_encode(shared, n, verify), schema)
 
 
 def _decode(shared):
     def run(batches):
-        v = shared.value
-        table = np.full((len(v.text) + 8, max(map(len, v.text.values()))), 0, np.uint8)
-        size = np.zeros(len(table), np.int64)
-        for i, b in v.text.items():
-            table[i, :len(b)] = np.frombuffer(b, np.uint8)
-            size[i] = len(b)
+        pieces = _bytes_of(shared.value)
         for batch in batches:
             column = batch.column(1)
             column = column.fill_null([]) if column.null_count else column
             bounds = column.offsets.to_numpy()
-            ids = column.values.to_numpy()[bounds[0]:bounds[-1]]
-            bounds = bounds - bounds[0]
-            ends = np.r_[0, np.cumsum(size[ids])]
-            k = np.arange(ends[-1]) - np.repeat(ends[:-1], size[ids])
-            data = table[np.repeat(ids, size[ids]), k].tobytes()
-            ends = ends[bounds]
-            texts = [data[x + (x < y):y].decode("utf-8", "replace") for x, y in zip(ends[:-1], ends[1:], strict=True)]
+            data, starts = _decoded(column.values.to_numpy()[bounds[0]:bounds[-1]], bounds - bounds[0], pieces)
+            data = data.tobytes()
+            texts = [data[x + (x < y):y].decode("utf-8", "replace") for x, y in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({"row": batch.column(0), "decoded": pa.array(texts, pa.string())})
     return run
 
@@ -257,7 +282,6 @@ def _decode(shared):
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", scores: str = "rank") -> DataFrame:
     """Each row without its ids as struct ``row``, and ``decoded``, the text of the ids without the blank put before it."""
     shared = rows.sparkSession.sparkContext.broadcast(P.Vocabulary(vocabulary, scores))
-    rest = rows.drop(ids)
-    schema = T.StructType([T.StructField("row", rest.schema), T.StructField("decoded", T.StringType())])
-    row = F.struct(*(F.col(f"`{c}`") for c in rest.columns)).alias("row")
+    row, field = carried(rows, [c for c in rows.columns if c != ids])
+    schema = T.StructType([field, T.StructField("decoded", T.StringType())])
     return rows.select(row, F.col(ids).alias("ids")).mapInArrow(_decode(shared), schema)

@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from . import pieces as P
 from . import words as W
+from .rows import carried
 
 
 def terminal_counts(v: P.Vocabulary, chars: np.ndarray) -> np.ndarray:
@@ -89,9 +90,11 @@ def _count(shared):
     return run
 
 
-def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", scores: str = "rank") -> DataFrame:
-    """Each row as struct ``row`` with ``n_pretokens`` and ``n_tokens``. A vocabulary has a fixed size, so it is sent to all tasks."""
+def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", scores: str = "rank",
+                 columns: list[str] | None = None) -> DataFrame:
+    """Each row (or its ``columns``) as struct ``row`` with ``n_pretokens`` and ``n_tokens``. A vocabulary has a fixed size, so it is sent to all tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(P.Vocabulary(vocabulary, scores))
-    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("n_pretokens", T.LongType()),
+    row, field = carried(docs, columns)
+    schema = T.StructType([field, T.StructField("n_pretokens", T.LongType()),
                            T.StructField("n_tokens", T.LongType())])
-    return docs.select(F.struct("*").alias("row"), F.col(text).alias("text")).mapInArrow(_count(shared), schema)
+    return docs.select(row, F.col(text).alias("text")).mapInArrow(_count(shared), schema)
