@@ -12,26 +12,31 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm import decontaminate, neardup, pii, quality, segment
 from tidewatch.llm.queries import VOCABULARY
+from tidewatch.llm.rows import small_batches
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie in their language's perplexity band."""
+    small_batches(spark)
     return quality.judge(docs).where("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8 and more) the document of the least id."""
+    small_batches(spark)
     return neardup.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a twentieth of their words in benchmark passages."""
+    small_batches(spark)
     found = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(~decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit"))).select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each span of personal data replaced by its kind; a null text stays null."""
+    small_batches(spark)
     changed = {"text": F.when(F.col("row.text").isNotNull(), pii.redacted())}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.size("spans") > 0, F.length(pii.redacted()).cast(docs.schema["n_chars"].dataType)).otherwise(
@@ -41,6 +46,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents with their piece ids, the score, and the other segmentations of the four best."""
+    small_batches(spark)
     own = ["ids", "score", "others"]
     return segment.encode(docs, VOCABULARY).select(*(f"row.`{c}`" for c in docs.columns if c not in own), *own)
 

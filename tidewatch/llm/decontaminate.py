@@ -193,7 +193,7 @@ def _search(shared, width: int, has_text: bool, previous: bool):
             "runs": pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
             "items": pa.array([sorted(x) for x in items], pa.list_(pa.string())),
         })
-    return run
+    return W.tidied(run)
 
 
 def _blocks(benchmark: DataFrame, id: str, text: str, width: int, block_words: int) -> Iterator[Queries]:

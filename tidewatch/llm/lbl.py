@@ -168,7 +168,7 @@ def _train(shared):
         if seen:
             yield pa.record_batch({"seen": pa.array([seen], pa.int64()),
                                    "sum": pa.array([(m.flat() * seen).tobytes()], pa.binary())})
-    return run
+    return W.tidied(run)
 
 
 def _add(batches):
@@ -210,7 +210,7 @@ def _score(shared):
                 "score": pa.array(sums[first[1:]] - sums[first[:-1]] + add(inside)),
                 "rare": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(w.hash[rare].view(np.int64))),
             })
-    return run
+    return W.tidied(run)
 
 
 def language_model(docs: DataFrame, id: str = "doc_id", text: str = "text", rounds: int = 2, head: int = HEAD) -> DataFrame:
@@ -219,7 +219,7 @@ def language_model(docs: DataFrame, id: str = "doc_id", text: str = "text", roun
     own = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(
         F.crc32(F.col(id).cast("string")) % 5 == 1, F.lit(False)).alias("held_out"))
     train = own.where(~F.col("held_out")).select("text")
-    counts = materialise(train.mapInArrow(_count, "word long, bin int, n long").groupBy("word").agg(
+    counts = materialise(train.mapInArrow(W.tidied(_count), "word long, bin int, n long").groupBy("word").agg(
         F.sum("n").alias("n"), F.first("bin").alias("bin")), "words")
     ends = train.count()
     n, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()

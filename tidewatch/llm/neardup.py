@@ -88,7 +88,7 @@ def _describe(width: int, k: int):
                     "doc_id": part.column(0), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "digest": pa.array(digests, pa.binary()), "sig": pa.array([known[d] for d in digests], pa.binary()),
                 })
-    return run
+    return W.tidied(run)
 
 
 def _signatures(column: pa.Array, k: int) -> np.ndarray:
@@ -109,7 +109,7 @@ def _bands(bands: int, rows: int):
                 "key": pa.array(key.ravel().view(np.int64), pa.int64()),
                 "band": pa.array(np.tile(np.arange(bands, dtype=np.int32), len(sig))),
             })
-    return run
+    return W.tidied(run)
 
 
 def least_agreements(batches: list[int], threshold: float, miss: float) -> list[int]:
@@ -144,7 +144,7 @@ def _prune(k: int, step: int, need: list[int]):
         for batch in batches:
             left = _plausible(_signatures(batch.column(2), k), _signatures(batch.column(3), k), step, need)
             yield pa.record_batch({"a": batch.column(0).take(pa.array(left)), "b": batch.column(1).take(pa.array(left))})
-    return run
+    return W.tidied(run)
 
 
 def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -210,7 +210,7 @@ def _link_blocks(k: int, rows_each: int, step: int, need: list[int], width: int,
                     found.append((int(node[x]), int(node[y])))
         ends = np.array(found, np.int64).reshape(-1, 2)
         return pa.table({"a": pa.array(ends.min(axis=1), pa.int64()), "b": pa.array(ends.max(axis=1), pa.int64())})
-    return run
+    return W.tidied(run)
 
 
 def _confirm(width: int, percent: int):
@@ -225,7 +225,7 @@ def _confirm(width: int, percent: int):
             for k, (x, y) in enumerate(zip(one.indices.to_pylist(), two.indices.to_pylist(), strict=True)):
                 linked[k] = _similar(sets[x], sets[len(one.dictionary) + y], percent)
             yield batch.select([0, 1]).filter(pa.array(linked))
-    return run
+    return W.tidied(run)
 
 
 def _texts_of(ids: DataFrame, texts: DataFrame) -> DataFrame:

@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from tidewatch.session import new_path
 
 from . import decontaminate, lbl, neardup, pii, quality, segment, sharding, substrings, tokencount, warc
+from .rows import small_batches
 
 #: A public vocabulary of 32,000 pieces; any SentencePiece model file will do.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

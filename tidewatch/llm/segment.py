@@ -249,7 +249,7 @@ def _encode(shared, n: int, verify: bool):
             "ids": pa.ListArray.from_arrays(pa.array(bounds[t.doc_first].astype(np.int32)), pa.array(ids)),
             "score": pa.array((sums[t.doc_first[1:]] - sums[t.doc_first[:-1]]) / P.UNIT), "others": pa.array(others, kind),
         } | checked)
-    return run
+    return W.tidied(run)
 
 
 def encode(docs: DataFrame, vocabulary: str, n: int = 4, text: str = "text", scores: str = "rank", verify: bool = False,
@@ -276,7 +276,7 @@ def _decode(shared):
             data = data.tobytes()
             texts = [data[x + (x < y):y].decode("utf-8", "replace") for x, y in zip(starts[:-1], starts[1:], strict=True)]
             yield pa.RecordBatch.from_pydict({"row": batch.column(0), "decoded": pa.array(texts, pa.string())})
-    return run
+    return W.tidied(run)
 
 
 def decode(rows: DataFrame, vocabulary: str, ids: str = "ids", scores: str = "rank") -> DataFrame:

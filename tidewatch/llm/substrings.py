@@ -87,7 +87,7 @@ def _send_anchors(parts: int, anchor: int):
                 "part": pa.array(full, pa.int64()),
                 "prints": pa.array([low[cut[p]:cut[p + 1]].tobytes() for p in full], pa.binary()),
             })
-    return run
+    return W.tidied(run)
 
 
 def _bits(low: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +109,7 @@ def _find_hits(size: int):
         for place in _bits(hit, size):
             bits[place] = True
         return pa.table({"part": table["part"][:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-    return run
+    return W.tidied(run)
 
 
 def _send_windows(bitmap, parts: int, size: int, owners: int, anchor: int, width: int):
@@ -165,7 +165,7 @@ def _send_windows(bitmap, parts: int, size: int, owners: int, anchor: int, width
                 "h": pa.array(rows["h"], pa.binary()), "at": pa.array(rows["at"], pa.binary()),
                 "done": pa.array(rows["done"], pa.bool_()),
             })
-    return run
+    return W.tidied(run)
 
 
 def _runs(one: np.ndarray, key: np.ndarray, begin: np.ndarray, end: np.ndarray):
@@ -215,7 +215,7 @@ def _judge(groups: int):
             rows["runs"].append(runs[at].tobytes())
         return pa.table({"group": pa.array(rows["group"], pa.int64()), "docs": pa.array(rows["docs"], pa.binary()),
                          "runs": pa.array(rows["runs"], pa.binary())})
-    return run
+    return W.tidied(run)
 
 
 def _gather(table: pa.Table) -> pa.Table:
@@ -261,7 +261,7 @@ def _cut_out(width: int):
                     "n_removed": pa.array(np.bincount(w.doc, gone, minlength=b - a).astype(np.int64)),
                     "kept_text": kept_text.cast(pa.string()),
                 })
-    return run
+    return W.tidied(run)
 
 
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13, anchor: int = 7,

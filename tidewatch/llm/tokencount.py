@@ -87,7 +87,7 @@ def _count(shared):
                     "row": part.column(0), "n_pretokens": pa.array(np.diff(t.doc_first).astype(np.int64)),
                     "n_tokens": pa.array(total[t.doc_first[1:]] - total[t.doc_first[:-1]]),
                 })
-    return run
+    return W.tidied(run)
 
 
 def token_counts(docs: DataFrame, vocabulary: str, text: str = "text", scores: str = "rank",

@@ -6,8 +6,10 @@ ASCII, so no UTF-8 sequence is cut. A null text has no words. Word hashes have 6
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+import inspect
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +34,31 @@ NOT_ALNUM[0x30:0x3A] = False
 NOT_ALNUM[0x61:0x7B] = False
 
 
+def _give_back() -> None:
+    """Return freed memory to the system; idle Python workers would keep it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidied(run: Callable) -> Callable:
+    """A task's function that gives its memory back when it ends."""
+    if inspect.isgeneratorfunction(run):
+        def tidy(batches):
+            try:
+                yield from run(batches)
+            finally:
+                _give_back()
+    else:
+        def tidy(table):
+            out = run(table)
+            _give_back()
+            return out
+    return tidy
+
+
 @dataclass
 class Words:
     """Words of ``n`` texts: byte range, text number and hash of each word, in order."""
