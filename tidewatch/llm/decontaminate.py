@@ -1,6 +1,6 @@
 """Benchmark decontamination with suffix arrays over shards of the training texts.
 
-Each task turns its texts into shards of some megabytes. A shard's suffix array lists its word positions in the order
+Each task turns its texts into shards of a megabyte. A shard's suffix array lists its word positions in the order
 of the words that follow, sorted as deep as a window is long; texts are parted by a sentinel, so no match crosses them. Every
 suffix of every benchmark item is looked up by binary search, all of them at once; the range found holds
 all places of the match in the shard. Matches on one diagonal (item place against text place) join to longest verbatim matches.
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from . import words as W
 from .rows import carried
 
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 BLOCK_WORDS = 500_000  # of the benchmark, sent to every task at a time (about 10 MB)
 
 FOUND = [

@@ -22,7 +22,7 @@ LITERAL = 0x110000  # stands for a U+2581 of the text
 ZERO = 0x110001  # stands for a U+0000 of the text, as 0 fills up rows
 UNIT = 100_000
 NEVER = np.int64(-(1 << 50))
-PARTS = 4 << 20
+PARTS = 2 << 20
 _SPACE_ONLY = np.zeros(256, bool)
 _SPACE_ONLY[32] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)

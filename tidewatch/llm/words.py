@@ -159,7 +159,7 @@ def windows(w: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(h), w.doc[:n] == w.doc[width - 1:]
 
 
-def parts(column: pa.Array, limit: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def parts(column: pa.Array, limit: int = 2 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text, or of one row."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
