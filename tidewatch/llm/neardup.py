@@ -36,7 +36,7 @@ from . import words as W
 from .components import components
 
 BLOCK = 1024  # classes of a bucket that are compared with each other at a time
-GROUP = 4_000  # classes in one task of step 5
+GROUP = 2_000  # classes in one task of step 5
 BROADCAST = 1_000_000  # ids that may be broadcast (8 MB); more are joined by a shuffle
 
 _rng = np.random.default_rng(7)
@@ -164,13 +164,15 @@ def _link_blocks(k: int, rows_each: int, step: int, need: list[int], width: int,
     here, so that only links leave the task, and no link inside what earlier links have joined.
     """
     def pairs(left, right, same, comp, n, sig, band):
-        """Plausible pairs of rows, some thousands at a time."""
-        x, y = np.triu_indices(len(left), 1) if same else (v.ravel() for v in np.indices((len(left), len(right))))
-        x, y = left[x], (left if same else right)[y]
-        near = (comp[x] != comp[y]) & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y]))
-        x, y = x[near], y[near]
-        for c in range(0, len(x), 8192):
-            one, two = x[c:c + 8192], y[c:c + 8192]
+        """Plausible pairs of rows, those of one row at a time."""
+        for c in range(len(left)):
+            two = left[c + 1:] if same else right
+            one = left[c]
+            near = (comp[two] != comp[one]) & (100 * np.minimum(n[two], n[one]) >= percent * np.maximum(n[two], n[one]))
+            two = two[near]
+            if not len(two):
+                continue
+            one = np.full(len(two), one)
             keep = _plausible(sig[one], sig[two], step, need)
             one, two = one[keep], two[keep]
             shared = (sig[one] == sig[two]).reshape(len(one), k // rows_each, rows_each).all(axis=2)
