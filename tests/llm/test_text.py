@@ -66,6 +66,31 @@ def test_quality_measures_and_bands(spark):
     assert quality.judge(H.documents(spark, [])).collect() == []
 
 
+def test_bands_part_symbol_ridden_and_list_like_junk_from_clean_documents(spark):
+    rng = random.Random(4)
+    syllables = [a + b for a in "bdfglmnprstv" for b in ("a", "e", "i", "o", "an", "er", "is")]
+    vocabulary = ["".join(rng.choice(syllables) for _ in range(rng.choice([1, 2, 2, 3]))) for _ in range(3000)]
+    text = lambda: [rng.choice(vocabulary) for _ in range(rng.randrange(150, 400))]
+    clean = [" ".join(text()) + "." for _ in range(300)]
+    symbols = [" ".join(w + rng.choice(["", "", "", "", "", " *", " #", "|"]) for w in text()) for _ in range(10)]
+    lists = ["\n".join(f"{rng.randrange(100, 999)}. {w} {v}" for w, v in zip(text(), text(), strict=False)) for _ in range(10)]
+    out = quality.judge(H.documents(spark, [*clean, *symbols, *lists])).collect()
+    kept = {r.row.doc_id for r in out if r.kept}
+    assert not any(r.base_failed for r in out)
+    assert sum(k < 300 for k in kept) >= 294
+    assert sum(300 <= k for k in kept) == 0
+
+
+def test_bands_leave_out_most_labelled_junk_only(spark):
+    folder = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    passed = quality.judge(docs, columns=["doc_id", "lang"]).where("not base_failed").select("row.doc_id", "kept").collect()
+    share = lambda q: [sum(k) / len(k) for k in [[r.kept for r in passed if labels.get(r.doc_id) == q]]][0]
+    assert share(1) > 0.97
+    assert share(0) < 0.4
+
+
 def test_language_model_of_characters_is_normalised(spark):
     model = quality.train(H.documents(spark, [*H.AWKWARD, "some words here"]))
     total = (10 ** model.table().astype(float)).reshape(-1, quality.CLASSES).sum(axis=1)
