@@ -49,6 +49,29 @@ def test_empty_table_and_broken_archive(spark):
     assert len(warc.read(spark, path).collect()) == 2
 
 
+def test_long_urls_lose_no_record(spark, tmp_path):
+    url = "data:," + "u" * 100_000
+    pages = [(k, url if k == 5 else "é " * 30_000 if k == 7 else "u", f"page {k}", "x") for k in range(10)]
+    path = new_path(spark, "warc")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string, sha1 string").coalesce(1), path)
+    got = {r.page_id: r.target for r in warc.read(spark, path).collect()}
+    assert got == {k: u.replace(" ", "%20") for k, u, _, _ in pages}
+
+
+def test_a_chain_that_ends_early_fails(spark, tmp_path):
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string, sha1 string").where("page_id in (4, 6, 8)")
+    records = [r.value + "\n" for r in warc.records(pages).collect()]
+    broken = records[1].replace("Content-Length", "Content-Longth")
+    (tmp_path / "a.warc").write_bytes((records[0] + broken + records[2]).encode())
+    with pytest.raises(Exception, match="no record at byte"):
+        warc.read(spark, str(tmp_path)).collect()
+    for cut in (3, 40, 200):
+        part = tmp_path / f"cut{cut}"
+        part.mkdir()
+        (part / "a.warc").write_bytes((records[0] + records[1][:cut]).encode())
+        assert warc.read(spark, str(part)).count() == 1
+
+
 def test_reached_by_pointer_jumping():
     offset = np.arange(0, 5000, 5)
     on = warc.reached(offset, np.where(offset % 10 == 0, offset + 10, offset + 5))

@@ -5,13 +5,14 @@ id; the others become ``revisit`` records, which carry headers only. A third of
 largest id is found with partial aggregation, and revisits are a few hundred bytes. Records are texts, so Spark's own
 writer puts them into archives on any file system, gzip-compressed, of at most ``records`` records each.
 
-Reading. Every place in an archive that holds the magic and a whole header is a candidate; it names its successor, the place
-behind its block. Magic inside a payload makes candidates too. Pointer jumping from the start of each archive (the
+Reading. Every place in an archive that holds the magic (at its start or behind a blank line, as any record does) and a whole
+header, however long, is a candidate; it names its successor, the place behind its block. Magic inside a payload makes candidates too. Pointer jumping from the start of each archive (the
 reached set and the successor function double their reach in every round) keeps only records on the chain from offset 0.
 
 Defined results: a null or empty html is an empty payload; a null url gives no target header; pages with equal ids and
 payloads are all responses if their id is the largest; null page ids are below all others; an empty table gives no records; other
-columns are ignored. An archive that breaks off inside a record yields the records before it.
+columns are ignored. An archive that breaks off inside a record yields the records before it; one whose
+chain ends anywhere else before its last byte fails the query.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
+MAGIC = re.compile(rb"(?:\A|(?<=\r\n\r\n))WARC/1\.[01]\r\n")
 RECORD = (
     "archive string, offset long, length long, page_id long, record_type string, refers_to long, target string, "
     "payload_bytes long, payload_digest string"
@@ -101,7 +102,7 @@ def _page(value: bytes | None) -> int | None:
 
 def _parse(data: bytes, at: int) -> dict | None:
     """The record that seems to start at ``at``, and its successor."""
-    body = data.find(b"\r\n\r\n", at, at + (1 << 16))
+    body = data.find(b"\r\n\r\n", at)  # before the next candidate, so an archive is searched once
     if body < 0:
         return None
     lines = data[at:body].split(b"\r\n")[1:]
@@ -127,6 +128,23 @@ def _parse(data: bytes, at: int) -> dict | None:
     }
 
 
+def _broken_off(data: bytes, at: int) -> bool:
+    """Whether the archive ends inside a record that starts at ``at``."""
+    body = data.find(b"\r\n\r\n", at)
+    if body < 0:
+        return data[at:at + 10] in (b"WARC/1.0\r\n"[:len(data) - at], b"WARC/1.1\r\n"[:len(data) - at])
+    size = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)[ \t]*\r\n", data[at:body + 2])
+    return bool(re.match(rb"WARC/1\.[01]\r\n", data[at:at + 10])) and size is not None and body + 4 + int(size[1]) + 4 > len(data)
+
+
+def _whole(archive: str, data: bytes, offset: list[int], successor: list[int]) -> None:
+    """Fail if the chain of the candidates ends before the end of the archive, but for a record that is broken off."""
+    successor = np.array(successor, np.int64)
+    end = int(successor[reached(np.array(offset, np.int64), successor)].max(initial=0))
+    if end < len(data) and not _broken_off(data, end):
+        raise ValueError(f"{archive}: no record at byte {end} of {len(data)}")
+
+
 def _candidates(payload: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = [f.split() for f in RECORD.split(", ")] + ([["payload", "binary"]] if payload else [])
@@ -136,15 +154,19 @@ def _candidates(payload: bool):
             for archive, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 data = _plain(content.as_py())
                 found, size = [], 0
+                offset, successor = [], []
                 for m in MAGIC.finditer(data):
                     if record := _parse(data, m.start()):
                         if not payload:
                             del record["payload"]
                         found.append(record | {"archive": archive})
+                        offset.append(record["offset"])
+                        successor.append(record["offset"] + record["length"])
                         size += len(record.get("payload", b"")) + 500
                         if size > 4 << 20:
                             yield pa.RecordBatch.from_pylist(found, schema)
                             found, size = [], 0
+                _whole(archive, data, offset, successor)
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema)
     return run
