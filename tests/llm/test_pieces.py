@@ -1,3 +1,6 @@
+import heapq
+import random
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +50,53 @@ def test_n_best_equal_all_segmentations(spark, vocabulary):
             assert o.changes
 
 
+def _n_best_by_whole_paths(v, chars, n):
+    """The search with each path held whole, for short texts."""
+    text = "".join(chr(c) if c < pieces.LITERAL else "\0" for c in chars)
+
+    def arcs(j):
+        for i in range(max(0, j - v.longest), j):
+            k = v.number.get(text[i:j])
+            if k is not None:
+                yield i, int(v.score[k]), (int(v.id[k]),)
+            elif i == j - 1:
+                ids = tuple(v.char_ids(chars[i]))
+                yield i, len(ids) * int(v.byte_score), ids
+
+    forward = [0]
+    for j in range(1, len(chars) + 1):
+        forward.append(max(forward[i] + s for i, s, _ in arcs(j)))
+    queue, out = [(-forward[-1], (), len(chars), 0, ())], []
+    while queue and len(out) < n:
+        bound, order, j, behind, ids = heapq.heappop(queue)
+        if j == 0:
+            out.append((-bound, list(ids)))
+            continue
+        for i, s, own in arcs(j):
+            heapq.heappush(queue, (-(behind + s + forward[i]), (*order, i - j, own), i, behind + s, own + ids))
+    return out
+
+
+def test_shared_paths_give_the_lists_and_ties_of_whole_paths(vocabulary):
+    rng = random.Random(7)
+    texts = ["", "a", "x" * 300, "ab" * 100, "日本語" * 40, "\x00😀" * 20, "the" * 60]
+    texts += ["".join(rng.choice("aaabt-=x1ñ日") for _ in range(rng.randrange(1, 60))) for _ in range(150)]
+    for text in texts:
+        for n in (1, 2, 4, 9):
+            chars = [ord(c) for c in text]
+            assert segment.n_best(vocabulary, chars, n) == _n_best_by_whole_paths(vocabulary, chars, n)
+
+
+@pytest.mark.parametrize("make", [lambda r: r.choice("abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/"), lambda r: "x"])
+def test_n_best_of_a_blank_free_megabyte(vocabulary, make):
+    rng = random.Random(8)
+    chars = [ord(make(rng)) for _ in range(1 << 20)]
+    found = segment.n_best(vocabulary, chars, 4)
+    assert len(found) == 4 and len({tuple(ids) for _, ids in found}) == 4
+    assert sorted((s for s, _ in found), reverse=True) == [s for s, _ in found]
+    assert all("".join(vocabulary.text[k].decode() for k in ids) == "".join(map(chr, chars)) for _, ids in found)
+
+
 def test_round_trip_and_counts(spark):
     docs = H.documents(spark, H.AWKWARD)
     encoded = segment.encode(docs, VOCABULARY).select("row.doc_id", "score", F.col("ids").alias("best"))

@@ -6,7 +6,8 @@ exact heuristics for an A-star search from the text's end backwards, so complete
 As pieces never cross pre-tokens, forward scores are computed once for each different pre-token, many at a time. So are
 backward scores, which give the gap to the second best segmentation. At most n - 1 pre-tokens of a text, those of the
 smallest gaps, can differ from their best segmentation within the text's n best; only these are searched, and
-their lists are merged by another best-first search. The result is exact: the n best of the whole text.
+their lists are merged by another best-first search. The result is exact: the n best of the whole text. Paths of the search share
+their ends, so its memory grows with a pre-token's length, not with its square.
 
 Ties go to the longest last piece, then to the order of ids. Defined results: a null or empty text has one empty segmentation of score 0; a
 text with fewer than n segmentations has them all; an empty table gives an empty table; rows keep all their columns in the struct
@@ -16,6 +17,7 @@ text with fewer than n segmentations has them all; an empty table gives an empty
 from __future__ import annotations
 
 import heapq
+from bisect import insort
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,7 @@ from .rows import carried
 
 
 KNOWN = 50_000  # pre-tokens whose lists a task keeps
+KEPT = 1_000  # characters of the longest of them
 
 
 def _best(v: P.Vocabulary, chars: np.ndarray):
@@ -100,6 +103,47 @@ def _best(v: P.Vocabulary, chars: np.ndarray):
     return best, gap, ids.astype(np.int32), np.bincount(row, size, minlength=rows).astype(np.int64)
 
 
+class _Path:
+    """Pieces from a text's end back to ``at``: the last arc, and the path behind it.
+
+    ``jump`` is a path further back, so that two paths find where they part in a logarithmic number of steps.
+    """
+
+    __slots__ = ("at", "behind", "depth", "ids", "jump", "parent")
+
+    def __init__(self, at: int, behind: int, ids: tuple[int, ...], parent: _Path | None):
+        self.at, self.behind, self.ids, self.parent = at, behind, ids, parent
+        if parent is None:
+            self.depth, self.jump = 0, self
+        else:
+            self.depth, far = parent.depth + 1, parent.jump
+            self.jump = far.jump if parent.depth - far.depth == far.depth - far.jump.depth else parent
+
+    def up(self, depth: int) -> _Path:
+        """The part of the path that has ``depth`` arcs."""
+        p = self
+        while p.depth > depth:
+            p = p.jump if p.jump.depth >= depth else p.parent
+        return p
+
+    def __lt__(self, other: _Path) -> bool:
+        """Longest last piece first; where the paths part their arcs end at one place and begin at different ones."""
+        depth = min(self.depth, other.depth)
+        a, b = self.up(depth), other.up(depth)
+        if a is b:
+            return self.depth < other.depth
+        while a.parent is not b.parent:
+            a, b = (a.jump, b.jump) if a.jump is not b.jump else (a.parent, b.parent)
+        return a.at < b.at
+
+    def all_ids(self) -> list[int]:
+        out, p = [], self
+        while p.parent is not None:
+            out += p.ids
+            p = p.parent
+        return out
+
+
 def n_best(v: P.Vocabulary, chars: list[int], n: int) -> list[tuple[int, list[int]]]:
     """The n best segmentations of a string: scores and ids. Forward Viterbi, then A-star from the end."""
     size = len(chars)
@@ -115,20 +159,24 @@ def n_best(v: P.Vocabulary, chars: list[int], n: int) -> list[tuple[int, list[in
                 ids = tuple(v.char_ids(chars[i]))
                 yield i, len(ids) * int(v.byte_score), ids
 
-    into = [[]] + [list(arcs(j)) for j in range(1, size + 1)]
     forward = [0] + [None] * size
     for j in range(1, size + 1):
-        forward[j] = max(forward[i] + s for i, s, _ in into[j])
-    # (-(score so far + forward score), pieces from the end as (shorter last, ids)), so ties are the same every time
-    queue = [(-forward[size], (), size, 0, ())]
+        forward[j] = max(forward[i] + s for i, s, _ in arcs(j))
+    # (-(score so far + forward score), path) by rising order, so ties are the same every time. None of the paths holds another, and
+    # each leads to a segmentation in this order, so those beyond the number still wanted are never needed
+    queue = [(-forward[size], _Path(size, 0, (), None))]
     out = []
     while queue and len(out) < n:
-        bound, order, j, behind, ids = heapq.heappop(queue)
-        if j == 0:
-            out.append((-bound, list(ids)))
+        bound, path = queue.pop(0)
+        if path.at == 0:
+            out.append((-bound, path.all_ids()))
             continue
-        for i, s, own in into[j]:
-            heapq.heappush(queue, (-(behind + s + forward[i]), (*order, i - j, own), i, behind + s, own + ids))
+        wanted = n - len(out)
+        for i, s, own in arcs(path.at):
+            loss = -(path.behind + s + forward[i])
+            if len(queue) < wanted or loss <= queue[-1][0]:
+                insort(queue, (loss, _Path(i, path.behind + s, own, path)))
+                del queue[wanted:]
     return out
 
 
@@ -212,9 +260,12 @@ def _encode(shared, n: int, verify: bool):
         def alternatives(kind: int) -> list:
             chars = t.chars[t.first[kind]:t.first[kind + 1]]
             name = chars.tobytes()
-            if name not in known:
-                known[name] = n_best(v, chars.tolist(), n)
-            return known[name]
+            if name in known:
+                return known[name]
+            found = n_best(v, chars.tolist(), n)
+            if len(chars) <= KEPT:
+                known[name] = found
+            return found
 
         others = []
         gaps = gap[t.number]
