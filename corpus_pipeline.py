@@ -45,10 +45,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with their piece ids, the score, and the other segmentations of the four best."""
+    """All documents with their piece ids, the score, the other segmentations of the four best, and whether the decoded ids give the text."""
     small_batches(spark)
-    own = ["ids", "score", "others"]
-    return segment.encode(docs, VOCABULARY).select(*(f"row.`{c}`" for c in docs.columns if c not in own), *own)
+    own = ["ids", "score", "others", "round_trip"]
+    return segment.encode(docs, VOCABULARY, verify=True).select(*(f"row.`{c}`" for c in docs.columns if c not in own), *own)
 
 
 STAGES = [

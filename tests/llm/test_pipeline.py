@@ -38,6 +38,11 @@ def test_stages_decide(spark, folder):
     assert all(r.ids for r in _run(spark, "sentencepiece", docs).collect())
 
 
+def test_last_stage_decodes_what_it_encodes(spark):
+    rows = _run(spark, "sentencepiece", H.documents(spark, H.AWKWARD)).collect()
+    assert len(rows) == len(H.AWKWARD) and all(r.round_trip for r in rows)
+
+
 def test_whole_pipeline_on_documents(spark, folder):
     out = corpus_pipeline.run(spark, folder).collect()
     docs = {r.doc_id: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
