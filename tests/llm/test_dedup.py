@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,23 @@ def test_repeats_equal_brute_force(spark, monkeypatch, chunk):
     assert _repeats(substrings.remove_repeats(docs, part_bytes=2000)) == H.repeats(zip(ids, texts, strict=True))
 
 
+def test_settled_windows_of_a_chunk_are_spread_over_the_partitions():
+    rng = random.Random(6)
+    passages = [" ".join(f"p{k}x{j}" for j in range(40)) for k in range(50)]
+    texts = [rng.choice(passages) for _ in range(400)]
+    batch = pa.record_batch({"doc_id": pa.array(range(400), pa.int64()), "text": pa.array(texts),
+                             "text_key": pa.array([rng.getrandbits(63) for _ in texts], pa.int64())})
+    full = SimpleNamespace(value=b"\xff" * (8 * 1024 // 8))
+    sent = pa.Table.from_batches(list(substrings._send_windows(full, 8, 1024, 16, 7, 13)([batch])))
+    done = [(p, np.frombuffer(d, np.int64).reshape(2, -1)[0].tolist(), len(at) // 8) for p, d, at, yes in zip(
+        *(sent[c].to_pylist() for c in ("part", "docs", "at", "done")), strict=True) if yes]
+    assert sum(n for _, _, n in done) == sum(i > texts.index(t) for i, t in enumerate(texts)) * 28
+    assert {p for p, _, _ in done} == set(range(16))
+    assert max(n for _, _, n in done) < 4 * sum(n for _, _, n in done) / 16
+    where = [i for _, docs, _ in done for i in docs]
+    assert len(where) == len(set(where))  # a document's settled windows stay together
+
+
 def test_full_bitmap_changes_nothing(spark):
     texts = [H.PASSAGE, f"a {H.PASSAGE} b", "c " * 30, "c " * 31]
     docs = H.documents(spark, texts)

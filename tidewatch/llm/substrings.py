@@ -116,7 +116,7 @@ def _send_windows(bitmap, parts: int, size: int, owners: int, anchor: int, width
     """Candidate windows of each chunk: repeats inside it are settled, its smallest documents sent on."""
     def run(batches):
         bits = np.frombuffer(bitmap.value, np.uint8)
-        for number, chunk in enumerate(_chunks(batches, "text")):
+        for chunk in _chunks(batches, "text"):
             w = W.words(chunk["text"])
             h, whole = W.windows(w, width)
             if not len(h):
@@ -152,8 +152,14 @@ def _send_windows(bitmap, parts: int, size: int, owners: int, anchor: int, width
                 rows["at"].append(np.stack([doc, pos - first[own][doc]]).astype(np.int32).tobytes())
                 rows["done"].append(done)
 
-            if settled.any():
-                put(number % owners, h[:0], pos[settled], doc[settled], True)
+            # settled windows go by document, so every partition gets its share
+            to = (W.mix((ids ^ keys).astype(np.uint64)) % np.uint64(owners)).astype(np.int64)[doc]
+            done = np.flatnonzero(settled)
+            done = done[np.argsort(to[done], kind="stable")]
+            cut = np.searchsorted(to[done], np.arange(owners + 1))
+            for q in np.flatnonzero(np.diff(cut)):
+                some = done[cut[q]:cut[q + 1]]
+                put(int(q), h[:0], pos[some], doc[some], True)
             h, pos, doc = h[~settled], pos[~settled], doc[~settled]
             owner = _owner(h, owners)
             cut = np.searchsorted(owner, np.arange(owners + 1))  # h is sorted, so are the owners
