@@ -74,3 +74,47 @@ kept as (select word.doc_id, count(gone.p) n, string_agg(x, ' ' order by word.p)
 select d.doc_id, len(w)::bigint n_words, coalesce(n, 0)::bigint n_removed, sha256(coalesce(t, '')) kept_sha256
 from d left join kept using (doc_id)
 """
+
+
+def _lloyd(k: int, rounds: int, size: int, scale: int, seed: str) -> str:
+    """Every round as tables of its own: nearest centroid, then new centroids."""
+    apart = f"list_sum(list_transform(range(1, {size + 1}), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))::bigint"
+    nearest = "n{0} as materialized (select id, any_value(vec_id) vec_id, any_value(x.v) v, min({{'d': " + apart + ", 'j': j}}) m from x, c{0} c group by id)"
+    mean = f"""c{{1}} as materialized (
+        select c.j, coalesce(s.v, c.v) v from c{{0}} c left join (
+            select j, list(floor_div order by i) v from (
+                select m.j j, i, (sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*) floor_div
+                from n{{0}}, (select unnest(range(1, {size + 1})) i) group by m.j, i) group by j) s using (j))"""
+    return f"""
+with x as materialized (
+  select row_number() over () id, vec_id, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) v
+  from embeddings where len(embedding) = {size} and len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = {size}),
+c0 as materialized (
+  select row_number() over (order by sha256('{seed}:' || coalesce(vec_id::varchar, '')), v) - 1 j, v from x qualify j < {k}),
+{", ".join(nearest.format(r) + ", " + mean.format(r, r + 1) for r in range(rounds))}, {nearest.format(rounds)}
+select n.vec_id, n.m.j::int cluster, n.m.d::bigint distance, sum(n.m.d) over (partition by n.m.j)::bigint cluster_inertia,
+       sum(n.m.d) over ()::bigint inertia, sha256(array_to_string(c.v, ',')) centroid_sha256
+from n{rounds} n join c{rounds} c on c.j = n.m.j
+"""
+
+
+SQL["op11_centroid_clustering"] = _lloyd(8, 10, 64, 1024, "3")
+
+SQL["op12_source_mixing"] = rf"""
+with d as (select doc_id, coalesce('=' || source, '>') key, len({SPACE_WORDS})::bigint size,
+                  md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))) hash from documents),
+s as (select key, sum(size)::bigint source_size, [3, 1, 2][((row_number() over (order by key)) - 1) % 3 + 1] w from d group by key),
+level as (select *, sum(source_size) over () n, sum(w) over () weight,
+                 coalesce(sum(2 * source_size) over lower, 0) full_size, coalesce(sum(w) over lower, 0) full_weight
+          from s window lower as (order by 2 * source_size / w, key rows between unbounded preceding and 1 preceding)),
+capped as (select *, 2 * source_size * 100 * (weight - full_weight) < w * (150 * n - 100 * full_size) above from level),
+goal as (select key, source_size, case when above then (2 * source_size)::double else
+                (150 * n - 100 * coalesce(sum(2 * source_size) filter (above) over (), 0))::bigint::double * w
+                / (100 * sum(w) filter (not above) over ())::double end target from capped),
+rate as (select *, case when source_size = 0 then 0 else floor(least(target / source_size, 2.0::double) * {1 << 26}) end::bigint e,
+                ('0x' || substr(md5('mix:' || key), 1, 6))::bigint * 4 o from goal),
+nr as (select doc_id, size, source_size, target, e, o, row_number() over (
+           partition by key order by lpad(len(bin(size))::varchar, 2, '0') || rpad(substr(bin(size), 1, 5), 5, '0'), hash, size) k
+       from d join rate using (key))
+select doc_id, size, source_size, target, size * ((k * e + o) // {1 << 26} - ((k - 1) * e + o) // {1 << 26}) taken from nr
+"""

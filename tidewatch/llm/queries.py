@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.session import new_path
 
-from . import decontaminate, lbl, neardup, pii, quality, segment, sharding, substrings, tokencount, warc
+from . import clustering, decontaminate, lbl, mixing, neardup, pii, quality, repair, segment, sharding, substrings, tokencount, warc
 from .rows import small_batches
 
 #: A public vocabulary of 32,000 pieces; any SentencePiece model file will do.
@@ -78,6 +78,20 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return clustering.cluster(_table(spark, folder, "embeddings")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", clustering.digest().alias("centroid_sha256"))
+
+
+def op12_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"), columns=["doc_id"]).select(
+        "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.report(repair.repair(_table(spark, folder, "conversations")))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_minhash_neardup": op2_minhash_neardup,
@@ -89,4 +103,7 @@ QUERIES = {
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_conversation_repair": op13_conversation_repair,
 }
