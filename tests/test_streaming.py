@@ -188,6 +188,21 @@ def test_whole_job(spark, tmp_path):
         assert spark.read.parquet(str(folder)).count() > 0
 
 
+def test_one_event_of_the_far_future_silences_nothing(spark, tmp_path):
+    rows = busy_rows()
+    wild = [event("f", T0.replace(year=2999)), event("p", T0.replace(year=1970))]
+    for k, part in enumerate([wild, *files_of(rows, 2)]):  # the wild times come first
+        ingest.encode(table(spark, part)).select("value").coalesce(1).write.text(str(tmp_path / "json" / str(k)))
+    stream = spark.readStream.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1).text(str(tmp_path / "json"))
+    out = str(tmp_path / "out")
+    for q in pipeline.start(stream, out, str(tmp_path / "ck"), trigger={"availableNow": True}):
+        q.awaitTermination()
+    assert sinks.stored_events(spark, f"{out}/events").count() == len(rows)
+    assert [r.reason for r in sinks.quarantine(spark, f"{out}/events").collect()] == ["implausible_time"] * 2
+    want = detectors.throughput_drop(table(spark, rows)).count()
+    assert spark.read.parquet(f"{out}/anomalies").where("detector = 'drops'").count() == want > 0
+
+
 def test_documents_go_to_a_bulk_sink(spark, tmp_path):
     options = sinks.index_options("anomalies", id_column="event_id")
     assert options["es.batch.size.entries"] == "500" and options["es.mapping.id"] == "event_id"

@@ -68,7 +68,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     spark.streams.addListener(recorder)
     trigger = {"availableNow": True} if args.once else {"processingTime": seconds(DEFAULTS.trigger_s)}
     queries = pipeline.start(stream, args.out, args.checkpoints or f"{args.out}/checkpoints", alerts=alerts,
-                             trigger=trigger, spikes=args.spikes, value=text)
+                             trigger=trigger, spikes=args.spikes, value=text,
+                             arrival="timestamp" if args.source == "kafka" else None)
     if not args.once:
         spark.streams.awaitAnyTermination()
     for q in queries:

@@ -26,6 +26,15 @@ def messages(ev: DataFrame) -> DataFrame:
                 else value end""").alias("value"))
 
 
+def with_bad_times(wire: DataFrame) -> DataFrame:
+    """Messages of which two in a hundred have times of the years 2999 and 1970."""
+    nr = "cast(get_json_object(value, '$.event_id') as bigint) % 100"
+    return wire.select("key", F.expr(f"""
+        case {nr} when 17 then regexp_replace(value, '"timestamp":"....', '"timestamp":"2999')
+                  when 31 then regexp_replace(value, '"timestamp":"....', '"timestamp":"1970')
+                  else value end""").alias("value"))
+
+
 def with_copies(ev: DataFrame) -> DataFrame:
     """Every twentieth event twice."""
     return ev.unionAll(ev.where(f"{NUMBER} % 20 = 3"))

@@ -433,6 +433,10 @@ SQL.update({
         {RESUME.format(fresh="t >= timestamp '2024-01-01 00:20:00'")} {RESUMED}""",
     "stream_progress": "select 'events_per_minute' as source, count(*) as input_rows, 0::bigint as late_rows from events",
 })
+SQL["time_gate"] = f"""with {EV}
+    select case when event_id % 100 in (17, 31) then 'implausible_time' end as reason,
+           case event_id % 100 when 17 then 2999 when 31 then 1970 else year(t) end::int as year, count(*) as records
+    from ev group by 1, 2"""
 SQL["stream_dedupe"] = SQL["dedupe"]
 SQL["stream_events_by_status"] = SQL["events_by_status"]
 
@@ -514,3 +518,6 @@ def dense(sql: str) -> str:
 
 
 SQL.update({f"{name}_dense": dense(SQL[name]) for name in ("report_batches", "batch_prompts", "report_docs", "summary_table")})
+SQL["summary_table_by_minute"] = SQL["summary_table_dense"].replace(
+    "largest as (select", "minutes as (select * replace (date_trunc('minute', generated_at) as generated_at) from docs),\n        largest as (select").replace(
+    "as total from docs", "as total from minutes").replace("as service from docs", "as service from minutes")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.catalog import derived
-from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown
+from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown, pane_index, pane_time
 from tidewatch.functions.text import matches_any
 from tidewatch.operators import detectors, matching, ordering, sessions, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
@@ -425,6 +425,13 @@ def strict_gate(spark, folder):
     return decoded.where("reason <> 'malformed'").select(F.col("event.event_id").alias("event_id"), "reason")
 
 
+@query
+def time_gate(spark, folder):
+    """Times that no clock can have sent; all else is accepted."""
+    decoded = ingest.decode(derived.with_bad_times(ingest.encode(tables.events(spark, folder))))
+    return decoded.groupBy("reason", F.year("event.timestamp").alias("year")).agg(F.count(F.lit(1)).alias("records"))
+
+
 @query
 def required_fields(spark, folder):
     decoded = ingest.decode(derived.messages(tables.events(spark, folder)))
@@ -583,6 +590,13 @@ def summary_table_dense(spark, folder):
     return dashboards.summary_table(reports.report_docs(dense_anomalies(spark, folder)))
 
 
+@query
+def summary_table_busy(spark, folder):
+    """Reports by the two minutes they were made in: many for a service, and more than ten times."""
+    docs = reports.report_docs(dense_anomalies(spark, folder))
+    return dashboards.summary_table(docs.withColumn("generated_at", pane_time(pane_index("generated_at", 120), 120)))
+
+
 @query
 def missed_events(spark, folder):
     return reports.missed_events(all_anomalies(spark, folder))

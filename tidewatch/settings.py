@@ -39,6 +39,8 @@ class Settings:
     # transport
     topic: str = "analytics-events"
     alert_topic: str = "anomaly-alerts"
+    max_ahead_s: int = 3600
+    earliest: str = "2000-01-01T00:00:00Z"
     max_records_per_trigger: int = 500_000
     max_bytes_per_trigger: int = 256 << 20
     bulk_size: int = 500

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions.events import interval
 from tidewatch.schemas import EVENT, REQUIRED
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
@@ -64,12 +65,23 @@ def _unknown(keys: Column, known: list[str]) -> Column:
     return F.size(F.array_except(keys, F.array(*[F.lit(k) for k in known]))) > 0
 
 
-def decode(records: DataFrame, value: str = "value") -> DataFrame:
+def _implausible(time: Column, arrival: str | None, cfg: Settings) -> Column:
+    """A time well after the record's arrival (or the present, whichever is first), or before all records.
+
+    One such event would drive the watermark past everything that follows.
+    """
+    now = F.current_timestamp()
+    known = now if arrival is None else F.least(F.col(arrival).cast("timestamp"), now)
+    return (time > known + interval(cfg.max_ahead_s)) | (time < F.lit(cfg.earliest).cast("timestamp"))
+
+
+def decode(records: DataFrame, value: str = "value", arrival: str | None = None, cfg: Settings = DEFAULTS) -> DataFrame:
     """Adds ``event`` and ``reason``; a null reason means the record was accepted.
 
     Reasons: ``malformed`` (no JSON object), ``unknown_field`` (also inside
     ``metadata``), ``bad_value`` (a known field of the wrong type, a time that is no ISO text, metadata that
-    is no plain value). Missing fields are accepted.
+    is no plain value), ``implausible_time`` (more than ``max_ahead_s`` after the column ``arrival`` or the present, or
+    before ``earliest``). Missing fields are accepted.
     """
     parsed = F.from_json("_text", _WIRE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
     # A one-element generator parses each record once: filters on the outcome
@@ -84,6 +96,7 @@ def decode(records: DataFrame, value: str = "value") -> DataFrame:
         F.when(F.col("_keys").isNull(), "malformed")
         .when(_unknown(F.col("_keys"), EVENT.names) | extra, "unknown_field")
         .when(F.col(f"_wire.{_CORRUPT}").isNotNull() | nested | (sent.isNotNull() & time.isNull()), "bad_value")
+        .when(_implausible(time, arrival, cfg), "implausible_time")
     )
     metadata = F.struct(*[F.try_variant_get(F.col("_wire.metadata").getItem(c), "$", "string").alias(c) for c in _METADATA.names])
     checked = {"metadata": F.when(F.col("_wire.metadata").isNotNull(), metadata), "timestamp": time}

@@ -24,17 +24,17 @@ def _start(stream: DataFrame, name: str, handler: sinks.BatchHandler, checkpoint
 
 def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAULTS,
           alerts: sinks.BatchHandler | None = None, trigger: dict | None = None,
-          spikes: str = "grid", value: str = "value") -> list[StreamingQuery]:
+          spikes: str = "grid", value: str = "value", arrival: str | None = None) -> list[StreamingQuery]:
     """Start the store of events and rejected messages, one query per detector, and the reports.
 
     Messages are read and decoded once. The detectors follow the store: they read
     only the columns they need, each with its own state and checkpoint, and can be
-    restarted alone. ``alerts`` receives each batch of anomalies, for a topic or an index.
+    restarted alone. ``arrival`` names the messages' own arrival time, if they have one. ``alerts`` receives each batch of anomalies, for a topic or an index.
     """
     spark = messages.sparkSession
     trigger = trigger or {"processingTime": seconds(cfg.trigger_s)}
     queries = [
-        sinks.store_messages(decode(messages, value), f"{out}/events", f"{checkpoints}/events", trigger, value),
+        sinks.store_messages(decode(messages, value, arrival, cfg), f"{out}/events", f"{checkpoints}/events", trigger, value),
     ]
     if "availableNow" in trigger:  # one pass: the store is complete before the detectors read it
         queries[0].awaitTermination()
