@@ -518,6 +518,6 @@ def dense(sql: str) -> str:
 
 
 SQL.update({f"{name}_dense": dense(SQL[name]) for name in ("report_batches", "batch_prompts", "report_docs", "summary_table")})
-SQL["summary_table_by_minute"] = SQL["summary_table_dense"].replace(
-    "largest as (select", "minutes as (select * replace (date_trunc('minute', generated_at) as generated_at) from docs),\n        largest as (select").replace(
-    "as total from docs", "as total from minutes").replace("as service from docs", "as service from minutes")
+SQL["summary_table_busy"] = SQL["summary_table_dense"].replace(
+    "largest as (select", "times as (select * replace (time_bucket(interval '2 minutes', generated_at) as generated_at) from docs),\n        largest as (select").replace(
+    "as total from docs", "as total from times").replace("as service from docs", "as service from times")
