@@ -203,6 +203,71 @@ def test_one_event_of_the_far_future_silences_nothing(spark, tmp_path):
     assert spark.read.parquet(f"{out}/anomalies").where("detector = 'drops'").count() == want > 0
 
 
+def anomalies_of(spark, numbers):
+    from tests.helpers import anomaly_table
+
+    kinds = ["throughput_drop", "latency_spike", "session_anomaly"]
+    return anomaly_table(spark, [{"service": "abcd"[i % 4], "anomaly_type": kinds[i % 3], "detected_at": T0 + timedelta(seconds=i),
+                                  "window_start": T0, "window_end": T0, "session_key": f"s{i}"} for i in numbers])
+
+
+def test_reports_fill_up_across_triggers_and_restarts(spark, tmp_path):
+    """23 records of one report window in three files, a stop in between: 10, 10 and, after the wait, 3."""
+    import time
+
+    from tidewatch.settings import Settings
+    from tidewatch.streaming.batching import report_stream
+
+    cfg = Settings(report_wait_s=12)
+    stream = sinks.anomaly_stream(spark, str(tmp_path / "in"))
+    sizes = []
+
+    def started():
+        return (report_stream(stream, cfg).writeStream.option("checkpointLocation", str(tmp_path / "ck"))
+                .foreachBatch(sinks.table_writer(str(tmp_path / "out"))).trigger(processingTime="1 second").start())
+
+    def stored():
+        if not list(tmp_path.glob("out/batch_id=*/*.parquet")):
+            return {}
+        rows = spark.read.parquet(str(tmp_path / "out")).groupBy("batch_window", "batch_no").agg(
+            F.collect_list("session_key").alias("keys")).collect()
+        return {r.batch_no: r["keys"] for r in rows}
+
+    def until(batches, query):
+        end = time.time() + 90
+        while len(stored()) < batches and time.time() < end:
+            assert query.exception() is None
+            time.sleep(0.5)
+        sizes.append(sorted(map(len, stored().values()), reverse=True))
+
+    cuts = [range(0, 8), range(8, 16), range(16, 23)]
+    anomalies_of(spark, cuts[0]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "detector=drops" / "batch_id=0"))
+    anomalies_of(spark, cuts[1]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "detector=spikes" / "batch_id=0"))
+    query = started()
+    until(1, query)
+    query.stop()
+    anomalies_of(spark, cuts[2]).coalesce(1).write.mode("append").parquet(str(tmp_path / "in" / "detector=sessions" / "batch_id=0"))
+    query = started()
+    until(3, query)
+    query.stop()
+    assert sizes[-1] == [10, 10, 3]
+    assert sorted(k for keys in stored().values() for k in keys) == sorted(f"s{i}" for i in range(23))
+
+
+def test_counts_of_a_failed_report_are_kept_and_old_folders_go(spark, tmp_path):
+    (tmp_path / "blocked").write_text("not a folder")
+    counts = str(tmp_path / "counts")
+    sinks.summary_writer(str(tmp_path / "blocked"), counts)(anomalies_of(spark, range(6)), 0)
+    assert spark.read.parquet(str(tmp_path / "blocked_failed")).count() == 6
+    report = sinks.summary_writer(str(tmp_path / "summaries"), counts)
+    for k in (1, 2, 2, 5):  # a batch that is repeated finds the same totals
+        report(anomalies_of(spark, range(100 * k, 100 * k + 12)), k)
+    assert sorted(p.name for p in (tmp_path / "counts").glob("batch_id=*")) == ["batch_id=2", "batch_id=5"]
+    assert sinks.running_counts(spark, counts, 9).agg(F.sum("n")).first()[0] == 6 + 3 * 12
+    texts = spark.read.parquet(str(tmp_path / "summaries")).where("batch_id = 5").collect()
+    assert all("prior incidents" in r.summary and " 0 prior" not in r.summary for r in texts)
+
+
 def test_documents_go_to_a_bulk_sink(spark, tmp_path):
     options = sinks.index_options("anomalies", id_column="event_id")
     assert options["es.batch.size.entries"] == "500" and options["es.mapping.id"] == "event_id"

@@ -521,3 +521,7 @@ SQL.update({f"{name}_dense": dense(SQL[name]) for name in ("report_batches", "ba
 SQL["summary_table_busy"] = SQL["summary_table_dense"].replace(
     "largest as (select", "times as (select * replace (time_bucket(interval '2 minutes', generated_at) as generated_at) from docs),\n        largest as (select").replace(
     "as total from docs", "as total from times").replace("as service from docs", "as service from times")
+# full batches leave at once, the rest of a window when it is closed
+SQL["stream_report_batches"] = SQL["report_batches_dense"] + """
+    where (select count(*) from batched b where b.batch_window = batched.batch_window and b.batch_no = batched.batch_no) = 10
+       or batch_window + interval '30 seconds' <= (select max(detected_at) - interval '10 seconds' from batched)"""

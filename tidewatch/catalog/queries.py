@@ -17,6 +17,7 @@ from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
 from tidewatch.sources import ingest, tables
+from tidewatch.streaming.batching import report_stream
 from tidewatch.streaming.progress import ProgressRecorder
 from tidewatch.streaming.runner import latest_rows, run_to_end, stream_table
 
@@ -575,6 +576,15 @@ def report_batches_dense(spark, folder):
         "batch_window", "batch_no", "position", "service", "anomaly_type", "window_start", "session_key")
 
 
+@query
+def stream_report_batches(spark, folder):
+    """The same batches from a stream of anomalies; what is left of a window leaves when the watermark passes its end."""
+    stored = dense_anomalies(spark, folder)
+    stream = spark.readStream.schema(stored.schema).parquet(stored.written_to).withWatermark("detected_at", "10 seconds")
+    return stream_table(report_stream(stream, live=False), "report_batches").select(
+        "batch_window", "batch_no", "position", "service", "anomaly_type", "window_start", "session_key")
+
+
 @query
 def batch_prompts_dense(spark, folder):
     return reports.batch_prompts(reports.report_batches(dense_anomalies(spark, folder))).drop("detected_at")

@@ -117,8 +117,10 @@ def _action() -> Column:
 
 def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame | None = None,
                 earlier: DataFrame | None = None) -> DataFrame:
-    """One summary document per batch; no anomalies, no report."""
-    batches = report_batches(prior_incidents(found, history, earlier), cfg)
+    """One summary document per batch; no anomalies, no report. Records that are in numbered batches stay in them."""
+    batches = prior_incidents(found, history, earlier)
+    if "batch_no" not in found.columns:
+        batches = report_batches(batches, cfg)
     drop = F.col("anomaly_type") == "throughput_drop"
     facts = batches.groupBy(*BATCH).agg(
         F.count(F.lit(1)).cast("int").alias("anomaly_count"),

@@ -56,6 +56,13 @@ def make_folder(spark: SparkSession, path: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``; none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()] if fs.exists(path) else []
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
 

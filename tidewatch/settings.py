@@ -35,6 +35,7 @@ class Settings:
     # reports
     report_batch: int = 10
     report_window_s: int = 30
+    report_wait_s: int = 30
     report_model: str = "rules-v1"
     # transport
     topic: str = "analytics-events"

@@ -11,6 +11,7 @@ from tidewatch.operators.matching import with_baseline
 from tidewatch.settings import DEFAULTS, Settings, seconds
 from tidewatch.sources.ingest import decode, dedupe, with_watermark
 from tidewatch.streaming import sinks
+from tidewatch.streaming.batching import report_stream
 
 
 def _start(stream: DataFrame, name: str, handler: sinks.BatchHandler, checkpoints: str,
@@ -44,10 +45,13 @@ def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAU
     once = "availableNow" in trigger
     for q in found if once else []:
         q.awaitTermination()
-    # one report stream over the anomalies of all detectors, a batch for each report window
+    # one report stream over the anomalies of all detectors; running on, its batches fill up across triggers
+    anomalies = sinks.anomaly_stream(spark, f"{out}/anomalies")
     writer = sinks.summary_writer(f"{out}/summaries", f"{out}/incident_counts", cfg)
-    queries.append(_start(sinks.anomaly_stream(spark, f"{out}/anomalies"), "reports", writer, checkpoints,
-                          trigger if once else {"processingTime": seconds(cfg.report_window_s)}))
+    if once:
+        queries.append(_start(anomalies, "reports", writer, checkpoints, trigger))
+    else:
+        queries.append(_start(report_stream(anomalies, cfg), "reports_live", writer, checkpoints, trigger))
     return queries
 
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.plans.reports import report_docs
 from tidewatch.schemas import ANOMALY, EVENT
-from tidewatch.session import drop_folder, make_folder
+from tidewatch.session import drop_folder, folders, make_folder
 from tidewatch.settings import DEFAULTS, Settings
 from tidewatch.sources.ingest import encode, sorted_out
 
@@ -117,35 +117,39 @@ def document_writer(options: dict[str, str], fmt: str = "es") -> BatchHandler:
     return write
 
 
-_COUNTS = "service string, anomaly_type string, n bigint, batch_id bigint"
+_COUNTS = "service string, anomaly_type string, n bigint"
 
 
 def running_counts(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    """Stored anomalies per service and type before a batch: the totals that the latest earlier batch left."""
-    make_folder(spark, path)
-    stored = spark.read.schema(_COUNTS).parquet(path).where(F.col("batch_id") < batch_id)
-    last = stored.agg(F.max("batch_id")).first()[0]
-    return None if last is None else stored.where(F.col("batch_id") == last)
+    """Stored anomalies per service and type before a batch: the totals that the latest earlier batch left.
+
+    Only that batch's folder is read; those before it are dropped, as a repeated batch needs one earlier than itself.
+    """
+    numbers = sorted(int(name.partition("=")[2]) for name in folders(spark, path) if name.startswith("batch_id="))
+    earlier = [n for n in numbers if n < batch_id]
+    for n in earlier[:-1]:
+        drop_folder(spark, f"{path}/batch_id={n}")
+    return spark.read.schema(_COUNTS).parquet(f"{path}/batch_id={earlier[-1]}") if earlier else None
 
 
 def summary_writer(path: str, counts: str | None = None, cfg: Settings = DEFAULTS) -> BatchHandler:
     """Reports of a batch of anomalies. The batch of a failure is logged and kept in ``<path>_failed``; the stream goes on.
 
-    ``counts`` is a table of running totals; anomalies of earlier batches count as prior incidents.
+    ``counts`` is a table of running totals; anomalies of earlier batches count as prior incidents, those of a failed batch too,
+    as totals are written first and apart.
     """
     write, keep = table_writer(path), table_writer(f"{path}_failed")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        earlier = running_counts(batch.sparkSession, counts, batch_id) if counts else None
+        if counts:
+            own = batch.groupBy("service", "anomaly_type").agg(F.count(F.lit(1)).alias("n"))
+            totals = own if earlier is None else own.unionByName(earlier).groupBy("service", "anomaly_type").agg(F.sum("n").alias("n"))
+            table_writer(counts)(totals, batch_id)
         try:
-            earlier = running_counts(batch.sparkSession, counts, batch_id) if counts else None
             write(report_docs(batch, cfg, earlier=earlier), batch_id)
-            if counts:
-                own = batch.groupBy("service", "anomaly_type").agg(F.count(F.lit(1)).alias("n"))
-                totals = own if earlier is None else own.unionByName(earlier.drop("batch_id")).groupBy(
-                    "service", "anomaly_type").agg(F.sum("n").alias("n"))
-                table_writer(counts)(totals, batch_id)
         except Exception:
             log.exception("summaries of batch %d were not stored", batch_id)
             keep(batch, batch_id)
