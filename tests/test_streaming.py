@@ -220,18 +220,17 @@ def test_reports_fill_up_across_triggers_and_restarts(spark, tmp_path):
 
     cfg = Settings(report_wait_s=12)
     stream = sinks.anomaly_stream(spark, str(tmp_path / "in"))
-    sizes = []
+    left, sizes = {}, []
 
     def started():
         return (report_stream(stream, cfg).writeStream.option("checkpointLocation", str(tmp_path / "ck"))
-                .foreachBatch(sinks.table_writer(str(tmp_path / "out"))).trigger(processingTime="1 second").start())
+                .foreachBatch(lambda batch, number: left.update({number: batch.collect()})).trigger(processingTime="1 second").start())
 
     def stored():
-        if not list(tmp_path.glob("out/batch_id=*/*.parquet")):
-            return {}
-        rows = spark.read.parquet(str(tmp_path / "out")).groupBy("batch_window", "batch_no").agg(
-            F.collect_list("session_key").alias("keys")).collect()
-        return {r.batch_no: r["keys"] for r in rows}
+        out = {}
+        for r in [r for rows in list(left.values()) for r in rows]:
+            out.setdefault((r.batch_window, r.batch_no), []).append(r.session_key)
+        return out
 
     def until(batches, query):
         end = time.time() + 90
@@ -268,6 +267,39 @@ def test_counts_of_a_failed_report_are_kept_and_old_folders_go(spark, tmp_path):
     assert all("prior incidents" in r.summary and " 0 prior" not in r.summary for r in texts)
 
 
+def test_joined_drops_see_total_outages(spark, tmp_path):
+    rows = [r for r in busy_rows() if not (300 <= (r["timestamp"] - T0).total_seconds() < 420 and r["service"] == "a")]
+    rows += [event(f"n{i}", T0 + timedelta(seconds=i), None) for i in range(0, 1500, 2) if not 720 <= i < 780]
+    write_files(spark, tmp_path / "in", files_of(rows, 3))
+    stream = ingest.with_watermark(file_stream(spark, tmp_path / "in"))
+    got, _ = run_batches(detectors.throughput_drop_joined(stream), tmp_path / "out", tmp_path / "ck")
+    plain = table(spark, rows)
+    want = [r.asDict() for r in detectors.throughput_drop(plain).collect()]
+    same([_rounded(r) for r in got], [_rounded(r) for r in want])
+    same([_rounded(r.asDict()) for r in detectors.throughput_drop_joined(plain).collect()], [_rounded(r) for r in want])
+    assert {r["service"] for r in want if r["drop_pct"] == 100} >= {"a", None}
+
+
+def test_a_replay_of_the_whole_topic_adds_no_event(spark, tmp_path):
+    from tidewatch.settings import Settings
+
+    rows = [event(i, T0 + timedelta(hours=i), latency=float(i)) for i in range(60)]
+    rows += [event(None, T0 + timedelta(hours=i), latency=float(i)) | {"event_id": None} for i in range(5)]
+    rows.append(event("no time", T0) | {"timestamp": None})
+    topic = ingest.encode(table(spark, rows)).select("value")
+    topic.where("length(value) > 0").repartition(2).write.text(str(tmp_path / "first"))
+    topic.unionAll(topic).unionAll(spark.createDataFrame([("{bad",)], "value string")).repartition(2).write.text(str(tmp_path / "again"))
+    out = str(tmp_path / "out")
+    for blocks in (Settings(), Settings(bloom_blocks=1)):  # one block: every event may be a copy, so all are looked up
+        for k, folder in enumerate(("first", "again")):
+            stream = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / folder))
+            sinks.store_messages(ingest.decode(stream), f"{out}{blocks.bloom_blocks}", str(tmp_path / f"ck{k}{blocks.bloom_blocks}"),
+                                 {"availableNow": True}, cfg=blocks).awaitTermination()
+        stored = sinks.stored_events(spark, f"{out}{blocks.bloom_blocks}")
+        assert stored.count() == len(rows) == stored.distinct().count()
+        assert [r.message for r in sinks.quarantine(spark, f"{out}{blocks.bloom_blocks}").collect()] == ["{bad"]
+
+
 def test_documents_go_to_a_bulk_sink(spark, tmp_path):
     options = sinks.index_options("anomalies", id_column="event_id")
     assert options["es.batch.size.entries"] == "500" and options["es.mapping.id"] == "event_id"

@@ -525,3 +525,5 @@ SQL["summary_table_busy"] = SQL["summary_table_dense"].replace(
 SQL["stream_report_batches"] = SQL["report_batches_dense"] + """
     where (select count(*) from batched b where b.batch_window = batched.batch_window and b.batch_no = batched.batch_no) = 10
        or batch_window + interval '30 seconds' <= (select max(detected_at) - interval '10 seconds' from batched)"""
+SQL["throughput_drop_joined"] = SQL["stream_throughput_drop_joined"] = SQL["throughput_drop"]
+SQL["stream_replay_once"] = SQL["dedupe"]

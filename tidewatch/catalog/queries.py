@@ -17,6 +17,7 @@ from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
 from tidewatch.sources import ingest, tables
+from tidewatch.streaming import sinks
 from tidewatch.streaming.batching import report_stream
 from tidewatch.streaming.progress import ProgressRecorder
 from tidewatch.streaming.runner import latest_rows, run_to_end, stream_table
@@ -125,6 +126,17 @@ def stream_throughput_drop(spark, folder):
     return stream_table(detectors.throughput_drop(tables.event_stream(spark, folder)), "drops")
 
 
+@query
+def throughput_drop_joined(spark, folder):
+    return detectors.throughput_drop_joined(tables.events(spark, folder))
+
+
+@query
+def stream_throughput_drop_joined(spark, folder):
+    """Drops as a stream-stream join of each window with the next."""
+    return stream_table(detectors.throughput_drop_joined(tables.event_stream(spark, folder)), "drops")
+
+
 @query
 def stream_latency_spike(spark, folder):
     return stream_table(detectors.latency_spike(tables.event_stream(spark, folder)), "spikes")
@@ -171,6 +183,18 @@ def stream_dedupe(spark, folder):
     return stream_table(ev.select("event_id", "service", "timestamp"), "unique")
 
 
+@query
+def stream_replay_once(spark, folder):
+    """Three quarters of the topic, then under a new checkpoint a replay of all of it, some messages twice: each event once."""
+    ev = tables.events(spark, folder)
+    path = new_path(spark, "replay")
+    for run, part in enumerate((ev.where(f"{derived.NUMBER} % 4 <> 3"), derived.with_copies(ev))):
+        ingest.encode(part).write.parquet(f"{path}/topic{run}")
+        messages = spark.readStream.schema("key string, value string").parquet(f"{path}/topic{run}")
+        sinks.store_messages(ingest.decode(messages), f"{path}/events", f"{path}/checkpoint{run}", {"availableNow": True}).awaitTermination()
+    return sinks.stored_events(spark, f"{path}/events").select("event_id", "service", "timestamp")
+
+
 @query
 def stream_late_windows(spark, folder):
     """Four files, one per batch, by arrival; rows behind the watermark are left out."""

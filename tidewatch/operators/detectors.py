@@ -77,6 +77,36 @@ def throughput_drop(ev: DataFrame, cfg: Settings = DEFAULTS, table: DataFrame |
     )
 
 
+def throughput_drop_joined(ev: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
+    """``throughput_drop`` as a join of each window with the one right after it, each side an aggregate of its own.
+
+    The window before is the outer side, so a window without any current event comes out once the watermark shows that none will
+    follow. Both sides expire by the time condition: at most the windows of the watermark delay and one width are held.
+    """
+    width = cfg.tumbling_s
+    panes = ev.groupBy("service", F.window("timestamp", seconds(width)).alias("pane")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(is_server_error()).alias("errors"), F.sum(exact()).alias("latency"),
+        F.count("latency_ms").alias("timed"))
+    before = panes.select(F.col("service").alias("service"), F.col("n").alias("prev_event_count"), F.window_time("pane").alias("before"))
+    now = panes.select(F.col("service").alias("now_service"), "n", "errors", "latency", "timed", F.window_time("pane").alias("now"))
+    after = F.col("before") + interval(width)
+    follows = F.col("service").eqNullSafe(F.col("now_service")) & (F.col("now") >= after) & (F.col("now") <= after)
+    current = F.coalesce(F.col("n"), F.lit(0))
+    end = F.col("before") + F.expr("INTERVAL 1 MICROSECOND") + interval(width)
+    share = drop_share(current, F.col("prev_event_count"))
+    found = before.join(now, follows, "left").where(share > cfg.drop_threshold)
+    return only_closed(found, ev, end, cfg).select(
+        "service",
+        F.lit("throughput_drop").alias("anomaly_type"),
+        (end - interval(width)).alias("window_start"), end.alias("window_end"),
+        (end + interval(cfg.watermark_s)).alias("detected_at"),
+        current.alias("event_count"), "prev_event_count", F.coalesce("errors", F.lit(0)).alias("error_count"),
+        mean_of(F.col("latency"), F.col("timed")).alias("avg_latency_ms"),
+        (100 * share).alias("drop_pct"),
+        severity(share, cfg.drop_threshold).alias("severity"),
+    )
+
+
 def latency_spike(ev: DataFrame, cfg: Settings = DEFAULTS, method: str = "exact",
                   table: DataFrame | None = None) -> DataFrame:
     """Windows whose p99 exceeds a multiple of the p99 of the window right before.

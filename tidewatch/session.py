@@ -63,6 +63,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()] if fs.exists(path) else []
 
 
+def has_file(spark: SparkSession, path: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tidewatch/{name}-{uuid.uuid4().hex}"
 

@@ -45,6 +45,7 @@ class Settings:
     max_records_per_trigger: int = 500_000
     max_bytes_per_trigger: int = 256 << 20
     bulk_size: int = 500
+    bloom_blocks: int = 1 << 17  # 4 MB for each event date, for some three million events
 
 
 DEFAULTS = Settings()

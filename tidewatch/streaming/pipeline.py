@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewatch.operators import detectors
 from tidewatch.operators.matching import with_baseline
 from tidewatch.settings import DEFAULTS, Settings, seconds
-from tidewatch.sources.ingest import decode, dedupe, with_watermark
+from tidewatch.sources.ingest import decode, with_watermark
 from tidewatch.streaming import sinks
 from tidewatch.streaming.batching import report_stream
 
@@ -35,7 +35,7 @@ def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAU
     spark = messages.sparkSession
     trigger = trigger or {"processingTime": seconds(cfg.trigger_s)}
     queries = [
-        sinks.store_messages(decode(messages, value, arrival, cfg), f"{out}/events", f"{checkpoints}/events", trigger, value),
+        sinks.store_messages(decode(messages, value, arrival, cfg), f"{out}/events", f"{checkpoints}/events", trigger, value, cfg=cfg),
     ]
     if "availableNow" in trigger:  # one pass: the store is complete before the detectors read it
         queries[0].awaitTermination()
@@ -57,8 +57,11 @@ def start(messages: DataFrame, out: str, checkpoints: str, cfg: Settings = DEFAU
 
 def detect(events: DataFrame, out: str, checkpoints: str, cfg: Settings, alerts: sinks.BatchHandler | None,
            trigger: dict, spikes: str) -> list[StreamingQuery]:
-    """One query per detector: anomalies and alerts. A call is slow if it takes more than twice its service's mean."""
-    ev = dedupe(with_watermark(events, cfg), cfg)
+    """One query per detector: anomalies and alerts. A call is slow if it takes more than twice its service's mean.
+
+    The store holds each event once, so no detector keeps ids in its state.
+    """
+    ev = with_watermark(events, cfg)
     found = {
         "drops": detectors.throughput_drop(ev, cfg),
         "spikes": detectors.latency_spike(ev, cfg, spikes),

@@ -3,71 +3,102 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.plans.reports import report_docs
 from tidewatch.schemas import ANOMALY, EVENT
-from tidewatch.session import drop_folder, folders, make_folder
+from tidewatch.session import drop_folder, folders, has_file, make_folder
 from tidewatch.settings import DEFAULTS, Settings
 from tidewatch.sources.ingest import encode, sorted_out
+from tidewatch.streaming.replays import STORED, ReplayFilter, blocks, keyed
 
 log = logging.getLogger(__name__)
 
 BatchHandler = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def _kept(batch: DataFrame) -> Iterator[DataFrame]:
+    """A batch that is read more than once is computed once; one that a caller keeps is left to it."""
+    if batch.is_cached:
+        yield batch
+        return
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def table_writer(path: str, partition_by: list[str] | None = None,
                  max_records_per_file: int = 0) -> BatchHandler:
     """Parquet, one folder per batch that has rows; writing a batch again replaces that folder only."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = Observation()  # counted while writing: the batch is computed once
-        counted = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
-        out = counted.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-        if partition_by:
-            out = out.partitionBy(*partition_by)
-        out.parquet(f"{path}/batch_id={batch_id}")
-        if not seen.get["rows"]:
-            drop_folder(batch.sparkSession, f"{path}/batch_id={batch_id}")
+        with _kept(batch):
+            if batch.isEmpty():  # nothing is written that a stream over the folder could find and lose again
+                return
+            out = batch.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+            if partition_by:
+                out = out.partitionBy(*partition_by)
+            out.parquet(f"{path}/batch_id={batch_id}")
 
     return write
 
 
-_STORED = T.StructType([
-    *EVENT.fields, T.StructField("message", T.StringType()), T.StructField("reason", T.StringType()),
-    T.StructField("status", T.StringType()), T.StructField("event_date", T.DateType())])
 _EVENTS = [f.name for f in EVENT]
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a query with its checkpoint; a new checkpoint has a new one."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def store_messages(decoded: DataFrame, path: str, checkpoint: str, trigger: dict, value: str = "value",
-                   name: str = "events") -> StreamingQuery:
+                   name: str = "events", cfg: Settings = DEFAULTS) -> StreamingQuery:
     """Event store and quarantine in one table, so that each message is read and decoded once.
 
-    Spark's own file sink writes it; its log makes every batch count once. Folders per status and event date let
-    filters skip most of the store. Late events are stored too; only the detectors ignore them.
+    Events that the store has, from this run or an earlier one, are left out, so what reads the store needs no duplicate
+    removal. A folder for each run and batch: a batch that was written in full is not written again, so readers see every
+    event once. Folders per status and event date let filters skip most of the store. Late events are stored too;
+    only the detectors ignore them.
     """
+    spark = decoded.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        run = query_id(spark, checkpoint)
+        folder = f"run={run}/batch_id={batch_id}"
+        if has_file(spark, f"{path}/{folder}/_SUCCESS"):
+            return
+        with _kept(batch), _kept(keyed(batch.where("status = 'accepted'"), cfg)) as marked:
+            with _kept(ReplayFilter(spark, path, run, batch_id, cfg).fresh(marked)) as fresh:
+                blocks(fresh).write.mode("overwrite").parquet(f"{path}_seen/{folder}")
+                rows = fresh.select(*batch.columns).unionByName(batch.where("status <> 'accepted'"))
+                rows.write.mode("overwrite").partitionBy("status", "event_date").parquet(f"{path}/{folder}")
+
+    make_folder(spark, path)
     return (
         sorted_out(decoded, value).withColumn("event_date", F.to_date("timestamp"))
-        .writeStream.queryName(name).format("parquet").partitionBy("status", "event_date")
-        .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+        .writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(write).trigger(**trigger).start()
     )
 
 
 def quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Rejected messages of the store, with their reasons."""
-    return spark.read.schema(_STORED).parquet(path).where("status = 'rejected'").select("message", "reason")
+    return spark.read.schema(STORED).parquet(path).where("status = 'rejected'").select("message", "reason")
 
 
 def stored_stream(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """The event store as a stream, at most about ``max_bytes`` of files per batch."""
     make_folder(spark, path)
-    reader = spark.readStream.schema(_STORED)
+    reader = spark.readStream.schema(STORED)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes))
     return reader.parquet(path).where("status = 'accepted'").select(*_EVENTS)
@@ -83,7 +114,7 @@ def anomaly_stream(spark: SparkSession, path: str) -> DataFrame:
 def stored_events(spark: SparkSession, path: str, since: datetime | None = None,
                   until: datetime | None = None) -> DataFrame:
     """The event store as a table; time bounds apply to the folders as well as to the rows."""
-    df = spark.read.schema(_STORED).parquet(path).where("status = 'accepted'")
+    df = spark.read.schema(STORED).parquet(path).where("status = 'accepted'")
     if since is not None:
         df = df.where((F.col("event_date") >= F.to_date(F.lit(since))) & (F.col("timestamp") > F.lit(since)))
     if until is not None:
@@ -161,11 +192,8 @@ def each(*handlers: BatchHandler) -> BatchHandler:
     """Several handlers on one batch, computed once."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
+        with _kept(batch):
             for h in handlers:
                 h(batch, batch_id)
-        finally:
-            batch.unpersist()
 
     return handle
