@@ -39,7 +39,7 @@ def event_key() -> Column:
 
 def event_day() -> Column:
     """The event's date; events without a time have a day of their own."""
-    return F.coalesce(F.to_date("timestamp"), F.lit("0001-01-01").cast("date"))
+    return F.coalesce(F.to_date("timestamp"), F.lit("1970-01-01").cast("date"))
 
 
 def keyed(events: DataFrame, cfg: Settings = DEFAULTS) -> DataFrame:
@@ -84,7 +84,7 @@ class ReplayFilter:
             if not some:
                 return once
             stored = self.spark.read.schema(STORED).parquet(self.path).where("status = 'accepted'").where(self.earlier)
-            dated = [d for d in days if d.year > 1]
+            dated = [d for d in days if d.year > 1970]
             stored = stored.where(F.col("event_date").isin(dated) | F.col("event_date").isNull())
             ids = [k[1:] for k in some if k[0] == "i"]
             if len(ids) == len(some) <= LOOKUPS:
