@@ -1,6 +1,8 @@
 import heapq
 import random
+import time
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +122,24 @@ def test_trie_counts_equal_single_words(vocabulary):
 def test_file_scores_are_another_choice():
     v = pieces.Vocabulary(VOCABULARY, scores="model")
     assert v.score.max() <= 0 and len(v.pieces) > 30_000
+
+
+def test_long_pretokens_are_segmented_like_short_ones(vocabulary):
+    rng = random.Random(4)
+    alphabet = "aaabcde-=/+日本語é▁"
+    for _ in range(150):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 40)))
+        chars = np.array([pieces.LITERAL if c == "▁" else ord(c) for c in text], np.uint32)
+        best, gap, ids, size = segment._best(vocabulary, chars[None])
+        assert pieces.long_best(vocabulary, chars) == (best[0], gap[0], ids.tolist())
+        assert tokencount.terminal_counts(vocabulary, chars[None])[0] == size[0] == len(ids)
+
+
+def test_a_blank_free_megabyte_takes_seconds(spark, vocabulary):
+    texts = ["日本語のテキスト" * 60_000, "QUJD" * 60_000 + "/+=", "-" * 300_000, "line\n" * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    start = time.perf_counter()
+    counted = {r.doc_id: r.n_tokens for r in tokencount.token_counts(docs, VOCABULARY, columns=["doc_id"]).select("row.doc_id", "n_tokens").collect()}
+    encoded = segment.encode(docs, VOCABULARY, n=2, verify=True, columns=["doc_id"]).select("row.doc_id", "ids", "round_trip").collect()
+    assert time.perf_counter() - start < 240
+    assert counted == {r.doc_id: len(r["ids"]) for r in encoded} and all(r.round_trip for r in encoded)

@@ -23,6 +23,7 @@ ZERO = 0x110001  # stands for a U+0000 of the text, as 0 fills up rows
 UNIT = 100_000
 NEVER = np.int64(-(1 << 50))
 PARTS = 2 << 20
+LONG = 256  # characters; longer pre-tokens are segmented one by one
 _SPACE_ONLY = np.zeros(256, bool)
 _SPACE_ONLY[32] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -178,3 +179,47 @@ def by_length(t: Tokens) -> list[tuple[np.ndarray, np.ndarray]]:
             out.append((some, np.where(inside, t.chars[at], 0).astype(np.uint32)))
         low, width = width, width * 2
     return out
+
+
+def long_best(v: Vocabulary, chars: np.ndarray) -> tuple[int, int, list[int]]:
+    """Best score, gap to the second best, and ids of one long pre-token: time and memory grow with its length.
+
+    Its arcs are found for all places at once, size by size; the recurrences run over the arcs that exist.
+    """
+    n = len(chars)
+    wide, h = chars.astype(np.uint64), np.zeros(n, np.uint64)
+    begins, ends, kinds = [], [], []
+    for size in range(1, min(v.longest, n) + 1):
+        m = n - size + 1
+        h = step(h[:m], wide[size - 1:])
+        k = v.find(h)
+        at = np.flatnonzero(k >= 0) if size > 1 else np.arange(n)
+        begins.append(at)
+        ends.append(at + size)
+        kinds.append(k[at])
+    begin, end, kind = (np.concatenate(x) for x in (begins, ends, kinds))
+    gain = np.where(kind >= 0, v.score[kind], v.char_bytes(chars[begin]) * v.byte_score)
+    order = np.lexsort((begin, end))  # the longest piece first, which keeps ties
+    begin, end, kind, gain = begin[order], end[order], kind[order], gain[order]
+    forward, last = [int(NEVER)] * (n + 1), [0] * (n + 1)
+    forward[0] = 0
+    for a, (i, j, g) in enumerate(zip(begin.tolist(), end.tolist(), gain.tolist(), strict=True)):
+        if forward[i] + g > forward[j]:
+            forward[j], last[j] = forward[i] + g, a
+    order = np.lexsort((end, begin))[::-1]
+    backward = [int(NEVER)] * (n + 1)
+    backward[n] = 0
+    for i, j, g in zip(begin[order].tolist(), end[order].tolist(), gain[order].tolist(), strict=True):
+        if backward[j] + g > backward[i]:
+            backward[i] = backward[j] + g
+    path, at = [], n
+    while at:
+        path.append(last[at])
+        at = int(begin[last[at]])
+    ids: list[int] = []
+    for a in reversed(path):
+        ids += [int(v.id[kind[a]])] if kind[a] >= 0 else v.char_ids(int(chars[begin[a]]))
+    total = np.array(forward)[begin] + gain + np.array(backward)[end]
+    total[path] = NEVER  # arcs of the best path do not count for the second best
+    second = int(total.max())
+    return forward[n], forward[n] - second if second > NEVER // 2 else int(-NEVER), ids

@@ -103,6 +103,13 @@ def _best(v: P.Vocabulary, chars: np.ndarray):
     return best, gap, ids.astype(np.int32), np.bincount(row, size, minlength=rows).astype(np.int64)
 
 
+def _best_each(v: P.Vocabulary, chars: np.ndarray):
+    """``_best`` for long rows, one by one."""
+    found = [P.long_best(v, row[row != 0]) for row in chars]
+    return (np.array([f[0] for f in found]), np.array([f[1] for f in found]), np.concatenate([np.array(f[2], np.int32) for f in found]),
+            np.array([len(f[2]) for f in found]))
+
+
 class _Path:
     """Pieces from a text's end back to ``at``: the last arc, and the path behind it.
 
@@ -245,7 +252,7 @@ def _encode(shared, n: int, verify: bool):
         flat, at = [], np.zeros(kinds, np.int64)
         done = 0
         for rows, chars in P.by_length(t):
-            score[rows], gap[rows], ids, size[rows] = _best(v, chars)
+            score[rows], gap[rows], ids, size[rows] = (_best if chars.shape[1] <= P.LONG else _best_each)(v, chars)
             at[rows] = done + np.cumsum(size[rows]) - size[rows]
             flat.append(ids)
             done += len(ids)

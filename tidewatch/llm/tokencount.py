@@ -3,7 +3,8 @@
 The different pre-tokens of a task's texts are sorted, so that those with a common prefix stand together: the nodes
 of their trie at depth d are the runs of equal prefixes of d characters. Forward scores of the unigram model are computed level by level,
 once for each node, whatever number of pre-tokens shares it. A terminal node holds the number of pieces of its
-pre-token's best segmentation, and a text's count is the sum over its pre-tokens.
+pre-token's best segmentation, and a text's count is the sum over its pre-tokens. Pre-tokens of more than 256 characters are
+scored one by one over the arcs that exist, in time linear in their length.
 
 Ties go to the longest last piece. Defined results: a null or empty text has no tokens; an empty table gives an empty table;
 rows keep all their columns in the struct ``row``, whatever their names.
@@ -81,7 +82,10 @@ def _count(shared):
                 t = P.tokens(part.column(1))
                 pieces = np.zeros(len(t.first) - 1, np.int64)
                 for rows, chars in P.by_length(t):
-                    pieces[rows] = terminal_counts(v, chars)
+                    if chars.shape[1] > P.LONG:  # hardly ever two with a common prefix: a trie of one path each
+                        pieces[rows] = [len(P.long_best(v, row[row != 0])[2]) for row in chars]
+                    else:
+                        pieces[rows] = terminal_counts(v, chars)
                 total = np.r_[0, np.cumsum(pieces[t.number])]
                 yield pa.RecordBatch.from_pydict({
                     "row": part.column(0), "n_pretokens": pa.array(np.diff(t.doc_first).astype(np.int64)),
