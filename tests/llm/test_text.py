@@ -151,3 +151,23 @@ def test_table_of_the_neural_model_is_normalised():
                   part(lbl.UNITS))
     total = (10 ** m.table().astype(float)).reshape(-1, lbl.UNITS).sum(axis=1)
     assert abs(total - 1).max() < 1e-3
+
+
+def test_a_text_of_very_many_addresses(spark):
+    import time
+
+    text = "".join(f"to a{k}@mail.org or 10.0.{k % 250}.7, call +1 555 {1000000 + k}\n" for k in range(40_000)) + "😀 end"
+    start = time.perf_counter()
+    found = pii.spans(H.documents(spark, [text, "x@y.zz 😀 " * 700])).select(
+        "row.doc_id", pii.listed(pii.BASE).alias("listed"), pii.redacted().alias("redacted"), F.size("spans").alias("n")).collect()
+    assert time.perf_counter() - start < 200
+    for r in found:
+        whole = [text, "x@y.zz 😀 " * 700][r.doc_id]
+        want = H.personal(whole)
+        assert r.listed == H.listed(want) and r.n >= len(want)
+        out, at = [], 0
+        for begin, end, kind in sorted((b, e, k) for k, b, e in want):
+            if begin >= at:
+                out += [whole[at:begin], f"[{kind.upper()}]"]
+            at = max(at, end)
+        assert r.redacted == "".join(out) + whole[at:]

@@ -5,7 +5,7 @@ kinds always stay. Two more kinds are added where their score reaches ``least``:
 identity numbers that need a context word.
 
 The patterns have no repeated group that Java would run by recursion and try no start inside a run that has
-failed, so time is linear in the text. Positions are code points, ends are exclusive.
+failed, so time is linear in the text and its spans. Positions are code points, ends are exclusive.
 
 Defined results: a null or empty text has no spans; nothing depends on ids or other columns; an empty table gives an empty table;
 rows keep all their columns in the struct ``row``, whatever their names.
@@ -36,21 +36,57 @@ RAISE = {
 LOWER = "example|version|order|invoice|sample"
 STEP = 0.3
 REACH = 40  # code points on either side
+PIECE = 1024  # code points: places in a long text are found through its pieces
+BLOCK = 256  # items whose outputs are gathered together
+MATCHES = "array<struct<start:int,match:string>>"
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _folded(items: Column, step, kind: str) -> Column:
+    """Outputs of ``step(at, item) -> (at, outputs)`` over an array, from ``at`` 0 on.
+
+    Outputs are gathered by blocks, so that the list so far is not copied for each item.
+    """
+    empty = F.array().cast(f"array<{kind}>")
+
+    def inner(at, block):
+        def add(s, x):
+            at, more = step(s["at"], x)
+            return F.struct(at.cast("int").alias("at"), F.concat(s["out"], more).alias("out"))
+        return F.aggregate(block, F.struct(at.alias("at"), empty.alias("out")), add)
+
+    def outer(s, block):
+        return _with(inner(s["at"], block), lambda r: F.struct(
+            r["at"].alias("at"), F.concat(s["out"], F.array(r["out"])).alias("out")))
+
+    def blocks(whole):
+        return F.transform(F.sequence(F.lit(1), F.greatest(F.size(whole), F.lit(1)), F.lit(BLOCK)), lambda i: F.slice(whole, i, BLOCK))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+    return _with(items, lambda whole: F.aggregate(blocks(whole), start, outer, lambda s: F.flatten(s["out"])))
+
+
+def _between(pieces: Column, begin: Column, size: Column) -> Column:
+    """``size`` code points from place ``begin`` on, taken from the pieces of PIECE code points that hold them."""
+    first = F.floor(begin / PIECE).cast("int")
+    some = F.slice(pieces, first + 1, F.floor((begin + size) / PIECE).cast("int") - first + 1)
+    return F.array_join(some, "").substr(begin - first * PIECE + 1, size)
 
 
 def _found(text: Column, pattern: str) -> Column:
     """Matches with their starts: the pieces between matches give the positions."""
     both = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string>>").alias("out"))
 
-    def add(state, x):
-        begin = state["at"] + F.length(x["gap"])
-        return F.struct(
-            (begin + F.coalesce(F.length(x["hit"]), F.lit(0))).alias("at"),
-            F.when(x["hit"].isNull(), state["out"]).otherwise(
-                F.concat(state["out"], F.array(F.struct(begin.alias("start"), x["hit"].alias("match"))))).alias("out"))
+    def step(at, x):
+        begin = at + F.length(x["gap"])
+        hit = F.array(F.struct(begin.alias("start"), x["hit"].alias("match")))
+        return begin + F.coalesce(F.length(x["hit"]), F.lit(0)), F.when(x["hit"].isNull(), F.array().cast(MATCHES)).otherwise(hit)
 
-    return F.aggregate(both, start, add, lambda state: state["out"])
+    return _folded(both, step, "struct<start:int,match:string>")
 
 
 def _digits(match: Column) -> Column:
@@ -76,11 +112,11 @@ CHECKS = {
 }
 
 
-def _score(kind: str, text: Column, x: Column) -> Column:
+def _score(kind: str, pieces: Column, x: Column) -> Column:
     begin = F.greatest(x["start"] - REACH, F.lit(0))
     near = F.lower(F.concat(
-        text.substr(begin + 1, x["start"] - begin), F.lit(" "),
-        text.substr(x["start"] + F.length(x["match"]) + 1, F.lit(REACH))))
+        _between(pieces, begin, x["start"] - begin), F.lit(" "),
+        _between(pieces, x["start"] + F.length(x["match"]), F.lit(REACH))))
     raised = F.when(near.rlike(rf"\b(?:{RAISE[kind]})"), STEP).otherwise(0.0)
     lowered = F.when(near.rlike(rf"\b(?:{LOWER})\b"), STEP).otherwise(0.0)
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.lit(PRIOR[kind]) + raised - lowered))
@@ -90,26 +126,27 @@ def _passing(found: Column, check) -> Column:
     return F.filter(found, lambda x: check(x["match"]))
 
 
-def _scored(found: Column, kind: str, text: Column) -> Column:
+def _scored(found: Column, kind: str, pieces: Column) -> Column:
     return F.transform(found, lambda x: F.struct(
         F.lit(kind).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["match"])).alias("end"),
-        x["match"].alias("match"), _score(kind, text, x).alias("score")))
+        x["match"].alias("match"), _score(kind, pieces, x).alias("score")))
 
 
 def spans(docs: DataFrame, text: str = "text", least: float = 0.5) -> DataFrame:
-    """Each row as struct ``row``, its text as ``text``, and ``spans``: kind, start, end, match, score in the order of kinds."""
+    """Each row as struct ``row``, its text as ``text``, ``spans`` (kind, start, end, match, score in the order of kinds) and ``pieces`` of the text."""
     out = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    out = out.withColumn("pieces", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)))
     body = F.col("text")
     kinds = []
     for kind, (pattern, check) in CHECKS.items():
         found = _found(body, pattern)
         if kind == "email":
-            found = F.when(body.contains("@"), found).otherwise(F.array().cast("array<struct<start:int,match:string>>"))
+            found = F.when(body.contains("@"), found).otherwise(F.array().cast(MATCHES))
         if check:
             found = _passing(found, check)
-        found = _scored(found, kind, body)
+        found = _scored(found, kind, F.col("pieces"))
         kinds.append(found if kind in BASE else F.filter(found, lambda x: x["score"] >= least))
-    return out.select("row", "text", F.concat(*kinds).alias("spans"))
+    return out.select("row", "text", F.concat(*kinds).alias("spans"), "pieces")
 
 
 def count(kind: str) -> Column:
@@ -124,18 +161,14 @@ def listed(kinds: list[str]) -> Column:
 
 def redacted() -> Column:
     """``text`` with each span, or group of overlapping spans, replaced by the kind of its first one in brackets."""
-    text = F.col("text")
+    pieces, text = F.col("pieces"), F.col("text")
     ordered = F.array_sort(F.transform("spans", lambda x: F.struct(x["start"], x["end"], x["kind"])))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def put(state, x):
-        fresh = x["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(state["out"], F.array(
-                text.substr(state["at"] + 1, x["start"] - state["at"]),
-                F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]"))))).otherwise(state["out"]).alias("out"))
-
-    whole = F.aggregate(ordered, start, put, lambda state: F.concat(
-        F.array_join(state["out"], ""), text.substr(state["at"] + 1, F.length(text))))
-    return F.when(F.size("spans") == 0, text).otherwise(whole)
+    # a span beyond the text's end writes the rest
+    closed = F.concat(ordered, F.array(F.struct(F.length(text).alias("start"), F.length(text).alias("end"), F.lit("").alias("kind"))))
+
+    def put(at, x):
+        before = _between(pieces, at, x["start"] - at)
+        mark = F.when(x["kind"] == "", "").otherwise(F.concat(F.lit("["), F.upper(x["kind"]), F.lit("]")))
+        return F.greatest(at, x["end"]), F.when(x["start"] >= at, F.array(before, mark)).otherwise(F.array().cast("array<string>"))
+
+    return F.when(F.size("spans") == 0, text).otherwise(F.array_join(_folded(closed, put, "string"), ""))
