@@ -115,3 +115,11 @@ def test_full_bitmap_changes_nothing(spark):
     assert substrings.remove_repeats(docs.limit(0)).collect() == []
     with pytest.raises(ValueError, match="whole block"):
         substrings.remove_repeats(docs, width=13, anchor=8)
+
+
+def test_the_anchor_bitmap_is_bounded_at_every_size():
+    for total in (0, 1, 10**6, 10**9, 3 * 10**10, 10**12, 4 * 10**12, 10**13, 10**14, 10**17):
+        parts, size = substrings.layout(total)
+        assert parts * size <= substrings.MAX_BITS and size % 8 == 0 and parts >= 8
+        assert total > 5 * 10**14 or total <= max(8, parts) * substrings.PART_BYTES
+    assert substrings.layout(3 * 10**10)[1] == substrings.layout(3 * 10**10, max_bits=1 << 28)[1] >= 1 << 16

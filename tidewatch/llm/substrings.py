@@ -6,7 +6,7 @@ Every document is cut into non-overlapping blocks of ``anchor`` words, with 2 *
 1. Index and probe. Block hashes are the index, every rolling window of ``anchor`` words probes it. Both are sent,
    once per chunk of texts, as sorted fingerprints to the partition that owns their part of the hash space. A block that another
    document probes is an anchor hit.
-2. The hits become a bitmap of fixed size (at most ``max_bits`` bits, whatever the corpus), which goes back to all
+2. The hits become a bitmap (at most ``max_bits`` bits, whatever the corpus; see ``layout``), which goes back to all
    tasks. A full bitmap only costs time: it lets through windows that step 3 rejects.
 3. Extend. Windows of ``width`` words around a hit are compared over all documents by their 64-bit hash. A chunk first
    settles its own repeats; only its smallest document of each window takes part in the exchange, so a passage that a
@@ -270,6 +270,20 @@ def _cut_out(width: int):
     return W.tidied(run)
 
 
+def layout(total: int, part_bytes: int = PART_BYTES, max_bits: int = MAX_BITS) -> tuple[int, int]:
+    """Partitions of the hash space for ``total`` bytes of text, and bits of the bitmap for each.
+
+    Their product never exceeds ``max_bits``: a partition has 8 bits at least, and there are ``max_bits / 8`` partitions
+    at most (33 million, so 16 MB of text each up to 500 TB; beyond that partitions grow). A chunk sends a row to each partition that
+    one of its words belongs to, so no more rows than words.
+    """
+    parts = min(max(8, -(-total // part_bytes)), max_bits // 8)
+    size = 8
+    while size * 2 * parts <= max_bits and (size < 1 << 10 or size * parts < total):
+        size *= 2
+    return parts, size
+
+
 def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 13, anchor: int = 7,
             part_bytes: int = PART_BYTES, max_bits: int = MAX_BITS) -> DataFrame:
     """Runs of window starts (int32 pairs, end exclusive) to remove, for documents that have any."""
@@ -279,10 +293,7 @@ def repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     own = docs.where(F.col(id).isNotNull()).select(
         F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(8, -(-total // part_bytes))
-    size = 1 << 10
-    while size * 2 * parts <= max_bits and size * parts < total:
-        size *= 2
+    parts, size = layout(total, part_bytes, max_bits)
     hits = (
         own.select("text").mapInArrow(_send_anchors(parts, anchor), "part long, prints binary")
         .groupBy("part").applyInArrow(_find_hits(size), "part long, bits binary")
