@@ -527,3 +527,23 @@ SQL["stream_report_batches"] = SQL["report_batches_dense"] + """
        or batch_window + interval '30 seconds' <= (select max(detected_at) - interval '10 seconds' from batched)"""
 SQL["throughput_drop_joined"] = SQL["stream_throughput_drop_joined"] = SQL["throughput_drop"]
 SQL["stream_replay_once"] = SQL["dedupe"]
+
+# --- sketches: the windows and their counts; that the errors stay within the stated bounds
+
+SQL["sketch_windows"] = f"""with {EV}, s as (
+      select service, unnest(generate_series(time_bucket(interval '30 seconds', t) - interval '270 seconds',
+               time_bucket(interval '30 seconds', t), interval '30 seconds')) as window_start from ev)
+    select service, window_start, window_start + interval '5 minutes' as window_end, count(*) as event_count,
+           true as p99_within, true as users_within from s group by all"""
+SQL["sketch_days"] = f"""with {EV}
+    select service, time_bucket(interval '1 day', t) as window_start, time_bucket(interval '1 day', t) + interval '1 day' as window_end,
+           count(*) as event_count, true as p99_within, true as users_within from ev group by all"""
+SQL["stream_sketch_windows"] = f"""with {EV}
+    select service, time_bucket(interval '1 minute', t) as window_start,
+           time_bucket(interval '1 minute', t) + interval '1 minute' as window_end, count(*) as event_count
+    from ev where time_bucket(interval '30 seconds', t) + interval '30 seconds' <= (select max(t) - interval '10 seconds' from ev)
+    group by all"""
+SQL["heartbeat_sketch"] = f"""with {EV}, {SHARDS}, w as (
+      select time_bucket(interval '1 minute', t) as window_start, interval '1 minute' as width, shard_id from recs
+      union all select time_bucket(interval '1 day', t), interval '1 day', shard_id from recs)
+    select window_start, window_start + width as window_end, count(distinct shard_id) as active_consumers from w group by all"""

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidewatch.catalog import derived
 from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown, pane_index, pane_time
 from tidewatch.functions.text import matches_any
-from tidewatch.operators import detectors, matching, ordering, sessions, windows
+from tidewatch.operators import detectors, matching, ordering, sessions, sketches, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
 from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
@@ -119,6 +119,48 @@ def anomaly_reports(spark, folder):
     return all_anomalies(spark, folder)
 
 
+# --- sketches -----------------------------------------------------------------------------
+
+def _checked(windows, ev):
+    """Which windows keep the stated errors; the values themselves depend on how sketches were merged."""
+    checked = sketches.error_of(windows, ev)
+    return checked.select(
+        "service", "window_start", "window_end", "event_count",
+        (F.col("rank_error") <= sketches.RANK_ERROR).alias("p99_within"),
+        (F.col("distinct_error") <= sketches.DISTINCT_ERROR).alias("users_within"))
+
+
+@query
+def sketch_windows(spark, folder):
+    """Sliding windows of five minutes from stored sketches of 30 seconds."""
+    ev = tables.events(spark, folder)
+    return _checked(sketches.merged(materialise(sketches.pane_sketches(ev), "sketches"), 10), ev)
+
+
+@query
+def sketch_days(spark, folder):
+    """The whole timeline per service, from the same stored sketches."""
+    ev = tables.events(spark, folder)
+    return _checked(sketches.merged(materialise(sketches.pane_sketches(ev), "sketches"), 2880, 2880), ev)
+
+
+@query
+def stream_sketch_windows(spark, folder):
+    """Sketches that a stream stored; panes leave when the watermark passes them."""
+    panes = stream_table(sketches.pane_sketches(tables.event_stream(spark, folder)), "sketches")
+    ev = tables.events(spark, folder)
+    return _checked(sketches.merged(panes, 2, 2), ev).drop("users_within", "p99_within")
+
+
+@query
+def heartbeat_sketch(spark, folder):
+    """Active consumers per minute and over the whole time, from HLL sketches: exact at so few."""
+    records = derived.shard_records(tables.events(spark, folder)).withColumns({"service": F.col("stream"), "latency_ms": F.lit(None).cast("double")})
+    panes = materialise(sketches.pane_sketches(records, "shard_id"), "sketches")
+    windows = sketches.merged(panes, 2, 2).unionByName(sketches.merged(panes, 2880, 2880))
+    return windows.select("window_start", "window_end", F.col("distinct_keys").alias("active_consumers"))
+
+
 # --- the same detectors on streams -------------------------------------------------------
 
 @query
