@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tidewatch.session import materialise
 
 CELLS = 50  # per factor of e
+CHUNK = 240  # panes whose windows one task merges
 
 
 def grid(value: Column) -> Column:
@@ -73,11 +74,16 @@ def _cell_ranks(rows: DataFrame, keys: list[str], panes: int, cells: DataFrame |
         cells = rows.groupBy(*keys, "pane", "cell").agg(F.count(F.lit(1)).alias("n"))
     if panes == 1:
         return with_rank(cells.withColumnRenamed("pane", "win"), group, "cell")
-    spread = cells.select(
-        *keys, "cell", "n", F.explode(F.sequence(F.col("pane") - (panes - 1), "pane")).alias("win"))
-    # one shuffle serves both the sum and the ranking
-    merged = spread.repartition(*group).groupBy(*group, "cell").agg(F.sum("n").alias("n"))
-    return with_rank(merged, group, "cell")
+    # counts travel once (those near a chunk's start twice), whatever the windows' width; each task spreads
+    # the panes of its chunks over their windows, adds up and ranks without another shuffle
+    size = max(CHUNK, 8 * panes)
+    first, last = F.col("pane") - (panes - 1), F.col("pane")
+    chunks = F.array_distinct(F.array(F.floor(first / size), F.floor(last / size)))
+    near = cells.select(*keys, "pane", "cell", "n", F.explode(chunks).alias("chunk")).repartition(*keys, "chunk")
+    windows = F.sequence(F.greatest(first, F.col("chunk") * size), F.least(last, F.col("chunk") * size + (size - 1)))
+    merged = near.select(*keys, "chunk", "cell", "n", F.explode(windows).alias("win")).groupBy(
+        *keys, "chunk", "win", "cell").agg(F.sum("n").alias("n"))
+    return with_rank(merged, [*keys, "chunk", "win"], "cell").drop("chunk")
 
 
 def grid_quantile(df: DataFrame, keys: list[str], pane: Column, value: Column, q: float, panes: int = 1,

@@ -24,7 +24,7 @@ DISTINCT_ERROR = 3 * 1.04 / (1 << DISTINCT_BITS) ** 0.5
 def _sketched(key: str) -> list[Column]:
     return [
         F.count(F.lit(1)).alias("n"), F.count("latency_ms").alias("timed"),
-        F.call_function("kll_sketch_agg_double", F.col("latency_ms"), F.lit(QUANTILE_K)).alias("latencies"),
+        F.kll_sketch_agg_double("latency_ms", QUANTILE_K).alias("latencies"),
         F.hll_sketch_agg(F.col(key), F.lit(DISTINCT_BITS)).alias("keys"),
     ]
 
@@ -52,11 +52,11 @@ def merged(panes: DataFrame, width: int, every: int = 1, by: list[str] | None =
     spread = panes.select(*keys, "n", "latencies", "keys", F.explode(F.sequence(first, last, F.lit(every).cast("long"))).alias("win"))
     sketches = spread.groupBy(*keys, "win").agg(
         F.sum("n").alias("event_count"),
-        F.call_function("kll_merge_agg_double", F.col("latencies")).alias("latencies"),
+        F.kll_merge_agg_double("latencies").alias("latencies"),
         F.hll_union_agg("keys").alias("keys"))
     return sketches.select(
         *keys, pane_time("win", cfg.slide_s).alias("window_start"), pane_time(F.col("win") + width, cfg.slide_s).alias("window_end"),
-        "event_count", F.call_function("kll_sketch_get_quantile_double", F.col("latencies"), F.lit(0.99)).alias("p99_latency_ms"),
+        "event_count", F.kll_sketch_get_quantile_double("latencies", F.lit(0.99)).alias("p99_latency_ms"),
         F.hll_sketch_estimate("keys").alias("distinct_keys"))
 
 
