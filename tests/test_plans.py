@@ -52,10 +52,10 @@ def test_report_text(spark):
         "**Type:** throughput_drop",
         "**Affected services:** user-auth",
         "**Window:** 2024-01-01 00:01:55 to 2024-01-01 00:02:55 UTC",
-        "**Impact:** ~245 events missed (up to -63%); 0 server errors",
+        "**Impact:** 245 events fewer than in the windows before (at most 63 % less); 0 server errors",
         "**Root cause hypothesis:** a service sends less",
         "**Recommended action:** follow the missing events of user-auth",
-        "**Confidence:** High — matches 3 prior incidents",
+        "**Confidence:** High; earlier incidents of the kind: 3",
     ]
     assert last.model == "rules-v1"
 

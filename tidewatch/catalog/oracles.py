@@ -236,7 +236,7 @@ docs as (
       '**Affected services:** ' || array_to_string(services, ', '),
       '**Window:** ' || strftime(since, '%Y-%m-%d %H:%M:%S') || ' to ' || strftime(until, '%Y-%m-%d %H:%M:%S') || ' UTC',
       '**Impact:** ' || concat_ws('; ',
-          '~' || missed || ' events missed (up to -' || round(drop_pct)::bigint || '%)',
+          missed || ' events fewer than in the windows before (at most ' || round(drop_pct)::bigint || ' % less)',
           'p99 latency up to ' || round(p99)::bigint || ' ms', errors || ' server errors'),
       '**Root cause hypothesis:** ' || concat_ws('; ',
           case when drop_pct >= 100 then 'a service sends nothing' when drop_pct is not null then 'a service sends less' end,
@@ -249,7 +249,7 @@ docs as (
                || case when len(services) > 1 then 'what these services share' else services[1] end end,
           case when flagged is not null then 'read the flagged sessions' end),
       '**Confidence:** ' || case when prior >= 3 then 'High' when prior >= 1 then 'Medium' else 'Low' end
-          || ' — matches ' || prior || ' prior incidents') as summary,
+          || '; earlier incidents of the kind: ' || prior) as summary,
     anomaly_count, services, anomaly_types, generated_at, 'rules-v1' as model
   from facts)"""
 SUMMARY_COLUMNS = "generated_at, services, anomaly_types, anomaly_count, summary"
@@ -547,3 +547,17 @@ SQL["heartbeat_sketch"] = f"""with {EV}, {SHARDS}, w as (
       select time_bucket(interval '1 minute', t) as window_start, interval '1 minute' as width, shard_id from recs
       union all select time_bucket(interval '1 day', t), interval '1 day', shard_id from recs)
     select window_start, window_start + width as window_end, count(distinct shard_id) as active_consumers from w group by all"""
+
+STOP_LIST = """['a', 'an', 'and', 'are', 'as', 'at', 'be', 'but', 'by', 'for', 'if', 'in', 'into', 'is', 'it', 'no', 'not', 'of', 'on', 'or', 'such',
+    'that', 'the', 'their', 'then', 'there', 'these', 'they', 'this', 'to', 'was', 'will', 'with']"""
+SQL["summary_search_ranked"] = dense(f"""with {REPORTS},
+    texts as (select md5(summary) as id, list_filter(flatten(list(regexp_split_to_array(lower(summary), '[^a-z0-9]+'))),
+                lambda w: w <> '' and not list_contains({STOP_LIST}, w)) as words from docs group by 1),
+    size as (select count(*) as n, avg(len(words)) as mean from texts),
+    posting as (select id, len(words) as length, term, count(*) as times from (select id, words, unnest(words) as term from texts) group by all),
+    wanted as (select * from posting where term in ('throughput', 'payment', 'gateway', 'search', 'service', 'nothing', 'sent')),
+    known as (select term, count(*) as df from wanted group by 1),
+    scored as (select id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * times * 2.2 / (times + 1.2 * (0.25 + 0.75 * length / mean))), 9) as score
+               from wanted join known using (term), size group by 1)
+    select id, round(score, 6) as score, (row_number() over (order by scored.score desc, id))::int as rank from scored
+    qualify rank <= 10""")

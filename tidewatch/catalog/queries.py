@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidewatch.catalog import derived
 from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown, pane_index, pane_time
 from tidewatch.functions.text import matches_any
-from tidewatch.operators import detectors, matching, ordering, sessions, sketches, windows
+from tidewatch.operators import detectors, matching, ordering, search, sessions, sketches, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
 from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
@@ -239,12 +239,17 @@ def stream_replay_once(spark, folder):
 
 @query
 def stream_late_windows(spark, folder):
-    """Four files, one per batch, by arrival; rows behind the watermark are left out."""
+    """Four arrivals, one per batch; rows behind the watermark are left out.
+
+    The table is read once and dealt out to the arrivals; each is written in parallel, as many files as a batch takes.
+    """
     ev = derived.with_arrival(tables.events(spark, folder))
-    path = new_path(spark, "arrivals")
+    path, files = new_path(spark, "arrivals"), 4
+    ev.withColumn("batch", F.expr("least(minute(arrival) div 8, 3)")).drop("arrival").write.partitionBy("batch").parquet(f"{path}/all")
     for batch in range(4):
-        ev.where(f"least(minute(arrival) div 8, 3) = {batch}").drop("arrival").coalesce(1).write.mode("append").parquet(path)
-    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", 1).parquet(path)
+        arrived = spark.read.schema(EVENT).parquet(f"{path}/all/batch={batch}")
+        arrived.repartition(files).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(EVENT).option("maxFilesPerTrigger", files).parquet(f"{path}/in")
     return stream_table(windows.events_per_window(ingest.with_watermark(stream), 60, ["service"]), "late")
 
 
@@ -364,6 +369,15 @@ def summary_keywords(spark, folder):
 
 # --- metrics, lag, scaling, alerts ----------------------------------------------------------
 
+@query
+def summary_search_ranked(spark, folder):
+    """The ten summaries that fit a search best, by BM25 over an inverted index; a summary's id is the digest of its text."""
+    docs = reports.report_docs(dense_anomalies(spark, folder))
+    path = new_path(spark, "index")
+    search.build_index(docs.withColumn("id", F.md5("summary")), "id", "summary", path)
+    return search.search(spark, path, "throughput of the payment gateway and search service, nothing sent")
+
+
 @query
 def events_by_status(spark, folder):
     return metrics.events_by_status(tables.events(spark, folder))

@@ -140,14 +140,14 @@ def report_docs(found: DataFrame, cfg: Settings = DEFAULTS, history: DataFrame |
     types = F.col("anomaly_types")
     impact = F.concat_ws(
         "; ",
-        F.concat(F.lit("~"), F.col("missed").cast("string"), F.lit(" events missed (up to -"),
-                 _whole(F.col("drop_pct")), F.lit("%)")),
+        F.concat(F.col("missed").cast("string"), F.lit(" events fewer than in the windows before (at most "),
+                 _whole(F.col("drop_pct")), F.lit(" % less)")),
         F.concat(F.lit("p99 latency up to "), _whole(F.col("p99")), F.lit(" ms")),
         F.concat(F.col("errors").cast("string"), F.lit(" server errors")),
     )
     confidence = F.when(F.col("prior") >= 3, "High").when(F.col("prior") >= 1, "Medium").otherwise("Low")
     window = F.concat(F.date_format("since", _TIME), F.lit(" to "), F.date_format("until", _TIME), F.lit(" UTC"))
-    certainty = F.concat(confidence, F.lit(" — matches "), F.col("prior").cast("string"), F.lit(" prior incidents"))
+    certainty = F.concat(confidence, F.lit("; earlier incidents of the kind: "), F.col("prior").cast("string"))
     content = [F.array_join(types, ", "), F.array_join("services", ", "), window, impact, _cause(), _action(), certainty]
     summary = F.concat_ws(
         "\n", F.concat(F.lit(HEADING), F.date_format("generated_at", _TIME), F.lit(" UTC")),
