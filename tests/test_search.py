@@ -59,3 +59,19 @@ def test_panes_of_a_sketch_stay_small(spark):
     rows = [event(i, T0, "a", float(i), user_id=f"u{i}") for i in range(30_000)]
     size = sketches.pane_sketches(table(spark, rows)).select(F.octet_length("latencies") + F.octet_length("keys")).first()[0]
     assert size < 40_000
+
+
+def test_top_keys_are_exact_whether_or_not_keys_are_heavy(spark):
+    from tidewatch.operators import heavy
+
+    rows = [event(i, T0 + timedelta(seconds=i / 10), user_id=f"u{i * i % 37}" if i % 2 else f"x{i}") for i in range(6000)]
+    rows += [event(f"n{i}", T0, "a") | {"user_id": None} for i in range(300)]
+    ev = table(spark, rows)
+    counts = {}
+    for r in rows:
+        counts[r["user_id"]] = counts.get(r["user_id"], 0) + 1
+    want = sorted(((n, u) for u, n in counts.items()), key=lambda x: (-x[0], x[1] is not None, x[1] or ""))[:8]
+    for tracked in (1024, 16):  # enough for the heavy keys; far too few
+        got = heavy.top_keys(ev, "user_id", tracked=tracked).orderBy("rank").collect()
+        assert [(r.n, r.key) for r in got] == want and [r["rank"] for r in got] == list(range(1, 9))
+    assert heavy.top_keys(ev.limit(0), "user_id").count() == 0

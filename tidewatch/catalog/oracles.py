@@ -561,3 +561,12 @@ SQL["summary_search_ranked"] = dense(f"""with {REPORTS},
                from wanted join known using (term), size group by 1)
     select id, round(score, 6) as score, (row_number() over (order by scored.score desc, id))::int as rank from scored
     qualify rank <= 10""")
+
+# --- heavy hitters
+
+SQL["top_callers"] = f"""with {EV}, c as (
+      select case when event_id % 3 = 0 then 'user ' || user_id else region || ' ' || service || ' ' || event_type end as key, count(*) as n
+      from ev group by 1)
+    select key, n, (row_number() over (order by n desc, key))::int as rank from c qualify rank <= 8"""
+SQL["top_users"] = f"""with {EV}, c as (select user_id as key, count(*) as n from ev group by 1)
+    select key, n, (row_number() over (order by n desc, key))::int as rank from c qualify rank <= 8"""

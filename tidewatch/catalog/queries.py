@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tidewatch.catalog import derived
 from tidewatch.functions.events import clean_latency, clock_drift_ms, is_server_error, or_unknown, pane_index, pane_time
 from tidewatch.functions.text import matches_any
-from tidewatch.operators import detectors, matching, ordering, search, sessions, sketches, windows
+from tidewatch.operators import detectors, heavy, matching, ordering, search, sessions, sketches, windows
 from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
 from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
@@ -354,6 +354,25 @@ def top_services(spark, folder):
     return ordering.top_k(counts, ["region"], [F.desc("event_count"), F.col("service")], 3)
 
 
+def _callers(spark, folder):
+    """Two thirds of the events under a few hundred keys, the rest under one for each user."""
+    return tables.events(spark, folder).withColumn("caller", F.expr(
+        f"if({derived.NUMBER} % 3 = 0, concat('user ', user_id), concat_ws(' ', region, service, event_type))"))
+
+
+@query
+def top_callers(spark, folder):
+    """The eight most frequent callers, from stored summaries of each minute."""
+    ev = _callers(spark, folder)
+    return heavy.top_keys(ev, "caller", panes=materialise(heavy.pane_summaries(ev, "caller"), "summaries"))
+
+
+@query
+def top_users(spark, folder):
+    """No user is heavy here, so all are counted."""
+    return heavy.top_keys(tables.events(spark, folder), "user_id", tracked=64)
+
+
 @query
 def summaries(spark, folder):
     """Saved search over the summaries, newest first."""
