@@ -58,7 +58,7 @@ def test_whole_pipeline_on_documents(spark, folder):
 @pytest.mark.parametrize("name", sorted(oracles.SQL))
 def test_queries_equal_their_sql(spark, folder, name):
     con = duckdb.connect()
-    for table in ("documents", "benchmark", "pages"):
+    for table in ("documents", "benchmark", "pages", "embeddings"):
         con.execute(f"create view {table} as select * from '{folder}/{table}.parquet'")
     df = queries.QUERIES[name](spark, folder)
     columns = sorted(df.columns)

@@ -7,14 +7,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
-import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.llm.helpers import AWKWARD, SPACE, documents, sha
-from tidewatch.llm import clustering, mixing, oracles, queries, repair
-from tools.check import rows_of
+from tidewatch.llm import clustering, mixing, queries, repair
 
 # --- clustering ---------------------------------------------------------------------------------
 
@@ -136,17 +134,6 @@ def test_mix_of_awkward_rows(spark):
     assert {r.doc_id: r["size"] for r in got} == sizes and {r.row for r in got} == {"x"}
 
 
-def test_new_queries_equal_sql(spark, folder):
-    con = duckdb.connect()
-    for name in ("embeddings", "documents"):
-        con.execute(f"create view {name} as select * from '{folder}/{name}.parquet'")
-    for name in ("op11_centroid_clustering", "op12_source_mixing"):
-        df = queries.QUERIES[name](spark, folder)
-        cursor = con.execute(oracles.SQL[name])
-        want = rows_of([d[0] for d in cursor.description], cursor.fetchall())
-        assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == want and want[1]
-
-
 # --- conversations ------------------------------------------------------------------------------
 
 NEXT = {"": "u", "s": "u", "u": "a", "a": "u"}
