@@ -570,3 +570,24 @@ SQL["top_callers"] = f"""with {EV}, c as (
     select key, n, (row_number() over (order by n desc, key))::int as rank from c qualify rank <= 8"""
 SQL["top_users"] = f"""with {EV}, c as (select user_id as key, count(*) as n from ev group by 1)
     select key, n, (row_number() over (order by n desc, key))::int as rank from c qualify rank <= 8"""
+
+# --- compaction: days are days, not compressed
+
+DAYS = EV.replace("// 1440)", "// 1)")
+SQL["compacted_events"] = f"""with {DAYS}
+    select event_id::varchar as event_id, service, t as timestamp from ev
+    where t > timestamp '2024-01-05 06:00:00' and t <= timestamp '2024-01-26 06:00:00' and service in ('user-auth', 'search-service')"""
+SQL["compacted_files"] = f"""with {DAYS}
+    select t::date as event_date, count(*) as event_count, true as few_files from ev where t < timestamp '2024-01-24 00:00:00' group by all"""
+
+# --- similar incidents: all pairs
+
+SQL["similar_incidents"] = dense(f"""with {REPORTS},
+    item as (select batch_window, batch_no, detected_at, unnest(['type:' || anomaly_type, 'service:' || service, anomaly_type || '@' || service,
+               'severity:' || severity, case when drop_pct >= 100 then 'silent:' || service end]) as item from batched),
+    feat as (select batch_window, batch_no, max(detected_at) as detected_at,
+               list_sort(list_distinct(list(item) filter (where item is not null))) as features from item group by 1, 2),
+    pair as (select a.batch_window, a.batch_no, len(list_intersect(a.features, b.features)) as s, len(a.features) + len(b.features) as total
+             from feat a join feat b on b.detected_at < a.detected_at),
+    near as (select batch_window, batch_no, count(*) as n from pair where 100 * s >= 50 * (total - s) group by 1, 2)
+    select batch_window, batch_no, detected_at, features, coalesce(n, 0)::bigint as similar_count from feat left join near using (batch_window, batch_no)""")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
 from tidewatch.sources import ingest, tables
-from tidewatch.streaming import sinks
+from tidewatch.streaming import compaction, sinks
 from tidewatch.streaming.batching import report_stream
 from tidewatch.streaming.progress import ProgressRecorder
 from tidewatch.streaming.runner import latest_rows, run_to_end, stream_table
@@ -237,6 +238,38 @@ def stream_replay_once(spark, folder):
     return sinks.stored_events(spark, f"{path}/events").select("event_id", "service", "timestamp")
 
 
+def _compacted(spark, folder):
+    """Store and clustered copy: three quarters of the events, half of the dates closed; then the rest, and more dates closed."""
+    ev = tables.events(spark, folder, factor=1)
+    path = new_path(spark, "compacted")
+    for run, (part, before) in enumerate(((ev.where(f"{derived.NUMBER} % 4 <> 3"), date(2024, 1, 16)), (ev, date(2024, 1, 24)))):
+        ingest.encode(part).write.parquet(f"{path}/topic{run}")
+        messages = spark.readStream.schema("key string, value string").parquet(f"{path}/topic{run}")
+        sinks.store_messages(ingest.decode(messages), f"{path}/events", f"{path}/checkpoint{run}", {"availableNow": True}).awaitTermination()
+        compaction.compact(spark, f"{path}/events", f"{path}/clustered", before, FILE_ROWS)
+    return f"{path}/events", f"{path}/clustered"
+
+
+FILE_ROWS = 500
+
+
+@query
+def compacted_events(spark, folder):
+    """Two services over some days, closed and open ones, from the clustered copy and the store."""
+    since, until = (datetime(2024, 1, d, 6, tzinfo=timezone.utc) for d in (5, 26))
+    return compaction.clustered_events(spark, *_compacted(spark, folder), since, until, ["user-auth", "search-service"]).select(
+        "event_id", "service", "timestamp")
+
+
+@query
+def compacted_files(spark, folder):
+    """Events of each closed date, and whether its files are as few as their size allows."""
+    _, out = _compacted(spark, folder)
+    files = compaction.manifest(spark, out, compaction.version(spark, out))
+    return files.groupBy("event_date").agg(F.sum("n").alias("event_count"), F.count(F.lit(1)).alias("files")).select(
+        "event_date", "event_count", (F.col("files") <= 2 + 2 * F.ceil(F.col("event_count") / FILE_ROWS)).alias("few_files"))
+
+
 @query
 def stream_late_windows(spark, folder):
     """Four arrivals, one per batch; rows behind the watermark are left out.
@@ -715,3 +748,9 @@ def missed_events(spark, folder):
 def prior_incidents(spark, folder):
     return reports.prior_incidents(stored_anomalies(spark, folder)).select(
         "service", "anomaly_type", "window_start", "session_key", "detected_at", "prior_count")
+
+
+@query
+def similar_incidents(spark, folder):
+    """How many earlier report batches share at least half of the features."""
+    return reports.similar_incidents(dense_anomalies(spark, folder), DENSE)

@@ -39,17 +39,21 @@ def count_earlier(df: DataFrame, group: list[str], time: str, name: str,
     if history is not None:
         known = known.unionByName(history.select(*group, time))
     instants = known.groupBy(*group, time).agg(F.count(F.lit(1)).alias("n"))
+    return df.join(earlier_sums(instants, group, time, name), [*group, time])
+
+
+def earlier_sums(instants: DataFrame, group: list[str], time: str, name: str) -> DataFrame:
+    """``name``: the sum of ``n`` over strictly earlier instants of the group, for one row per group and instant."""
     instants = instants.withColumn("minute", F.date_trunc("minute", time))
     minutes = instants.groupBy(*group, "minute").agg(F.sum("n").alias("n"))
     past = W.partitionBy(*group).orderBy("minute").rowsBetween(W.unboundedPreceding, -1)
     offsets = minutes.select(*group, "minute", F.coalesce(F.sum("n").over(past), F.lit(0)).alias("offset"))
     inner = W.partitionBy(*group, "minute").orderBy(time).rowsBetween(W.unboundedPreceding, -1)
-    earlier = (
+    return (
         instants.withColumn("local", F.coalesce(F.sum("n").over(inner), F.lit(0)))
         .join(offsets, [*group, "minute"])
         .select(*group, time, (F.col("offset") + F.col("local")).alias(name))
     )
-    return df.join(earlier, [*group, time])
 
 
 def top_k(df: DataFrame, group: list, order: list[Column], k: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.events import or_unknown
 from tidewatch.operators.ordering import count_earlier, number_within
+from tidewatch.operators.similar import count_similar_earlier
 from tidewatch.settings import DEFAULTS, Settings, seconds
 
 BATCH = ["batch_window", "batch_no"]
@@ -55,6 +56,21 @@ def prior_incidents(found: DataFrame, history: DataFrame | None = None, earlier:
         "prior_count", F.col("prior_count") + F.coalesce("_n", F.lit(0))).drop("_n")
 
 
+def incident_features(batches: DataFrame) -> DataFrame:
+    """The items that describe each numbered batch: types, services, severities, types at services, and services that fell silent."""
+    kind, where = or_unknown("anomaly_type"), or_unknown("service")
+    items = F.array(
+        F.concat(F.lit("type:"), kind), F.concat(F.lit("service:"), where), F.concat(kind, F.lit("@"), where),
+        F.concat(F.lit("severity:"), "severity"), F.when(F.col("drop_pct") >= 100, F.concat(F.lit("silent:"), where)))
+    return batches.withColumn("item", F.explode(items)).groupBy(*BATCH).agg(
+        F.max("detected_at").alias("detected_at"), F.array_sort(F.collect_set("item")).alias("features"))
+
+
+def similar_incidents(found: DataFrame, cfg: Settings = DEFAULTS, percent: int = 50) -> DataFrame:
+    """``similar_count`` of each batch: earlier batches that share at least ``percent`` % of all the features of both."""
+    return count_similar_earlier(incident_features(report_batches(found, cfg)), "features", "detected_at", percent)
+
+
 def missed_events(found: DataFrame) -> DataFrame:
     """Events that throughput drops lost against the window before, per service."""
     drops = found.where(F.col("anomaly_type") == "throughput_drop")
