@@ -117,6 +117,33 @@ def test_contamination_equals_brute_force(spark, monkeypatch, block):
     assert decontaminate.contamination(docs, items.limit(0)).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("block", [500_000, 30])
+def test_longest_matches_equal_brute_force(spark, monkeypatch, block):
+    """Items that repeat their windows, overlap each other, or are shorter than a window."""
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 2_000)
+    monkeypatch.setattr(decontaminate, "EXTENDED", 7)
+    rng = random.Random(3)
+    text = lambda n, of: " ".join(rng.choice(of) for _ in range(n))
+    items = [(k, text(rng.randint(1, 40), "abc")) for k in range(12)] + [(20, "a " * 33), (21, "b c " * 20 + "a b c " * 9), (22, "a b"), (22, "c c c c"), (23, None)]
+    docs = [text(rng.randint(0, 120), "abcd") for _ in range(40)] + ["a " * 50, "d " + "b c " * 20 + "a " + "a b c " * 9 + "d", "a b", None, "", "c d"]
+    docs += [f"{items[k][1]} d {items[k + 1][1]}" for k in range(10)]
+
+    def longest(x, width=5):
+        best = 0
+        for _, y in items:
+            y = (y or "").split()
+            least, before = min(width, len(y)), [0] * (len(y) + 1)
+            for u in x:
+                before = [0] + [before[j] + 1 if u == v else 0 for j, v in enumerate(y)]
+                best = max([best, *(b for b in before if b >= least)])
+        return best
+
+    found = decontaminate.contamination(
+        spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"), width=5, block_words=block)
+    assert {r.row.doc_id: r.longest for r in found.collect()} == {k: longest((t or "").split()) for k, t in enumerate(docs)}
+
+
 def test_language_model_base_scores_and_held_out_gain(spark, folder):
     import math
     import zlib

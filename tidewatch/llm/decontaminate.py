@@ -3,7 +3,8 @@
 Each task turns its texts into shards of a megabyte. A shard's suffix array lists its word positions in the order
 of the words that follow, sorted as deep as a window is long; texts are parted by a sentinel, so no match crosses them. Every
 suffix of every benchmark item is looked up by binary search, all of them at once; the range found holds
-all places of the match in the shard. Matches on one diagonal (item place against text place) join to longest verbatim matches.
+all places of the match in the shard. From each place found, the longest verbatim match is read off the items' own suffixes in full
+order: the place's rank among them is found by binary search, and its neighbours there share the most words with it.
 
 The benchmark is the query set: it is taken in blocks of at most ``block_words`` words, one after the other over all
 documents, so what is sent to the tasks has a fixed bound. No document leaves its task; nothing is shuffled.
@@ -27,7 +28,7 @@ from . import words as W
 from .rows import carried
 
 SHARD_BYTES = 1 << 20
-BLOCK_WORDS = 500_000  # of the benchmark, sent to every task at a time (about 10 MB)
+BLOCK_WORDS = 500_000  # of the benchmark, sent to every task at a time (at most some 150 MB)
 
 FOUND = [
     T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("longest", T.LongType()),
@@ -36,8 +37,71 @@ FOUND = [
 ]
 
 
+_POWER = 0x9E3779B97F4A7C15
+_INVERSE = pow(_POWER, -1, 1 << 64)
+EXTENDED = 1 << 16  # places extended at a time
+
+
+class Hashed:
+    """Words with the hash of any run of them: equal runs have equal hashes, wherever they lie. ``rest`` is the text's words from there on."""
+
+    def __init__(self, hash: np.ndarray, rest: np.ndarray):
+        n = len(hash)
+        self.word, self.rest = hash, rest
+        self.sum = np.r_[np.uint64(0), np.cumsum(hash * np.cumprod(np.r_[np.uint64(1), np.full(n, _POWER, np.uint64)])[:n], dtype=np.uint64)]
+        self.back = np.cumprod(np.r_[np.uint64(1), np.full(n, _INVERSE, np.uint64)])
+
+    def run(self, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return (self.sum[at + length] - self.sum[at]) * self.back[at]
+
+
+def shared_words(a: Hashed, p: np.ndarray, b: Hashed, q: np.ndarray) -> np.ndarray:
+    """How many words from ``p`` on equal those from ``q`` on."""
+    low, high = np.zeros(len(p), np.int64), np.minimum(a.rest[p], b.rest[q])
+    while (low < high).any():
+        middle = (low + high + 1) >> 1
+        same = a.run(p, middle) == b.run(q, middle)
+        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+    return low
+
+
+class Suffixes(Hashed):
+    """The suffixes of some texts in full order, by the hashes of their words; a text's end is below every word."""
+
+    def __init__(self, hash: np.ndarray, rest: np.ndarray):
+        super().__init__(hash, rest)
+        n, step, deepest = len(hash), 1, int(rest.max(initial=0))
+        rank = np.unique(hash, return_inverse=True)[1].ravel().astype(np.uint64) + np.uint64(1)
+        while step < deepest:  # ranks of twice as many words
+            after = np.where(rest > step, rank[np.minimum(np.arange(n) + step, n - 1)], np.uint64(0))
+            distinct, rank = np.unique((rank << np.uint64(32)) | after, return_inverse=True)
+            rank = rank.ravel().astype(np.uint64) + np.uint64(1)
+            if len(distinct) == n:
+                break
+            step *= 2
+        self.order = np.argsort(rank, kind="stable")
+
+    def longest(self, text: Hashed, places: np.ndarray) -> np.ndarray:
+        """The most words from each place on that one of the texts holds in a row."""
+        best = np.zeros(len(places), np.int64)
+        for a in range(0, len(places), EXTENDED):
+            p = places[a:a + EXTENDED]
+            low, high = np.zeros(len(p), np.int64), np.full(len(p), len(self.order), np.int64)
+            while (open_ := np.flatnonzero(low < high)).size:
+                middle, at = (low[open_] + high[open_]) >> 1, p[open_]
+                q = self.order[middle]
+                same = shared_words(text, at, self, q)
+                best[a + open_] = np.maximum(best[a + open_], same)
+                ends, stops = same == self.rest[q], same == text.rest[at]
+                i, j = np.where(ends, q, q + same), np.where(stops, at, at + same)
+                below = ends | (~stops & (self.word[i] < text.word[j]))
+                low[open_[below]] = middle[below] + 1
+                high[open_[~below]] = middle[~below]
+        return best
+
+
 class Queries:
-    """All suffixes of a block of items, cut to ``width`` words; one for each item and different window."""
+    """All suffixes of a block of items, cut to ``width`` words, one for each item and different window; and uncut, in order."""
 
     def __init__(self, ids: list[str], texts: list[str], width: int):
         w = W.words(pa.array(texts, pa.string()), W.NOT_ALNUM, fold=True)
@@ -49,9 +113,10 @@ class Queries:
         padded = np.r_[w.hash, np.zeros(width, np.uint64)]
         self.words = padded[start[:, None] + np.arange(width)]
         self.words[np.arange(width) >= self.length[:, None]] = 0
-        self.item, self.place = item, start - first[item]
+        self.item = item
+        self.suffixes = Suffixes(w.hash, first[1:][w.doc] - np.arange(len(w.hash)))
         _, keep = np.unique(np.column_stack([self.words, item.astype(np.uint64)]), axis=0, return_index=True)
-        for name in ("length", "words", "item", "place"):
+        for name in ("length", "words", "item"):
             setattr(self, name, getattr(self, name)[keep])
         # equal windows of several items are searched once
         self.distinct, self.of = np.unique(self.words, axis=0, return_inverse=True)
@@ -157,19 +222,20 @@ def _search(shared, width: int, has_text: bool, previous: bool):
         np.add.at(edge, word, 1)
         np.add.at(edge, word + q.window_length[window], -1)
         hit = np.cumsum(edge[:-1]) > 0
-        # (text, item) pairs and longest matches: windows on one diagonal, each a word after the other
+        # longest matches: short items match whole, windows are extended
+        longest = np.zeros(n, np.int64)
+        short = q.window_length[window] < width
+        np.maximum.at(longest, w.doc[word[short]], q.window_length[window[short]])
+        if not short.all():
+            places = np.unique(word[~short])
+            text = Hashed(w.hash, first[1:][w.doc] - np.arange(len(w.hash)))
+            np.maximum.at(longest, w.doc[places], q.suffixes.longest(text, places))
+        # (text, item) pairs
+        doc, window = np.divmod(np.unique(w.doc[word].astype(np.int64) * max(1, len(q.distinct)) + window), max(1, len(q.distinct)))
         count = (q.window_first[1:] - q.window_first[:-1])[window]
         entry = q.by_window[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
                             + np.repeat(q.window_first[window], count)]
-        word = np.repeat(word, count)
-        doc, item = w.doc[word], q.item[entry]
-        diagonal = word - q.place[entry]
-        order = np.lexsort((word, diagonal, item))
-        new = np.r_[True, (np.diff(item[order]) != 0) | (np.diff(diagonal[order]) != 0) | (np.diff(word[order]) != 1)]
-        head = np.flatnonzero(new[:len(order)])
-        run_length = np.diff(head, append=len(order)) - 1 + q.length[entry[order[head]]]
-        longest = np.zeros(n, np.int64)
-        np.maximum.at(longest, doc[order[head]], run_length)
+        doc, item = np.repeat(doc, count), q.item[entry]
         items: list[set[str]] = [set() for _ in range(n)]
         pairs = np.unique(doc.astype(np.int64) * len(q.ids) + item) if len(q.ids) else np.empty(0, np.int64)
         for d, i in zip(pairs // max(1, len(q.ids)), pairs % max(1, len(q.ids)), strict=True):
@@ -218,8 +284,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text: str | Column = "t
                   columns: list[str] | None = None) -> DataFrame:
     """Each row of ``docs`` (or its ``columns``) as struct ``row``, with ``n_words, n_hit, longest, runs, items``.
 
-    ``runs`` are the hit words (end exclusive), ``longest`` is the longest verbatim match with one item, counted from the first
-    place of each of its windows.
+    ``runs`` are the hit words (end exclusive), ``longest`` is the longest verbatim match with one item (0 without a window).
     """
     sc = docs.sparkSession.sparkContext
     struct, row = carried(docs, columns)

@@ -46,20 +46,24 @@ from p join s using (shard, depth) where shard_bytes <= {16 << 20} or shard_rows
 
 SQL["op8_suffix_decontamination"] = rf"""
 with d as (select doc_id, regexp_extract_all({FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents),
-b as (select coalesce(item_id::varchar, '') item_id,
+b as (select row_number() over () nr, coalesce(item_id::varchar, '') item_id,
              regexp_extract_all({FOLDED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from benchmark),
 sizes as (select distinct least(13, len(w)) k from b where len(w) > 0),
-win as (select distinct item_id, least(13, len(w)) k, array_to_string(w[i:i + 12], ' ') s
-        from (select item_id, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) i from b where len(w) > 0)),
+win as (select item_id, nr, j, least(13, len(w)) k, array_to_string(w[j:j + 12], ' ') s
+        from (select item_id, nr, w, unnest(range(1, greatest(1, len(w) - 12) + 1)) j from b where len(w) > 0)),
 place as (select doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') s
           from (select doc_id, k, w, unnest(range(1, len(w) - k + 2)) i from d, sizes)),
-found as (select doc_id, item_id, k, i from place join win using (k, s)),
+found as (select doc_id, item_id, nr, j, k, i from place join win using (k, s)),
+runs as (select doc_id, k + count(*) - 1 len from (
+           select *, i - row_number() over (partition by doc_id, nr, i - j order by i) as run from found) group by doc_id, nr, i - j, k, run),
+longest as (select doc_id, max(len)::bigint longest from runs group by 1),
 hits as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(i, i + k)) p from found) group by 1),
 items as (select doc_id, count(*) n, string_agg(item_id, ',' order by item_id) t
           from (select distinct doc_id, item_id from found) group by 1)
 select d.doc_id, len(w)::bigint n_words, coalesce(hits.n, 0)::bigint n_hit, coalesce(items.n, 0)::bigint n_items,
-       sha256(coalesce(t, '')) items_sha256, coalesce(hits.n, 0) > 0 and 20 * coalesce(hits.n, 0) >= len(w) contaminated
-from d left join hits using (doc_id) left join items using (doc_id)
+       sha256(coalesce(t, '')) items_sha256, coalesce(hits.n, 0) > 0 and 20 * coalesce(hits.n, 0) >= len(w) contaminated,
+       coalesce(longest, 0) longest
+from d left join hits using (doc_id) left join items using (doc_id) left join longest using (doc_id)
 """
 
 SQL["op10_substring_dedup"] = rf"""

@@ -64,7 +64,7 @@ def op8_suffix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+        decontaminate.is_contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"), "longest",
     )
 
 
