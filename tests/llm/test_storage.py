@@ -4,6 +4,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import sharding, warc
 from tidewatch.session import new_path
@@ -58,6 +59,19 @@ def test_long_urls_lose_no_record(spark, tmp_path):
     assert got == {k: u.replace(" ", "%20") for k, u, _, _ in pages}
 
 
+def test_archives_are_bounded_in_bytes(spark, tmp_path, monkeypatch):
+    """Pages of a few bytes to 20 MB in one partition: no archive is longer than the bound, but those of one record."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 4 << 20)
+    sizes = [10] * 3000 + [50_000] * 300 + [900_000] * 12 + [20 << 20] * 3
+    order = np.random.default_rng(1).permutation(len(sizes))
+    pages = spark.range(len(sizes)).join(spark.createDataFrame([(int(i), sizes[k]) for i, k in enumerate(order)], "id long, n int"), "id").selectExpr(
+        "id as page_id", "'u' as url", "concat(cast(id as string), repeat('z', n)) as html").coalesce(1)
+    warc.write(pages, str(tmp_path / "a"))
+    found = warc.read(spark, str(tmp_path / "a")).groupBy("archive").agg(F.sum("length").alias("bytes"), F.count("*").alias("n")).collect()
+    assert sum(r.n for r in found) == len(sizes) and all(r.bytes <= 4 << 20 or r.n == 1 for r in found)
+    assert len(found) < 25
+
+
 def test_a_chain_that_ends_early_fails(spark, tmp_path):
     pages = spark.createDataFrame(PAGES, "page_id long, url string, html string, sha1 string").where("page_id in (4, 6, 8)")
     records = [r.value + "\n" for r in warc.records(pages).collect()]

@@ -2,8 +2,9 @@
 
 Writing. Pages with equal payloads (of ``least`` bytes at least) share one ``response`` record, that of the largest page
 id; the others become ``revisit`` records, which carry headers only. A third of all pages may share a payload: the
-largest id is found with partial aggregation, and revisits are a few hundred bytes. Records are texts, so Spark's own
-writer puts them into archives on any file system, gzip-compressed, of at most ``records`` records each.
+largest id of each payload that several pages have is found with partial aggregation and written as a table, which the planner sends to the
+pages if it is small; only beyond the session's broadcast threshold do pages enter an exchange. Records are texts, so Spark's own
+writer puts them into archives on any file system, gzip-compressed, of at most ``ARCHIVE_BYTES`` each; a larger record has its own.
 
 Reading. Every place in an archive that holds the magic (at its start or behind a blank line, as any record does) and a whole
 header, however long, is a candidate; it names its successor, the place behind its block. Magic inside a payload makes candidates too. Pointer jumping from the start of each archive (the
@@ -25,9 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.session import materialise, release
+
+from .words import tidied
+
+ARCHIVE_BYTES = 64 << 20
 CRLF = "\r\n"
 MAGIC = re.compile(rb"(?:\A|(?<=\r\n\r\n))WARC/1\.[01]\r\n")
 RECORD = (
@@ -45,15 +52,23 @@ def _base32(sha1_hex):
         F.lit(letters), F.conv(F.substr(bits, i * 5 + 1, F.lit(5)), 2, 10).cast("int") + 1, F.lit(1))), "")
 
 
-def records(pages: DataFrame, least: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """One record per page as text, without its last line feed."""
-    own = pages.select(
+def _pages(pages: DataFrame) -> DataFrame:
+    return pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     ).select("*", F.sha1(F.col("html").cast("binary")).alias("sha1"), F.octet_length("html").cast("long").alias("size"))
-    largest = own.groupBy("sha1").agg(F.max("page_id").alias("newest"))
-    typed = own.join(largest, "sha1").withColumn(
-        "revisit", (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("newest")))
+
+
+def shared_payloads(pages: DataFrame) -> DataFrame:
+    """``sha1, newest`` of each payload of several pages."""
+    found = _pages(pages).groupBy("sha1").agg(F.max("page_id").alias("newest"), F.count(F.lit(1)).alias("n"))
+    return found.where("n > 1").select("sha1", "newest", F.lit(True).alias("shared"))
+
+
+def records(pages: DataFrame, least: int = 0, date: str = "2024-01-01T00:00:00Z", shared: DataFrame | None = None) -> DataFrame:
+    """One record per page as text, without its last line feed. ``shared`` are the written ``shared_payloads``, if there are any."""
+    typed = _pages(pages).join(shared_payloads(pages) if shared is None else shared, "sha1", "left").withColumn(
+        "revisit", F.col("shared").isNotNull() & (F.col("size") >= least) & ~F.col("page_id").eqNullSafe(F.col("newest")))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit(">"))
     target = F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20")
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
@@ -75,10 +90,28 @@ def records(pages: DataFrame, least: int = 0, date: str = "2024-01-01T00:00:00Z"
         F.when(F.col("revisit"), "").otherwise(F.col("html")), F.lit(CRLF + "\r")).alias("value"))
 
 
-def write(pages: DataFrame, path: str, least: int = 0, records_each: int = 5_000) -> None:
-    """Write archives of the pages to the folder ``path``."""
-    (records(pages, least).write.option("lineSep", "\n").option("compression", "gzip")
+def _volumes(limit: int):
+    """Adds the volume that a record belongs to: a task's records in order, as many as ``limit`` bytes hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        volume = used = 0
+        for batch in batches:
+            volumes = np.empty(batch.num_rows, np.int64)
+            for k, size in enumerate((pc.binary_length(batch.column(0)).to_numpy() + 1).tolist()):
+                if used and used + size > limit:
+                    volume, used = volume + 1, 0
+                used += size
+                volumes[k] = volume
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(volumes)], names=["value", "volume"])
+    return tidied(run)
+
+
+def write(pages: DataFrame, path: str, least: int = 0, records_each: int = 20_000) -> None:
+    """Write archives of the pages to the folder ``path``: at most ``records_each`` records and ``ARCHIVE_BYTES`` each."""
+    shared = materialise(shared_payloads(pages), "payloads")
+    placed = records(pages, least, shared=shared).mapInArrow(_volumes(ARCHIVE_BYTES), "value string, volume long")
+    (placed.write.partitionBy("volume").option("lineSep", "\n").option("compression", "gzip")
      .option("maxRecordsPerFile", records_each).text(path))
+    release(shared)
 
 
 def _plain(content: bytes) -> bytes:
@@ -198,7 +231,7 @@ def _chain(table: pa.Table) -> pa.Table:
 def read(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """Records of all archives in the folder ``path``; with ``payload`` also their payloads.
 
-    One task reads an archive; archives are bounded by the writer. The boundary check handles offsets and headers only.
+    One task reads an archive; the writer bounds their bytes. The boundary check handles offsets and headers only.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     found = files.mapInArrow(_candidates(payload), RECORD + (", payload binary" if payload else ""))
