@@ -34,7 +34,8 @@ from tidewatch.session import materialise, release
 
 from .words import tidied
 
-ARCHIVE_BYTES = 64 << 20
+ARCHIVE_BYTES = 32 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 CRLF = "\r\n"
 MAGIC = re.compile(rb"(?:\A|(?<=\r\n\r\n))WARC/1\.[01]\r\n")
 RECORD = (
@@ -90,28 +91,42 @@ def records(pages: DataFrame, least: int = 0, date: str = "2024-01-01T00:00:00Z"
         F.when(F.col("revisit"), "").otherwise(F.col("html")), F.lit(CRLF + "\r")).alias("value"))
 
 
-def _volumes(limit: int):
-    """Adds the volume that a record belongs to: a task's records in order, as many as ``limit`` bytes hold."""
+def _archives(limit: int, most: int):
+    """A row for each archive: a task's records in order, as many as ``limit`` bytes hold, at most ``most``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        volume = used = 0
+        held, used, n = [], 0, 0
+
+        def row() -> pa.RecordBatch:
+            texts = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays(held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pc.binary_join(texts, "\n")], names=["value"])
+
         for batch in batches:
-            volumes = np.empty(batch.num_rows, np.int64)
+            first = 0
             for k, size in enumerate((pc.binary_length(batch.column(0)).to_numpy() + 1).tolist()):
-                if used and used + size > limit:
-                    volume, used = volume + 1, 0
-                used += size
-                volumes[k] = volume
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(volumes)], names=["value", "volume"])
+                if n and (used + size > limit or n == most):
+                    held.append(batch.column(0).slice(first, k - first))
+                    yield row()
+                    first, used, n = k, 0, 0
+                used, n = used + size, n + 1
+            held.append(batch.column(0).slice(first))
+        if n:
+            yield row()
     return tidied(run)
 
 
 def write(pages: DataFrame, path: str, least: int = 0, records_each: int = 20_000) -> None:
     """Write archives of the pages to the folder ``path``: at most ``records_each`` records and ``ARCHIVE_BYTES`` each."""
+    spark = pages.sparkSession
     shared = materialise(shared_payloads(pages), "payloads")
-    placed = records(pages, least, shared=shared).mapInArrow(_volumes(ARCHIVE_BYTES), "value string, volume long")
-    (placed.write.partitionBy("volume").option("lineSep", "\n").option("compression", "gzip")
-     .option("maxRecordsPerFile", records_each).text(path))
-    release(shared)
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, str(ARCHIVE_BYTES // 2))  # pages may be large
+    try:
+        texts = records(pages, least, shared=shared).mapInArrow(_archives(ARCHIVE_BYTES, records_each), "value string")
+        texts.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", 1).text(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+        release(shared)
 
 
 def _plain(content: bytes) -> bytes:
