@@ -591,3 +591,13 @@ SQL["similar_incidents"] = dense(f"""with {REPORTS},
              from feat a join feat b on b.detected_at < a.detected_at),
     near as (select batch_window, batch_no, count(*) as n from pair where 100 * s >= 50 * (total - s) group by 1, 2)
     select batch_window, batch_no, detected_at, features, coalesce(n, 0)::bigint as similar_count from feat left join near using (batch_window, batch_no)""")
+
+# --- open state
+
+SQL["open_sessions"] = f"""with {EV}, {SESSIONS}
+    select session_key, window_start, window_end, event_count, window_end + interval '10 seconds' as expires_at
+    from session_all where window_end > (select max(t60) - interval '10 seconds' from ev)"""
+SQL["open_windows"] = f"""with {EV}, w as (
+      select service, time_bucket(interval '1 minute', t) as window_start, count(*) as event_count from ev group by all)
+    select service, window_start, window_start + interval '1 minute' as window_end, event_count, window_start + interval '70 seconds' as expires_at
+    from w where window_start + interval '1 minute' > (select max(t) - interval '10 seconds' from ev)"""

@@ -18,7 +18,7 @@ from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
 from tidewatch.sources import ingest, tables
-from tidewatch.streaming import compaction, sinks
+from tidewatch.streaming import compaction, sinks, state
 from tidewatch.streaming.batching import report_stream
 from tidewatch.streaming.progress import ProgressRecorder
 from tidewatch.streaming.runner import latest_rows, run_to_end, stream_table
@@ -286,6 +286,27 @@ def stream_late_windows(spark, folder):
     return stream_table(windows.events_per_window(ingest.with_watermark(stream), 60, ["service"]), "late")
 
 
+def _checkpoint(stream, name):
+    """The checkpoint of a stream that has run to its end."""
+    path = new_path(stream.sparkSession, name)
+    run_to_end(stream, f"{path}/rows", f"{path}/checkpoint")
+    return f"{path}/checkpoint"
+
+
+@query
+def open_sessions(spark, folder):
+    """Sessions that a stream still holds at its end, from its state."""
+    ev = tables.event_stream(spark, folder, tables.SESSIONS)
+    return state.open_sessions(spark, _checkpoint(sessions.sessions(ev), "open_sessions"))
+
+
+@query
+def open_windows(spark, folder):
+    """Minutes that a stream still holds at its end, from its state."""
+    counts = windows.events_per_window(tables.event_stream(spark, folder), 60, ["service"])
+    return state.open_windows(spark, _checkpoint(counts, "open_windows"))
+
+
 def _recorded(spark, folder):
     """The progress table of a stream that has run to its end."""
     counts = windows.events_per_window(tables.event_stream(spark, folder), 60, ["service"])
