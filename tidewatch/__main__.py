@@ -50,7 +50,7 @@ def messages(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame,
         options = ingest.source_options(args.servers, cfg, args.position, at_ms, args.max_per_trigger)
         return ingest.read_stream(spark, options), "value"
     if args.source == "files":
-        return spark.readStream.text(args.path), "value"
+        return spark.readStream.option("maxBytesPerTrigger", str(cfg.max_bytes_per_trigger)).text(args.path), "value"
     options = dict(o.split("=", 1) for o in args.option)
     return ingest.read_stream(spark, options, args.format), args.column
 

@@ -601,3 +601,5 @@ SQL["open_windows"] = f"""with {EV}, w as (
       select service, time_bucket(interval '1 minute', t) as window_start, count(*) as event_count from ev group by all)
     select service, window_start, window_start + interval '1 minute' as window_end, event_count, window_start + interval '70 seconds' as expires_at
     from w where window_start + interval '1 minute' > (select max(t) - interval '10 seconds' from ev)"""
+SQL["stream_bulk_documents"] = f"""with {EV}
+    select event_id::varchar as document_id, event_id::varchar as event_id, service, t as timestamp, true as within from ev"""

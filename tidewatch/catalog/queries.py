@@ -17,7 +17,7 @@ from tidewatch.plans import dashboards, evaluation, metrics, reports, scaling
 from tidewatch.schemas import EVENT, INDEX_LATENCY_BOUNDS
 from tidewatch.session import materialise, naive, new_path, prepare
 from tidewatch.settings import Settings
-from tidewatch.sources import ingest, tables
+from tidewatch.sources import bulk, ingest, tables
 from tidewatch.streaming import compaction, sinks, state
 from tidewatch.streaming.batching import report_stream
 from tidewatch.streaming.progress import ProgressRecorder
@@ -286,6 +286,19 @@ def stream_late_windows(spark, folder):
     return stream_table(windows.events_per_window(ingest.with_watermark(stream), 60, ["service"]), "late")
 
 
+@query
+def stream_bulk_documents(spark, folder):
+    """Documents of a stream's published bulk bodies, and whether their body keeps to 500."""
+    path = new_path(spark, "bulk")
+    bulk.register(spark)
+    sent = tables.event_stream(spark, folder).select("event_id", "service", "timestamp").writeStream.format("bulk").options(
+        path=f"{path}/out", index="events", id="event_id")
+    sent.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    small = bulk.published(spark, f"{path}/out").select("body", (F.col("documents") <= 500).alias("within"))
+    return bulk.documents(spark, f"{path}/out", "event_id string, service string, timestamp timestamp").join(small, "body").select(
+        F.col("_id").alias("document_id"), "event_id", "service", "timestamp", "within")
+
+
 def _checkpoint(stream, name):
     """The checkpoint of a stream that has run to its end."""
     path = new_path(stream.sparkSession, name)

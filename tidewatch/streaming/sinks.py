@@ -16,6 +16,7 @@ from tidewatch.plans.reports import report_docs
 from tidewatch.schemas import ANOMALY, EVENT
 from tidewatch.session import drop_folder, folders, has_file, make_folder
 from tidewatch.settings import DEFAULTS, Settings
+from tidewatch.sources import bulk
 from tidewatch.sources.ingest import encode, sorted_out
 from tidewatch.streaming.replays import STORED, ReplayFilter, blocks, keyed
 
@@ -148,6 +149,17 @@ def document_writer(options: dict[str, str], fmt: str = "es") -> BatchHandler:
     return write
 
 
+def bulk_writer(path: str, index: str, name: str, id_column: str | None = None, cfg: Settings = DEFAULTS) -> BatchHandler:
+    """Rows as published bulk bodies for a document index; a repeated batch of the query ``name`` replaces its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        bulk.register(batch.sparkSession)
+        options = {"path": path, "index": index, "size": str(cfg.bulk_size), "batch": f"{name}-{batch_id}"}
+        batch.write.format("bulk").options(**options | ({"id": id_column} if id_column else {})).mode("append").save()
+
+    return write
+
+
 _COUNTS = "service string, anomaly_type string, n bigint"
 
 
