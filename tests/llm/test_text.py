@@ -198,3 +198,13 @@ def test_a_text_of_very_many_addresses(spark):
                 out += [whole[at:begin], f"[{kind.upper()}]"]
             at = max(at, end)
         assert r.redacted == "".join(out) + whole[at:]
+
+
+def test_language_model_does_not_depend_on_the_files(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    scores = []
+    for part in (docs.coalesce(1), docs.repartition(7, "doc_id"), docs.orderBy(F.desc("doc_id")).repartition(3)):
+        scores.append({r.doc_id: r.score for r in lbl.language_model(part).collect()})
+    for other in scores[1:]:
+        assert other.keys() == scores[0].keys()
+        assert all(other[k] == pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in scores[0].items())

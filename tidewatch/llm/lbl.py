@@ -4,9 +4,10 @@ Units. The most frequent words are units of their own, and so is the end of a te
 bins by their last two bytes. p(word | context) = p(unit | the two units before) * p(word | unit), where a bin gives a word its
 smoothed share of the bin's counts, and 0.5 is left for all unknown words of a bin.
 
-Training. Spark counts all words of all training texts. Then tasks train in numpy, each on all texts of its
-partition, from a common start; their parameters are averaged, weighted by tokens, in two steps, and the next round
-starts from the average. A row of parameters has a fixed size, whatever the corpus.
+Training. Spark counts all words of all training texts, then all (unit, unit, unit) runs in them, of which there are at most
+``UNITS`` cubed. The runs are dealt by hash to ``TASKS`` tasks, which train in numpy from a common start, each on all its runs in
+the order of their numbers; their parameters are averaged, weighted by tokens, and the next round starts from the average. So the
+model depends on the texts only, not on files or partitions, and training takes bounded time, whatever the corpus.
 
 Scoring. One batched matrix product gives the scores of all units after all pairs of units, normalised by a softmax; a
 text's score adds up table entries. Counts of the ``head`` most frequent words are sent to all tasks (at most 16 bytes
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.session import materialise
+from tidewatch.session import materialise, release
 
 from . import words as W
 
@@ -38,7 +39,8 @@ DIM = 32
 HEAD = 500_000
 BATCH, NOISE = 8192, 64
 CHUNK = 4 << 20
-GROUPS = 64  # partial averages that the driver adds up
+TASKS = 16  # training tasks of a round, at every size
+STEPS = 96  # batches of a task in a round, at least
 
 
 def _bins(w: W.Words) -> np.ndarray:
@@ -153,32 +155,29 @@ def fit(m: Model, code: np.ndarray, count: np.ndarray, squares: list[np.ndarray]
             x += rate * g / np.sqrt(s + 1e-10)
 
 
-def _train(shared):
+def _runs(shared):
+    """Runs of a task's texts with their counts; several rows for a run are added up later."""
     def run(batches):
-        start = shared.value
-        m = start.filled(start.flat())
-        squares = [np.full(x.shape, 1e-6, np.float32) for x in (m.context, m.target, m.mixing, m.bias)]
-        rng, seen = np.random.default_rng(start.seed), 0
+        m = shared.value
         for part in _batches(batches, 0):
-            w = W.words(part.column(0), fold=True)
-            code, _ = m.codes(w, part.num_rows)
-            code, count = np.unique(code, return_counts=True)
-            fit(m, code, count, squares, rng)
-            seen += int(count.sum())
-        if seen:
-            yield pa.record_batch({"seen": pa.array([seen], pa.int64()),
-                                   "sum": pa.array([(m.flat() * seen).tobytes()], pa.binary())})
+            code, n = np.unique(m.codes(W.words(part.column(0), fold=True), part.num_rows)[0], return_counts=True)
+            yield pa.record_batch({"code": pa.array(code), "n": pa.array(n.astype(np.int64))})
     return W.tidied(run)
 
 
-def _add(batches):
-    seen, total = 0, None
-    for batch in batches:
-        for n, row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen += n
-            total = np.frombuffer(row) + (0 if total is None else total)
-    if total is not None:
-        yield pa.record_batch({"seen": pa.array([seen], pa.int64()), "sum": pa.array([total.tobytes()], pa.binary())})
+def _train(shared):
+    def run(table: pa.Table) -> pa.Table:
+        start = shared.value
+        m = start.filled(start.flat())
+        squares = [np.full(x.shape, 1e-6, np.float32) for x in (m.context, m.target, m.mixing, m.bias)]
+        table = table.sort_by("code")
+        code, count, task = table["code"].to_numpy(), table["n"].to_numpy(), table["task"][0].as_py()
+        # a frequent run is met several times, so that no batch is about one run, and a task has its steps
+        times = np.ceil(count * (STEPS * BATCH / count.sum())).astype(np.int64)
+        fit(m, np.repeat(code, times), np.repeat(count / times, times), squares, np.random.default_rng([start.seed, task]))
+        return pa.table({"task": pa.array([task], pa.int32()), "seen": pa.array([int(count.sum())], pa.int64()),
+                         "parameters": pa.array([m.flat().tobytes()], pa.binary())})
+    return W.tidied(run)
 
 
 def _score(shared):
@@ -252,12 +251,16 @@ def language_model(docs: DataFrame, id: str = "doc_id", text: str = "text", roun
     draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
     model = Model(frequent, noise, draw(UNITS, DIM), draw(UNITS, DIM),
                   np.stack([np.eye(DIM, dtype=np.float32) * 0.5] * 2), np.log(noise).astype(np.float32))
+    runs = materialise(
+        train.mapInArrow(_runs(spark.sparkContext.broadcast(model)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+        .withColumn("task", F.pmod(F.xxhash64("code"), F.lit(TASKS)).cast("int")), "runs")
     for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(model)
-        sums = train.mapInArrow(_train(shared), "seen long, sum binary").repartition(GROUPS).mapInArrow(
-            _add, "seen long, sum binary").collect()  # at most GROUPS rows of fixed size
-        if sums:
-            model = model.filled(sum(np.frombuffer(r["sum"]) for r in sums) / sum(r["seen"] for r in sums))
+        trained = runs.repartition(4 * TASKS, "task").groupBy("task").applyInArrow(
+            _train(spark.sparkContext.broadcast(model)), "task int, seen long, parameters binary").collect()  # TASKS rows of fixed size
+        if trained:
+            trained.sort(key=lambda r: r["task"])
+            model = model.filled(sum(np.frombuffer(r["parameters"]) * r["seen"] for r in trained) / sum(r["seen"] for r in trained))
+    release(runs)
 
     share = np.log10(in_bin + 0.5 * (size + 1))
     model.extra = {"words": words[order], "counts": known["n"].to_numpy()[order], "share": share, "end": ends}
