@@ -40,6 +40,7 @@ HEAD = 500_000
 BATCH, NOISE = 8192, 64
 CHUNK = 4 << 20
 TASKS = 16  # training tasks of a round, at every size
+HELD = 1 << 20  # different runs that a counting task holds
 STEPS = 96  # batches of a task in a round, at least
 
 
@@ -156,12 +157,22 @@ def fit(m: Model, code: np.ndarray, count: np.ndarray, squares: list[np.ndarray]
 
 
 def _runs(shared):
-    """Runs of a task's texts with their counts; several rows for a run are added up later."""
+    """Runs of a task's texts with their counts, added up over as many texts as have ``HELD`` different runs."""
+    def row(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(code), 1 << 16):
+            yield pa.record_batch({"code": pa.array(code[a:a + (1 << 16)]), "n": pa.array(n[a:a + (1 << 16)])})
+
     def run(batches):
         m = shared.value
+        code, n = np.empty(0, np.int64), np.empty(0, np.int64)
         for part in _batches(batches, 0):
-            code, n = np.unique(m.codes(W.words(part.column(0), fold=True), part.num_rows)[0], return_counts=True)
-            yield pa.record_batch({"code": pa.array(code), "n": pa.array(n.astype(np.int64))})
+            own, times = np.unique(m.codes(W.words(part.column(0), fold=True), part.num_rows)[0], return_counts=True)
+            both, where = np.unique(np.r_[code, own], return_inverse=True)
+            code, n = both, np.bincount(where, np.r_[n, times]).astype(np.int64)
+            if len(code) > HELD:
+                yield from row(code, n)
+                code, n = code[:0], n[:0]
+        yield from row(code, n)
     return W.tidied(run)
 
 
@@ -251,8 +262,8 @@ def language_model(docs: DataFrame, id: str = "doc_id", text: str = "text", roun
     draw = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
     model = Model(frequent, noise, draw(UNITS, DIM), draw(UNITS, DIM),
                   np.stack([np.eye(DIM, dtype=np.float32) * 0.5] * 2), np.log(noise).astype(np.float32))
-    runs = materialise(
-        train.mapInArrow(_runs(spark.sparkContext.broadcast(model)), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    runs = materialise(  # tasks have added up their runs, so the exchange comes before any further sum
+        train.mapInArrow(_runs(spark.sparkContext.broadcast(model)), "code long, n long").repartition("code").groupBy("code").agg(F.sum("n").alias("n"))
         .withColumn("task", F.pmod(F.xxhash64("code"), F.lit(TASKS)).cast("int")), "runs")
     for _ in range(rounds):
         trained = runs.repartition(4 * TASKS, "task").groupBy("task").applyInArrow(
