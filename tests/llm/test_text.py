@@ -1,5 +1,7 @@
+import math
 import random
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -97,6 +99,45 @@ def test_language_model_of_characters_is_normalised(spark):
     assert abs(total - 1).max() < 1e-3
 
 
+SCRIPTS = ["река течёт медленно под мостом", "мост стоит над рекой и рекой", "川はゆっくり流れる橋の下", "The river, the River 42 and 97\nrivers", "",
+           None, "señor ñandú", "река река река"]
+
+
+def _kneser_ney(texts):
+    """Probability of each 5-gram of the texts, by the definition."""
+    plain = lambda t: re.sub(r"[0-9]", "0", re.sub(r"[\x20\x09-\x0D]", " ", H.fold(t)))
+    padded = [f"    {plain(t)} " for t in texts]
+    levels = {5: Counter(t[k:k + 5] for t in padded for k in range(len(t) - 4))}
+    for n in (4, 3, 2, 1):
+        levels[n] = Counter(g[1:] for g in levels[n + 1])
+
+    def probability(gram):
+        if not gram:
+            return 1 / (len(levels[1]) + 1)
+        counts = levels[len(gram)]
+        of = [sum(c == k for c in counts.values()) for k in range(1, 5)]
+        y = of[0] / max(1, of[0] + 2 * of[1])
+        own = [k - (k + 1) * y * of[k] / of[k - 1] if min(of) else 0 for k in (1, 2, 3)]
+        off = [x if min(of) and 0 < x <= k else k / 2 for k, x in zip((1, 2, 3), own, strict=True)]
+        after = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        cut = lambda c: off[min(c, 3) - 1]
+        seen = counts[gram] - cut(counts[gram]) if gram in counts else 0
+        return (seen + sum(map(cut, after)) * probability(gram[1:])) / sum(after) if after else probability(gram[1:])
+
+    return [[probability(t[k:k + 5]) for k in range(len(t) - 4)] for t in padded]
+
+
+@pytest.mark.parametrize("sent", [quality.GRAMS, 0])
+def test_losses_equal_kneser_ney_over_characters_of_all_scripts(spark, monkeypatch, sent):
+    """Whether the model is sent to the tasks or joined with the documents' 5-grams."""
+    monkeypatch.setattr(quality, "GRAMS", sent)
+    docs = H.documents(spark, SCRIPTS)
+    want = [-sum(map(math.log10, p)) / len(p) for p in _kneser_ney(SCRIPTS)]
+    got = {r.row.doc_id: r.loss for r in quality.measures(docs, quality.train(docs).scores).collect()}
+    assert [got[k] for k in range(len(SCRIPTS))] == pytest.approx(want, rel=1e-5)
+    assert len({round(x, 6) for x in (got[0], got[1], got[2])}) == 3
+
+
 ITEMS = [(1, H.PASSAGE), (10, "Lorem, ipsum dolor!"), (2, H.PASSAGE), (None, "ñandú"), (3, ""), (4, None), (5, "A B C a b c"),
          (5, "zz yy"), (6, " ".join(f"u{k}" for k in range(60)))]
 

@@ -1,17 +1,20 @@
 """Quality rules: line and word repetition, symbols, and bands of character n-gram perplexity for each language.
 
-The language model is a modified Kneser-Ney model of order 5 over 32 character classes (folded letters, white space, digits,
-symbols, other ASCII, first and further bytes of other characters). Spark counts all 5-grams of all documents; the
-model is kept as arrays of sorted 25-bit codes with their discounted probabilities, so its size is at most 32 ** 5
-entries whatever the corpus, and it may be sent to every task. A task expands it once to a table of all codes, and a text's
-log-probability is a sum of table entries.
+The language model is a modified Kneser-Ney model of order 5 over characters: code points of any script, with A-Z folded,
+white space as blanks and digits as zeros, as numbers and line breaks say little of a text's language.
+Spark counts the 5-grams of all documents and derives from them, by grouping and joins, the continuation counts, the discounts of each
+order and the interpolated probabilities; no count passes through the driver. For scoring the 5-grams are 64-bit hashes:
+up to ``GRAMS`` of them are sent to every task as a sorted array with their probabilities; a larger model stays a
+table, and the 5-grams of the documents are joined with it.
 
 A language's band reaches from its median log-perplexity ``spread`` times the median deviation (or ``floor``) down and up,
 over the documents that pass the base rules. The deviations of the values below and above the median are taken apart, as the
 losses of a language are not even. Medians come from counts of values rounded to ``GRID``, so they
 are exact on that grid, need no ordered pass over documents, and do not depend on the partitioning.
 
-Defined results: a null or empty text has no words and fails; a null language is a language of its own; a language without
+Defined results: white space stands before and behind a text; a null or empty text has no words and fails; a null language is
+a language of its own; a 5-gram that the model has not seen has the probability that its lower orders give, a character never
+seen that of one more character; a language without
 a document that passes the base rules has no band, and needs none; an empty table gives an empty table; rows keep all their
 columns in the struct ``row``, whatever their names.
 """
@@ -19,10 +22,11 @@ columns in the struct ``row``, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,35 +36,35 @@ from . import words as W
 from .rows import carried
 
 ORDER = 5
-CLASSES = 32
+CLASSES = 32  # columns of ``Model.table``
 GRID = 0.001
 LANGUAGES = 100_000  # bands that may be broadcast (3 MB)
-
-_CLASS = np.full(256, 29, np.uint32)
-_CLASS[W.SPACE] = 0
-_CLASS[97:123] = np.arange(1, 27)
-_CLASS[65:91] = np.arange(1, 27)
-_CLASS[48:58] = 27
+GRAMS = 4_000_000  # 5-grams that may be sent to every task (48 MB)
+
+SYMBOLS = [f"s{k}" for k in range(ORDER)]
+_MULTIPLIERS = np.random.default_rng(20240301).integers(1, 2**63, ORDER, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_PLAIN = np.arange(128, dtype=np.uint32)  # A-Z folded, white space as blank, digits as 0
+_PLAIN[65:91] += 32
+_PLAIN[48:58] = 48
+_PLAIN[W.SPACE[:128]] = 32
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
-_CLASS[_SYMBOLS] = 28
-_CLASS[0xC0:] = 30
-_CLASS[0x80:0xC0] = 31
 _NEWLINE = np.zeros(256, bool)
 _NEWLINE[10] = True
 
 
-def _codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """5-gram code that ends at each byte and behind each text, and where each text's codes start; white space is before a text."""
-    n, pad = len(offsets) - 1, ORDER  # the end of a text, then ORDER - 1 blanks before the next
-    symbols = np.zeros(len(data) + n * pad + ORDER - 1, np.uint32)
-    shift = np.repeat(np.arange(n), np.diff(offsets)) * pad + ORDER - 1
-    symbols[np.arange(len(data)) + shift] = _CLASS[data]
-    code = symbols[ORDER - 1:].copy()
-    for k in range(1, ORDER):
-        code |= symbols[ORDER - 1 - k:len(symbols) - k] << np.uint32(5 * k)
-    start = offsets + np.arange(n + 1) * pad
-    return code, start
+def _grams(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of the texts with blanks around; hash of the 5-gram at each place that starts one, these places, their texts."""
+    texts = [(t or b"").decode("utf-8", "replace") for t in part.column("text").cast(pa.binary()).to_pylist()]
+    chars = np.frombuffer("".join(f"    {t} " for t in texts).encode("utf-32-le"), np.uint32)
+    chars = np.where(chars < 128, _PLAIN[np.minimum(chars, 127)], chars)
+    length = np.fromiter(map(len, texts), np.int64, len(texts)) + 1  # the blank behind a text counts
+    doc = np.repeat(np.arange(len(texts)), length)
+    at = np.arange(len(doc)) + (ORDER - 1) * doc
+    h = part.column("key").to_numpy().view(np.uint64)[doc]
+    for k, m in enumerate(_MULTIPLIERS):
+        h += (chars[at + k].astype(np.uint64) + np.uint64(1)) * m
+    return chars, W.mix(h), at, doc
 
 
 def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
@@ -69,92 +73,113 @@ def _parts(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatc
             yield batch.slice(a, b - a)
 
 
-def _merge(codes: list, counts: list) -> tuple[np.ndarray, np.ndarray]:
-    code, count = np.concatenate(codes), np.concatenate(counts)
-    order = np.argsort(code)
-    code, count = code[order], count[order]
-    head = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-    return code[head], np.add.reduceat(count, head)
-
-
 def _count(batches):
-    """Counts of the 5-grams of a task's texts, each code once."""
-    codes, counts, held = [], [], 0
-    for part in _parts(batches, 0):
-        data, offsets = W.buffers(part.column(0))
-        code, start = _codes(data, offsets)
-        length = np.diff(offsets)
-        inside = np.repeat(start[:-1] - np.r_[0, np.cumsum(length + 1)[:-1]], length + 1) + np.arange(len(data) + len(length))
-        code, count = np.unique(code[inside], return_counts=True)
-        codes.append(code)
-        counts.append(count)
-        held += len(code)
-        if held > 2_000_000 and len(codes) > 1:
-            merged = _merge(codes, counts)
-            codes, counts, held = [merged[0]], [merged[1]], len(merged[0])
-    if codes:
-        code, count = _merge(codes, counts)
-        for a in range(0, len(code), 100_000):
-            yield pa.record_batch({"code": pa.array(code[a:a + 100_000].astype(np.int64)),
-                                   "n": pa.array(count[a:a + 100_000].astype(np.int64))})
-
-
-def _discounts(count: np.ndarray) -> np.ndarray:
-    """Discounts of counts 0, 1, 2 and 3 or more, from the counts of counts."""
-    n = [int((count == k).sum()) for k in range(1, 5)]
-    plain = np.array([0.0, 0.5, 1.0, 1.5])
-    if min(n) == 0:
-        return plain
-    y = n[0] / (n[0] + 2 * n[1])
-    own = np.array([0.0, *(k - (k + 1) * y * n[k] / n[k - 1] for k in (1, 2, 3))])
-    return np.where((own > 0) & (own <= np.arange(4)), own, plain)
+    """Counts of the 5-grams of a task's texts, each about once."""
+    held, size = [], 0
+
+    def merged():
+        whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+        code, first, group = np.unique(whole[0], return_index=True, return_inverse=True)
+        return code, *(c[first] for c in whole[1:-1]), np.bincount(group, whole[-1]).astype(np.int64)
+
+    def rows(columns):
+        for a in range(0, len(columns[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[a:a + 100_000]) for c in columns], ["id", "key", *SYMBOLS, "n"])
+
+    for part in _parts(batches, 1):
+        chars, code, at, doc = _grams(part)
+        code, first, count = np.unique(code, return_index=True, return_counts=True)
+        key = part.column("key").to_numpy()[doc[first]]
+        held.append((code.view(np.int64), key, *(chars[at[first] + k].astype(np.int32) for k in range(ORDER)), count))
+        size += len(code)
+        if size > 1_000_000 and len(held) > 1:
+            held = [merged()]
+            size = len(held[0][0])
+            if size > 1_000_000:
+                yield from rows(held[0])
+                held, size = [], 0
+    if held:
+        yield from rows(merged())
+
+
+def _discount() -> Column:
+    """Discount of the count ``c``, from the counts of counts ``n1`` to ``n4``."""
+    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    out = None
+    for k in (3, 2, 1):
+        own = k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")
+        own = F.when((F.least("n1", "n2", "n3", "n4") > 0) & (own > 0) & (own <= k), own).otherwise(F.lit(k / 2))
+        out = own if out is None else F.when(F.col("c") == k, own).otherwise(out)
+    return out
 
 
 class Model:
-    """Sorted 5-gram codes with discounted probabilities, weight of the lower order for each context, dense 4-gram model."""
-
-    def __init__(self, code: np.ndarray, count: np.ndarray):
-        grams = {ORDER: (code.astype(np.uint32), count.astype(np.float64))}
-        for n in range(ORDER - 1, 0, -1):  # how many different symbols stand before
-            lower, before = np.unique(grams[n + 1][0] & np.uint32(CLASSES**n - 1), return_counts=True)
-            grams[n] = lower, before.astype(np.float64)
-        dense = np.full(CLASSES, 1 / CLASSES)
-        below = np.full((1, CLASSES), 1 / CLASSES)
+    """For each order a table of discounted probabilities and a table of its contexts' weights of the lower order."""
+
+    def __init__(self, counts: DataFrame):
+        """``counts``: ``id, key, s0 ... s4, n``, each 5-gram of a model (``key``) once."""
+        self.grams = counts.select("id", "key", *SYMBOLS)
+        self.values, self.weights = {}, {}
+        level = counts.select("key", *SYMBOLS, F.col("n").alias("c"))
+        for n in range(ORDER, 0, -1):
+            gram, context = ["key", *SYMBOLS[ORDER - n:]], ["key", *SYMBOLS[ORDER - n:-1]]
+            of_counts = level.groupBy("key").agg(*(F.count_if(F.col("c") == k).alias(f"n{k}") for k in (1, 2, 3, 4)))
+            level = level.join(F.broadcast(of_counts), "key").select(*gram, "c", _discount().alias("off"))
+            total = level.groupBy(*context).agg(F.sum("c").alias("total"), (F.sum("off") / F.sum("c")).alias("weight"))
+            found = level.join(total, context).select(*gram, ((F.col("c") - F.col("off")) / F.col("total")).alias("value"))
+            self.values[n], self.weights[n] = materialise(found, f"grams{n}"), materialise(total.drop("total"), f"contexts{n}")
+            level = self.values[n].groupBy("key", *SYMBOLS[ORDER - n + 1:]).agg(F.count(F.lit(1)).alias("c"))  # how many stand before
+        self.alphabet = self.values[1].groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+
+    def of(self, grams: DataFrame) -> DataFrame:
+        """Adds the probability ``p`` of the last character of each 5-gram ``key, s0 ... s4`` after the others."""
+        out = grams.join(F.broadcast(self.alphabet), "key", "left").withColumn(
+            "p", 1 / (F.coalesce("size", F.lit(0)) + 1)).drop("size")
         for n in range(1, ORDER + 1):
-            code, count = grams[n]
-            context = code >> np.uint32(5)
-            total = np.bincount(context, count, CLASSES ** (n - 1))
-            off = _discounts(count)[np.minimum(count, 3).astype(int)]
-            weight = np.where(total > 0, np.bincount(context, off, CLASSES ** (n - 1)) / np.maximum(total, 1), 1.0)
-            value = (count - off) / total[context]
-            if n < ORDER:
-                dense = weight[:, None] * np.tile(below, (CLASSES ** (n - 1) // len(below), 1))
-                dense.ravel()[code] += value
-                below = dense
-        self.code, self.value = code, value.astype(np.float32)
-        self.weight, self.below = weight.astype(np.float32), below.astype(np.float32)
+            out = out.join(self.weights[n], ["key", *SYMBOLS[ORDER - n:-1]], "left").join(
+                self.values[n], ["key", *SYMBOLS[ORDER - n:]], "left").withColumn(
+                "p", F.coalesce("value", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("p")).drop("value", "weight")
+        return out
+
+    @cached_property
+    def scores(self) -> DataFrame:
+        """``id, score``: log10 of the probability of each 5-gram of the training texts."""
+        return materialise(self.of(self.grams).select("id", F.log10("p").cast("float").alias("score")), "scores")
 
     def table(self) -> np.ndarray:
-        """log10 of the probability of every code."""
-        out = np.tile(self.below, (CLASSES, 1))
-        out *= self.weight[:, None]
-        out = out.ravel()
-        out[self.code] += self.value
-        return np.log10(out, out=out)
+        """log10 of the probabilities after each context of four characters, a row of ``CLASSES`` columns for each.
+
+        The last column is what no other has: characters beyond the first ``CLASSES - 1`` of a model, and those never seen.
+        """
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(SYMBOLS[-1])) - 1
+        symbols = self.values[1].select("key", SYMBOLS[-1], rank.alias("rank")).unionByName(
+            self.alphabet.select("key", F.lit(-1).alias(SYMBOLS[-1]), F.lit(CLASSES - 1).alias("rank")))
+        every = self.of(self.weights[ORDER].drop("weight").join(symbols, "key"))
+        context = ["key", *SYMBOLS[:-1]]
+        found = every.groupBy(*context, F.least("rank", F.lit(CLASSES - 1)).alias("rank")).agg(F.sum("p").alias("p")).groupBy(
+            *context).agg(F.map_from_entries(F.collect_list(F.struct("rank", "p"))).alias("row"))
+        rows = found.select(*(F.coalesce(F.col("row")[k], F.lit(0.0)).alias(f"p{k}") for k in range(CLASSES))).toPandas()
+        with np.errstate(divide="ignore"):
+            return np.log10(rows.to_numpy())
 
 
-def train(docs: DataFrame, text: str = "text") -> Model:
-    """The model of all texts."""
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(W.tidied(_count), "code long, n long").groupBy("code").agg(
-        F.sum("n").alias("n"))
-    found = counts.sort("code").toArrow()
-    return Model(found["code"].to_numpy(), found["n"].to_numpy())
+def _keyed(by: str | None) -> Column:
+    return (F.xxhash64(F.col(f"`{by}`")) if by else F.lit(0).cast("long")).alias("key")
+
+
+def train(docs: DataFrame, text: str = "text", by: str | None = None) -> Model:
+    """The model of all texts; ``by`` names a column whose values have models of their own."""
+    schema = f"id long, key long, {', '.join(f'{s} int' for s in SYMBOLS)}, n long"
+    counts = docs.select(_keyed(by), F.col(f"`{text}`").alias("text")).mapInArrow(W.tidied(_count), schema).groupBy(
+        "id").agg(*(F.any_value(c).alias(c) for c in ("key", *SYMBOLS)), F.sum("n").alias("n"))
+    return Model(materialise(counts, "grams"))
 
 
 MEASURES = {
     "n_words": T.LongType(), "word_chars": T.LongType(), "n_symbols": T.LongType(), "n_dup_lines": T.LongType(),
     "n_repeat_words": T.LongType(), "loss": T.DoubleType(),
 }
+_WANTED = {"n_symbols_scored": T.LongType(), "ids": T.ArrayType(T.LongType()), "times": T.ArrayType(T.LongType())}
 
 
 def _repeated(w: W.Words, width: int = 3) -> np.ndarray:
@@ -169,9 +194,33 @@ def _repeated(w: W.Words, width: int = 3) -> np.ndarray:
     return W.cover(at[order[twice]], width, len(w.hash))
 
 
+def _lists(values: np.ndarray, doc: np.ndarray, n: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(n + 1)).astype(np.int32)), pa.array(values))
+
+
+def _loss(part: pa.RecordBatch, ids: np.ndarray, scores: np.ndarray) -> dict:
+    """The mean loss of each text, from sorted hashes that hold all its 5-grams."""
+    _, code, _, doc = _grams(part)
+    code, group = np.unique(code, return_inverse=True)
+    score = scores[np.searchsorted(ids, code)].astype(np.float64)[group]
+    length = np.bincount(doc, minlength=part.num_rows)
+    return {"loss": pa.array(-np.bincount(doc, score, part.num_rows) / length)}
+
+
+def _wanted(part: pa.RecordBatch) -> dict:
+    """The hashes of the 5-grams of each text with their counts."""
+    _, code, _, doc = _grams(part)
+    pair = np.lexsort((code, doc))
+    code, of = code[pair], doc[pair]
+    head = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (of[1:] != of[:-1])][:len(code)])
+    times = np.diff(np.r_[head, len(code)])
+    return {"n_symbols_scored": pa.array(np.bincount(doc, minlength=part.num_rows)),
+            "ids": _lists(code[head].view(np.int64), of[head], part.num_rows), "times": _lists(times, of[head], part.num_rows)}
+
+
 def _measure(shared):
     def run(batches):
-        table = shared.value.table()
+        ids, scores = shared.value if shared else (None, None)
         for part in _parts(batches, 1):
             n = part.num_rows
             w = W.words(part.column(1))
@@ -182,28 +231,43 @@ def _measure(shared):
             filled = np.searchsorted(w.start, lines.end) > np.searchsorted(w.start, lines.start)
             line, of = lines.hash[filled], lines.doc[filled].astype(np.int64)
             key = np.unique(np.stack([of.astype(np.uint64), line]), axis=1)[0].astype(np.int64) if len(of) else of
-            code, start = _codes(w.data, w.offsets)
-            score = np.r_[0.0, np.cumsum(table[code], dtype=np.float64)]
-            length = np.diff(w.offsets) + 1
-            total = score[start[:-1] + length] - score[start[:-1]]
             yield pa.RecordBatch.from_pydict({
                 "row": part.column(0), "n_words": pa.array(w.counts().astype(np.int64)),
                 "word_chars": pa.array(per_text(points[w.end] - points[w.start])),
                 "n_symbols": pa.array(np.diff(symbols).astype(np.int64)),
                 "n_dup_lines": pa.array(np.bincount(of, minlength=n) - np.bincount(key, minlength=n)),
                 "n_repeat_words": pa.array(per_text(_repeated(w))),
-                "loss": pa.array(-total / length),
-            })
+            } | (_loss(part, ids, scores) if shared else _wanted(part)))
     return W.tidied(run)
 
 
-def measures(docs: DataFrame, model: Model, text: str = "text", columns: list[str] | None = None) -> DataFrame:
-    """Each row (or its ``columns``) as struct ``row`` with the base measures and ``loss``, the log10 perplexity for each byte."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _sent(scores: DataFrame):
+    """The model as sorted hashes with their scores."""
+    found = scores.toArrow()
+    ids = found["id"].to_numpy().view(np.uint64)
+    order = np.argsort(ids)
+    return scores.sparkSession.sparkContext.broadcast((ids[order], found["score"].to_numpy()[order]))
+
+
+def measures(docs: DataFrame, scores: DataFrame, text: str = "text", columns: list[str] | None = None, by: str | None = None) -> DataFrame:
+    """Each row (or its ``columns``) as struct ``row`` with the base measures and ``loss``, the log10 perplexity for each character.
+
+    ``scores`` has the 5-grams of all ``docs``: those of their own model, or what ``Model.of`` gives for them.
+    """
+    return _measured(docs, scores, _sent(scores) if scores.count() <= GRAMS else None, text, columns, by)
+
+
+def _measured(docs: DataFrame, scores: DataFrame, shared, text: str, columns: list[str] | None, by: str | None = None) -> DataFrame:
     row, field = carried(docs, columns)
-    schema = T.StructType([field, *(T.StructField(k, t) for k, t in MEASURES.items())])
-    return docs.select(row, F.col(text).alias("text")).mapInArrow(_measure(shared), schema).withColumn(
-        "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
+    own = MEASURES if shared else {k: t for k, t in MEASURES.items() if k != "loss"} | _WANTED
+    schema = T.StructType([field, *(T.StructField(k, t) for k, t in own.items())])
+    found = docs.select(row, F.col(f"`{text}`").alias("text"), _keyed(by)).mapInArrow(_measure(shared), schema)
+    if not shared:
+        found = materialise(found.withColumn("at", F.monotonically_increasing_id()), "wanted")
+        sums = found.select("at", F.explode(F.arrays_zip("ids", "times")).alias("x")).select("at", "x.*").join(
+            scores.withColumnRenamed("id", "ids"), "ids").groupBy("at").agg(F.sum(F.col("times") * F.col("score")).alias("total"))
+        found = found.drop("ids", "times").join(sums, "at").withColumn("loss", -F.col("total") / F.col("n_symbols_scored")).select("row", *MEASURES)
+    return found.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
 def _median(values: DataFrame, name: str) -> DataFrame:
@@ -218,6 +282,7 @@ def bands(measured: DataFrame, lang: str = "lang", spread: float = 5.0, floor: f
     """``lang, lower, upper``: bounds of the loss, a row for each language."""
     counts = measured.where(~F.col("base_failed")).groupBy(
         F.col(f"row.{lang}").alias("lang"), F.round(F.col("loss") / GRID).cast("long").alias("bin")).agg(F.count("*").alias("n"))
+    counts = materialise(counts, "losses")  # read four times; the documents once
     limits = middle = _median(counts, "middle")
     away = counts.alias("c").join(middle.alias("m"), F.col("c.lang").eqNullSafe(F.col("m.lang"))).select(
         F.col("c.lang").alias("lang"), (F.col("bin") - F.col("middle")).alias("bin"), "n")
@@ -231,9 +296,10 @@ def bands(measured: DataFrame, lang: str = "lang", spread: float = 5.0, floor: f
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang", columns: list[str] | None = None, **band) -> DataFrame:
     """``measures`` with ``base_failed`` and ``kept``; ``columns``, if given, hold the language's."""
-    model = train(docs, text)
-    limits = materialise(bands(measures(docs, model, text, [lang]), lang, **band), "bands")
+    scores = train(docs, text).scores
+    shared = _sent(scores) if scores.count() <= GRAMS else None
+    limits = materialise(bands(_measured(docs, scores, shared, text, [lang]), lang, **band), "bands")
     limits = F.broadcast(limits) if limits.count() <= LANGUAGES else limits  # else the rows are dealt by language
-    return measures(docs, model, text, columns).join(limits, F.col(f"row.`{lang}`").eqNullSafe(limits["lang"]), "left").withColumn(
+    return _measured(docs, scores, shared, text, columns).join(limits, F.col(f"row.`{lang}`").eqNullSafe(limits["lang"]), "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(F.col("loss").between(F.col("lower"), F.col("upper")), F.lit(True))
     ).drop("lang", "lower", "upper")
