@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import T0, event, table
 from tidewatch.operators import similar
+from tidewatch.sources import ingest
 from tidewatch.streaming import compaction, sinks
 
 SERVICES = ["user-auth", "search-service", "payment-gateway", None]
@@ -103,6 +104,28 @@ def test_an_unfinished_batch_is_not_compacted(spark, store):
     assert ids(compaction.clustered_events(spark, path, out)) == ids(sinks.stored_events(spark, path))
 
 
+def test_small_files_of_a_date_are_written_by_one_task(spark, store):
+    path, out = store
+    compaction.compact(spark, path, out, date(2024, 1, 7), rows_per_file=20)
+    files = [f.file.rpartition("/")[2] for f in compaction.manifest(spark, out, 1).collect()]
+    assert len(files) == 60 and {name.split("-")[1] for name in files} == {"00000"}
+    compaction.compact(spark, path, out, date(2024, 1, 7), rows_per_file=20)
+    batch(spark, path, "a", 3, [0])
+    compaction.compact(spark, path, out, date(2024, 1, 7), rows_per_file=20)  # dates are read by folder
+    assert ids(compaction.clustered_events(spark, path, out)) == ids(sinks.stored_events(spark, path))
+
+
+def test_a_batch_leaves_one_file_in_a_folder(spark, tmp_path):
+    """Whatever the number of shuffle partitions; more files only for more rows than a task writes."""
+    rows = [event(i, T0 + timedelta(days=i % 5, seconds=i)) for i in range(200)]
+    ingest.encode(table(spark, rows)).write.parquet(str(tmp_path / "topic"))
+    messages = spark.readStream.schema("key string, value string").parquet(str(tmp_path / "topic"))
+    path = str(tmp_path / "events")
+    sinks.store_messages(ingest.decode(messages), path, str(tmp_path / "checkpoint"), {"availableNow": True}).awaitTermination()
+    assert len(list(Path(path).rglob("*.parquet"))) == 5
+    assert ids(sinks.stored_events(spark, path)) == sorted(str(i) for i in range(200))
+
+
 def test_similar_counts_equal_all_pairs(spark):
     rng = random.Random(5)
     rows = [(i, rng.sample("abcdefghijkl", rng.randint(1, 6)), datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=rng.randint(0, 200)))

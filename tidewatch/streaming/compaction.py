@@ -30,9 +30,11 @@ from tidewatch.streaming.replays import STORED
 MANIFEST = "file string, event_date date, n bigint, since timestamp, until timestamp, low int, high int"
 COVERED = "before date, run string, last_batch bigint"
 ROWS_PER_FILE = 1_000_000
+ROWS_PER_TASK = 50_000  # at least; a task writes several files where these are smaller
 _EVENTS = [f.name for f in EVENT]
 _CLUSTERED = T.StructType([*EVENT.fields, T.StructField("event_date", T.DateType())])
 _DAY_US = 86_400_000_000
+_FOLDER = "^(data/v=[0-9]+/event_date=[^/]*)/"
 
 
 def service_code(service: Column) -> Column:
@@ -100,10 +102,17 @@ def _files(spark: SparkSession, out: str, rows: DataFrame) -> DataFrame:
     return spark.read.schema(EVENT).parquet(*names)
 
 
+def _dates(spark: SparkSession, files: DataFrame, out: str) -> DataFrame:
+    """The events of dates all of whose files are given: a date's files have one folder, so a name for each date will do."""
+    found = files.select(F.regexp_extract("file", _FOLDER, 1).alias("folder")).distinct().collect()
+    return spark.read.schema(EVENT).parquet(*[f"{out}/{r.folder}" for r in found]) if found else spark.createDataFrame([], EVENT)
+
+
 def compact(spark: SparkSession, path: str, out: str, before: date, rows_per_file: int = ROWS_PER_FILE) -> int | None:
     """Bring the clustered copy at ``out`` of the store at ``path`` up to date for dates before ``before``; returns its version.
 
     Dates without new events are left as they are. A date gets about its rows / ``rows_per_file`` files, and two at its borders.
+    Small files are written many by a task, one after the other along the curve, so tasks grow with rows, not with files.
     """
     old = version(spark, out)
     known = _covered(spark, out, old)
@@ -116,13 +125,13 @@ def compact(spark: SparkSession, path: str, out: str, before: date, rows_per_fil
     if not days:
         return old
     files = manifest(spark, out, old)
-    again = _files(spark, out, files.where(F.col("event_date").isin(days)))
+    again = _dates(spark, files.where(F.col("event_date").isin(days)), out)
     rows = new.select(*_EVENTS).unionByName(again).withColumn("event_date", F.to_date("timestamp"))
-    parts = max(1, math.ceil(rows.count() / rows_per_file))
+    parts = max(1, math.ceil(rows.count() / max(rows_per_file, ROWS_PER_TASK)))
     number = 1 + max([0, *_versions(spark, f"{out}/data"), *_versions(spark, f"{out}/manifest")])
     placed = rows.withColumn("place", curve(F.col("timestamp"), F.col("service")))
     (placed.repartitionByRange(parts, "event_date", "place", F.xxhash64("event_id")).sortWithinPartitions("event_date", "place").drop("place")
-     .write.option("maxRecordsPerFile", 2 * rows_per_file).partitionBy("event_date").parquet(f"{out}/data/v={number}"))
+     .write.option("maxRecordsPerFile", rows_per_file if rows_per_file < ROWS_PER_TASK else 2 * rows_per_file).partitionBy("event_date").parquet(f"{out}/data/v={number}"))
     written = spark.read.schema(_CLUSTERED).parquet(f"{out}/data/v={number}").select(
         F.regexp_extract(F.col("_metadata.file_path"), "data/v=[0-9]+/event_date=[^/]*/[^/]*$", 0).alias("file"), "event_date", "timestamp",
         service_code(F.col("service")).alias("code"))
@@ -162,7 +171,7 @@ def expire(spark: SparkSession, out: str, keep: int = 2) -> None:
     kept = _finished(spark, out)[-keep:]
     if not kept:
         return
-    folder = F.regexp_extract("file", "^(data/v=[0-9]+/event_date=[^/]*)/", 1)
+    folder = F.regexp_extract("file", _FOLDER, 1)
     used = {r[0] for v in kept for r in manifest(spark, out, v).select(folder).distinct().collect()}  # a row for each date
     for v in _versions(spark, f"{out}/data"):
         if v > kept[-1]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import datetime
@@ -55,6 +56,17 @@ def table_writer(path: str, partition_by: list[str] | None = None,
 
 
 _EVENTS = [f.name for f in EVENT]
+STORED_ROWS = 50_000  # rows a task writes to the store
+
+
+def _by_folder(rows: DataFrame) -> DataFrame:
+    """Rows dealt by the folders they go to, so a batch leaves about a file for each task and folder, not for each pair of them.
+
+    A date of many rows has several tasks.
+    """
+    parts = max(1, math.ceil(rows.count() / STORED_ROWS))
+    spread = F.xxhash64("event_id", "message")
+    return rows.repartition(1) if parts == 1 else rows.repartitionByRange(parts, "status", "event_date", spread)
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -82,7 +94,7 @@ def store_messages(decoded: DataFrame, path: str, checkpoint: str, trigger: dict
             with _kept(ReplayFilter(spark, path, run, batch_id, cfg).fresh(marked)) as fresh:
                 blocks(fresh).write.mode("overwrite").parquet(f"{path}_seen/{folder}")
                 rows = fresh.select(*batch.columns).unionByName(batch.where("status <> 'accepted'"))
-                rows.write.mode("overwrite").partitionBy("status", "event_date").parquet(f"{path}/{folder}")
+                _by_folder(rows).write.mode("overwrite").partitionBy("status", "event_date").parquet(f"{path}/{folder}")
 
     make_folder(spark, path)
     return (
