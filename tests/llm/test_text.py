@@ -138,6 +138,25 @@ def test_losses_equal_kneser_ney_over_characters_of_all_scripts(spark, monkeypat
     assert len({round(x, 6) for x in (got[0], got[1], got[2])}) == 3
 
 
+@pytest.mark.parametrize("sent", [quality.GRAMS, 0])
+def test_documents_are_measured_once_for_bands_and_verdicts(spark, monkeypatch, sent):
+    monkeypatch.setattr(quality, "GRAMS", sent)
+    calls, measured = [], quality._measured
+    monkeypatch.setattr(quality, "_measured", lambda *a: calls.append(a) or measured(*a))
+    rng = random.Random(6)
+    texts = [*SCRIPTS, *(" ".join(rng.choice("abcdefgh") * rng.randrange(1, 9) for _ in range(90)) for _ in range(12)), "#q7$ " * 9 + "x" * 99]
+    docs = H.documents(spark, texts * 2).withColumn("a b.c", F.lit("x"))
+    out = quality.judge(docs)
+    assert len(calls) == 1
+    assert "MapInArrow" not in out._jdf.queryExecution().toString()  # read back, not measured again
+    want = {r.row.doc_id: r for r in measured(docs, quality.train(docs).scores, None, "text", None).collect()}
+    found = {r.row.doc_id: r for r in out.collect()}
+    assert found.keys() == want.keys() and any(not r.base_failed for r in found.values())
+    for k, r in found.items():
+        assert r.row == want[k].row and r[1:6] == want[k][1:6] and r.base_failed == want[k].base_failed
+        assert r.loss == pytest.approx(want[k].loss, rel=1e-6)
+
+
 ITEMS = [(1, H.PASSAGE), (10, "Lorem, ipsum dolor!"), (2, H.PASSAGE), (None, "ñandú"), (3, ""), (4, None), (5, "A B C a b c"),
          (5, "zz yy"), (6, " ".join(f"u{k}" for k in range(60)))]
 
